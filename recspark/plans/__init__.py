@@ -3,6 +3,6 @@
 
 def load_all():
     """Import every query module so that its queries register themselves."""
-    from recspark.plans import q_swing  # noqa: F401
+    from recspark.plans import q_scalars, q_swing  # noqa: F401
     from recspark.plans.catalog import REGISTRY
     return REGISTRY
