@@ -66,7 +66,7 @@ def q_numeric(spark, sf):
 
 
 @register("F9_F18_time_parts", """
-WITH e AS (SELECT event_id, ts, epoch_us(ts) // 1000000 AS sec, epoch_ms(ts)::BIGINT AS ms,
+WITH e AS (SELECT event_id, ts, epoch_us(ts) // 1000000 AS sec, epoch_us(ts) // 1000 AS ms,
                   strftime(ts, '%Y%m%d') AS ymd, strftime(ts, '%Y-%m-%d') AS ymd_dash,
                   (hour(ts) * 100 + minute(ts)) * (CASE WHEN event_type = 'error' THEN 25 ELSE 1 END) AS hhmm
            FROM events)
