@@ -3,6 +3,6 @@
 
 def load_all():
     """Import every query module so that its queries register themselves."""
-    from recspark.plans import q_metrics, q_recall, q_scalars, q_swing, q_vectors  # noqa: F401
+    from recspark.plans import q_features, q_metrics, q_recall, q_scalars, q_swing, q_vectors  # noqa: F401
     from recspark.plans.catalog import REGISTRY
     return REGISTRY
