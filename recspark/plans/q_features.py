@@ -232,7 +232,7 @@ SELECT l_orderkey, l_linenumber, """ + _md5b("o_custkey", 1000000) + " AS user_i
   CAST(dense_rank() OVER (ORDER BY seg_f) - 1 AS BIGINT) AS seg_encoded,
   CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS BIGINT) AS p_brand_encoded,
   list_slice(list_concat(list_transform(string_split(p_name, ' '), lambda t: """ + _md5b("t", 1000) + """), [0, 0, 0]), 1, 3) AS p_name_processed,
-  l_quantity, l_discount, o_orderpriority, c_nationkey, p_type, p_retailprice, cnt_x, cnt_y, round(avg_price, 2) AS avg_price
+  l_quantity, l_discount, o_orderpriority, c_nationkey, p_type, p_retailprice, cnt_x, cnt_y
 FROM f""")
 def q_pipeline(spark, sf):
     w = wide_log(spark, sf)
@@ -243,8 +243,7 @@ def q_pipeline(spark, sf):
                       "is_return", _r("l_extendedprice_log").alias("l_extendedprice_log"),
                       _r("acct_log").alias("acct_log"), "seg_encoded", "p_brand_encoded",
                       F.col("p_name_processed").cast("array<bigint>"), "l_quantity", "l_discount",
-                      "o_orderpriority", "c_nationkey", "p_type", "p_retailprice", "cnt_x", "cnt_y",
-                      _r("avg_price", 2).alias("avg_price"))
+                      "o_orderpriority", "c_nationkey", "p_type", "p_retailprice", "cnt_x", "cnt_y")
 
 
 @register("E16_wide_samples", "WITH " + _WIDE_SQL + """,
