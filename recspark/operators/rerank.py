@@ -73,52 +73,59 @@ def consecutive_duplicates(df: DataFrame, fields: list[str], request_col: str =
 
 # --------------------------------------------------------------------------- greedy step (pandas)
 
-def _sim_to(pdf_fields: list[list], j: int, kinds: list[str]) -> np.ndarray:
-    """Similarity of candidate ``j`` to every candidate (vector)."""
-    n = len(pdf_fields[0]) if pdf_fields else 0
+def _field_arrays(pdf: pd.DataFrame, fields: list[str], list_fields: set[str]):
+    """Per field: integer codes (-1 = null) for scalars, python sets (None = null) for lists."""
+    out = []
+    for f in fields:
+        col = pdf[f]
+        if f in list_fields:
+            out.append(("set", [None if v is None else set(v) for v in col]))
+        else:
+            codes, _ = pd.factorize(col, use_na_sentinel=True)
+            out.append(("scalar", codes))
+    return out
+
+
+def _sim_to(arrays, j: int, n: int) -> np.ndarray:
+    """K1 similarity of candidate ``j`` to every candidate of the request."""
     total = np.zeros(n)
     count = np.zeros(n)
-    for vals, kind in zip(pdf_fields, kinds):
-        vj = vals[j]
-        if vj is None:
-            continue
-        if kind == "set":
-            sj = vj
-            for i in range(n):
-                vi = vals[i]
+    for kind, vals in arrays:
+        if kind == "scalar":
+            if vals[j] < 0:
+                continue
+            valid = vals >= 0
+            count += valid
+            total += valid & (vals == vals[j])
+        else:
+            sj = vals[j]
+            if sj is None:
+                continue
+            for i, vi in enumerate(vals):
                 if vi is None:
                     continue
                 count[i] += 1
                 u = len(sj | vi)
                 total[i] += (len(sj & vi) / u) if u else 0.0
-        else:
-            for i in range(n):
-                vi = vals[i]
-                if vi is None:
-                    continue
-                count[i] += 1
-                total[i] += 1.0 if vi == vj else 0.0
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return np.where(count > 0, total / np.maximum(count, 1), 0.0)
+    return np.where(count > 0, total / np.maximum(count, 1), 0.0)
 
 
-def _author_topic_sim(pdf: pd.DataFrame, j: int, fields: list[str]) -> np.ndarray:
-    out = np.zeros(len(pdf))
-    for f in fields[:2]:
-        col = pdf[f].to_numpy()
-        out += np.where(col == col[j], 0.5, 0.0)
+def _author_topic_sim(arrays, j: int, n: int) -> np.ndarray:
+    """K2 similarity: 0.5 per equal field among the first two (author, topic)."""
+    out = np.zeros(n)
+    for _, codes in arrays[:2]:
+        out += np.where((codes == codes[j]) & (codes >= 0), 0.5, 0.0)
     return out
 
 
 def greedy_mmr(pdf: pd.DataFrame, k: int, lam: float, fields: list[str], mode: str,
                list_fields: set[str]) -> pd.DataFrame:
+    """Greedy selection for one request (rows in caller order ``pos``)."""
     pdf = pdf.sort_values("pos", kind="stable").reset_index(drop=True)
     n = len(pdf)
     score = pdf["score"].fillna(0.0).to_numpy(dtype=float)
-    if mode == "relevance":
-        vals = [[None if v is None or (not isinstance(v, (list, np.ndarray)) and pd.isna(v))
-                 else (set(v) if f in list_fields else v) for v in pdf[f]] for f in fields]
-        kinds = ["set" if f in list_fields else "scalar" for f in fields]
+    arrays = _field_arrays(pdf, fields, list_fields if mode == "relevance" else set())
+    sim_fn = _sim_to if mode == "relevance" else _author_topic_sim
     picked: list[int] = []
     alive = np.ones(n, dtype=bool)
     max_sim = np.zeros(n)
@@ -132,20 +139,24 @@ def greedy_mmr(pdf: pd.DataFrame, k: int, lam: float, fields: list[str], mode: s
         j = int(np.argmax(mmr))  # first maximum = earliest position
         picked.append(j)
         alive[j] = False
-        sim = _sim_to(vals, j, kinds) if mode == "relevance" else _author_topic_sim(pdf, j, fields)
-        max_sim = np.maximum(max_sim, sim)
+        max_sim = np.maximum(max_sim, sim_fn(arrays, j, n))
     out = pdf.iloc[picked].copy()
     out["mmr_rank"] = np.arange(1, len(picked) + 1, dtype=np.int32)
     return out
 
 
 def mmr_rerank(cands: DataFrame, k: int, lam: float, fields: list[str], mode: str = "relevance",
-               request_col: str = "request_id", item_col: str = "item_id", trim: bool = True) -> DataFrame:
+               request_col: str = "request_id", item_col: str = "item_id", trim: bool = True,
+               requests_per_task: int = 2000) -> DataFrame:
     """K3 (``mode='relevance'``: ``lam*score - (1-lam)*max_sim``, K1 similarity) and
     K4 (``mode='diversity'``: ``lam*(1-max_sim) + (1-lam)*score``, K2 similarity).
 
     ``cands``: ``request_id, item_id, score, pos`` and the field columns (list
     fields as arrays).  Output: the same columns plus ``mmr_rank`` 1..k.
+
+    Requests are packed into hash buckets of about ``requests_per_task``
+    requests (the bucket count comes from an approximate distinct count), so
+    one pandas call serves many small requests; a request never spans buckets.
     """
     check_params(lam, fields, mode)
     list_fields = {f for f in fields if isinstance(cands.schema[f].dataType, T.ArrayType)}
@@ -161,9 +172,16 @@ def mmr_rerank(cands: DataFrame, k: int, lam: float, fields: list[str], mode: st
             Window.partitionBy(request_col).orderBy(F.col("score").desc(), "pos")))
             .where(F.col("_rn") <= k).groupBy(request_col).agg(F.min("score").alias("_kth")))
         c = c.join(kth, request_col).where(F.col("score") >= F.col("_kth") - F.lit(margin)).drop("_kth")
+    n_req = c.agg(F.approx_count_distinct(request_col)).first()[0] or 1
+    buckets = max(1, -(-int(n_req) // requests_per_task))
+    c = c.withColumn("_bucket", F.pmod(F.xxhash64(request_col), F.lit(buckets)))
     schema = T.StructType(list(c.schema.fields) + [T.StructField("mmr_rank", T.IntegerType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return greedy_mmr(pdf, k, lam, fields, mode, list_fields)
+        parts = [greedy_mmr(g, k, lam, fields, mode, list_fields)
+                 for _, g in pdf.groupby(request_col, sort=False)]
+        if not parts:
+            return pdf.iloc[:0].assign(mmr_rank=np.array([], dtype=np.int32))
+        return pd.concat(parts, ignore_index=True)
 
-    return c.groupBy(request_col).applyInPandas(run, schema)
+    return c.groupBy("_bucket").applyInPandas(run, schema).drop("_bucket")
