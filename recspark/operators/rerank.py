@@ -1,7 +1,7 @@
 """Per-request diversity rerank.
 
 ``mmr_rerank`` runs the greedy Maximal Marginal Relevance selection per
-request with ``groupBy(request).applyInPandas``; the similarity of the newly
+request with ``applyInPandas`` over buckets of whole requests; the similarity of the newly
 picked item to all remaining candidates updates a running ``max_sim`` vector,
 so a request costs O(k * n * fields) numpy work.
 
@@ -118,13 +118,9 @@ def _author_topic_sim(arrays, j: int, n: int) -> np.ndarray:
     return out
 
 
-def greedy_mmr(pdf: pd.DataFrame, k: int, lam: float, fields: list[str], mode: str,
-               list_fields: set[str]) -> pd.DataFrame:
-    """Greedy selection for one request (rows in caller order ``pos``)."""
-    pdf = pdf.sort_values("pos", kind="stable").reset_index(drop=True)
-    n = len(pdf)
-    score = pdf["score"].fillna(0.0).to_numpy(dtype=float)
-    arrays = _field_arrays(pdf, fields, list_fields if mode == "relevance" else set())
+def _greedy(score: np.ndarray, arrays, k: int, lam: float, mode: str) -> list[int]:
+    """Greedy picks (positions into the request's rows, already in ``pos`` order)."""
+    n = len(score)
     sim_fn = _sim_to if mode == "relevance" else _author_topic_sim
     picked: list[int] = []
     alive = np.ones(n, dtype=bool)
@@ -140,8 +136,31 @@ def greedy_mmr(pdf: pd.DataFrame, k: int, lam: float, fields: list[str], mode: s
         picked.append(j)
         alive[j] = False
         max_sim = np.maximum(max_sim, sim_fn(arrays, j, n))
-    out = pdf.iloc[picked].copy()
-    out["mmr_rank"] = np.arange(1, len(picked) + 1, dtype=np.int32)
+    return picked
+
+
+def greedy_mmr(pdf: pd.DataFrame, k: int, lam: float, fields: list[str], mode: str,
+               list_fields: set[str], request_col: str = "request_id") -> pd.DataFrame:
+    """Greedy selection for every request in ``pdf`` (a bucket of whole requests).
+
+    The bucket is sorted once by ``(request, pos)`` and converted to numpy
+    once; each request is then a slice.
+    """
+    order = np.lexsort((pdf["pos"].to_numpy(), pdf[request_col].to_numpy()))
+    pdf = pdf.take(order).reset_index(drop=True)
+    req = pdf[request_col].to_numpy()
+    starts = np.flatnonzero(np.r_[True, req[1:] != req[:-1]]) if len(req) else np.array([], dtype=int)
+    ends = np.r_[starts[1:], len(req)]
+    score = pdf["score"].fillna(0.0).to_numpy(dtype=float)
+    arrays = _field_arrays(pdf, fields, list_fields if mode == "relevance" else set())
+    take, ranks = [], []
+    for a, b in zip(starts, ends):
+        sub = [(kind, vals[a:b]) for kind, vals in arrays]
+        picks = _greedy(score[a:b], sub, k, lam, mode)
+        take.extend(a + p for p in picks)
+        ranks.extend(range(1, len(picks) + 1))
+    out = pdf.take(take).reset_index(drop=True)
+    out["mmr_rank"] = np.asarray(ranks, dtype=np.int32)
     return out
 
 
@@ -155,8 +174,9 @@ def mmr_rerank(cands: DataFrame, k: int, lam: float, fields: list[str], mode: st
     fields as arrays).  Output: the same columns plus ``mmr_rank`` 1..k.
 
     Requests are packed into hash buckets of about ``requests_per_task``
-    requests (the bucket count comes from an approximate distinct count), so
-    one pandas call serves many small requests; a request never spans buckets.
+    requests (the bucket count is an approximate distinct count evaluated as a
+    scalar subquery), so one pandas call serves many small requests; a request
+    never spans buckets.
     """
     check_params(lam, fields, mode)
     list_fields = {f for f in fields if isinstance(cands.schema[f].dataType, T.ArrayType)}
@@ -172,16 +192,13 @@ def mmr_rerank(cands: DataFrame, k: int, lam: float, fields: list[str], mode: st
             Window.partitionBy(request_col).orderBy(F.col("score").desc(), "pos")))
             .where(F.col("_rn") <= k).groupBy(request_col).agg(F.min("score").alias("_kth")))
         c = c.join(kth, request_col).where(F.col("score") >= F.col("_kth") - F.lit(margin)).drop("_kth")
-    n_req = c.agg(F.approx_count_distinct(request_col)).first()[0] or 1
-    buckets = max(1, -(-int(n_req) // requests_per_task))
-    c = c.withColumn("_bucket", F.pmod(F.xxhash64(request_col), F.lit(buckets)))
+    # bucket count as a scalar subquery of the same plan (no separate eager job)
+    n_req = c.agg(F.approx_count_distinct(request_col)).scalar()
+    buckets = F.greatest(F.lit(1).cast("long"), F.ceil(n_req / F.lit(float(requests_per_task))).cast("long"))
+    c = c.withColumn("_bucket", F.pmod(F.xxhash64(request_col), buckets))
     schema = T.StructType(list(c.schema.fields) + [T.StructField("mmr_rank", T.IntegerType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [greedy_mmr(g, k, lam, fields, mode, list_fields)
-                 for _, g in pdf.groupby(request_col, sort=False)]
-        if not parts:
-            return pdf.iloc[:0].assign(mmr_rank=np.array([], dtype=np.int32))
-        return pd.concat(parts, ignore_index=True)
+        return greedy_mmr(pdf, k, lam, fields, mode, list_fields, request_col)
 
     return c.groupBy("_bucket").applyInPandas(run, schema).drop("_bucket")
