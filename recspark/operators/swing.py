@@ -76,9 +76,12 @@ def _pairs(side: DataFrame, hot_user_rows: int, max_hot_users: int) -> DataFrame
     """All ``(item1 < item2)`` pairs sharing a user, with the item user counts."""
     salts = _salt_plan(side.select("user_id", "item_id"), hot_user_rows, max_hot_users)
     if salts is None:
-        a = side.select("user_id", F.col("item_id").alias("item1"), F.col("n").alias("item1_user_count"))
-        b = side.select("user_id", F.col("item_id").alias("item2"), F.col("n").alias("item2_user_count"))
-        return a.join(b, "user_id").where(F.col("item1") < F.col("item2"))
+        # both sides are the same frame, so the shuffle by user is computed once and reused
+        s = side.select("user_id", "item_id", "n")
+        a, b = s.alias("a"), s.alias("b")
+        return a.join(b, (F.col("a.user_id") == F.col("b.user_id")) & (F.col("a.item_id") < F.col("b.item_id"))) \
+            .select(F.col("a.item_id").alias("item1"), F.col("b.item_id").alias("item2"),
+                    F.col("a.n").alias("item1_user_count"), F.col("b.n").alias("item2_user_count"))
     s = side.join(salts, "user_id", "left")
     a = s.select("user_id", F.col("item_id").alias("item1"), F.col("n").alias("item1_user_count"),
                  F.when(F.col("_n_salt").isNull(), F.lit(0))
