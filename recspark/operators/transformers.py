@@ -22,6 +22,7 @@ from recspark.functions.hashing import list_hash, str_hash
 from recspark.operators.base import Estimator, Model, Stateless
 from recspark.operators.joins import bounded_broadcast
 from recspark.operators.ranking import dense_codes
+from recspark.session import cut_lineage
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -218,7 +219,8 @@ class CategoricalEncoder(Estimator):
         if not cols:
             return VocabModel({"outputs": {}, "unseen": self.unseen, "sizes": {}}, {})
         vals = _stack_values(df, cols).distinct()
-        vocab = dense_codes(vals, ["feature"], [F.col("value").asc()])
+        # the vocabulary is fitted state: materialise it once (reliable checkpoint)
+        vocab = cut_lineage(dense_codes(vals, ["feature"], [F.col("value").asc()]))
         sizes = {r["feature"]: r["n"] for r in vocab.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
         return VocabModel({"outputs": outs, "unseen": self.unseen, "sizes": sizes}, {"vocab": vocab})
 
@@ -256,6 +258,7 @@ class FrequencyLookup(Estimator):
         vocab = vocab.withColumn("code", F.col("code") + 1)
         if self.max_tokens is not None:
             vocab = vocab.where(F.col("code") <= self.max_tokens)
+        vocab = cut_lineage(vocab)
         return VocabModel({"outputs": {c: c + self.suffix for c in cols}, "unseen": "zero", "sizes": {}},
                           {"vocab": vocab.select("feature", "value", "code")})
 
