@@ -1,7 +1,7 @@
 """Streaming queries (S6, ST1-ST4, N7) replaying ``events`` as a file stream.
 
-The events table is staged as three files (1-14 Jan, 15-24 Jan, 25 Jan on)
-read one per micro-batch.  Results of stateless and ``complete`` jobs equal
+The events table is staged as three time ranges (1-14 Jan, 15-24 Jan, 25 Jan
+on), each replayed as one micro-batch.  Results of stateless and ``complete`` jobs equal
 the batch results, so they carry a DuckDB oracle.
 """
 
@@ -27,8 +27,8 @@ def _events(spark, sf):
 
 def _stream(spark, sf, order=None):
     ev = _events(spark, sf)
-    root, _ = ST.stage_event_files(ev, "ts", BOUNDS, order)
-    return ST.read_file_stream(spark, root, ev.schema)
+    root, _, per_batch = ST.stage_event_files(ev, "ts", BOUNDS, order)
+    return ST.read_file_stream(spark, root, ev.schema, files_per_trigger=per_batch)
 
 
 @register("ST1_stream_pipeline", """

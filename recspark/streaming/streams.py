@@ -1,8 +1,8 @@
 """Structured Streaming jobs (S6, ST1-ST4, N7).
 
-* ``stage_event_files`` writes a table as several parquet files (one per time
-  range) under the shared checkpoint folder so a file stream can replay them
-  in order - the stand-in for a landing folder.
+* ``stage_event_files`` writes a table as parquet files per time range under
+  the shared checkpoint folder so a file stream can replay the ranges in
+  order, one range per micro-batch - the stand-in for a landing folder.
 * ``stream_transform`` (ST1) applies a fitted pipeline model to a stream: the
   model's ``transform`` is lazy column work, the same code as batch.
 * ``windowed_counts`` (ST2) / ``windowed_metrics`` (ST3): ``withWatermark`` +
@@ -30,11 +30,17 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/recspark-{name}-{uuid.uuid4().hex[:10]}"
 
 
-def stage_event_files(df: DataFrame, ts: str, bounds: list, order: list[int] | None = None) -> tuple[str, list[str]]:
-    """Write ``df`` split at the timestamp ``bounds`` into one folder per range.
+def stage_event_files(df: DataFrame, ts: str, bounds: list, order: list[int] | None = None,
+                      files_per_range: int | None = None) -> tuple[str, list[str], int]:
+    """Write ``df`` split at the timestamp ``bounds``, one folder per range.
 
-    Returns the source folder and the file folders in replay order (``order``
-    permutes the ranges, e.g. to make the first range arrive late).
+    Every range is written as the same number ``P`` of files by a round-robin
+    ``repartition(P)`` (work spread over ``P`` tasks, no single-task funnel);
+    ``P`` is the default parallelism capped by the smallest range so that no
+    file is empty.  Reading ``P`` files per trigger then makes each micro-batch
+    exactly one range.  Returns the source folder, the range folders in replay
+    order (``order`` permutes the ranges, e.g. to make the first range arrive
+    late) and ``P``.
     """
     spark = df.sparkSession
     root = _scratch(spark, "landing")
@@ -46,18 +52,21 @@ def stage_event_files(df: DataFrame, ts: str, bounds: list, order: list[int] | N
             cond = cond & (F.col(ts) >= F.lit(edges[i]).cast("timestamp"))
         if edges[i + 1] is not None:
             cond = cond & (F.col(ts) < F.lit(edges[i + 1]).cast("timestamp"))
-        parts.append(cond)
+        parts.append(df.where(cond))
+    smallest = min(p.count() for p in parts)
+    n = files_per_range or spark.sparkContext.defaultParallelism
+    n = max(1, min(n, smallest))
     seq = order or list(range(len(parts)))
     folders = []
-    for n, i in enumerate(seq):
-        folder = f"{root}/batch={n:04d}"
-        df.where(parts[i]).coalesce(1).write.mode("overwrite").parquet(folder)
+    for k, i in enumerate(seq):
+        folder = f"{root}/batch={k:04d}"
+        parts[i].repartition(n).write.mode("overwrite").parquet(folder)
         folders.append(folder)
-    return root, folders
+    return root, folders, n
 
 
 def read_file_stream(spark: SparkSession, root: str, schema, files_per_trigger: int = 1) -> DataFrame:
-    """Incremental read, one file per micro-batch (chunked reading)."""
+    """Incremental read, ``files_per_trigger`` files per micro-batch (chunked reading)."""
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
             .option("recursiveFileLookup", "true").parquet(root))
 
