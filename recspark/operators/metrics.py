@@ -29,7 +29,11 @@ def _label(y) -> Column:
 
 def auc_table(df: DataFrame, label: str, score: str, group: list[str] | None = None,
               buckets: int = 64) -> DataFrame:
-    """Per-group ``(n, pos, neg, auc)``; ``group=None`` gives one global row."""
+    """Per-group ``(n, pos, neg, auc)``; ``group=None`` gives one global row.
+
+    W3 (ranks for the rank sum) is realised as the bucketed prefix count of
+    negatives below each distinct score, ties counted half.
+    """
     keys = list(group or [])
     base = df.select(*[F.col(k) for k in keys], _label(label).alias("_y"), F.col(score).cast("double").alias("_s"))
     if not keys:

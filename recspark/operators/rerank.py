@@ -35,7 +35,7 @@ def check_params(lam: float, fields: list[str], mode: str) -> None:
 
 
 def field_similarity(a: Column, b: Column, is_list: bool) -> Column:
-    """Jaccard for list fields, equality for scalars; null if either side is null."""
+    """U3 Jaccard for list fields, equality for scalars; null if either side is null."""
     if is_list:
         inter = F.size(F.array_intersect(a, b))
         union = F.size(F.array_union(a, b))

@@ -24,7 +24,7 @@ def _codebook_value(codebook: DataFrame, layer: int) -> Column:
 
 
 def rq_encode(df: DataFrame, vec: str, codebook: DataFrame, layers: int) -> DataFrame:
-    """M1: adds ``codes array<int>``, ``quantized array<double>`` and
+    """M1 (J10 nearest codebook row per layer): adds ``codes array<int>``, ``quantized array<double>`` and
     ``residual_norms array<double>`` (squared norm of the residual after each layer)."""
     out = df.withColumn("_res", F.col(vec).cast("array<double>")) \
         .withColumn("codes", F.array().cast("array<int>")) \

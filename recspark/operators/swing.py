@@ -1,4 +1,4 @@
-"""Swing item-to-item recall.
+"""Swing item-to-item recall.
 
 Score of an item pair is ``co / (n_i + n_j - co)``: ``co`` is the number of
 users who interacted with both items, ``n`` the number of distinct users of
@@ -21,6 +21,11 @@ Plan shape (every step is a DataFrame operator, one lazy plan):
 5. ``rank``/``row_number`` over ``item1`` filtered to ``<= k``; Spark plans this
    as a ``WindowGroupLimit`` that trims each map partition to ``k`` rows per
    item before the shuffle.
+
+The pair filter ``item1 < item2`` (P6) is part of the join condition.  Items
+per user as a ``collect_set`` list (A2) are deliberately not built: that list
+is an unbounded per-user group in one task; the equi self-join gives the same
+pairs with the hot-user split above.
 """
 
 from __future__ import annotations

@@ -49,7 +49,7 @@ class FillSpec:
 
 
 class MissingValueFiller(Estimator):
-    """Per-column fill by statistic or literal; one aggregate for all stats."""
+    """E1 (+A5): per-column fill by statistic or literal; one aggregate for all stats."""
 
     def __init__(self, specs: list[FillSpec], default_fill_value: str = "UNKNOWN",
                  approx_median: bool = False, strict: bool = False):
@@ -198,7 +198,8 @@ def _stack_values(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 class CategoricalEncoder(Estimator):
-    """Label codes = rank of the value in the sorted distinct non-null values.
+    """Label codes = rank of the value in the sorted distinct non-null values
+    (U4 ``distinct`` then A10 dense codes).
 
     ``unseen='zero'`` codes null/unseen as 0 (reference behaviour, collides
     with the first class); ``'oov'`` codes them as ``n`` (own code).
@@ -363,7 +364,7 @@ def bin_expr(x: Column, edges: list[float]) -> Column:
 
 
 class NumericalBinner(Estimator):
-    """Quantile (exact ``percentile`` or ``approx``) or equal-width bins.
+    """Quantile (A8 edges: exact ``percentile`` or ``approx``) or equal-width bins.
 
     Nulls are filled with the fit median; an all-null column is skipped.
     Output ``col + '_bin'``.
