@@ -13,7 +13,7 @@ Plan shape (every step is a DataFrame operator, one lazy plan):
    pairs exist.  The pair table - by far the largest intermediate - is then
    never joined again; it is aggregated once and ranked once.
 3. Pairs by an equi self-join on ``user`` with ``a.item < b.item``.  A user
-   with more than ``hot_user_rows`` rows is split: its left rows get a salt
+   with more than ``hot_user_rows`` log rows is split: its left rows get a salt
    ``pmod(xxhash64(item), n_salt)`` and its right rows are replicated over
    ``0..n_salt-1``, so its ``n^2`` pair work is spread over ``n_salt`` tasks
    instead of one.  Every pair is still produced exactly once.
@@ -60,15 +60,18 @@ def time_window_filter(df: DataFrame, days: int | None, ts: str = "ts", as_of=No
     return df.where(F.col(ts) >= bound)
 
 
-def _salt_plan(ui: DataFrame, hot_user_rows: int, max_hot_users: int) -> DataFrame | None:
-    """Users with more than ``hot_user_rows`` distinct items and their salt count.
+def _salt_plan(log: DataFrame, hot_user_rows: int, max_hot_users: int) -> DataFrame | None:
+    """Users with more than ``hot_user_rows`` log rows and their salt count.
 
-    Returns ``None`` when there is no hot user.  The table has at most
+    The raw row count per user (one map-side-combined aggregate over the
+    user column) bounds the distinct-item count from above, which is all the
+    salting needs: both join sides read the same salt count.  Returns
+    ``None`` when there is no hot user.  The table has at most
     ``rows / hot_user_rows`` entries; it is broadcast only after a bounded
     count proves it holds at most ``max_hot_users`` rows, otherwise it is
     joined by a shuffle (AQE splits the skewed side).
     """
-    hot = (ui.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+    hot = (log.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
            .where(F.col("_n") > hot_user_rows)
            .select("user_id", F.ceil(F.col("_n") / F.lit(hot_user_rows)).cast("int").alias("_n_salt")))
     n_hot = hot.limit(max_hot_users + 1).count()
@@ -77,9 +80,8 @@ def _salt_plan(ui: DataFrame, hot_user_rows: int, max_hot_users: int) -> DataFra
     return F.broadcast(hot) if n_hot <= max_hot_users else hot
 
 
-def _pairs(side: DataFrame, hot_user_rows: int, max_hot_users: int) -> DataFrame:
+def _pairs(side: DataFrame, salts: DataFrame | None) -> DataFrame:
     """All ``(item1 < item2)`` pairs sharing a user, with the item user counts."""
-    salts = _salt_plan(side.select("user_id", "item_id"), hot_user_rows, max_hot_users)
     if salts is None:
         # both sides are the same frame, so the shuffle by user is computed once and reused
         s = side.select("user_id", "item_id", "n")
@@ -99,11 +101,12 @@ def _pairs(side: DataFrame, hot_user_rows: int, max_hot_users: int) -> DataFrame
 
 def swing_cooccurrence(df: DataFrame, hot_user_rows: int = 50_000, max_hot_users: int = 200_000) -> DataFrame:
     """R1 + A1 + J6: ``(item1, item2, co_occurrence_count, item1_user_count, item2_user_count)``."""
-    ui = df.select("user_id", "item_id").where(
-        F.col("user_id").isNotNull() & F.col("item_id").isNotNull()).distinct()
+    log = df.select("user_id", "item_id").where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
+    salts = _salt_plan(log.select("user_id"), hot_user_rows, max_hot_users)
+    ui = log.distinct()
     n = ui.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
     side = ui.join(n, "item_id")
-    pairs = _pairs(side, hot_user_rows, max_hot_users)
+    pairs = _pairs(side, salts)
     return (pairs.groupBy("item1", "item2", "item1_user_count", "item2_user_count")
             .agg(F.count(F.lit(1)).alias("co_occurrence_count")))
 
