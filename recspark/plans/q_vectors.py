@@ -1,7 +1,8 @@
 """Vector, semantic-ID and FM queries (R7-R9, M1-M5, M7-M10) over ``embeddings`` and ``orders``.
 
-Codebooks come from the data: layer ``l``, code ``c`` is the vector of row
-``vec_id = 8*l + c`` (two layers of eight codes); every embedding is encoded.
+Codebooks come from the data: layer 0 holds the mean embedding of each
+label (ten codes), layer 1 the mean residual ``x - centroid(label)`` of each
+label; every embedding is then encoded by nearest code per layer.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from recspark.operators import vectors as V
 from recspark.plans.catalog import register
 from recspark.session import read_table
 
-K_CODES, LAYERS = 8, 2
+K_CODES, LAYERS = 10, 2
 
 
 def _emb(spark, sf):
@@ -25,10 +26,14 @@ def _emb(spark, sf):
 
 
 def _codebook(spark, sf):
+    """Two layers of per-label centroids (of the vectors, then of the residuals)."""
     e = _emb(spark, sf)
-    return e.where(F.col("vec_id") < K_CODES * LAYERS).select(
-        (F.col("vec_id") / K_CODES).cast("int").alias("layer"), F.pmod("vec_id", F.lit(K_CODES)).cast("int").alias("code"),
-        "vec")
+    c0 = V.mean_pool(e, "label", "vec", "vec")
+    res = e.join(c0.withColumnRenamed("vec", "c"), "label").select(
+        "label", F.zip_with("vec", "c", lambda x, y: x - y).alias("vec"))
+    c1 = V.mean_pool(res, "label", "vec", "vec")
+    return (c0.select(F.lit(0).alias("layer"), F.col("label").cast("int").alias("code"), "vec")
+            .unionByName(c1.select(F.lit(1).alias("layer"), F.col("label").cast("int").alias("code"), "vec")))
 
 
 _TOPK_SQL = """
@@ -81,8 +86,13 @@ def q_pool(spark, sf):
 
 
 _RQ_SQL = """
-WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
-cb AS (SELECT vec_id // 8 AS layer, vec_id % 8 AS code, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id < 16),
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+l0 AS (SELECT label, d, avg(v) AS m FROM (SELECT label, unnest(range(1, 65)) AS d, unnest(x) AS v FROM e) GROUP BY label, d),
+c0 AS (SELECT label, list(m ORDER BY d) AS c FROM l0 GROUP BY label),
+rs AS (SELECT e.label, list_transform(list_zip(e.x, c0.c), lambda p: p[1] - p[2]) AS r FROM e JOIN c0 USING (label)),
+l1 AS (SELECT label, d, avg(v) AS m FROM (SELECT label, unnest(range(1, 65)) AS d, unnest(r) AS v FROM rs) GROUP BY label, d),
+c1 AS (SELECT label, list(m ORDER BY d) AS c FROM l1 GROUP BY label),
+cb AS (SELECT 0 AS layer, label AS code, c AS v FROM c0 UNION ALL SELECT 1, label, c FROM c1),
 d1 AS (SELECT e.vec_id, e.x, cb.code, cb.v,
               list_sum(list_transform(list_zip(e.x, cb.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS dist
        FROM e JOIN cb ON cb.layer = 0
@@ -121,8 +131,8 @@ def q_rq_loss(spark, sf):
 
 
 @register("M4_M5_semantic_ids", _RQ_SQL + """,
-ids AS (SELECT vec_id, [codes[1], codes[1] * 8 + codes[2]] AS sid,
-               [codes[1] % 97, (codes[1] * 8 + codes[2]) % 97] AS sid_hashed FROM enc),
+ids AS (SELECT vec_id, [codes[1], codes[1] * 10 + codes[2]] AS sid,
+               [codes[1] % 97, (codes[1] * 10 + codes[2]) % 97] AS sid_hashed FROM enc),
 t AS (SELECT vec_id AS idx, list_slice(CAST(embedding AS DOUBLE[]), 1, 4) AS v FROM embeddings)
 SELECT ids.vec_id, sid, sid_hashed,
        list_transform(range(1, 5), lambda d: round(t1.v[d] + t2.v[d], 6)) AS prefix_emb
