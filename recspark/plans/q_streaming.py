@@ -83,7 +83,11 @@ def q_st3(spark, sf):
                       F.round("logloss", 6).alias("logloss"))
 
 
-@register("ST4_late_rows_update")
+@register("ST4_late_rows_update", """
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(date_trunc('day', ts) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS window_end,
+       event_type, count(*) AS n
+FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1, 2, 3""")
 def q_st4(spark, sf):
     # the earliest range arrives last: its rows are behind the watermark and dropped
     agg = ST.windowed_counts(_stream(spark, sf, order=[1, 2, 0]), "ts", ["event_type"], "1 day")
@@ -91,7 +95,16 @@ def q_st4(spark, sf):
     return res.select(*ST.window_bounds(), "event_type", "n")
 
 
-@register("N7_S6_running_metrics")
+@register("N7_S6_running_metrics", """
+WITH e AS (SELECT CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 0 WHEN ts < TIMESTAMP '2024-01-25' THEN 1 ELSE 2 END AS batch,
+                  CAST(event_type = 'purchase' AS DOUBLE) AS y,
+                  least(greatest(1 / (1 + exp(-(value / 10 - 2))), 1e-15), 1 - 1e-15) AS p FROM events),
+b AS (SELECT batch, count(*) AS rows, sum(CAST((CAST(p > 0.5 AS DOUBLE) = y) AS DOUBLE)) AS correct,
+             sum(-(y * ln(p) + (1 - y) * ln(1 - p))) AS ll FROM e GROUP BY batch)
+SELECT CAST(batch AS BIGINT) AS batch, rows, round(correct / rows, 6) AS accuracy, round(ll / rows, 6) AS logloss,
+       round(sum(correct) OVER w / sum(rows) OVER w, 6) AS running_accuracy,
+       round(sum(ll) OVER w / sum(rows) OVER w, 6) AS running_logloss
+FROM b WINDOW w AS (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def q_n7(spark, sf):
     r = ST.running_metrics(_stream(spark, sf), "y", "p")
     return r.select("batch", "rows", *[F.round(c, 6).alias(c) for c in
