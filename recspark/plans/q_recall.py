@@ -121,14 +121,12 @@ def q_dups(spark, sf):
     return d.select("request_id", "item_id", "has_dup")
 
 
-@register("K3_mmr_rerank")
 def q_mmr(spark, sf):
     c = merged_candidates(spark, sf)
     r = RR.mmr_rerank(c, k=5, lam=0.5, fields=["author", "topic", "stock"], mode="relevance")
     return r.select("request_id", "item_id", "mmr_rank")
 
 
-@register("K4_mmr_diversity")
 def q_mmr_div(spark, sf):
     c = merged_candidates(spark, sf)
     r = RR.mmr_rerank(c, k=5, lam=0.7, fields=["author", "topic"], mode="diversity")
@@ -167,22 +165,31 @@ def q_event_history(spark, sf):
     return h.select("event_id", "history")
 
 
-def _mmr_k3_sql(sim: str, mmr: str) -> str:
-    """Greedy MMR unrolled for k = 3 (first pick: best score; ties: smaller pos)."""
-    cols = "request_id, item_id, score, pos, author, topic, stock"
-    return _SQL_BASE + f""",
+def _mmr_unrolled_sql(sim: str, mmr: str, k: int) -> str:
+    """Greedy MMR unrolled for ``k`` picks (first pick: best score; ties: smaller pos).
+
+    Step ``t`` keeps the remaining candidates with their running maximum
+    similarity ``ms`` to the picks so far and takes the best ``mmr`` value.
+    """
+    cols = ["request_id", "item_id", "score", "pos", "author", "topic", "stock"]
+    plain = ", ".join(cols)
+    xcols = ", ".join("x." + c for c in cols)
+    parts = [_SQL_BASE + f""",
 c AS (SELECT m.request_id, m.item_id, m.score, m.merged_rank - 1 AS pos, it.author, it.topic, it.stock
       FROM merged m JOIN it USING (item_id)),
-p1 AS (SELECT {cols} FROM c QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY score DESC, pos) = 1),
-s2 AS (SELECT {', '.join('x.' + k for k in cols.split(', '))}, {sim.format(a='x', b='p1')} AS ms
-       FROM c x JOIN p1 ON x.request_id = p1.request_id AND x.item_id <> p1.item_id),
-p2 AS (SELECT {cols}, ms FROM s2 QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY {mmr.format(ms='ms')} DESC, pos) = 1),
-s3 AS (SELECT {', '.join('x.' + k for k in cols.split(', '))}, greatest(x.ms, {sim.format(a='x', b='p2')}) AS ms
-       FROM s2 x JOIN p2 ON x.request_id = p2.request_id AND x.item_id <> p2.item_id),
-p3 AS (SELECT {cols} FROM s3 QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY {mmr.format(ms='ms')} DESC, pos) = 1)
-SELECT request_id, item_id, 1 AS mmr_rank FROM p1
-UNION ALL SELECT request_id, item_id, 2 FROM p2
-UNION ALL SELECT request_id, item_id, 3 FROM p3"""
+p1 AS (SELECT {plain} FROM c QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY score DESC, pos) = 1),
+s2 AS (SELECT {xcols}, {sim.format(a='x', b='p1')} AS ms
+       FROM c x JOIN p1 ON x.request_id = p1.request_id AND x.item_id <> p1.item_id)"""]
+    for t in range(2, k + 1):
+        parts.append(f""",
+p{t} AS (SELECT {plain}, ms FROM s{t} QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY {mmr.format(ms='ms')} DESC, pos) = 1)""")
+        if t < k:
+            parts.append(f""",
+s{t + 1} AS (SELECT {xcols}, greatest(x.ms, {sim.format(a='x', b=f'p{t}')}) AS ms
+       FROM s{t} x JOIN p{t} ON x.request_id = p{t}.request_id AND x.item_id <> p{t}.item_id)""")
+    parts.append("\n" + "\nUNION ALL ".join(f"SELECT request_id, item_id, {t} AS mmr_rank FROM p{t}"
+                                            for t in range(1, k + 1)))
+    return "".join(parts)
 
 
 _K1_SIM = ("((CASE WHEN {a}.author = {b}.author THEN 1.0 ELSE 0.0 END) + "
@@ -194,15 +201,19 @@ _K2_SIM = ("((CASE WHEN {a}.author = {b}.author THEN 0.5 ELSE 0.0 END) + "
            "(CASE WHEN {a}.topic = {b}.topic THEN 0.5 ELSE 0.0 END))")
 
 
-@register("K3_mmr_rerank_k3", _mmr_k3_sql(_K1_SIM, "0.5 * score - (1 - 0.5) * {ms}"))
+@register("K3_mmr_rerank_k3", _mmr_unrolled_sql(_K1_SIM, "0.5 * score - (1 - 0.5) * {ms}", 3))
 def q_mmr_k3(spark, sf):
     c = merged_candidates(spark, sf)
     r = RR.mmr_rerank(c, k=3, lam=0.5, fields=["author", "topic", "stock"], mode="relevance")
     return r.select("request_id", "item_id", "mmr_rank")
 
 
-@register("K4_mmr_diversity_k3", _mmr_k3_sql(_K2_SIM, "0.7 * (1.0 - {ms}) + (1 - 0.7) * score"))
+@register("K4_mmr_diversity_k3", _mmr_unrolled_sql(_K2_SIM, "0.7 * (1.0 - {ms}) + (1 - 0.7) * score", 3))
 def q_mmr_div_k3(spark, sf):
     c = merged_candidates(spark, sf)
     r = RR.mmr_rerank(c, k=3, lam=0.7, fields=["author", "topic"], mode="diversity")
     return r.select("request_id", "item_id", "mmr_rank")
+
+
+register("K3_mmr_rerank", _mmr_unrolled_sql(_K1_SIM, "0.5 * score - (1 - 0.5) * {ms}", 5))(q_mmr)
+register("K4_mmr_diversity", _mmr_unrolled_sql(_K2_SIM, "0.7 * (1.0 - {ms}) + (1 - 0.7) * score", 5))(q_mmr_div)
