@@ -99,7 +99,9 @@ def classification_metrics(df: DataFrame, label: str, pred: str, threshold: floa
     """N3 + N4 (+ N1) in one row."""
     basic = df.agg(accuracy_expr(label, pred, threshold).alias("accuracy"),
                    logloss_expr(label, pred).alias("logloss"), F.count(F.lit(1)).alias("rows"))
-    return basic.crossJoin(F.broadcast(auc(df, label, pred).select("auc")))
+    one = auc(df, label, pred).select("auc")
+    # two one-row results side by side: equi-join on a constant key (no cartesian operator)
+    return basic.withColumn("_k", F.lit(0)).join(F.broadcast(one.withColumn("_k", F.lit(0))), "_k").drop("_k")
 
 
 def multi_task_metrics(df: DataFrame, tasks: dict[str, tuple[str, str]], buckets: int = 64) -> DataFrame:
@@ -123,6 +125,19 @@ def rela_impr(auc_model: Column, auc_base: Column) -> Column:
     return (auc_model - 0.5) / (auc_base - 0.5) - 1
 
 
+def rela_impr_table(df: DataFrame, label: str, model_score: str, base_score: str, buckets: int = 64) -> DataFrame:
+    """N8 in one grouped job: both AUCs from one ``auc_table`` over the stacked
+    ``(which, y, score)`` rows, then ``auc_model, auc_base, rela_impr``."""
+    long = df.select(F.explode(F.array(
+        F.struct(F.lit("model").alias("which"), F.col(label).alias("y"), F.col(model_score).cast("double").alias("s")),
+        F.struct(F.lit("base").alias("which"), F.col(label).alias("y"), F.col(base_score).cast("double").alias("s"))))
+        .alias("_t")).select("_t.*")
+    t = auc_table(long, "y", "s", ["which"], buckets)
+    row = t.agg(F.max(F.when(F.col("which") == "model", F.col("auc"))).alias("auc_model"),
+                F.max(F.when(F.col("which") == "base", F.col("auc"))).alias("auc_base"))
+    return row.withColumn("rela_impr", rela_impr(F.col("auc_model"), F.col("auc_base")))
+
+
 def matryoshka_cross_entropy(df: DataFrame, logits_cols: dict[int, str], label: str,
                              weights: dict[int, float] | None = None) -> DataFrame:
     """Weighted sum over prefix dims of the mean softmax cross-entropy.

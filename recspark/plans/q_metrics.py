@@ -87,10 +87,7 @@ def q_cls(spark, sf):
 SELECT round(a.auc, 6) AS auc_model, round(ab.auc, 6) AS auc_base,
        round((a.auc - 0.5) / (ab.auc - 0.5) - 1, 6) AS rela_impr FROM a, ab""")
 def q_rela(spark, sf):
-    ev = _events(spark, sf)
-    am = M.auc(ev, "y", "score").select(F.col("auc").alias("auc_model"))
-    ab = M.auc(ev, "y", "base_score").select(F.col("auc").alias("auc_base"))
-    j = am.crossJoin(F.broadcast(ab))  # two one-row frames
+    j = M.rela_impr_table(_events(spark, sf), "y", "score", "base_score")
     return j.select(F.round("auc_model", 6).alias("auc_model"), F.round("auc_base", 6).alias("auc_base"),
                     F.round(M.rela_impr(F.col("auc_model"), F.col("auc_base")), 6).alias("rela_impr"))
 
