@@ -21,6 +21,7 @@ from recspark.functions import scalars as S
 from recspark.functions.hashing import list_hash, str_hash
 from recspark.operators.base import Estimator, Model, Stateless
 from recspark.operators.joins import bounded_broadcast
+from recspark.operators.quantiles import exact_modes, exact_quantiles
 from recspark.operators.ranking import dense_codes
 from recspark.session import cut_lineage
 
@@ -49,7 +50,12 @@ class FillSpec:
 
 
 class MissingValueFiller(Estimator):
-    """E1 (+A5): per-column fill by statistic or literal; one aggregate for all stats."""
+    """E1 (+A5): per-column fill by statistic or literal.
+
+    Means come from one aggregate; exact medians and modes from the
+    distributed counting in ``quantiles`` (``approx_median`` switches the
+    medians to ``percentile_approx``).
+    """
 
     def __init__(self, specs: list[FillSpec], default_fill_value: str = "UNKNOWN",
                  approx_median: bool = False, strict: bool = False):
@@ -57,7 +63,7 @@ class MissingValueFiller(Estimator):
         self.approx, self.strict = approx_median, strict
 
     def fit(self, df: DataFrame) -> "FillModel":
-        aggs, values = [], {}
+        aggs, values, medians, modes = [], {}, [], []
         for s in self.specs:
             if s.col not in df.columns:
                 _present(df, [s.col], self.strict)
@@ -68,10 +74,12 @@ class MissingValueFiller(Estimator):
             elif s.strategy == "mean":
                 aggs.append(F.avg(c).alias(s.col))
             elif s.strategy == "median":
-                med = F.percentile_approx(c, 0.5, 10000) if self.approx else F.median(c)
-                aggs.append(med.alias(s.col))
+                if self.approx:
+                    aggs.append(F.percentile_approx(c, 0.5, 10000).alias(s.col))
+                else:
+                    medians.append(s.col)
             elif s.strategy == "mode":
-                aggs.append(F.mode(c, deterministic=True).alias(s.col))
+                modes.append(s.col)
             elif s.strategy == "zero":
                 values[s.col] = 0
             elif s.strategy in ("none", "skip"):
@@ -84,6 +92,11 @@ class MissingValueFiller(Estimator):
         if aggs:
             row = df.agg(*aggs).first().asDict()
             values.update({k: v for k, v in row.items() if v is not None})
+        # exact median / mode by distributed counting (no single-task value map)
+        for c, q in exact_quantiles(df, medians, [0.5]).items():
+            if q is not None:
+                values[c] = q[0]
+        values.update({c: v for c, v in exact_modes(df, modes).items() if v is not None})
         return FillModel({"values": values})
 
 
@@ -385,11 +398,19 @@ class NumericalBinner(Estimator):
         aggs = [F.count(F.lit(1)).alias("rows")]
         for i, c in enumerate(cols):
             x = F.col(c).cast("double")
-            aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"),
-                     (F.percentile_approx(x, 0.5, 10000) if self.approx else F.median(x)).alias(f"med{i}")]
-            if self.strategy == "quantile":
-                aggs.append(pct(x).alias(f"q{i}"))
+            aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}")]
+            if self.approx:
+                aggs.append(F.percentile_approx(x, 0.5, 10000).alias(f"med{i}"))
+                if self.strategy == "quantile":
+                    aggs.append(pct(x).alias(f"q{i}"))
         row = df.agg(*aggs).first().asDict() if cols else {}
+        if not self.approx:  # exact, by distributed counting
+            wanted = [0.5] + (probs if self.strategy == "quantile" else [])
+            qs = exact_quantiles(df, cols, wanted)
+            for i, c in enumerate(cols):
+                if qs.get(c) is not None:
+                    row[f"med{i}"] = qs[c][0]
+                    row[f"q{i}"] = qs[c][1:]
         state, with_nulls = {}, []
         for i, c in enumerate(cols):
             if row[f"n{i}"] == 0:
@@ -405,7 +426,10 @@ class NumericalBinner(Estimator):
             # quantiles are taken over the median-filled column, as the reference does
             filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(state[c]["median"])).alias(c)
                                  for c in with_nulls])
-            r2 = filled.agg(*[pct(F.col(c)).alias(c) for c in with_nulls]).first().asDict()
+            if self.approx:
+                r2 = filled.agg(*[pct(F.col(c)).alias(c) for c in with_nulls]).first().asDict()
+            else:
+                r2 = exact_quantiles(filled, with_nulls, probs)
             for c in with_nulls:
                 state[c]["edges"] = quantile_edges(r2[c])
         return BinModel({"bins": state, "suffix": self.suffix})
@@ -432,9 +456,13 @@ class MinMaxNormalizer(Estimator):
         aggs = []
         for i, c in enumerate(cols):
             x = F.col(c).cast("double")
-            med = F.percentile_approx(x, 0.5, 10000) if self.approx else F.median(x)
-            aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"), med.alias(f"md{i}")]
+            aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}")]
+            if self.approx:
+                aggs.append(F.percentile_approx(x, 0.5, 10000).alias(f"md{i}"))
         row = df.agg(*aggs).first().asDict() if aggs else {}
+        if not self.approx:
+            med = exact_quantiles(df, cols, [0.5])
+            row.update({f"md{i}": (med[c][0] if med.get(c) else None) for i, c in enumerate(cols)})
         return _MinMaxModel({"stats": {c: [row[f"mn{i}"], row[f"mx{i}"], row[f"md{i}"]]
                                        for i, c in enumerate(cols)}, "suffix": self.suffix})
 

@@ -114,3 +114,43 @@ def test_fill_mode_and_literal(spark):
     out = m.transform(df).collect()
     assert [r.n for r in out] == [1, 2, 2, 1, 1]  # tie between 1 and 2 -> smallest
     assert [r.s for r in out] == ["a", "UNKNOWN", "b", "UNKNOWN", "UNKNOWN"]
+
+
+def test_exact_quantiles_and_modes_match_numpy(spark):
+    import random
+
+    import numpy as np
+
+    from recspark.operators.quantiles import exact_modes, exact_quantiles
+    rnd = random.Random(11)
+    a = [float(rnd.randint(0, 30)) for _ in range(997)]          # heavy ties
+    b = [rnd.random() if rnd.random() > .1 else None for _ in range(997)]  # nulls
+    df = spark.createDataFrame(list(zip(a, b)), "a double, b double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = exact_quantiles(df, ["a", "b"], probs, buckets=7)
+    np.testing.assert_allclose(got["a"], np.quantile(a, probs), rtol=0, atol=1e-12)
+    np.testing.assert_allclose(got["b"], np.quantile([x for x in b if x is not None], probs), rtol=0, atol=1e-12)
+    m = exact_modes(df.withColumn("s", F.col("a").cast("int").cast("string")), ["a", "s"])
+    counts = {}
+    for x in a:
+        counts[x] = counts.get(x, 0) + 1
+    best = min(counts, key=lambda v: (-counts[v], v))
+    assert m["a"] == best
+    scounts = {}
+    for x in a:
+        scounts[str(int(x))] = scounts.get(str(int(x)), 0) + 1
+    assert m["s"] == min(scounts, key=lambda v: (-scounts[v], v))
+
+
+def test_distributed_and_builtin_quantiles_agree(spark):
+    import random
+
+    from recspark.operators.quantiles import exact_modes, exact_quantiles
+    rnd = random.Random(4)
+    df = spark.createDataFrame([(rnd.random() * 100, rnd.randint(0, 9)) for _ in range(500)], "x double, k long")
+    probs = [0.0, 0.3, 0.5, 0.77, 1.0]
+    small = exact_quantiles(df, ["x", "k"], probs)
+    large = exact_quantiles(df, ["x", "k"], probs, buckets=5, small_distinct=0)
+    for c in ("x", "k"):
+        assert small[c] == pytest.approx(large[c], abs=1e-12)
+    assert exact_modes(df, ["k"]) == exact_modes(df, ["k"], small_distinct=0)
