@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recspark.operators.quantiles import exact_quantiles
+
 
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """``(column, value, count)`` for every listed column (one unpivot, one grouping)."""
@@ -27,13 +29,19 @@ def numeric_profile(df: DataFrame, cols: list[str], probs: list[float] | None =
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        pct = F.percentile_approx(x, probs, 10000) if approx else F.percentile(x, F.lit(probs))
-        aggs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"),
-                             F.sum(x.isNull().cast("long")).alias("nulls"), F.min(x).alias("min"),
-                             F.max(x).alias("max"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"),
-                             pct.alias("percentiles")).alias(f"c{i}"))
+        parts = [F.lit(c).alias("column"), F.count(x).alias("count"), F.sum(x.isNull().cast("long")).alias("nulls"),
+                 F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std")]
+        if approx:
+            parts.append(F.percentile_approx(x, probs, 10000).alias("percentiles"))
+        aggs.append(F.struct(*parts).alias(f"c{i}"))
     row = df.agg(*aggs)
-    return row.select(F.explode(F.array(*[F.col(f"c{i}") for i in range(len(cols))])).alias("p")).select("p.*")
+    prof = row.select(F.explode(F.array(*[F.col(f"c{i}") for i in range(len(cols))])).alias("p")).select("p.*")
+    if approx:
+        return prof
+    # exact percentiles without a single-task value map (see ``quantiles``); one row per column
+    qs = exact_quantiles(df, cols, probs)
+    pct = df.sparkSession.createDataFrame([(c, qs[c]) for c in cols], "column string, percentiles array<double>")
+    return prof.join(F.broadcast(pct), "column")
 
 
 def all_null_columns(df: DataFrame, cols: list[str]) -> DataFrame:
