@@ -164,9 +164,55 @@ def greedy_mmr(pdf: pd.DataFrame, k: int, lam: float, fields: list[str], mode: s
     return out
 
 
+def _sim_columns(fields: list[str], list_fields: set[str], mode: str, other: str) -> Column:
+    """Similarity of every candidate to the picked row whose fields carry the prefix ``other``."""
+    if mode == "relevance":
+        return item_similarity([(F.col(f), F.col(other + f), f in list_fields) for f in fields])
+    a, t = fields[0], fields[1]
+    return author_topic_similarity(F.col(a), F.col(t), F.col(other + a), F.col(other + t))
+
+
+def mmr_iterative(cands: DataFrame, k: int, lam: float, fields: list[str], mode: str,
+                  request_col: str = "request_id", item_col: str = "item_id",
+                  checkpoint_every: int = 4) -> DataFrame:
+    """The greedy loop as ``k`` rounds of DataFrame operations (for hot requests).
+
+    Each round takes the best unpicked candidate per request with ``min_by``
+    over ``(-mmr, pos)`` - a partial aggregate, so a request with millions of
+    candidates is spread over many tasks - then updates every candidate's
+    running maximum similarity against the pick (the picks are one row per
+    request and broadcast).  Lineage is cut with a reliable checkpoint every
+    ``checkpoint_every`` rounds.  Same tie rules and float order as the pandas
+    path.
+    """
+    from recspark.session import cut_lineage
+    list_fields = {f for f in fields if isinstance(cands.schema[f].dataType, T.ArrayType)}
+    cur = cands.withColumn("_ms", F.lit(0.0)).withColumn("_rank", F.lit(None).cast("int"))
+    for t in range(1, k + 1):
+        alive = F.col("_rank").isNull()
+        if mode == "relevance":
+            mmr = F.col("score") if t == 1 else F.lit(lam) * F.col("score") - F.lit(1 - lam) * F.col("_ms")
+        else:
+            div = F.lit(1.0) if t == 1 else F.lit(1.0) - F.col("_ms")
+            mmr = F.lit(lam) * div + F.lit(1 - lam) * F.col("score")
+        best = (cur.where(alive).withColumn("_mmr", mmr).groupBy(request_col)
+                .agg(F.min_by(item_col, F.struct((-F.col("_mmr")).alias("a"), F.col("pos").alias("b"))).alias("_pick")))
+        picked = (cur.join(best, request_col).where(F.col(item_col) == F.col("_pick"))
+                  .select(request_col, *[F.col(f).alias("_p_" + f) for f in fields], F.col(item_col).alias("_pick")))
+        j = cur.join(F.broadcast(picked), request_col, "left")
+        sim = _sim_columns(fields, list_fields, mode, "_p_")
+        cur = j.select(*cands.columns,
+                       F.when(F.col("_pick").isNotNull() & alive, F.greatest(F.col("_ms"), sim))
+                       .otherwise(F.col("_ms")).alias("_ms"),
+                       F.when(F.col(item_col) == F.col("_pick"), F.lit(t)).otherwise(F.col("_rank")).alias("_rank"))
+        if t % checkpoint_every == 0 and t < k:
+            cur = cut_lineage(cur)
+    return cur.where(F.col("_rank").isNotNull()).withColumnRenamed("_rank", "mmr_rank").drop("_ms")
+
+
 def mmr_rerank(cands: DataFrame, k: int, lam: float, fields: list[str], mode: str = "relevance",
                request_col: str = "request_id", item_col: str = "item_id", trim: bool = True,
-               requests_per_task: int = 2000) -> DataFrame:
+               requests_per_task: int = 2000, max_pool: int = 100_000) -> DataFrame:
     """K3 (``mode='relevance'``: ``lam*score - (1-lam)*max_sim``, K1 similarity) and
     K4 (``mode='diversity'``: ``lam*(1-max_sim) + (1-lam)*score``, K2 similarity).
 
@@ -176,7 +222,9 @@ def mmr_rerank(cands: DataFrame, k: int, lam: float, fields: list[str], mode: st
     Requests are packed into hash buckets of about ``requests_per_task``
     requests (the bucket count is an approximate distinct count evaluated as a
     scalar subquery), so one pandas call serves many small requests; a request
-    never spans buckets.
+    never spans buckets.  Requests whose (trimmed) pool exceeds ``max_pool``
+    rows are found by a bounded count and go through ``mmr_iterative``
+    instead, so no single pandas call ever holds an unbounded pool.
     """
     check_params(lam, fields, mode)
     list_fields = {f for f in fields if isinstance(cands.schema[f].dataType, T.ArrayType)}
@@ -192,6 +240,20 @@ def mmr_rerank(cands: DataFrame, k: int, lam: float, fields: list[str], mode: st
             Window.partitionBy(request_col).orderBy(F.col("score").desc(), "pos")))
             .where(F.col("_rn") <= k).groupBy(request_col).agg(F.min("score").alias("_kth")))
         c = c.join(kth, request_col).where(F.col("score") >= F.col("_kth") - F.lit(margin)).drop("_kth")
+    # the trimmed pool is read twice (pool-size check, rerank): materialise it once
+    from recspark.session import cut_lineage
+    c = cut_lineage(c)
+    hot = (c.groupBy(request_col).agg(F.count(F.lit(1)).alias("_pool"))
+           .where(F.col("_pool") > max_pool).select(request_col))
+    n_hot = hot.limit(10_001).count()
+    if n_hot > 0:
+        keys = F.broadcast(hot) if n_hot <= 10_000 else hot
+        big = c.join(keys, request_col, "left_semi")
+        rest = c.join(keys, request_col, "left_anti")
+        out_big = mmr_iterative(big, k, lam, fields, mode, request_col, item_col)
+        out_rest = mmr_rerank(rest, k, lam, fields, mode, request_col, item_col, trim=False,
+                              requests_per_task=requests_per_task, max_pool=1 << 62)
+        return out_rest.unionByName(out_big.select(*out_rest.columns))
     # bucket count as a scalar subquery of the same plan (no separate eager job)
     n_req = c.agg(F.approx_count_distinct(request_col)).scalar()
     buckets = F.greatest(F.lit(1).cast("long"), F.ceil(n_req / F.lit(float(requests_per_task))).cast("long"))

@@ -85,3 +85,20 @@ def test_merge_routes(spark):
     m = RC.merge_routes([a, t]).orderBy("merged_rank").collect()
     assert [r.item_id for r in m] == ["x", "z", "y", "w"]
     assert [round(r.score, 6) for r in m] == [10.0, 6.666667, 5.0, 3.333333]
+
+
+@pytest.mark.parametrize("mode,fields,lam", [("relevance", ["author", "topic", "stock"], 0.5),
+                                             ("diversity", ["author", "topic"], 0.7),
+                                             ("relevance", ["author", "topic", "stock"], 0.05)])
+def test_hot_request_path_matches_pandas(spark, mode, fields, lam):
+    import random
+    rnd = random.Random(9)
+    rows = [(r, i, round(rnd.random() * 2, 2), rnd.choice("ABC"), rnd.choice("XY"), [rnd.choice("pqr")], i)
+            for r in range(6) for i in range(15 + r)]
+    df = spark.createDataFrame(rows, "request_id long, item_id long, score double, author string, topic string, "
+                                     "stock array<string>, pos int")
+    key = lambda d: sorted((r.request_id, r.item_id, r.mmr_rank) for r in d.collect())
+    normal = RR.mmr_rerank(df, 5, lam, fields, mode=mode)
+    hot = RR.mmr_rerank(df, 5, lam, fields, mode=mode, max_pool=16)   # some requests hot, some not
+    allhot = RR.mmr_iterative(df, 5, lam, fields, mode)
+    assert key(normal) == key(hot) == key(allhot)
