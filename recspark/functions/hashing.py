@@ -20,6 +20,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recspark.fixed import DEFAULT_HASH_SEED, NULL_TOKEN
+
 try:  # optional accelerator
     from xxhash import xxh32 as _xxh32_lib
 except ImportError:  # pragma: no cover
@@ -63,7 +65,7 @@ def xxh32_py(data: bytes, seed: int = 0) -> int:
     return h
 
 
-def xxh32_int(text: str, seed: int = 1024) -> int:
+def xxh32_int(text: str, seed: int = DEFAULT_HASH_SEED) -> int:
     if _xxh32_lib is not None:
         return _xxh32_lib(text, seed).intdigest()
     return xxh32_py(text.encode("utf-8"), seed)
@@ -98,14 +100,14 @@ def _native_bucket(s: Column, n: int, method: str) -> Column:
     raise ValueError(f"unknown hash method {method!r}")
 
 
-def as_text(c: Column, null_token: str | None = "nan") -> Column:
+def as_text(c: Column, null_token: str | None = NULL_TOKEN) -> Column:
     """Canonical text of a value: ``cast(string)``, null -> ``null_token``."""
     s = c.cast("string")
     return s if null_token is None else F.coalesce(s, F.lit(null_token))
 
 
-def str_hash(c: Column | str, n: int, method: str = "xxh32", seed: int = 1024,
-             null_token: str | None = "nan") -> Column:
+def str_hash(c: Column | str, n: int, method: str = "xxh32", seed: int = DEFAULT_HASH_SEED,
+             null_token: str | None = NULL_TOKEN) -> Column:
     """bucket of the value's text in ``[0, n)``."""
     s = as_text(F.col(c) if isinstance(c, str) else c, null_token)
     if method == "xxh32":
@@ -113,7 +115,7 @@ def str_hash(c: Column | str, n: int, method: str = "xxh32", seed: int = 1024,
     return _native_bucket(s, n, method)
 
 
-def list_hash(c: Column | str, n: int, method: str = "xxh32", seed: int = 1024) -> Column:
+def list_hash(c: Column | str, n: int, method: str = "xxh32", seed: int = DEFAULT_HASH_SEED) -> Column:
     """bucket every element of an ``array<string>``."""
     col = F.col(c) if isinstance(c, str) else c
     if method == "xxh32":

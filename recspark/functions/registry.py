@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from recspark.fixed import DEFAULT_HASH_SEED
 from recspark.functions import scalars as S
 from recspark.functions.hashing import list_hash, str_hash
 
@@ -50,9 +51,9 @@ def apply_ops(col: Column | str, ops: list) -> Column:
     return c
 
 
-# The op names and parameter names below are fixed by the config format.
-register_op("str_hash", lambda c, num_embeddings, seed=1024, method="xxh32": str_hash(c, num_embeddings, method, seed))
-register_op("list_hash", lambda c, num_embeddings, seed=1024, method="xxh32": list_hash(c, num_embeddings, method, seed))
+# Op names and parameter names follow the config format (see ``recspark.fixed.OP_NAMES``).
+register_op("str_hash", lambda c, num_embeddings, seed=DEFAULT_HASH_SEED, method="xxh32": str_hash(c, num_embeddings, method, seed))
+register_op("list_hash", lambda c, num_embeddings, seed=DEFAULT_HASH_SEED, method="xxh32": list_hash(c, num_embeddings, method, seed))
 register_op("str_to_list", lambda c, sep: S.str_to_list(c, str(sep)))
 register_op("list_str_split", lambda c, sep: S.list_str_split(c, str(sep)))
 register_op("padding", lambda c, max_len, padding_value: S.padding(c, int(max_len), padding_value))

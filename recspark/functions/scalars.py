@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from recspark.fixed import NULL_TOKEN
 from recspark.functions.hashing import list_hash, str_hash  # noqa: F401  (re-export F1, F4)
 
 
@@ -124,7 +125,7 @@ def sentinel_to_null(c, sentinel=-1) -> Column:
     return F.nullif(_c(c), F.lit(sentinel))
 
 
-def cross_string(cols: Sequence, null_token: str = "nan", sep: str = "_") -> Column:
+def cross_string(cols: Sequence, null_token: str = NULL_TOKEN, sep: str = "_") -> Column:
     """``a_b_c`` of the columns' texts, null -> ``null_token``."""
     return F.concat_ws(sep, *[F.coalesce(_c(c).cast("string"), F.lit(null_token)) for c in cols])
 

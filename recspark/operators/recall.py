@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recspark.fixed import ROUTE_SCORE_SCALE
 from recspark.operators.swing import top_k_per_key
 
 
@@ -63,7 +64,7 @@ def merge_routes(routes: list[DataFrame], request_col: str = "request_id", item_
         Window.partitionBy(request_col, "_prio")).cast("int"))
     first = allr.withColumn("_first", F.row_number().over(
         Window.partitionBy(request_col, item_col).orderBy("_prio", "pos"))).where(F.col("_first") == 1)
-    scored = first.withColumn("score", (F.lit(1.0) - F.col("pos") / F.col("route_len")) * 10.0)
+    scored = first.withColumn("score", (F.lit(1.0) - F.col("pos") / F.col("route_len")) * F.lit(ROUTE_SCORE_SCALE))
     ranked = scored.withColumn("merged_rank", F.row_number().over(
         Window.partitionBy(request_col).orderBy(F.col("score").desc(), "_prio", "pos")))
     return ranked.select(request_col, item_col, "route", "pos", "route_len", "score", "merged_rank")

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recspark.fixed import DEFAULT_FILL_VALUE, DEFAULT_HASH_SEED, SUFFIX_BIN, SUFFIX_CROSS, SUFFIX_ENCODED
 from recspark.functions import scalars as S
 from recspark.functions.hashing import list_hash, str_hash
 from recspark.operators.base import Estimator, Model, Stateless
@@ -57,7 +58,7 @@ class MissingValueFiller(Estimator):
     medians to ``percentile_approx``).
     """
 
-    def __init__(self, specs: list[FillSpec], default_fill_value: str = "UNKNOWN",
+    def __init__(self, specs: list[FillSpec], default_fill_value: str = DEFAULT_FILL_VALUE,
                  approx_median: bool = False, strict: bool = False):
         self.specs, self.default = specs, default_fill_value
         self.approx, self.strict = approx_median, strict
@@ -192,7 +193,7 @@ class LogTransformer(Stateless):
 class HashTransformer(Stateless):
     """``col_out = bucket(text(col_in))`` in ``[0, n)``."""
 
-    def __init__(self, specs: list[tuple[str, str, int]], method: str = "xxh32", seed: int = 1024):
+    def __init__(self, specs: list[tuple[str, str, int]], method: str = "xxh32", seed: int = DEFAULT_HASH_SEED):
         super().__init__()
         self.specs, self.method, self.seed = specs, method, seed
 
@@ -220,7 +221,7 @@ class CategoricalEncoder(Estimator):
     encodes their text.  Output column: ``col + suffix``.
     """
 
-    def __init__(self, cols: list[str], suffix: str = "_encoded", unseen: str = "zero",
+    def __init__(self, cols: list[str], suffix: str = SUFFIX_ENCODED, unseen: str = "zero",
                  numeric: str = "pass", outputs: dict[str, str] | None = None, strict: bool = False):
         self.cols, self.suffix, self.unseen, self.numeric = cols, suffix, unseen, numeric
         self.outputs, self.strict = outputs or {}, strict
@@ -284,10 +285,10 @@ class CrossFeatureCreator(Estimator):
         self.crosses, self.unseen, self.keep_string = crosses, unseen, keep_string
 
     def _with_strings(self, df):
-        return df.withColumns({"_".join(c) + "_cross_str": S.cross_string(c) for c in self.crosses})
+        return df.withColumns({"_".join(c) + SUFFIX_CROSS + "_str": S.cross_string(c) for c in self.crosses})
 
     def fit(self, df):
-        names = ["_".join(c) + "_cross_str" for c in self.crosses]
+        names = ["_".join(c) + SUFFIX_CROSS + "_str" for c in self.crosses]
         enc = CategoricalEncoder(names, numeric="cast", unseen=self.unseen,
                                  outputs={n: n[:-4] for n in names}).fit(self._with_strings(df))
         return _CrossModel({"crosses": self.crosses, "keep": self.keep_string}, enc)
@@ -299,7 +300,7 @@ class _CrossModel(Model):
         self.enc = enc
 
     def transform(self, df):
-        names = ["_".join(c) + "_cross_str" for c in self.state["crosses"]]
+        names = ["_".join(c) + SUFFIX_CROSS + "_str" for c in self.state["crosses"]]
         out = self.enc.transform(df.withColumns({n: S.cross_string(c)
                                                  for n, c in zip(names, self.state["crosses"])}))
         return out if self.state["keep"] else out.drop(*names)
@@ -384,7 +385,7 @@ class NumericalBinner(Estimator):
     """
 
     def __init__(self, cols: list[str], num_bins: int = 10, strategy: str = "quantile",
-                 approx: bool = False, suffix: str = "_bin", strict: bool = False):
+                 approx: bool = False, suffix: str = SUFFIX_BIN, strict: bool = False):
         if strategy not in ("quantile", "width"):
             raise ValueError("strategy must be 'quantile' or 'width'")
         self.cols, self.n, self.strategy, self.approx, self.suffix = cols, num_bins, strategy, approx, suffix

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recspark.fixed import (CLEANER_EXTRA_COLUMNS, DEFAULT_FILL_VALUE, FN_BOOL, FN_HASH, FN_LABEL, FN_LOG, FN_MULTI,
+                            FN_TIME)
 from recspark.functions.registry import apply_ops
 from recspark.operators import transformers as TR
 from recspark.operators.base import Estimator, Model, Stateless
@@ -62,7 +64,7 @@ class ColumnCleaner(Stateless):
     """Drop source columns that were not regenerated, plus helper columns."""
 
     def __init__(self, original: list[str], generated: list[str],
-                 extra: tuple[str, ...] = ("datetime", "timestamp_s"), keep: list[str] | None = None):
+                 extra: tuple[str, ...] = CLEANER_EXTRA_COLUMNS, keep: list[str] | None = None):
         super().__init__()
         self.original, self.generated, self.extra = original, set(generated), extra
         self.keep = set(keep or [])
@@ -105,7 +107,7 @@ def pipeline_from_processor_spec(spec: dict, hash_method: str | None = None,
     if na.get("enabled", True):
         for f in na.get("features", []) or []:
             fills.append(TR.FillSpec(f["feature_name"], f.get("strategy"), f.get("fill_value")))
-    default_fill = na.get("default_fill_value", "UNKNOWN")
+    default_fill = na.get("default_fill_value", DEFAULT_FILL_VALUE)
     time_specs, bools, logs, labels, label_out, multis, hashes = [], [], [], [], {}, [], []
     originals, generated = [], []
     for feat in spec.get("feature_processing", []) or []:
@@ -114,23 +116,23 @@ def pipeline_from_processor_spec(spec: dict, hash_method: str | None = None,
             cin, cout = step["col_in"], step.get("col_out") or step["col_in"]
             originals.append(cin)
             generated.append(cout)
-            if fn == "TimeFeatureExtractTransform":
+            if fn == FN_TIME:
                 time_specs.append(TR.TimeSpec(cin, cout, p.get("unit", "ms"), p.get("feature", "hour"),
                                               p.get("format", "%Y%m%d")))
-            elif fn == "BooleanTransform":
+            elif fn == FN_BOOL:
                 bools.append(cin)
-            elif fn == "LogTransform":
+            elif fn == FN_LOG:
                 logs.append((cin, cout))
-            elif fn == "LabelEncodeTransform":
+            elif fn == FN_LABEL:
                 labels.append(cin)
                 label_out[cin] = cout
-            elif fn == "MultiValueTransform":
+            elif fn == FN_MULTI:
                 multis.append(TR.MultiValueSpec(cin, cout, str(p.get("sep", ",")), int(p.get("max_len", 10)),
                                                 int(p.get("vocabulary_size", 1_000_000)),
                                                 p.get("padding_value", 0),
                                                 p.get("ops", ["split", "hash", "pad"]),
                                                 hash_method or p.get("hash_method", "xxh32")))
-            elif fn == "HashTransform":
+            elif fn == FN_HASH:
                 hashes.append((cin, cout, int(p.get("vocabulary_size", 1_000_000)),
                                hash_method or p.get("hash_method", "xxh32")))
             else:

@@ -19,6 +19,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recspark.fixed import FN_LOG
+
 try:
     import yaml
 except ImportError:  # pragma: no cover
@@ -86,7 +88,7 @@ def spec_summary(spark: SparkSession, spec: dict, emb_dim: int = 8) -> DataFrame
         for f in spec["feature_processing"]:
             for step in f.get("feature_process", []) or []:
                 kind = f.get("feature_type", "sparse")
-                dense = step.get("function_name") == "LogTransform" or kind == "dense"
+                dense = step.get("function_name") == FN_LOG or kind == "dense"
                 vocab = int((step.get("function_parameters") or {}).get("vocabulary_size") or 0)
                 rows.append((step.get("col_out") or step.get("col_in"), "dense" if dense else "sparse",
                              f.get("feature_side", "context"), vocab, 1 if dense else emb_dim))
