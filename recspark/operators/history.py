@@ -6,11 +6,17 @@ right-padded to ``max_len``.
 
 A plain ``collect_list`` over ``partitionBy(user)`` would put a hot user -
 possibly a third of the log - into one window task.  Here the window is
-partitioned by ``(user, time bucket)`` instead; what a bucket needs from
-earlier buckets is only their last ``max_len`` items, gathered per bucket
+partitioned by ``(user, bucket)`` instead; what a bucket needs from earlier
+buckets is only their last ``max_len`` items, gathered per bucket
 (``<= max_len`` rows each) and passed forward with a second window over the
 one-row-per-bucket table, whose frame covers the previous ``max_len``
 non-empty buckets (enough, since each holds at least one item).
+
+Buckets: ``bucket="range"`` (default) uses the range partitions of
+``(user, ts, tie)`` - sized by Spark's sampling, so every bucket is bounded
+whatever the skew; the partition ids are fixed by a reliable checkpoint.  A
+time unit (``"day"``, ``"hour"``, ...) buckets by ``date_trunc`` instead (no
+extra job, but one user-day stays one task).
 """
 
 from __future__ import annotations
@@ -26,10 +32,16 @@ def _last(arr: Column, n: int) -> Column:
 
 
 def build_history(df: DataFrame, user: str, item: str, ts: str, tie: list[str], max_len: int,
-                  bucket: str = "day", pad_value=None, out: str = "history") -> DataFrame:
+                  bucket: str = "range", pad_value=None, out: str = "history",
+                  partitions: int | None = None) -> DataFrame:
     """Add ``out`` (array, oldest first), ``out_len`` and, with ``pad_value``, ``out_padded``."""
     order = [F.col(ts), *[F.col(t) for t in tie]]
-    e = df.withColumn("_b", F.date_trunc(bucket, F.col(ts)))
+    if bucket == "range":
+        from recspark.session import cut_lineage
+        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        e = cut_lineage(df.repartitionByRange(n, F.col(user), *order).withColumn("_b", F.spark_partition_id()))
+    else:
+        e = df.withColumn("_b", F.date_trunc(bucket, F.col(ts)))
     within = F.collect_list(item).over(
         Window.partitionBy(user, "_b").orderBy(*order).rowsBetween(-max_len, -1))
     e = e.withColumn("_within", within)

@@ -39,3 +39,15 @@ def test_entry_and_registry(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_range_buckets_match_plain_window_with_a_hot_user(spark):
+    rnd = random.Random(8)
+    # user 0 holds half of the rows, all on one day
+    rows = [(0 if i % 2 == 0 else rnd.randint(1, 5), rnd.randint(0, 40), f"2024-01-01 {rnd.randint(0, 23):02d}:00:00", i)
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "u long, item long, ts string, id long").withColumn("ts", F.to_timestamp("ts"))
+    got = build_history(df, "u", "item", "ts", ["id"], 5, bucket="range", partitions=7)
+    want = df.withColumn("history", F.collect_list("item").over(
+        Window.partitionBy("u").orderBy("ts", "id").rowsBetween(-5, -1)))
+    assert {r.id: r.history for r in got.collect()} == {r.id: r.history for r in want.collect()}
