@@ -104,11 +104,11 @@ def run_to_table(agg: DataFrame, mode: str, keys: list[str] | None = None) -> Da
     out, ckpt = _scratch(spark, "sink"), _scratch(spark, "ckpt")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn("_batch", F.lit(batch_id))
+        # idempotent: a retried micro-batch overwrites its own folder (foreachBatch is at-least-once)
         if mode == "complete":
-            b.write.mode("overwrite").parquet(out)
+            batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(out)
         else:
-            b.write.mode("append").parquet(out)
+            batch.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
 
     q = (agg.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
@@ -118,7 +118,7 @@ def run_to_table(agg: DataFrame, mode: str, keys: list[str] | None = None) -> Da
     except Exception:  # noqa: BLE001 - no batch produced any row
         return spark.createDataFrame([], agg.schema)
     if mode == "update" and keys:
-        w = Window.partitionBy(*keys).orderBy(F.col("_batch").desc())
+        w = Window.partitionBy(*keys).orderBy(F.col("_batch").cast("long").desc())
         res = res.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
     return res.drop("_batch")
 
@@ -132,14 +132,15 @@ def running_metrics(stream: DataFrame, label: str, pred: str) -> DataFrame:
     y = (F.col(label).cast("double") == 1.0).cast("double")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        # one folder per micro-batch, overwritten on retry (idempotent)
         batch.agg(F.count(F.lit(1)).alias("rows"),
                   F.sum(((F.col(pred) > 0.5).cast("double") == y).cast("double")).alias("correct"),
                   F.sum(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("ll_sum")) \
-            .withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(out)
+            .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     q = stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
-    per = spark.read.parquet(out)
+    per = spark.read.parquet(out).withColumn("batch", F.col("batch").cast("long"))
     run = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)  # one row per batch: tiny
     return per.select("batch", "rows", (F.col("correct") / F.col("rows")).alias("accuracy"),
                       (F.col("ll_sum") / F.col("rows")).alias("logloss"),
