@@ -7,7 +7,7 @@ rows).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.functions.hashing import hex_prefix_bucket
@@ -34,7 +34,7 @@ def negative_samples(pos: DataFrame, items: DataFrame, n: int = 2, seed: int = 7
                      item: str = "item_id", max_tries: int = 4) -> DataFrame:
     """Pair every positive ``(user, item)`` with up to ``n`` other items.
 
-    Candidates are picked by a hash of ``(user, item, draw, seed)`` into a
+    Candidates are picked by an md5 hash of ``(user, item, draw, seed)`` into a
     dense numbering of the items (an equi-join on that number - no cartesian
     product), and known positives are removed with a ``left_anti`` join.
     ``max_tries * n`` draws are made and the first ``n`` survivors kept, so a
@@ -45,11 +45,13 @@ def negative_samples(pos: DataFrame, items: DataFrame, n: int = 2, seed: int = 7
     cat = dense_codes(items.select(F.col(item).alias("_neg")).distinct(), [], [F.col("_neg")], out="_slot")
     n_items = cat.agg(F.count(F.lit(1))).scalar()
     draws = pos.select(user, item).withColumn("_draw", F.explode(F.sequence(F.lit(1), F.lit(n * max_tries))))
-    draws = draws.withColumn("_slot", F.pmod(F.xxhash64(user, item, "_draw", F.lit(seed)), n_items))
+    key = F.concat_ws("|", F.col(user).cast("string"), F.col(item).cast("string"), F.col("_draw").cast("string"),
+                      F.lit(str(seed)))
+    first60 = F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")  # 15 hex digits: always >= 0
+    draws = draws.withColumn("_slot", F.pmod(first60, n_items))
     cand = draws.join(cat, "_slot").where(F.col("_neg") != F.col(item))
     known = pos.select(F.col(user).alias("_u"), F.col(item).alias("_neg"))
     cand = cand.join(known, (cand[user] == known["_u"]) & (cand["_neg"] == known["_neg"]), "left_anti")
-    from pyspark.sql import Window
     w = Window.partitionBy(user, item).orderBy("_draw")
     negs = (cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
             .select(user, F.col("_neg").alias(item), F.lit(0).alias("label")))

@@ -307,7 +307,20 @@ def q_fold(spark, sf):
     return SA.fold_rare(c, ["nation"], 60).select("c_custkey", "nation")
 
 
-@register("E19_negative_samples")
+@register("E19_negative_samples", """
+WITH pos AS (SELECT DISTINCT o.o_custkey AS user_id, l.l_partkey AS item_id
+             FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+cat AS (SELECT p_partkey AS neg, row_number() OVER (ORDER BY p_partkey) - 1 AS slot FROM (SELECT DISTINCT p_partkey FROM part)),
+nc AS (SELECT count(*) AS n FROM cat),
+d AS (SELECT user_id, item_id, draw,
+             (('0x' || substr(md5(CAST(user_id AS VARCHAR) || '|' || CAST(item_id AS VARCHAR) || '|' || CAST(draw AS VARCHAR) || '|7'), 1, 15))::BIGINT
+              ) % (SELECT n FROM nc) AS slot
+      FROM pos, range(1, 9) AS r(draw)),
+c AS (SELECT d.user_id, d.item_id, d.draw, cat.neg FROM d JOIN cat USING (slot) WHERE cat.neg <> d.item_id
+      AND NOT EXISTS (SELECT 1 FROM pos p WHERE p.user_id = d.user_id AND p.item_id = cat.neg)),
+k AS (SELECT user_id, neg FROM c QUALIFY row_number() OVER (PARTITION BY user_id, item_id ORDER BY draw) <= 2)
+SELECT user_id, item_id, 1 AS label FROM pos
+UNION ALL SELECT user_id, neg, 0 FROM k""")
 def q_neg(spark, sf):
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey"])
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey"])
