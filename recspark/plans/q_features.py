@@ -391,3 +391,13 @@ def q_stack(spark, sf):
     d = stacked.withColumn("shard_or_null", F.pmod("o_orderkey", F.lit(7)) - 1)
     d = IO.sentinel_to_null(d, ["shard_or_null"])
     return IO.sample_head(d, 100, ["o_orderkey"]).select("o_orderkey", "o_custkey", "shard_or_null")
+
+
+@register("A9_all_null_columns", "WITH " + _CNULL + """
+SELECT 'acct' AS "column", count(acct) = 0 AS all_null FROM cn
+UNION ALL SELECT 'nation', count(nation) = 0 FROM cn
+UNION ALL SELECT 'seg', count(seg) = 0 FROM cn
+UNION ALL SELECT 'never', count(CASE WHEN acct > 1e12 THEN acct END) = 0 FROM cn""")
+def q_all_null(spark, sf):
+    c = customers_with_nulls(spark, sf).withColumn("never", F.when(F.col("acct") > 1e12, F.col("acct")))
+    return PR.all_null_columns(c, ["acct", "nation", "seg", "never"])
