@@ -63,7 +63,7 @@ SELECT event_id,
   coalesce(isodow(to_timestamp(ms // 1000)), -1) AS ms_dayofweek, coalesce(hour(to_timestamp(ms // 1000)), -1) AS ms_hour,
   month(to_timestamp(sec)) AS s_month, minute(to_timestamp(sec)) AS s_minute,
   isodow(strptime(ymd, '%Y%m%d')) - 1 AS str_weekday0, day(strptime(ymd, '%Y%m%d')) AS str_day,
-  hhmm // 100 AS hm_hour, hhmm % 100 AS hm_minute, 4 AS hm_dayofweek
+  hhmm // 100 AS hm_hour, hhmm % 100 AS hm_minute, CAST(4 AS BIGINT) AS hm_dayofweek
 FROM e""")
 def q_time_features(spark, sf):
     ev = read_table(spark, sf, "events")
@@ -285,7 +285,8 @@ SELECT """ + _md5b("o_custkey", 1000) + """ AS user_id_emb,
   list_transform(list_slice(list_concat(string_split(o_orderpriority, '-'), ['null', 'null', 'null']), 1, 3), lambda t: """
        + _md5b("t", 48) + """) AS priority_emb,
   round(ln(1 + least(greatest(o_totalprice / 500000, 0), 1)), 6) AS price,
-  day(o_orderdate) AS day, isodow(o_orderdate) AS wd, month(o_orderdate) AS month, o_orderkey
+  CAST(day(o_orderdate) AS INTEGER) AS day, CAST(isodow(o_orderdate) AS INTEGER) AS wd,
+  CAST(month(o_orderdate) AS INTEGER) AS month, o_orderkey
 FROM orders""")
 def q_ops(spark, sf):
     o = read_table(spark, sf, "orders")

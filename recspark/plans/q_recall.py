@@ -97,7 +97,7 @@ SELECT request_id, item_id,
   round(((CASE WHEN author = t_author THEN 1.0 ELSE 0.0 END) + (CASE WHEN topic = t_topic THEN 1.0 ELSE 0.0 END) +
    (CASE WHEN len(list_distinct(list_concat(stock, t_stock))) > 0
          THEN len(list_intersect(stock, t_stock)) / len(list_distinct(list_concat(stock, t_stock))) ELSE 0.0 END)) / 3, 6) AS sim_k1,
-  (CASE WHEN author = t_author THEN 0.5 ELSE 0.0 END) + (CASE WHEN topic = t_topic THEN 0.5 ELSE 0.0 END) AS sim_k2
+  CAST((CASE WHEN author = t_author THEN 0.5 ELSE 0.0 END) + (CASE WHEN topic = t_topic THEN 0.5 ELSE 0.0 END) AS DOUBLE) AS sim_k2
 FROM c JOIN top USING (request_id)""")
 def q_sim(spark, sf):
     c = merged_candidates(spark, sf)

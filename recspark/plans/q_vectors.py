@@ -131,8 +131,8 @@ def q_rq_loss(spark, sf):
 
 
 @register("M4_M5_semantic_ids", _RQ_SQL + """,
-ids AS (SELECT vec_id, [codes[1], codes[1] * 10 + codes[2]] AS sid,
-               [codes[1] % 97, (codes[1] * 10 + codes[2]) % 97] AS sid_hashed FROM enc),
+ids AS (SELECT vec_id, CAST([codes[1], codes[1] * 10 + codes[2]] AS BIGINT[]) AS sid,
+               CAST([codes[1] % 97, (codes[1] * 10 + codes[2]) % 97] AS BIGINT[]) AS sid_hashed FROM enc),
 t AS (SELECT vec_id AS idx, list_slice(CAST(embedding AS DOUBLE[]), 1, 4) AS v FROM embeddings)
 SELECT ids.vec_id, sid, sid_hashed,
        list_transform(range(1, 5), lambda d: round(t1.v[d] + t2.v[d], 6)) AS prefix_emb

@@ -38,6 +38,17 @@ def _norm(v):
     return v
 
 
+_SIMPLE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+           "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT", "timestamp": "TIMESTAMP WITH TIME ZONE",
+           "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
+def duck_type(spark_type: str) -> str:
+    if spark_type.startswith("array<") and spark_type.endswith(">"):
+        return duck_type(spark_type[6:-1]) + "[]"
+    return _SIMPLE.get(spark_type, spark_type.upper())
+
+
 def _rows(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
@@ -46,6 +57,7 @@ def _rows(cols, rows):
 def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--types", action="store_true", help="also compare column types")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     reg = load_all()
@@ -80,6 +92,11 @@ def main():
             bad += 1
             continue
         msg = []
+        stypes = {f.name: duck_type(f.dataType.simpleString()) for f in df.schema.fields}
+        dtypes = {d[0]: str(d[1]) for d in res.description}
+        tdiff = {c: (stypes.get(c), dtypes.get(c)) for c in dtypes if stypes.get(c) != dtypes.get(c)}
+        if tdiff and args.types:
+            msg.append(f"types differ {tdiff}")
         if sorted(scols) != sorted(dcols):
             msg.append(f"cols spark={sorted(scols)} duck={sorted(dcols)}")
         if len(srows) != len(drows):
