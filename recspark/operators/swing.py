@@ -159,3 +159,36 @@ def swing(df: DataFrame, days: int | None = None, k: int = 10, ties: str = "rank
     data = time_window_filter(df, days, as_of=as_of) if days is not None else df
     co = swing_cooccurrence(data, hot_user_rows=hot_user_rows)
     return swing_recommend(swing_scores(co, symmetric=symmetric), k=k, ties=ties)
+
+
+def swing_sql(spark, log: DataFrame, k: int = 10, days: int | None = None, prefix: str = "swing") -> DataFrame:
+    """R1-R4 in Spark SQL over temp views - the form of the SQL (CTAS) variant.
+
+    Each step is a temp view (``<prefix>_ui``, ``_cnt``, ``_co``, ``_score``)
+    instead of a materialised table; Catalyst plans the whole chain as one
+    query.  Top-k uses ``ROW_NUMBER`` with ``item2`` as tie-break.  ``log``
+    has ``user_id, item_id`` (and ``ts`` when ``days`` is set).
+    """
+    import uuid
+    p = f"{prefix}_{uuid.uuid4().hex[:8]}"
+    log.createOrReplaceTempView(f"{p}_log")
+    where = (f"WHERE ts >= (SELECT max(ts) FROM {p}_log) - make_interval(0, 0, 0, {int(days)})"
+             if days is not None else "")
+    spark.sql(f"""CREATE OR REPLACE TEMP VIEW {p}_ui AS
+        SELECT DISTINCT user_id, item_id FROM {p}_log {where}
+        {'AND' if where else 'WHERE'} user_id IS NOT NULL AND item_id IS NOT NULL""")
+    spark.sql(f"""CREATE OR REPLACE TEMP VIEW {p}_cnt AS
+        SELECT item_id, COUNT(*) AS n FROM {p}_ui GROUP BY item_id""")
+    spark.sql(f"""CREATE OR REPLACE TEMP VIEW {p}_co AS
+        SELECT a.item_id AS item1, b.item_id AS item2, COUNT(*) AS co
+        FROM {p}_ui a JOIN {p}_ui b ON a.user_id = b.user_id AND a.item_id < b.item_id
+        GROUP BY a.item_id, b.item_id""")
+    spark.sql(f"""CREATE OR REPLACE TEMP VIEW {p}_score AS
+        SELECT co.item1, co.item2, CAST(co.co AS DOUBLE) / (c1.n + c2.n - co.co) AS swing_score
+        FROM {p}_co co JOIN {p}_cnt c1 ON c1.item_id = co.item1 JOIN {p}_cnt c2 ON c2.item_id = co.item2
+        WHERE c1.n + c2.n - co.co > 0""")
+    return spark.sql(f"""
+        SELECT item1, item2, swing_score, rank FROM (
+          SELECT item1, item2, swing_score,
+                 ROW_NUMBER() OVER (PARTITION BY item1 ORDER BY swing_score DESC, item2) AS rank
+          FROM {p}_score) WHERE rank <= {int(k)}""")

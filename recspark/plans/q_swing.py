@@ -102,3 +102,9 @@ def q_window(spark, sf_dir):
                  F.countDistinct("item_id").alias("n_items"),
                  F.date_format(F.min("ts"), "yyyy-MM-dd HH:mm:ss").alias("min_ts"),
                  F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss").alias("max_ts"))
+
+
+@register("R4_swing_sql", _swing_sql("", 5, "row_number", ", item2 ASC"))
+def q_swing_sql(spark, sf_dir):
+    """The SQL form (temp-view chain, ROW_NUMBER) on the same log."""
+    return _out(sw.swing_sql(spark, purchase_log(spark, sf_dir), k=5))

@@ -57,3 +57,10 @@ def test_null_keys_dropped(spark):
     df = spark.createDataFrame([(1, 1), (1, None), (None, 2), (1, 2)], "user_id long, item_id long")
     co = sw.swing_cooccurrence(df).collect()
     assert [(r.item1, r.item2, r.co_occurrence_count) for r in co] == [(1, 2, 1)]
+
+
+def test_sql_form_matches_goldens(spark):
+    got = _rows(sw.swing_sql(spark, _log(spark), k=2))
+    assert got == [(101, 102, 0.6, 1), (101, 103, 0.25, 2), (102, 103, 0.25, 1), (102, 104, 0.25, 2)]
+    assert _rows(sw.swing_sql(spark, _log(spark), k=2, days=3)) == [(101, 102, 1.0, 1)]
+    assert _rows(sw.swing_sql(spark, _log(spark), k=2, days=7)) == [(101, 102, 0.5, 1), (101, 105, 0.5, 2)]
