@@ -233,8 +233,9 @@ class CategoricalEncoder(Estimator):
         outs = {c: self.outputs.get(c, c + self.suffix) for c in cols}
         if not cols:
             return VocabModel({"outputs": {}, "unseen": self.unseen, "sizes": {}}, {})
-        vals = _stack_values(df, cols).distinct()
-        # the vocabulary is fitted state: materialise it once (reliable checkpoint)
+        # distinct values are read twice (size check, numbering): materialise them once
+        vals = cut_lineage(_stack_values(df, cols).distinct())
+        # the vocabulary is fitted state: materialise it too (reliable checkpoint)
         vocab = cut_lineage(dense_codes(vals, ["feature"], [F.col("value").asc()]))
         sizes = {r["feature"]: r["n"] for r in vocab.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
         return VocabModel({"outputs": outs, "unseen": self.unseen, "sizes": sizes}, {"vocab": vocab})
