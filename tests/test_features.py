@@ -154,3 +154,20 @@ def test_distributed_and_builtin_quantiles_agree(spark):
     for c in ("x", "k"):
         assert small[c] == pytest.approx(large[c], abs=1e-12)
     assert exact_modes(df, ["k"]) == exact_modes(df, ["k"], small_distinct=0)
+
+
+def test_more_scalar_edges(spark):
+    from recspark.operators.joins import vocab_lookup
+    df = spark.createDataFrame([("2014-11-18 20", "a:1,2;b:;a:3", " 4, x ,5", [7, 8])],
+                               "t string, props string, csv string, xs array<bigint>")
+    r = df.select(S.get_hour(S.str_to_date("t", "%Y-%m-%d %H")).alias("h"),
+                  S.get_day(S.str_to_date("t", "%Y-%m-%d %H")).alias("d"),
+                  S.property_map("props").alias("m"), S.csv_to_long_list("csv").alias("ints"),
+                  S.padding("xs", 4, 0).alias("pad")).first()
+    assert (r.h, r.d) == (20, 18)
+    assert r.m == {"a": ["3"], "b": [""]}  # last entry of a repeated key wins
+    assert r.ints == [4, 5]
+    assert r.pad == [7, 8, 0, 0]
+    v = spark.createDataFrame([("x", 5)], "value string, code long")
+    got = vocab_lookup(spark.createDataFrame([("x",), ("y",)], "k string"), "k", v, "c", default=None)
+    assert sorted((row.k, row.c) for row in got.collect()) == [("x", 5), ("y", None)]
