@@ -13,7 +13,7 @@ from recspark.operators import profile as PR
 from recspark.operators import sampling as SA
 from recspark.operators import transformers as TR
 from recspark.operators.joins import combo_merge, join_with_suffixes
-from recspark.plans.catalog import register
+from recspark.plans.catalog import REGISTRY, register
 from recspark.plans.pipeline import OpsPipeline, pipeline_from_processor_spec
 from recspark.session import read_table
 from recspark.sources import io as IO
@@ -154,17 +154,27 @@ def q_norm(spark, sf):
 
 # ----------------------------------------------------------------------------- E14 / E16 wide log
 
-def wide_log(spark, sf) -> DataFrame:
-    """J1/J2 (+J3 clash names): log LEFT JOIN user dim LEFT JOIN item dim / item stats."""
-    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
-                                            "l_extendedprice", "l_discount", "l_returnflag"])
+LINEITEM_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
+                 "l_returnflag"]
+
+
+def wide_log(spark, sf, lineitem: DataFrame | None = None) -> DataFrame:
+    """J1/J2 (+J3 clash names): log LEFT JOIN user dim LEFT JOIN item dim / item stats.
+
+    ``lineitem`` may be a stream: the dimensions and the user / item
+    statistics (computed from the batch log) are static sides of
+    stream-static joins.
+    """
+    li_batch = read_table(spark, sf, "lineitem", LINEITEM_COLS)
+    li = li_batch if lineitem is None else lineitem.select(*LINEITEM_COLS)
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
     c = read_table(spark, sf, "customer", ["c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey"])
     p = read_table(spark, sf, "part", ["p_partkey", "p_brand", "p_type", "p_name", "p_retailprice"])
+    batch_log = li_batch.join(o, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
     log = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
-    ustat = log.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("cnt"))
-    istat = log.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("cnt"),
-                                                                  F.avg("l_extendedprice").alias("avg_price"))
+    ustat = batch_log.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("cnt"))
+    istat = batch_log.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("cnt"),
+                                                                        F.avg("l_extendedprice").alias("avg_price"))
     users = c.join(ustat, "c_custkey", "left")
     its = p.join(istat, "p_partkey", "left")
     w = log.join(users, F.col("o_custkey") == F.col("c_custkey"), "left").drop("c_custkey")
@@ -246,6 +256,25 @@ def q_pipeline(spark, sf):
                       "o_orderpriority", "c_nationkey", "p_type", "p_retailprice", "cnt_x", "cnt_y")
 
 
+def _pipeline_out(out: DataFrame) -> DataFrame:
+    return out.select("l_orderkey", "l_linenumber", "user_id", "item_id", "dayofweek", "month",
+                      "is_return", _r("l_extendedprice_log").alias("l_extendedprice_log"),
+                      _r("acct_log").alias("acct_log"), "seg_encoded", "p_brand_encoded",
+                      F.col("p_name_processed").cast("array<bigint>"), "l_quantity", "l_discount",
+                      "o_orderpriority", "c_nationkey", "p_type", "p_retailprice", "cnt_x", "cnt_y")
+
+
+def q_pipeline_stream(spark, sf):
+    """ST1 at full size: the E14 model fitted on the batch log, applied to lineitem
+    replayed as a file stream (three ship-date ranges) - the result equals E14."""
+    from recspark.streaming import streams as ST
+    model = pipeline_from_processor_spec(load_spec(WIDE_SPEC)).fit(wide_log(spark, sf))
+    li = read_table(spark, sf, "lineitem", LINEITEM_COLS + ["l_shipdate"])
+    root, _, per_batch = ST.stage_event_files(li, "l_shipdate", ["1995-01-01 00:00:00", "1998-01-01 00:00:00"])
+    stream = ST.read_file_stream(spark, root, li.schema, files_per_trigger=per_batch)
+    return ST.run_to_table(_pipeline_out(model.transform(wide_log(spark, sf, stream))), "append")
+
+
 @register("E16_wide_samples", "WITH " + _WIDE_SQL + """,
 pe AS (SELECT list_sort(list_distinct(quantile_cont(l_extendedprice, [0.0, 0.25, 0.5, 0.75, 1.0]))) AS e FROM w),
 mm AS (SELECT min(p_retailprice) AS mn, max(p_retailprice) AS mx FROM w)
@@ -402,3 +431,6 @@ UNION ALL SELECT 'never', count(CASE WHEN acct > 1e12 THEN acct END) = 0 FROM cn
 def q_all_null(spark, sf):
     c = customers_with_nulls(spark, sf).withColumn("never", F.when(F.col("acct") > 1e12, F.col("acct")))
     return PR.all_null_columns(c, ["acct", "nation", "seg", "never"])
+
+
+register("ST1_stream_feature_pipeline", REGISTRY["E14_P1_feature_pipeline"].sql)(q_pipeline_stream)
