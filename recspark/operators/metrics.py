@@ -28,18 +28,29 @@ def _label(y) -> Column:
 
 
 def auc_table(df: DataFrame, label: str, score: str, group: list[str] | None = None,
-              buckets: int = 64) -> DataFrame:
+              buckets: int = 64, ties: str = "average", order: str | None = None) -> DataFrame:
     """Per-group ``(n, pos, neg, auc)``; ``group=None`` gives one global row.
 
     W3 (ranks for the rank sum) is realised as the bucketed prefix count of
-    negatives below each distinct score, ties counted half.
+    negatives below each distinct score.  ``ties="average"`` counts tied
+    negatives half (``roc_auc_score``); ``ties="order"`` ranks tied scores by
+    the ``order`` column, like a stable sort of the input (L18).
     """
+    if ties not in ("average", "order"):
+        raise ValueError("ties must be 'average' or 'order'")
+    if ties == "order" and order is None:
+        raise ValueError("ties='order' needs an explicit order column")
     keys = list(group or [])
-    base = df.select(*[F.col(k) for k in keys], _label(label).alias("_y"), F.col(score).cast("double").alias("_s"))
+    extra = [F.col(order).alias("_o")] if ties == "order" else []
+    base = df.select(*[F.col(k) for k in keys], _label(label).alias("_y"), F.col(score).cast("double").alias("_s"),
+                     *extra)
     if not keys:
         base = base.withColumn("_g", F.lit(0))
         keys = ["_g"]
-    g = base.groupBy(*keys, "_s").agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg"))
+    if ties == "order":  # every row is its own rank: no collapsing, no half counts
+        g = base.select(*keys, "_s", "_o", F.col("_y").alias("_pos"), (1 - F.col("_y")).alias("_neg"))
+    else:
+        g = base.groupBy(*keys, "_s").agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg"))
     probs = [i / buckets for i in range(1, buckets)]
     edges = g.groupBy(*keys).agg(F.percentile_approx("_s", probs, 10000).alias("_edges"))
     gb = (g.join(edges, keys)
@@ -48,10 +59,12 @@ def auc_table(df: DataFrame, label: str, score: str, group: list[str] | None = N
     bt = gb.groupBy(*keys, "_b").agg(F.sum("_neg").alias("_bneg"))
     off = bt.withColumn("_off", F.coalesce(F.sum("_bneg").over(
         Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    within_order = ["_s", "_o"] if ties == "order" else ["_s"]
     within = F.coalesce(F.sum("_neg").over(
-        Window.partitionBy(*keys, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        Window.partitionBy(*keys, "_b").orderBy(*within_order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranked = gb.withColumn("_within", within).join(off.select(*keys, "_b", "_off"), [*keys, "_b"])
-    contrib = F.col("_pos") * (F.col("_off") + F.col("_within") + F.col("_neg") / 2.0)
+    half = F.lit(0.0) if ties == "order" else F.col("_neg") / 2.0
+    contrib = F.col("_pos") * (F.col("_off") + F.col("_within") + half)
     per = ranked.groupBy(*keys).agg(F.sum(F.col("_pos") + F.col("_neg")).alias("n"),
                                     F.sum("_pos").alias("pos"), F.sum("_neg").alias("neg"),
                                     F.sum(contrib).alias("_u"))
@@ -61,9 +74,10 @@ def auc_table(df: DataFrame, label: str, score: str, group: list[str] | None = N
     return out.drop("_g") if group is None or not group else out
 
 
-def auc(df: DataFrame, label: str, score: str, buckets: int = 64) -> DataFrame:
+def auc(df: DataFrame, label: str, score: str, buckets: int = 64, ties: str = "average",
+        order: str | None = None) -> DataFrame:
     """One row ``(n, pos, neg, auc)``."""
-    return auc_table(df, label, score, None, buckets)
+    return auc_table(df, label, score, None, buckets, ties, order)
 
 
 def gauc(df: DataFrame, label: str, score: str, group: str | list[str], buckets: int = 16) -> DataFrame:

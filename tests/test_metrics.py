@@ -58,3 +58,16 @@ def test_rela_impr(spark):
     from pyspark.sql import functions as F
     r = spark.range(1).select(M.rela_impr(F.lit(0.75), F.lit(0.7)).alias("x")).first()
     assert r.x == pytest.approx(0.25)
+
+
+def test_tie_modes(spark):
+    df = spark.createDataFrame([(0, 1, .5), (1, 0, .5), (2, 1, .9), (3, 0, .1)], "i long, y int, p double")
+    avg = M.auc(df, "y", "p").first().auc
+    ordered = M.auc(df, "y", "p", ties="order", order="i").first().auc
+    # pairs: (.9 > .5, .1), (.5 vs .5 tie, .5 > .1): average 3.5/4; stable order puts the positive first -> 3/4
+    assert avg == pytest.approx(0.875) and ordered == pytest.approx(0.75)
+    from pyspark.sql import functions as F
+    g2 = _df(spark, [0, 1, 0, 1, 0], [.1, .2, .35, .8, .7]).withColumn("i", F.col("p"))
+    assert M.auc(g2, "y", "p", ties="order", order="i").first().auc == pytest.approx(0.666667, abs=1e-6)
+    with pytest.raises(ValueError):
+        M.auc(df, "y", "p", ties="order")
