@@ -134,3 +134,18 @@ def q_mrl(spark, sf):
     out = M.matryoshka_cross_entropy(e, {d: f"z{d}" for d in dims}, "label",
                                      {8: 1.0, 16: 0.5, 32: 0.25, 64: 0.125})
     return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
+
+
+@register("N1_auc_stable_ties", """
+WITH e AS (SELECT event_id, CAST(event_type = 'purchase' AS INTEGER) AS y, round(value) AS s FROM events),
+r AS (SELECT y, row_number() OVER (ORDER BY s, event_id) AS rk FROM e)
+SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(y) AS BIGINT) AS pos, CAST(count(*) - sum(y) AS BIGINT) AS neg,
+       round((sum(CASE WHEN y = 1 THEN rk ELSE 0 END) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))), 6) AS auc
+FROM r""")
+def q_auc_stable(spark, sf):
+    """N1 with L18's stable-order ties: scores rounded to whole units (many ties), ties ranked by event id."""
+    ev = read_table(spark, sf, "events").select("event_id", (F.col("event_type") == "purchase").cast("int").alias("y"),
+                                                 F.round("value").alias("s"))
+    a = M.auc(ev, "y", "s", ties="order", order="event_id")
+    return a.select(F.col("n").cast("long"), F.col("pos").cast("long"), F.col("neg").cast("long"),
+                    F.round("auc", 6).alias("auc"))
