@@ -100,12 +100,16 @@ WITH e AS (SELECT CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 0 WHEN ts < TIMESTA
                   CAST(event_type = 'purchase' AS DOUBLE) AS y,
                   least(greatest(1 / (1 + exp(-(value / 10 - 2))), 1e-15), 1 - 1e-15) AS p FROM events),
 b AS (SELECT batch, count(*) AS rows, sum(CAST((CAST(p > 0.5 AS DOUBLE) = y) AS DOUBLE)) AS correct,
-             sum(-(y * ln(p) + (1 - y) * ln(1 - p))) AS ll FROM e GROUP BY batch)
-SELECT CAST(batch AS BIGINT) AS batch, rows, round(correct / rows, 6) AS accuracy, round(ll / rows, 6) AS logloss,
+             sum(-(y * ln(p) + (1 - y) * ln(1 - p))) AS ll FROM e GROUP BY batch),
+r AS (SELECT batch, y, (2 * rank() OVER (PARTITION BY batch ORDER BY p) + count(*) OVER (PARTITION BY batch, p) - 1) / 2.0 AS rk FROM e),
+a AS (SELECT batch, CASE WHEN sum(y) > 0 AND count(*) - sum(y) > 0
+                         THEN (sum(CASE WHEN y = 1 THEN rk ELSE 0 END) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y)))
+                         ELSE 0.0 END AS auc FROM r GROUP BY batch)
+SELECT CAST(batch AS BIGINT) AS batch, rows, round(a.auc, 6) AS auc, round(correct / rows, 6) AS accuracy, round(ll / rows, 6) AS logloss,
        round(sum(correct) OVER w / sum(rows) OVER w, 6) AS running_accuracy,
        round(sum(ll) OVER w / sum(rows) OVER w, 6) AS running_logloss
-FROM b WINDOW w AS (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+FROM b JOIN a USING (batch) WINDOW w AS (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def q_n7(spark, sf):
     r = ST.running_metrics(_stream(spark, sf), "y", "p")
     return r.select("batch", "rows", *[F.round(c, 6).alias(c) for c in
-                                       ("accuracy", "logloss", "running_accuracy", "running_logloss")])
+                                       ("auc", "accuracy", "logloss", "running_accuracy", "running_logloss")])

@@ -22,7 +22,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recspark.operators.metrics import accuracy_expr, logloss_expr
+from recspark.operators.metrics import accuracy_expr, auc, logloss_expr
 from recspark.session import ensure_checkpoint_dir
 
 
@@ -124,25 +124,28 @@ def run_to_table(agg: DataFrame, mode: str, keys: list[str] | None = None) -> Da
 
 
 def running_metrics(stream: DataFrame, label: str, pred: str) -> DataFrame:
-    """Per micro-batch ``(batch, rows, accuracy, logloss)`` plus running
-    totals; the stream is consumed with ``availableNow``."""
+    """Per micro-batch ``(batch, rows, auc, accuracy, logloss)`` plus
+    running accuracy / log loss; the stream is consumed with ``availableNow``."""
     spark = stream.sparkSession
     out, ckpt = _scratch(spark, "metrics"), _scratch(spark, "ckpt")
     p = F.least(F.greatest(F.col(pred).cast("double"), F.lit(1e-15)), F.lit(1 - 1e-15))
     y = (F.col(label).cast("double") == 1.0).cast("double")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        # one folder per micro-batch, overwritten on retry (idempotent)
-        batch.agg(F.count(F.lit(1)).alias("rows"),
-                  F.sum(((F.col(pred) > 0.5).cast("double") == y).cast("double")).alias("correct"),
-                  F.sum(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("ll_sum")) \
+        # one folder per micro-batch, overwritten on retry (idempotent); the
+        # batch is static here, so its AUC is the batch job (ST3's AUC part)
+        stats = batch.agg(F.count(F.lit(1)).alias("rows"),
+                          F.sum(((F.col(pred) > 0.5).cast("double") == y).cast("double")).alias("correct"),
+                          F.sum(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("ll_sum"))
+        a = auc(batch, label, pred).select("auc")
+        stats.withColumn("_k", F.lit(0)).join(F.broadcast(a.withColumn("_k", F.lit(0))), "_k").drop("_k") \
             .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     q = stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
     per = spark.read.parquet(out).withColumn("batch", F.col("batch").cast("long"))
     run = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)  # one row per batch: tiny
-    return per.select("batch", "rows", (F.col("correct") / F.col("rows")).alias("accuracy"),
+    return per.select("batch", "rows", "auc", (F.col("correct") / F.col("rows")).alias("accuracy"),
                       (F.col("ll_sum") / F.col("rows")).alias("logloss"),
                       (F.sum("correct").over(run) / F.sum("rows").over(run)).alias("running_accuracy"),
                       (F.sum("ll_sum").over(run) / F.sum("rows").over(run)).alias("running_logloss"))
