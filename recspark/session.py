@@ -40,9 +40,40 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``recspark`` importable in the Python workers (what ``--py-files`` does).
+
+    The pandas UDFs reference functions of this package; executors that do
+    not have it installed get a zip of it through ``addPyFile`` once per
+    application.  The zip is a driver-side build artifact that Spark serves
+    to the executors.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    import recspark
+    pkg_dir = os.path.dirname(os.path.abspath(recspark.__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="recspark-pyfiles-"), "recspark.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
