@@ -127,3 +127,20 @@ def test_op_registry(spark):
     assert df.select(apply_ops("x", ["times_two", {"clip": {"min_value": 0, "max_value": 5}}]).alias("y")).first().y == 5
     with pytest.raises(KeyError):
         apply_ops(F.col("x"), ["no_such_op"])
+
+
+def test_package_is_shipped_to_workers(spark):
+    """The pandas UDF path must import the package inside a worker."""
+    import pandas as pd
+
+    from recspark.session import ship_package
+
+    ship_package(spark)
+    ship_package(spark)  # idempotent per application
+
+    def probe(pdf: pd.DataFrame) -> pd.DataFrame:
+        import recspark.operators.rerank as rr  # noqa: F401 - must be importable on the worker
+        return pdf.assign(ok=1)
+
+    out = spark.range(4).groupBy("id").applyInPandas(probe, "id long, ok int").agg(F.sum("ok")).first()[0]
+    assert out == 4
