@@ -1,6 +1,7 @@
 """E19/E20 properties, blocked exact top-k against numpy, LSH recall against exact."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from recspark.operators import sampling as SA
@@ -70,3 +71,18 @@ def test_lsh_recall(spark):
     s = mn @ mn.T
     hits = [len(approx.get(q, set()) & set(np.argsort(-s[q])[:10])) / 10 for q in range(len(m))]
     assert np.mean(hits) > 0.5
+
+
+def test_residual_quantiser_shapes_and_loss(spark):
+    from recspark.operators import semantic as SM
+    e = read_table(spark, SF, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vec"))
+    books = SM.rq_fit(e, "vec", layers=3, k=8, seed=5, max_iter=5)
+    assert books.count() == 24
+    enc = SM.rq_encode(e, "vec", books, 3)
+    r = enc.select(F.size("codes").alias("nc"), F.size("quantized").alias("nq"),
+                   F.size("residual_norms").alias("nr"), F.array_max("codes").alias("mx")).distinct().collect()
+    assert all(x.nc == 3 and x.nq == 64 and x.nr == 3 and x.mx < 8 for x in r)
+    loss = SM.rq_loss(enc, "vec").first()
+    assert loss.recon_mse >= 0 and loss.commit >= 0 and loss.loss == pytest.approx(loss.recon_mse + loss.commit)
+    ids = enc.select(SM.semantic_id("codes", 8).alias("sid")).first().sid
+    assert len(ids) == 3 and ids[0] < 8 and ids[1] < 64 and ids[2] < 512
