@@ -117,7 +117,10 @@ def _distributed_quantiles(df: DataFrame, cols: list[str], probs: list[float], b
 
 
 def exact_modes(df: DataFrame, cols: list[str], small_distinct: int = SMALL_DISTINCT) -> dict[str, object]:
-    """Most frequent non-null value per column; ties -> smallest value (pandas ``mode()[0]``)."""
+    """Most frequent non-null value per column; ties -> smallest value (pandas ``mode()[0]``).
+
+    The large path is a T3 arg-max: ``min_by(value, (-count, value))``.
+    """
     if not cols:
         return {}
     small, large = _split_by_distinct(df, cols, small_distinct)

@@ -177,7 +177,7 @@ def mmr_iterative(cands: DataFrame, k: int, lam: float, fields: list[str], mode:
                   checkpoint_every: int = 4) -> DataFrame:
     """The greedy loop as ``k`` rounds of DataFrame operations (for hot requests).
 
-    Each round takes the best unpicked candidate per request with ``min_by``
+    Each round takes the best unpicked candidate per request with ``min_by`` (T3)
     over ``(-mmr, pos)`` - a partial aggregate, so a request with millions of
     candidates is spread over many tasks - then updates every candidate's
     running maximum similarity against the pick (the picks are one row per
