@@ -40,3 +40,16 @@ def words(text: Column) -> Column:
 def crc(col: Column) -> Column:
     """crc32 of the value's text form; null for null."""
     return F.crc32(col.cast("string").cast("binary"))
+
+
+def blocks(batch, column: str, limit: int = 4 << 20):
+    """Slices of an Arrow batch with about ``limit`` bytes of ``column`` each, one row at least."""
+    import numpy as np
+    import pyarrow.compute as pc
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        yield batch.slice(at, to - at)
+        at = to

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recspark.llm import bpe
 from recspark.llm.common import table
 from recspark.llm.quality_rules import quality_rules
 from recspark.llm.sharding import shard_documents
@@ -48,3 +49,14 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url")
     return filter_urls(pages, seed_urls(spark), URL_RULES).select(
         "page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+def vocabulary() -> str:
+    """Where the public vocabulary file lies; never copied."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_query("op7_bpe")
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary())
