@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.llm import bpe
+from recspark.llm.ann import nearest
 from recspark.llm.common import table
 from recspark.llm.quality_rules import quality_rules
 from recspark.llm.sharding import shard_documents
@@ -60,3 +61,9 @@ def vocabulary() -> str:
 @_query("op7_bpe")
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary())
+
+
+@_query("op9_ann")
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
