@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import bpe
+from recspark.llm import bpe, quality_model
 from recspark.llm.ann import nearest
-from recspark.llm.common import table
+from recspark.llm.common import crc, table
 from recspark.llm.quality_rules import quality_rules
 from recspark.llm.sharding import shard_documents
 from recspark.llm.url_filter import filter_urls, seed_urls
@@ -67,3 +67,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
+@_query("op6_quality_model")
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality_model.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    held_out = F.coalesce(crc(F.col("doc_id")) % 5 == 0, F.lit(False))
+    return quality_model.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
