@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recspark.llm import bpe, quality_model
 from recspark.llm.ann import nearest
 from recspark.llm.common import crc, table
+from recspark.llm.jaccard_join import jaccard_join
 from recspark.llm.quality_rules import quality_rules
 from recspark.llm.sharding import shard_documents
 from recspark.llm.url_filter import filter_urls, seed_urls
@@ -76,3 +77,8 @@ def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(crc(F.col("doc_id")) % 5 == 0, F.lit(False))
     return quality_model.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query("op4_jaccard_join")
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))
