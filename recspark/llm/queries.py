@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from recspark.llm import bpe, quality_model
 from recspark.llm.ann import nearest
-from recspark.llm.common import crc, table
+from recspark.llm.common import crc, table, words
 from recspark.llm.jaccard_join import jaccard_join
+from recspark.llm.mixture import mix, plan_mixture
 from recspark.llm.quality_rules import quality_rules
 from recspark.llm.sharding import shard_documents
 from recspark.llm.url_filter import filter_urls, seed_urls
@@ -82,3 +83,55 @@ def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op4_jaccard_join")
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """The tree's top level: sources are dealt to four domains by the number in their name."""
+    number = F.regexp_extract(F.coalesce("source", F.lit("")), "([0-9]+)$", 1)
+    return docs.withColumn("domain", F.when(number == "", "none").otherwise(
+        F.concat(F.lit("domain"), (F.substring(number, -9, 9).cast("int") % 4).cast("string"))))
+
+
+MIXTURE_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]+)$', 1) = '' THEN 'none'
+              ELSE 'domain' || (CAST(right(regexp_extract(source, '([0-9]+)$', 1), 9) AS INT) % 4) END AS domain,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n
+  FROM documents),
+leaf AS (SELECT domain, lang, source, CAST(sum(n) AS BIGINT) AS tokens FROM d GROUP BY ALL),
+top AS (SELECT least(CAST(sum(tokens) * 4 AS DOUBLE), 0.7 * sum(tokens)) AS above FROM leaf),
+n1 AS (SELECT domain, sum(tokens) * 4.0::DOUBLE AS cap, sqrt(CAST(sum(tokens) AS DOUBLE)) AS w, any_value(above) AS above
+       FROM leaf, top GROUP BY domain HAVING sum(tokens) > 0),
+l1 AS (SELECT *, (above - coalesce(sum(cap) OVER (ORDER BY cap / w, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / sum(w) OVER (ORDER BY cap / w, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM n1),
+b1 AS (SELECT domain, least(cap, w * max(lev) OVER ()) AS above FROM l1),
+n2 AS (SELECT domain, lang, sum(tokens) * 4.0::DOUBLE AS cap, sqrt(CAST(sum(tokens) AS DOUBLE)) AS w
+       FROM leaf GROUP BY domain, lang HAVING sum(tokens) > 0),
+l2 AS (SELECT *, (above - coalesce(sum(cap) OVER (PARTITION BY domain ORDER BY cap / w, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / sum(w) OVER (PARTITION BY domain ORDER BY cap / w, lang ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev
+       FROM n2 JOIN b1 USING (domain)),
+b2 AS (SELECT domain, lang, least(cap, w * max(lev) OVER (PARTITION BY domain)) AS above FROM l2),
+n3 AS (SELECT domain, lang, source, tokens, tokens * 4.0::DOUBLE AS cap, sqrt(CAST(tokens AS DOUBLE)) AS w FROM leaf WHERE tokens > 0),
+l3 AS (SELECT *, (above - coalesce(sum(cap) OVER (PARTITION BY domain, lang ORDER BY cap / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / sum(w) OVER (PARTITION BY domain, lang ORDER BY cap / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev
+       FROM n3 JOIN b2 USING (domain, lang)),
+b3 AS (SELECT domain, lang, source, tokens,
+              CAST(floor(least(cap, w * max(lev) OVER (PARTITION BY domain, lang)) + 1e-6) AS BIGINT) AS budget FROM l3),
+p AS (SELECT *, budget // tokens AS epochs, budget % tokens AS rest FROM b3),
+x AS (SELECT d.*, epochs, rest, sum(n) OVER (PARTITION BY domain, lang, source
+             ORDER BY md5('7:' || (epochs + 1) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), CAST(doc_id AS VARCHAR), n
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ends
+      FROM d JOIN p USING (domain, lang, source))
+SELECT doc_id, domain, lang, source, n AS n_tokens, CAST(unnest(range(1, 1 + epochs + CASE WHEN rest > 0 AND ends <= rest THEN 1 ELSE 0 END)) AS INT) AS epoch
+FROM x
+"""
+
+
+@_query("op8_mixture", MIXTURE_SQL)
+def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_domain(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+    taken = mix(docs, plan_mixture(docs))
+    return taken.select("doc_id", "domain", F.coalesce("lang", F.lit("")).alias("lang"),
+                        F.coalesce("source", F.lit("")).alias("source"),
+                        F.size(words(F.col("text"))).cast("long").alias("n_tokens"), "epoch")
