@@ -1,4 +1,13 @@
-"""Corpus pipeline over ``documents``: stages in order, each reading what the one before kept."""
+"""Corpus pipeline over ``documents``: each stage reads what the one before kept.
+
+1. quality classifier: documents scored below 0.3 go;
+2. quality rules: documents that fail a rule or, on a bad host, a soft one go;
+3. n-gram Jaccard join: one document of each group of links stays;
+4. mixture: documents are drawn to a token budget spread over domain, language and source;
+5. BPE: the drawn documents are encoded, and decoded again for a checksum.
+
+Stages 1 to 4 return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +16,69 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from recspark.llm import bpe, quality_model  # noqa: E402
+from recspark.llm.common import stored, table  # noqa: E402
+from recspark.llm.jaccard_join import jaccard_join  # noqa: E402
+from recspark.llm.mixture import mix, plan_mixture  # noqa: E402
+from recspark.llm.quality_rules import quality_rules  # noqa: E402
+from recspark.llm.queries import domain_of, vocabulary  # noqa: E402
+from recspark.session import ship_package  # noqa: E402
+
+_LEVELS = ("__domain", "lang", "source")
+
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents whose quality score is at least 0.3."""
+    ship_package(spark)
+    model = quality_model.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality_model.score(docs, model, score_col="__score").filter(F.col("__score") >= 0.3).select(docs.columns)
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that the host-level rules keep."""
+    return quality_rules(docs).filter("kept").select(docs.columns)
+
+
+def dedupe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each group, and documents without an id.
+
+    Where an id repeats, rows of that id with different texts are told apart by
+    their text only.
+    """
+    first = jaccard_join(docs).filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__times"))
+    kept = docs.join(first, "doc_id").select(*docs.columns, "__times")
+    once = kept.filter("__times = 1").drop("__times")
+    often = kept.filter("__times > 1").drop("__times").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(often).unionByName(docs.filter("doc_id is null"))
+
+
+def draw(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Draw documents to the mixture's budgets; a document comes once for each of its epochs."""
+    ship_package(spark)
+    with_tree = docs.withColumn("__domain", domain_of(F.col("source")))
+    return mix(with_tree, plan_mixture(with_tree, _LEVELS), _LEVELS).select(docs.columns)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, their number, and the checksum of the decoded text."""
+    ship_package(spark)
+    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary()).drop("text"), vocabulary())
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+STAGES = [("quality classifier", classify), ("quality rules", rules), ("n-gram Jaccard join", dedupe),
+          ("mixture", draw), ("BPE", tokenize)]
+
+#: The classifier and the join have no SQL form; tests/llm/test_pipeline.py checks the stages one by one.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    return docs

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.llm import bpe, quality_model
 from recspark.llm.ann import nearest
 from recspark.llm.common import crc, table, words
 from recspark.llm.jaccard_join import jaccard_join
+from recspark.llm.license_scan import scan
 from recspark.llm.mixture import mix, plan_mixture
 from recspark.llm.quality_rules import quality_rules
 from recspark.llm.sharding import shard_documents
@@ -85,11 +86,11 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-def with_domain(docs: DataFrame) -> DataFrame:
+def domain_of(source: Column) -> Column:
     """The tree's top level: sources are dealt to four domains by the number in their name."""
-    number = F.regexp_extract(F.coalesce("source", F.lit("")), "([0-9]+)$", 1)
-    return docs.withColumn("domain", F.when(number == "", "none").otherwise(
-        F.concat(F.lit("domain"), (F.substring(number, -9, 9).cast("int") % 4).cast("string"))))
+    number = F.regexp_extract(F.coalesce(source, F.lit("")), "([0-9]+)$", 1)
+    return F.when(number == "", "none").otherwise(
+        F.concat(F.lit("domain"), (F.substring(number, -9, 9).cast("int") % 4).cast("string")))
 
 
 MIXTURE_SQL = r"""
@@ -130,8 +131,14 @@ FROM x
 
 @_query("op8_mixture", MIXTURE_SQL)
 def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = with_domain(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    docs = docs.withColumn("domain", domain_of(F.col("source")))
     taken = mix(docs, plan_mixture(docs))
     return taken.select("doc_id", "domain", F.coalesce("lang", F.lit("")).alias("lang"),
                         F.coalesce("source", F.lit("")).alias("source"),
                         F.size(words(F.col("text"))).cast("long").alias("n_tokens"), "epoch")
+
+
+@_query("op5_license_scan")
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents", "doc_id", "text"))
