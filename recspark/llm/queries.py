@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recspark.llm import bpe, quality_model
 from recspark.llm.ann import nearest
 from recspark.llm.common import crc, table, words
+from recspark.llm.context_mixing import score_documents
 from recspark.llm.jaccard_join import jaccard_join
 from recspark.llm.license_scan import scan
 from recspark.llm.mixture import mix, plan_mixture
@@ -142,3 +143,8 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op5_license_scan")
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@_query("op2_context_mixing")
+def op2_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
