@@ -42,6 +42,18 @@ def crc(col: Column) -> Column:
     return F.crc32(col.cast("string").cast("binary"))
 
 
+def solid(texts):
+    """Texts (an Arrow array) as a large_string array of its own, nulls empty.
+
+    Some Arrow text kernels misread the offsets of a slice, so a slice is copied.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    if texts.offset or pa.types.is_string(texts.type):
+        texts = texts.take(pa.array(range(len(texts)), pa.int64()))
+    return pc.fill_null(texts.cast(pa.large_string()), "")
+
+
 def blocks(batch, column: str, limit: int = 4 << 20):
     """Slices of an Arrow batch with about ``limit`` bytes of ``column`` each, one row at least."""
     import numpy as np

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recspark.llm.common import blocks
+from recspark.llm.common import blocks, solid
 from recspark.llm.shingles import hash_strings, mix
 
 BANDS = 128
@@ -57,7 +57,7 @@ TEMPLATES = {
 
 def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words (lower case, outer punctuation cut off), and each word's text."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(solid(texts)))
     owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     codes = lists.flatten().dictionary_encode()
     names = pc.ascii_trim(codes.dictionary, characters=".,;:!?()[]{}<>\"'`*#/-").cast(pa.large_string())

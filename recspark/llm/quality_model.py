@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recspark.llm.common import blocks, crc, stored
+from recspark.llm.common import blocks, crc, solid, stored
 
 FEATURES = 256
 TASKS = 32
@@ -87,7 +87,7 @@ def with_statistics(docs: DataFrame, text_col: str, out_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in blocks(batch, text_col):
-                x = statistics(pc.fill_null(b[text_col].cast(pa.large_string()), ""))
+                x = statistics(solid(b[text_col]))
                 lists = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.ravel()))
                 keep = [n for n in b.schema.names if n != text_col]
                 yield pa.record_batch([*[b[n] for n in keep], lists], [*keep, out_col])
@@ -202,7 +202,7 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text", score_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in blocks(batch, text_col):
-                x = statistics(pc.fill_null(b[text_col].cast(pa.large_string()), ""))
+                x = statistics(solid(b[text_col]))
                 yield pa.record_batch([*b.columns, pa.array(model.score(x))], [*b.schema.names, score_col])
 
     return df.mapInArrow(run, schema)

@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from recspark.llm.common import solid
+
 _M = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(2024).integers(1, 2 ** 63, 256, dtype=np.uint64)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -22,7 +24,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts (A-Z lower-cased, no nulls), and each word's text."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(solid(texts)))
     flat = lists.flatten()
     owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     full = pc.not_equal(flat, "")
