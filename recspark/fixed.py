@@ -16,14 +16,8 @@ FN_BOOL = "BooleanTransform"
 FN_LOG = "LogTransform"
 FN_LABEL = "LabelEncodeTransform"
 FN_MULTI = "MultiValueTransform"
-TIME_UNITS = ("ms", "str", "int_to_hour", "int_to_minute")
-TIME_FEATURES = ("dayofweek", "hour", "minute", "month")
 CLEANER_EXTRA_COLUMNS = ("datetime", "timestamp_s")
 
-# --- fixed values: config vocabulary (pipeline dialect op names) -------------
-OP_NAMES = ("str_hash", "str_to_list", "list_str_split", "list_hash", "padding", "log1p", "floor_divde",
-            "clip", "int_to_date", "str_to_date", "get_day", "get_hour", "get_minute", "get_month", "isoweekday")
-
 # --- fixed values: generated column names ------------------------------------
 SUFFIX_ENCODED = "_encoded"
 SUFFIX_BIN = "_bin"

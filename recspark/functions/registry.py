@@ -42,21 +42,25 @@ def list_ops() -> list[str]:
 def apply_ops(col: Column | str, ops: list) -> Column:
     """apply ``[{name: params}, ...]`` (or plain names) in listed order."""
     c = F.col(col) if isinstance(col, str) else col
+    texts = False  # a list of texts, fresh from a split: a number pads it as text
     for op in ops or []:
         if isinstance(op, str):
             name, params = op, {}
         else:
             (name, params), = op.items()
+        if name == "padding" and texts:
+            params = {**params, "of": "string"}
+        texts = name in ("str_to_list", "list_str_split") or (name == "padding" and texts)
         c = get_op(name)(c, **(params or {}))
     return c
 
 
-# Op names and parameter names follow the config format (see ``recspark.fixed.OP_NAMES``).
+# Op names and parameter names follow the config format.
 register_op("str_hash", lambda c, num_embeddings, seed=DEFAULT_HASH_SEED, method="xxh32": str_hash(c, num_embeddings, method, seed))
 register_op("list_hash", lambda c, num_embeddings, seed=DEFAULT_HASH_SEED, method="xxh32": list_hash(c, num_embeddings, method, seed))
 register_op("str_to_list", lambda c, sep: S.str_to_list(c, str(sep)))
 register_op("list_str_split", lambda c, sep: S.list_str_split(c, str(sep)))
-register_op("padding", lambda c, max_len, padding_value: S.padding(c, int(max_len), padding_value))
+register_op("padding", lambda c, max_len, padding_value, of=None: S.padding(c, int(max_len), padding_value, of))
 register_op("log1p", lambda c: S.log1p(c))
 register_op("floor_divide", lambda c, divide: S.floor_divide(c, divide))
 register_op("floor_divde", lambda c, divide: S.floor_divide(c, divide))  # spelling used by configs

@@ -36,11 +36,14 @@ def list_str_split(c, sep: str) -> Column:
     return F.transform(_c(c), lambda x: F.split(x, _split_pattern(sep), -1))
 
 
-def padding(c, max_len: int, value) -> Column:
-    """truncate to ``max_len`` then right-pad with ``value``; null -> all padding."""
-    col = _c(c)
-    pad = F.array_repeat(F.lit(value), max_len)
-    base = F.coalesce(col, F.array().cast(f"array<{_lit_type(value)}>"))
+def padding(c, max_len: int, value, of: str | None = None) -> Column:
+    """truncate to ``max_len`` then right-pad with ``value``; null -> all padding.
+
+    ``of``: the element type, when it is not the value's (text lists padded
+    with a number).
+    """
+    pad = F.array_repeat(F.lit(value).cast(of) if of else F.lit(value), max_len)
+    base = F.coalesce(_c(c), F.array().cast(f"array<{of or _lit_type(value)}>"))
     return F.slice(F.concat(base, pad), 1, max_len)
 
 
@@ -88,9 +91,19 @@ def log1p(c) -> Column:
 
 
 def floor_divide(c, d: int) -> Column:
-    """Python-style floor division (rounds toward minus infinity)."""
-    x = _c(c)
-    return F.floor(x.cast("double") / F.lit(float(d))).cast("long")
+    """Python-style floor division (rounds toward minus infinity); null for ``d = 0``.
+
+    Whole numbers stay exact up to the ends of ``long``; fractional input is
+    floored before and after, which gives the same quotient.
+    """
+    if int(d) != d:
+        return F.floor(_c(c).cast("double") / F.lit(float(d))).cast("long")
+    if d == 0:
+        return F.lit(None).cast("long")
+    x = F.floor(_c(c)).cast("long") if d > 0 else F.ceil(_c(c)).cast("long")
+    by = F.lit(int(d)).cast("long")
+    uneven = (x % by != 0) & ((x < 0) != F.lit(d < 0))  # ``div`` cuts towards zero
+    return F.call_function("div", x, by) - uneven.cast("long")
 
 
 def clip(c, lo=None, hi=None) -> Column:

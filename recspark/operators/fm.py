@@ -15,7 +15,6 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recspark.operators.joins import bounded_broadcast
 
 
 def field_offsets(vocab_sizes: list[int]) -> list[int]:
@@ -36,8 +35,8 @@ def fm_score(samples: DataFrame, key: str, idx_col: str, w0: float, w: DataFrame
     if offsets is not None:
         off = F.array(*[F.lit(o).cast("long") for o in offsets])
         ex = ex.withColumn("_i", F.col("_i") + F.element_at(off, F.col("_f") + 1))
-    wt = bounded_broadcast(w.select(F.col("idx").alias("_i"), F.col("w").cast("double").alias("_w")))
-    vt = bounded_broadcast(v.select(F.col("idx").alias("_i"), F.col("vec").alias("_vec")))
+    wt = w.select(F.col("idx").alias("_i"), F.col("w").cast("double").alias("_w"))
+    vt = v.select(F.col("idx").alias("_i"), F.col("vec").alias("_vec"))
     linear = ex.join(wt, "_i", "left").groupBy(key).agg(F.sum(F.coalesce("_w", F.lit(0.0))).alias("linear"))
     fm2 = fm_second_order_long(ex.join(vt, "_i").select(key, F.col("_vec").alias("vec")), key, "vec")
     return (linear.join(fm2, key, "left").withColumn("fm2", F.coalesce("fm2", F.lit(0.0)))

@@ -1,7 +1,7 @@
 """Behaviour history before each event.
 
-For every row: the ``max_len`` most recent items of the same user strictly
-before it (order ``ts`` then a unique tie-break), oldest first, optionally
+For every row: the ``max_len`` most recent non-null items of the same user
+(rows without a user share one history) strictly before it (order ``ts`` then a unique tie-break), oldest first, optionally
 right-padded to ``max_len``.
 
 A plain ``collect_list`` over ``partitionBy(user)`` would put a hot user -
@@ -9,8 +9,8 @@ possibly a third of the log - into one window task.  Here the window is
 partitioned by ``(user, bucket)`` instead; what a bucket needs from earlier
 buckets is only their last ``max_len`` items, gathered per bucket
 (``<= max_len`` rows each) and passed forward with a second window over the
-one-row-per-bucket table, whose frame covers the previous ``max_len``
-non-empty buckets (enough, since each holds at least one item).
+one-row-per-bucket table, whose frame covers the previous ``max_len`` buckets
+that hold an item.
 
 Buckets: ``bucket="range"`` (default) uses the range partitions of
 ``(user, ts, tie)`` - sized by Spark's sampling, so every bucket is bounded
@@ -42,20 +42,24 @@ def build_history(df: DataFrame, user: str, item: str, ts: str, tie: list[str],
         e = cut_lineage(df.repartitionByRange(n, F.col(user), *order).withColumn("_b", F.spark_partition_id()))
     else:
         e = df.withColumn("_b", F.date_trunc(bucket, F.col(ts)))
-    within = F.collect_list(item).over(
-        Window.partitionBy(user, "_b").orderBy(*order).rowsBetween(-max_len, -1))
-    e = e.withColumn("_within", within)
-    last_rows = (e.select(user, "_b", ts, *tie, item)
-                 .withColumn("_rd", F.row_number().over(
-                     Window.partitionBy(user, "_b").orderBy(*[o.desc() for o in order])))
-                 .where(F.col("_rd") <= max_len))
-    tails = last_rows.groupBy(user, "_b").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(ts, *tie, item))), lambda s: s[item]).alias("_tail"))
-    carry = tails.withColumn("_prev", F.collect_list("_tail").over(
-        Window.partitionBy(user).orderBy("_b").rowsBetween(-max_len, -1))).select(
-        user, "_b", _last(F.flatten("_prev"), max_len).alias("_carry"))
-    res = e.join(carry, [user, "_b"]).withColumn(out, _last(F.concat("_carry", "_within"), max_len))
-    res = res.withColumn(f"{out}_len", F.size(out)).drop("_b", "_within", "_carry")
+    # frames count items, not rows: a null item is no part of a history and takes no place in it
+    seen = Window.partitionBy(user, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    e = e.withColumn("_k", F.count(item).over(seen))
+    e = e.withColumn("_within", F.collect_list(item).over(
+        Window.partitionBy(user, "_b").orderBy("_k").rangeBetween(-max_len, -1)))
+    newest = Window.partitionBy(user, "_b").orderBy(F.col(item).isNull(), *[o.desc() for o in order])
+    tails = (e.select(user, "_b", ts, *tie, item).withColumn("_rd", F.row_number().over(newest))
+             .where(F.col("_rd") <= max_len).groupBy(user, "_b")
+             .agg(F.array_sort(F.collect_list(F.when(F.col(item).isNotNull(), F.struct(ts, *tie, item)))).alias("_t")))
+    tails = tails.select(user, "_b", F.when(F.size("_t") > 0, F.transform("_t", lambda s: s[item])).alias("_tail"))
+    earlier = Window.partitionBy(user).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (tails.withColumn("_k", F.count("_tail").over(earlier))
+             .withColumn("_prev", F.collect_list("_tail").over(
+                 Window.partitionBy(user).orderBy("_k").rangeBetween(-max_len, -1)))
+             .select(F.col(user).alias("_u"), F.col("_b").alias("_cb"), _last(F.flatten("_prev"), max_len).alias("_carry")))
+    res = (e.join(carry, e[user].eqNullSafe(F.col("_u")) & e["_b"].eqNullSafe(F.col("_cb")))
+           .withColumn(out, _last(F.concat("_carry", "_within"), max_len)))
+    res = res.withColumn(f"{out}_len", F.size(out)).drop("_b", "_k", "_within", "_carry", "_u", "_cb")
     if pad_value is not None:
         res = res.withColumn(f"{out}_padded", padding(out, max_len, pad_value))
     return res

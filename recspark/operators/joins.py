@@ -1,36 +1,17 @@
-"""Join helpers (J1-J4, J7, J8) and the size-checked broadcast.
+"""Join helpers.
 
-Broadcast rule used everywhere in the package: a side is hinted for
-broadcast only if it is bounded by construction (a codebook of ``K`` rows, a
-one-row statistic) or after ``bounded_broadcast`` has proved with a bounded
-count that it holds at most ``max_rows`` rows.  Everything else is left to
-Catalyst/AQE, which turns a sort-merge join into a broadcast join at run time
-only when the measured shuffle output is under
+Broadcast rule used everywhere in the package: a side is hinted for broadcast
+only if it is bounded by construction (a codebook of ``K`` rows, a one-row
+statistic).  Everything else is left to Catalyst/AQE, which turns a sort-merge
+join into a broadcast join at run time only when the measured bytes are under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast iff it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap however
-    large ``df`` is.  Beyond the bound the frame is returned unhinted and the
-    join shuffles.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def join_with_suffixes(left: DataFrame, right: DataFrame, on: list[str] | str, how: str = "inner",
                        suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Pandas-style merge - clashing non-key columns get ``_x`` / ``_y``."""
@@ -52,11 +33,11 @@ def vocab_lookup(df: DataFrame, col: str, vocab: DataFrame, out: str, default: i
                  value_col: str = "value", code_col: str = "code") -> DataFrame:
     """``value -> code`` through a vocab table; unseen/null get ``default``.
 
-    The vocabulary grows with the data (one row per distinct value), so it is
-    broadcast only behind the bounded count; a huge vocabulary shuffle-joins.
+    The vocabulary grows with the data (one row per distinct value), so the
+    join carries no hint: AQE broadcasts it when its measured size is small.
     """
     v = vocab.select(F.col(value_col).alias("__v"), F.col(code_col).alias("__code"))
-    joined = df.join(bounded_broadcast(v), F.col(col).cast(v.schema["__v"].dataType) == F.col("__v"), "left")
+    joined = df.join(v, F.col(col).cast(v.schema["__v"].dataType) == F.col("__v"), "left")
     code = F.col("__code") if default is None else F.coalesce(F.col("__code"), F.lit(default))
     return joined.withColumn(out, code.cast("long")).drop("__v", "__code")
 
@@ -78,12 +59,3 @@ def embedding_lookup(df: DataFrame, key: str, ids_col: str, table: DataFrame, ou
     pooled = long_form.groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_dim", "_v"))), lambda s: s["_v"]).alias(out))
     return df.join(pooled, key, "left")
-
-
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    """Stack frames by column name; missing columns become null."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
-
-
-def eq_null_safe(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)

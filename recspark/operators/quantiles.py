@@ -12,14 +12,9 @@ Here the same exact answers come from distributed steps:
 * every wanted rank is routed to its range by that small table and found by
   an equi-join on ``(feature, range)`` plus a range filter.
 
-The interpolation is the one of ``percentile`` (and pandas / DuckDB
-``quantile_cont``): position ``(n - 1) * p`` between the two neighbouring
-order statistics.
-
-Columns whose distinct-value count (HyperLogLog, bounded buffer) is at most
-``small_distinct`` use Spark's exact aggregates directly: their value map is
-then provably small, and one aggregate job is cheaper than the distributed
-path.
+The interpolation is the one of Spark's ``percentile``: position ``(n - 1) *
+p`` between the two neighbouring order statistics, each weighted by the
+distance to the other.  All columns take this path, whatever their size.
 """
 
 from __future__ import annotations
@@ -27,14 +22,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL_DISTINCT = 1_000_000
-
-
-def _split_by_distinct(df: DataFrame, cols: list[str], limit: int) -> tuple[list[str], list[str]]:
-    nd = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in cols]).first().asDict()
-    small = [c for c in cols if nd[c] * 1.1 <= limit]
-    return small, [c for c in cols if c not in small]
-
 
 def _stack(df: DataFrame, cols: list[str]) -> DataFrame:
     kv = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
@@ -45,7 +32,7 @@ def _stack(df: DataFrame, cols: list[str]) -> DataFrame:
 def value_counts_with_rank(df: DataFrame, cols: list[str], buckets: int = 64) -> DataFrame:
     """``(feature, value, c, below, n, _b)``: ``below`` = rows with a smaller value."""
     g = _stack(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
-    probs = [i / buckets for i in range(1, buckets)]
+    probs = [i / buckets for i in range(1, buckets)] or [0.5]
     edges = g.groupBy("feature").agg(F.percentile_approx("value", probs, 10000).alias("_e"),
                                      F.sum("c").alias("n"))
     gb = (g.join(F.broadcast(edges), "feature")  # one row per feature: bounded
@@ -60,23 +47,10 @@ def value_counts_with_rank(df: DataFrame, cols: list[str], buckets: int = 64) ->
             .withColumn("below", F.col("_off") + F.col("_w")).drop("_w"))
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 64,
-                    small_distinct: int = SMALL_DISTINCT) -> dict[str, list]:
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 64) -> dict[str, list]:
     """``{column: [quantile for each p]}`` (``None`` for an all-null column)."""
     if not cols:
         return {}
-    small, large = _split_by_distinct(df, cols, small_distinct)
-    out = {}
-    if small:
-        xs = {c: F.col(c).cast("double") for c in small}
-        row = df.agg(*[F.percentile(F.when(~F.isnan(x), x), F.lit(probs)).alias(c) for c, x in xs.items()]).first()
-        out.update({c: (list(row[c]) if row[c] is not None else None) for c in small})
-    if large:
-        out.update(_distributed_quantiles(df, large, probs, buckets))
-    return {c: out[c] for c in cols}
-
-
-def _distributed_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int) -> dict[str, list]:
     from recspark.session import cut_lineage
     ranked = cut_lineage(value_counts_with_rank(df, cols, buckets))  # read three times below
     spark = df.sparkSession
@@ -111,27 +85,21 @@ def _distributed_quantiles(df: DataFrame, cols: list[str], probs: list[float], b
         for i in range(len(probs)):
             lo, frac = got[(c, i, 0)]
             hi, _ = got[(c, i, 1)]
-            vals.append(lo + frac * (hi - lo) if frac else lo)
+            vals.append((1 - frac) * lo + frac * hi if frac else lo)
         out[c] = vals
     return out
 
 
-def exact_modes(df: DataFrame, cols: list[str], small_distinct: int = SMALL_DISTINCT) -> dict[str, object]:
+def exact_modes(df: DataFrame, cols: list[str]) -> dict[str, object]:
     """Most frequent non-null value per column; ties -> smallest value (pandas ``mode()[0]``).
 
-    The large path is a T3 arg-max: ``min_by(value, (-count, value))``.
+    A T3 arg-max over distributed counts: ``min_by(value, (-count, value))``.
     """
-    if not cols:
-        return {}
-    small, large = _split_by_distinct(df, cols, small_distinct)
-    out = {}
-    if small:
-        row = df.agg(*[F.mode(c, deterministic=True).alias(c) for c in small]).first()
-        out.update({c: row[c] for c in small})
+    out: dict[str, object] = {}
     by_type: dict[str, list[str]] = {}
-    for c in large:
+    for c in cols:
         by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
-    for typ, cs in by_type.items():
+    for cs in by_type.values():
         kv = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in cs]))
         counts = (df.select(kv.alias("_kv")).select("_kv.*").where(F.col("value").isNotNull())
                   .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))

@@ -1,13 +1,11 @@
 """Dense 0-based codes over a sort order, per group, without a global window.
 
-``dense_codes`` gives every row of ``df`` (distinct on ``group + order``)
-its position inside its group under the given order.  Small inputs (proved by
-a bounded count) use one ``row_number`` window.  Large inputs are
-range-partitioned on ``group + order``, cut from their lineage with a reliable
-checkpoint (so partition ids are fixed), numbered inside each partition, and
-shifted by the per-partition counts of earlier partitions - a table of at most
-``partitions x groups`` rows.  No task ever holds more than one range
-partition.
+``dense_codes`` gives every row of ``df`` (distinct on ``group + order``) its
+position inside its group under the given order.  Rows are range-partitioned
+on ``group + order``, cut from their lineage with a reliable checkpoint (so
+partition ids are fixed), numbered inside each partition, and shifted by the
+counts of earlier partitions - a table of at most ``partitions x groups``
+rows.  No task ever holds more than one range partition, at any size.
 """
 
 from __future__ import annotations
@@ -17,14 +15,9 @@ from pyspark.sql import functions as F
 
 from recspark.session import cut_lineage
 
-SMALL_ROWS = 1_000_000
-
 
 def dense_codes(df: DataFrame, group: list[str], order: list[Column], out: str = "code",
-                small_rows: int = SMALL_ROWS, partitions: int | None = None) -> DataFrame:
-    if df.limit(small_rows + 1).count() <= small_rows:
-        w = Window.partitionBy(*group).orderBy(*order) if group else Window.orderBy(*order)
-        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+                partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g) for g in group] + list(order)
@@ -36,6 +29,6 @@ def dense_codes(df: DataFrame, group: list[str], order: list[Column], out: str =
     counts = ranged.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
         Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (local.join(F.broadcast(offsets.select("_pid", *group, "_off")), ["_pid", *group])
+    return (local.join(offsets.select("_pid", *group, "_off"), ["_pid", *group])
             .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))
             .drop("_pid", "_local", "_off"))

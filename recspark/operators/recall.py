@@ -1,11 +1,11 @@
 """Rule recall and route merging.
 
 Rule recall (``recall_by_field``): items whose ``field`` equals the request's
-value, in a repeatable pseudo-random order, first ``n`` kept.  The order is
-``md5(item || seed)`` *per field value*, so the top ``n`` of every value is
-computed once (a ``WindowGroupLimit`` trims each map partition before the
-shuffle) and then joined to the requests - the join emits at most ``n`` rows
-per request however many items share a popular value.
+value, ``n`` of them in a repeatable pseudo-random order of the request's own.
+The items of a value are numbered once, in the order of ``md5(item || seed)``;
+a request starts at a place hashed from its id and takes ``n`` items from there
+on, around the end.  The join is an equi-join on (value, place), so it emits at
+most ``n`` rows per request and a popular value spreads over its places.
 
 Route merge (``merge_routes``): routes are concatenated in priority order; an
 item seen in an earlier route is dropped from later ones; the kept copy is
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.fixed import ROUTE_SCORE_SCALE
-from recspark.operators.swing import top_k_per_key
+from recspark.operators.ranking import dense_codes
 
 
 def shuffle_key(item_col: str, seed: int | str) -> F.Column:
@@ -33,13 +33,19 @@ def recall_by_field(requests: DataFrame, items: DataFrame, field: str, n: int, s
     """``(request_id, item_id, route, pos)`` with ``pos`` 0-based.
 
     ``requests`` has ``request_id`` and ``field`` (the wanted value); ``items``
-    has ``item_id`` and ``field``.
+    has ``item_id`` and ``field``.  A value with fewer than ``n`` items gives
+    them all.  Requests without a value get nothing.
     """
-    ranked = top_k_per_key(items.select(item_col, field).withColumn("_k", shuffle_key(item_col, seed)),
-                           field, [F.col("_k"), F.col(item_col)], n, ties="row_number", rank_col="_rn")
-    out = requests.select(request_col, field).join(ranked, field)
-    return out.select(request_col, item_col, F.lit(route or field).alias("route"),
-                      (F.col("_rn") - 1).cast("int").alias("pos"))
+    known = items.select(item_col, field).where(F.col(field).isNotNull()).distinct()
+    places = dense_codes(known.withColumn("_k", shuffle_key(item_col, seed)), [field], [F.col("_k"), F.col(item_col)],
+                         out="_place").select(field, item_col, "_place")
+    sizes = known.groupBy(field).agg(F.count(F.lit(1)).alias("_size"))
+    start = F.conv(F.substring(shuffle_key(request_col, seed), 1, 15), 16, 10).cast("long")
+    wanted = (requests.select(request_col, field).join(sizes, field)
+              .withColumn("pos", F.explode(F.sequence(F.lit(0), F.least(F.lit(n), F.col("_size")).cast("int") - 1)))
+              .withColumn("_place", (F.pmod(start, "_size") + F.col("pos")) % F.col("_size")))
+    out = wanted.join(places, [field, "_place"])
+    return out.select(request_col, item_col, F.lit(route or field).alias("route"), "pos")
 
 
 def route_positions(df: DataFrame, request_col: str = "request_id", order: str = "pos") -> DataFrame:

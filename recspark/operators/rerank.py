@@ -173,15 +173,14 @@ def _sim_columns(fields: list[str], list_fields: set[str], mode: str, other: str
 
 
 def mmr_iterative(cands: DataFrame, k: int, lam: float, fields: list[str], mode: str,
-                  request_col: str = "request_id", item_col: str = "item_id",
-                  checkpoint_every: int = 4) -> DataFrame:
+                  request_col: str = "request_id", checkpoint_every: int = 4) -> DataFrame:
     """The greedy loop as ``k`` rounds of DataFrame operations (for hot requests).
 
     Each round takes the best unpicked candidate per request with ``min_by`` (T3)
     over ``(-mmr, pos)`` - a partial aggregate, so a request with millions of
     candidates is spread over many tasks - then updates every candidate's
-    running maximum similarity against the pick (the picks are one row per
-    request and broadcast).  Lineage is cut with a reliable checkpoint every
+    running maximum similarity against the pick (one row per request).  Picks
+    go by ``(request, pos)``, so an item may stand in a request several times.  Lineage is cut with a reliable checkpoint every
     ``checkpoint_every`` rounds.  Same tie rules and float order as the pandas
     path.
     """
@@ -196,15 +195,15 @@ def mmr_iterative(cands: DataFrame, k: int, lam: float, fields: list[str], mode:
             div = F.lit(1.0) if t == 1 else F.lit(1.0) - F.col("_ms")
             mmr = F.lit(lam) * div + F.lit(1 - lam) * F.col("score")
         best = (cur.where(alive).withColumn("_mmr", mmr).groupBy(request_col)
-                .agg(F.min_by(item_col, F.struct((-F.col("_mmr")).alias("a"), F.col("pos").alias("b"))).alias("_pick")))
-        picked = (cur.join(best, request_col).where(F.col(item_col) == F.col("_pick"))
-                  .select(request_col, *[F.col(f).alias("_p_" + f) for f in fields], F.col(item_col).alias("_pick")))
-        j = cur.join(F.broadcast(picked), request_col, "left")
+                .agg(F.min_by("pos", F.struct((-F.col("_mmr")).alias("a"), F.col("pos").alias("b"))).alias("_pick")))
+        picked = (cur.join(best, request_col).where(F.col("pos") == F.col("_pick"))
+                  .select(request_col, *[F.col(f).alias("_p_" + f) for f in fields], F.col("pos").alias("_pick")))
+        j = cur.join(picked, request_col, "left")
         sim = _sim_columns(fields, list_fields, mode, "_p_")
         cur = j.select(*cands.columns,
                        F.when(F.col("_pick").isNotNull() & alive, F.greatest(F.col("_ms"), sim))
                        .otherwise(F.col("_ms")).alias("_ms"),
-                       F.when(F.col(item_col) == F.col("_pick"), F.lit(t)).otherwise(F.col("_rank")).alias("_rank"))
+                       F.when(F.col("pos") == F.col("_pick"), F.lit(t)).otherwise(F.col("_rank")).alias("_rank"))
         if t % checkpoint_every == 0 and t < k:
             cur = cut_lineage(cur)
     return cur.where(F.col("_rank").isNotNull()).withColumnRenamed("_rank", "mmr_rank").drop("_ms")
@@ -212,19 +211,19 @@ def mmr_iterative(cands: DataFrame, k: int, lam: float, fields: list[str], mode:
 
 def mmr_rerank(cands: DataFrame, k: int, lam: float, fields: list[str], mode: str = "relevance",
                request_col: str = "request_id", item_col: str = "item_id", trim: bool = True,
-               requests_per_task: int = 2000, max_pool: int = 100_000) -> DataFrame:
+               rows_per_task: int = 200_000, max_pool: int = 100_000) -> DataFrame:
     """K3 (``mode='relevance'``: ``lam*score - (1-lam)*max_sim``, K1 similarity) and
     K4 (``mode='diversity'``: ``lam*(1-max_sim) + (1-lam)*score``, K2 similarity).
 
     ``cands``: ``request_id, item_id, score, pos`` and the field columns (list
     fields as arrays).  Output: the same columns plus ``mmr_rank`` 1..k.
 
-    Requests are packed into hash buckets of about ``requests_per_task``
-    requests (the bucket count is an approximate distinct count evaluated as a
-    scalar subquery), so one pandas call serves many small requests; a request
-    never spans buckets.  Requests whose (trimmed) pool exceeds ``max_pool``
-    rows are found by a bounded count and go through ``mmr_iterative``
-    instead, so no single pandas call ever holds an unbounded pool.
+    ``pos`` must be unique within a request.  Requests are packed into hash
+    buckets of about ``rows_per_task`` pool rows, so one pandas call serves
+    many small requests; a request never spans buckets.  Requests whose
+    (trimmed) pool exceeds ``max_pool`` rows go through ``mmr_iterative``
+    instead, which picks the same rows, so no pandas call holds an unbounded
+    pool.
     """
     check_params(lam, fields, mode)
     list_fields = {f for f in fields if isinstance(cands.schema[f].dataType, T.ArrayType)}
@@ -243,21 +242,16 @@ def mmr_rerank(cands: DataFrame, k: int, lam: float, fields: list[str], mode: st
     # the trimmed pool is read twice (pool-size check, rerank): materialise it once
     from recspark.session import cut_lineage
     c = cut_lineage(c)
-    hot = (c.groupBy(request_col).agg(F.count(F.lit(1)).alias("_pool"))
-           .where(F.col("_pool") > max_pool).select(request_col))
-    n_hot = hot.limit(10_001).count()
-    if n_hot > 0:
-        keys = F.broadcast(hot) if n_hot <= 10_000 else hot
-        big = c.join(keys, request_col, "left_semi")
-        rest = c.join(keys, request_col, "left_anti")
-        out_big = mmr_iterative(big, k, lam, fields, mode, request_col, item_col)
-        out_rest = mmr_rerank(rest, k, lam, fields, mode, request_col, item_col, trim=False,
-                              requests_per_task=requests_per_task, max_pool=1 << 62)
+    pools = c.groupBy(request_col).agg(F.count(F.lit(1)).alias("_pool"))
+    size = pools.agg(F.sum("_pool").alias("rows"), F.max("_pool").alias("most")).first()
+    if (size["most"] or 0) > max_pool:
+        hot = pools.where(F.col("_pool") > max_pool).select(request_col)
+        out_big = mmr_iterative(c.join(hot, request_col, "left_semi"), k, lam, fields, mode, request_col)
+        out_rest = mmr_rerank(c.join(hot, request_col, "left_anti"), k, lam, fields, mode, request_col, item_col,
+                              trim=False, rows_per_task=rows_per_task, max_pool=max_pool)
         return out_rest.unionByName(out_big.select(*out_rest.columns))
-    # bucket count as a scalar subquery of the same plan (no separate eager job)
-    n_req = c.agg(F.approx_count_distinct(request_col)).scalar()
-    buckets = F.greatest(F.lit(1).cast("long"), F.ceil(n_req / F.lit(float(requests_per_task))).cast("long"))
-    c = c.withColumn("_bucket", F.pmod(F.xxhash64(request_col), buckets))
+    buckets = -(-(size["rows"] or 1) // rows_per_task)
+    c = c.withColumn("_bucket", F.pmod(F.xxhash64(request_col), F.lit(buckets)))
     schema = T.StructType(list(c.schema.fields) + [T.StructField("mmr_rank", T.IntegerType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

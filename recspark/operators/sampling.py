@@ -7,7 +7,7 @@ rows).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.functions.hashing import hex_prefix_bucket
@@ -30,31 +30,62 @@ def fold_rare(df: DataFrame, cols: list[str], min_count: int, token: str = "__ra
     return out
 
 
+_SLICES = 256
+
+
+def _before(df: DataFrame, user: str, value: str, count: Column, out: str, ties: list[str]) -> DataFrame:
+    """Add the sum of ``count`` over the user's rows before each row in the order of ``value`` and ``ties``.
+
+    The order is cut into slices (``_slice``): a window never holds more than
+    one user's slice, and the sums of earlier slices come from a table of at
+    most ``_SLICES`` rows a user.
+    """
+    sums = df.groupBy(user, "_slice").agg(F.sum(count).alias("_sum"))
+    earlier = Window.partitionBy(user).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(F.col(user).alias("_u"), F.col("_slice").alias("_s"),
+                       F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(user, "_slice").orderBy(value, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    return (df.withColumn("_in", F.coalesce(F.sum(count).over(inside), F.lit(0)))
+            .join(sums, F.col(user).eqNullSafe(F.col("_u")) & (F.col("_slice") == F.col("_s")))
+            .withColumn(out, F.col("_off") + F.col("_in")).drop("_u", "_s", "_off", "_in"))
+
+
 def negative_samples(pos: DataFrame, items: DataFrame, n: int = 2, seed: int = 7, user: str = "user_id",
-                     item: str = "item_id", max_tries: int = 4) -> DataFrame:
-    """Pair every positive ``(user, item)`` with up to ``n`` other items.
-
-    Candidates are picked by an md5 hash of ``(user, item, draw, seed)`` into a
-    dense numbering of the items (an equi-join on that number - no cartesian
-    product), and known positives are removed with a ``left_anti`` join.
-    ``max_tries * n`` draws are made and the first ``n`` survivors kept, so a
-    user who bought most of the catalogue may get fewer than ``n``.
+                     item: str = "item_id") -> DataFrame:
+    """Pair every positive ``(user, item)`` with ``n`` distinct items the user has none of.
+
+    Items are numbered densely.  A user with ``c`` known items has ``m = N - c``
+    others; a positive's start among those is an md5 hash of ``(user, item,
+    seed)`` modulo ``m``, and its further draws follow at equal strides, so they
+    differ.  The ``r``-th other item is the item numbered ``r`` plus the known
+    items at or below it, which one merge of draws and known items counts.  Only
+    a user who has all but fewer than ``n`` items gets fewer (all there are).
     Output ``(user, item, label)`` with the positives (label 1) included.
     """
     from recspark.operators.ranking import dense_codes
-    cat = dense_codes(items.select(F.col(item).alias("_neg")).distinct(), [], [F.col("_neg")], out="_slot")
+    catalogue = items.select(F.col(item).alias("_neg")).where(F.col("_neg").isNotNull()).distinct()
+    cat = dense_codes(catalogue, [], [F.col("_neg")], out="_slot")
     n_items = cat.agg(F.count(F.lit(1))).scalar()
-    draws = pos.select(user, item).withColumn("_draw", F.explode(F.sequence(F.lit(1), F.lit(n * max_tries))))
-    key = F.concat_ws("|", F.col(user).cast("string"), F.col(item).cast("string"), F.col("_draw").cast("string"),
-                      F.lit(str(seed)))
+    slice_of = lambda c: F.floor(c * _SLICES / n_items)
+
+    known = (pos.select(user, F.col(item).alias("_neg")).distinct().join(cat, "_neg")
+             .select(user, "_slot").withColumn("_slice", slice_of(F.col("_slot"))))
+    known = _before(known, user, "_slot", F.lit(1), "_i", [])
+    known = known.select(user, (F.col("_slot") - F.col("_i")).alias("_r"), F.lit(0).alias("_draw"),
+                         F.lit(None).cast(pos.schema[item].dataType).alias(item))
+    free = known.groupBy(F.col(user).alias("_u")).agg((n_items - F.count(F.lit(1))).alias("_m"))
+    key = F.concat_ws("|", F.col(user).cast("string"), F.col(item).cast("string"), F.lit(str(seed)))
     first60 = F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")  # 15 hex digits: always >= 0
-    draws = draws.withColumn("_slot", F.pmod(first60, n_items))
-    cand = draws.join(cat, "_slot").where(F.col("_neg") != F.col(item))
-    known = pos.select(F.col(user).alias("_u"), F.col(item).alias("_neg"))
-    cand = cand.join(known, (cand[user] == known["_u"]) & (cand["_neg"] == known["_neg"]), "left_anti")
-    w = Window.partitionBy(user, item).orderBy("_draw")
-    negs = (cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
-            .select(user, F.col("_neg").alias(item), F.lit(0).alias("label")))
+    draws = (pos.select(user, item).join(free, F.col(user).eqNullSafe(F.col("_u")), "left")
+             .withColumn("_m", F.coalesce("_m", n_items)).where(F.col("_m") > 0)
+             .withColumn("_n", F.least(F.lit(n).cast("long"), F.col("_m")))
+             .withColumn("_draw", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+             .withColumn("_r", (F.pmod(first60, "_m") + (F.col("_draw") - 1) * F.floor(F.col("_m") / F.col("_n"))) % F.col("_m")))
+    both = known.unionByName(draws.select(user, "_r", F.col("_draw").cast("int"), item))
+    both = _before(both.withColumn("_slice", slice_of(F.col("_r"))), user, "_r",
+                   (F.col("_draw") == 0).cast("long"), "_known", ["_draw"])
+    negs = (both.where(F.col("_draw") > 0).withColumn("_slot", F.col("_r") + F.col("_known"))
+            .join(cat, "_slot").select(user, F.col("_neg").alias(item), F.lit(0).alias("label")))
     return pos.select(user, item, F.lit(1).alias("label")).unionByName(negs)
 
 

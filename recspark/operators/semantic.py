@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recspark.functions.scalars import prefix_ngrams, sq_l2_distance, vec_add, vec_sub
+from recspark.functions.scalars import prefix_ngrams, sq_l2_distance, vec_sub
 
 
 def _codebook_value(codebook: DataFrame, layer: int) -> Column:
@@ -93,4 +93,4 @@ def rq_fit(df: DataFrame, vec: str, layers: int, k: int, seed: int = 1, max_iter
     return out
 
 
-__all__ = ["rq_encode", "rq_loss", "semantic_id", "prefix_embedding", "rq_fit", "vec_add"]
+__all__ = ["rq_encode", "rq_loss", "semantic_id", "prefix_embedding", "rq_fit"]

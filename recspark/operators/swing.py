@@ -12,20 +12,19 @@ Plan shape (every step is a DataFrame operator, one lazy plan):
    hot item costs nothing extra) and attached to the distinct rows *before*
    pairs exist.  The pair table - by far the largest intermediate - is then
    never joined again; it is aggregated once and ranked once.
-3. Pairs by an equi self-join on ``user`` with ``a.item < b.item``.  A user
-   with more than ``hot_user_rows`` log rows is split: its left rows get a salt
-   ``pmod(xxhash64(item), n_salt)`` and its right rows are replicated over
-   ``0..n_salt-1``, so its ``n^2`` pair work is spread over ``n_salt`` tasks
-   instead of one.  Every pair is still produced exactly once.
+3. Pairs by an equi self-join on ``(user, block, block)``: a user's items are
+   dealt by hash into blocks of about ``block_items``, and every pair of blocks
+   is a join key of its own, on both sides.  A task therefore never faces more
+   than ``block_items ** 2`` pairs of one key, whatever the user; a user with
+   few items has one block.  Every pair of items is produced exactly once.
 4. ``groupBy(item1, item2).count()`` with partial aggregation.
 5. ``rank``/``row_number`` over ``item1`` filtered to ``<= k``; Spark plans this
    as a ``WindowGroupLimit`` that trims each map partition to ``k`` rows per
    item before the shuffle.
 
-The pair filter ``item1 < item2`` (P6) is part of the join condition.  Items
-per user as a ``collect_set`` list (A2) are deliberately not built: that list
-is an unbounded per-user group in one task; the equi self-join gives the same
-pairs with the hot-user split above.
+The pair order ``item1 < item2`` (P6) is settled by the join.  Items per user
+as a ``collect_set`` list (A2) are deliberately not built: that list is an
+unbounded per-user group in one task.
 """
 
 from __future__ import annotations
@@ -33,7 +32,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recspark.operators.joins import bounded_broadcast
+
+BLOCK_ITEMS = 2000
 
 
 def interactions(df: DataFrame, user: str, item: str, ts: str | None = None) -> DataFrame:
@@ -60,54 +60,36 @@ def time_window_filter(df: DataFrame, days: int | None, ts: str = "ts", as_of=No
     return df.where(F.col(ts) >= bound)
 
 
-def _salt_plan(log: DataFrame, hot_user_rows: int, max_hot_users: int) -> DataFrame | None:
-    """Users with more than ``hot_user_rows`` log rows and their salt count.
-
-    The raw row count per user (one map-side-combined aggregate over the
-    user column) bounds the distinct-item count from above, which is all the
-    salting needs: both join sides read the same salt count.  Returns
-    ``None`` when there is no hot user.  The table has at most
-    ``rows / hot_user_rows`` entries; it is broadcast only after a bounded
-    count proves it holds at most ``max_hot_users`` rows, otherwise it is
-    joined by a shuffle (AQE splits the skewed side).
-    """
-    hot = (log.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > hot_user_rows)
-           .select("user_id", F.ceil(F.col("_n") / F.lit(hot_user_rows)).cast("int").alias("_n_salt")))
-    n_hot = hot.limit(max_hot_users + 1).count()
-    if n_hot == 0:
-        return None
-    return F.broadcast(hot) if n_hot <= max_hot_users else hot
+def _item_rows(log: DataFrame) -> DataFrame:
+    """Distinct ``(user_id, item_id)`` with the item's users ``n`` and the user's items ``m``."""
+    ui = (log.select("user_id", "item_id")
+          .where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull()).distinct())
+    n = ui.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+    m = ui.groupBy("user_id").agg(F.count(F.lit(1)).alias("m"))
+    return ui.join(n, "item_id").join(m, "user_id")
 
 
-def _pairs(side: DataFrame, salts: DataFrame | None) -> DataFrame:
+def _pairs(side: DataFrame, block_items: int) -> DataFrame:
     """All ``(item1 < item2)`` pairs sharing a user, with the item user counts."""
-    if salts is None:
-        # both sides are the same frame, so the shuffle by user is computed once and reused
-        s = side.select("user_id", "item_id", "n")
-        a, b = s.alias("a"), s.alias("b")
-        return a.join(b, (F.col("a.user_id") == F.col("b.user_id")) & (F.col("a.item_id") < F.col("b.item_id"))) \
-            .select(F.col("a.item_id").alias("item1"), F.col("b.item_id").alias("item2"),
-                    F.col("a.n").alias("item1_user_count"), F.col("b.n").alias("item2_user_count"))
-    s = side.join(salts, "user_id", "left")
-    a = s.select("user_id", F.col("item_id").alias("item1"), F.col("n").alias("item1_user_count"),
-                 F.when(F.col("_n_salt").isNull(), F.lit(0))
-                 .otherwise(F.pmod(F.xxhash64("item_id"), F.col("_n_salt"))).cast("int").alias("_salt"))
-    b = s.select("user_id", F.col("item_id").alias("item2"), F.col("n").alias("item2_user_count"),
-                 F.explode(F.when(F.col("_n_salt").isNull(), F.array(F.lit(0)))
-                           .otherwise(F.sequence(F.lit(0), F.col("_n_salt") - 1))).alias("_salt"))
-    return a.join(b, ["user_id", "_salt"]).where(F.col("item1") < F.col("item2"))
-
-
-def swing_cooccurrence(df: DataFrame, hot_user_rows: int = 50_000, max_hot_users: int = 200_000) -> DataFrame:
+    blocks = F.ceil(F.col("m") / F.lit(block_items)).cast("int")
+    s = (side.withColumn("_blocks", blocks)
+         .withColumn("_own", F.pmod(F.xxhash64("item_id"), F.col("_blocks")).cast("int")))
+    # the left side stands for the lower block, the right side for the higher or the same one
+    a = s.select("user_id", F.col("item_id").alias("x"), F.col("n").alias("nx"), F.col("_own").alias("_i"),
+                 F.explode(F.sequence(F.col("_own"), F.col("_blocks") - 1)).alias("_j"))
+    b = s.select("user_id", F.col("item_id").alias("y"), F.col("n").alias("ny"), F.col("_own").alias("_j"),
+                 F.explode(F.sequence(F.lit(0), F.col("_own"))).alias("_i"))
+    joined = a.join(b, ["user_id", "_i", "_j"]).where((F.col("_i") < F.col("_j")) | (F.col("x") < F.col("y")))
+    first = F.col("x") < F.col("y")
+    pick = lambda p, q: F.when(first, F.col(p)).otherwise(F.col(q))
+    return joined.select(pick("x", "y").alias("item1"), pick("y", "x").alias("item2"),
+                         pick("nx", "ny").alias("item1_user_count"), pick("ny", "nx").alias("item2_user_count"))
+
+
+def swing_cooccurrence(df: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """R1 + A1 + J6: ``(item1, item2, co_occurrence_count, item1_user_count, item2_user_count)``."""
-    log = df.select("user_id", "item_id").where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
-    salts = _salt_plan(log.select("user_id"), hot_user_rows, max_hot_users)
-    ui = log.distinct()
-    n = ui.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
-    side = ui.join(n, "item_id")
-    pairs = _pairs(side, salts)
-    return (pairs.groupBy("item1", "item2", "item1_user_count", "item2_user_count")
+    return (_pairs(_item_rows(df), block_items)
+            .groupBy("item1", "item2", "item1_user_count", "item2_user_count")
             .agg(F.count(F.lit(1)).alias("co_occurrence_count")))
 
 
@@ -151,44 +133,39 @@ def swing_recommend(scores: DataFrame, k: int = 10, ties: str = "rank") -> DataF
 
 
 def swing(df: DataFrame, days: int | None = None, k: int = 10, ties: str = "rank",
-          symmetric: bool = False, as_of=None, hot_user_rows: int = 50_000) -> DataFrame:
+          symmetric: bool = False, as_of=None, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """Window filter -> co-occurrence -> score -> top-k.
 
     ``df`` has ``user_id, item_id`` and, when ``days`` is set, ``ts``.
     """
     data = time_window_filter(df, days, as_of=as_of) if days is not None else df
-    co = swing_cooccurrence(data, hot_user_rows=hot_user_rows)
+    co = swing_cooccurrence(data, block_items=block_items)
     return swing_recommend(swing_scores(co, symmetric=symmetric), k=k, ties=ties)
 
 
-def swing_sql(spark, log: DataFrame, k: int = 10, days: int | None = None, prefix: str = "swing") -> DataFrame:
-    """R1-R4 in Spark SQL over temp views - the form of the SQL (CTAS) variant.
+def swing_sql(spark, log: DataFrame, k: int = 10, days: int | None = None, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """R1-R4 in Spark SQL - the form of the SQL (CTAS) variant.
 
-    Each step is a temp view (``<prefix>_ui``, ``_cnt``, ``_co``, ``_score``)
-    instead of a materialised table; Catalyst plans the whole chain as one
-    query.  Top-k uses ``ROW_NUMBER`` with ``item2`` as tie-break.  ``log``
+    The steps are common table expressions instead of materialised tables and
+    Catalyst plans the whole chain as one query, with the blocks of step 3 on
+    both sides.  Top-k uses ``ROW_NUMBER`` with ``item2`` as tie-break.  ``log``
     has ``user_id, item_id`` (and ``ts`` when ``days`` is set).
     """
-    import uuid
-    p = f"{prefix}_{uuid.uuid4().hex[:8]}"
-    log.createOrReplaceTempView(f"{p}_log")
-    where = (f"WHERE ts >= (SELECT max(ts) FROM {p}_log) - make_interval(0, 0, 0, {int(days)})"
+    where = ("ts >= (SELECT max(ts) FROM {log}) - make_interval(0, 0, 0, " + str(int(days)) + ") AND"
              if days is not None else "")
-    spark.sql(f"""CREATE OR REPLACE TEMP VIEW {p}_ui AS
-        SELECT DISTINCT user_id, item_id FROM {p}_log {where}
-        {'AND' if where else 'WHERE'} user_id IS NOT NULL AND item_id IS NOT NULL""")
-    spark.sql(f"""CREATE OR REPLACE TEMP VIEW {p}_cnt AS
-        SELECT item_id, COUNT(*) AS n FROM {p}_ui GROUP BY item_id""")
-    spark.sql(f"""CREATE OR REPLACE TEMP VIEW {p}_co AS
-        SELECT a.item_id AS item1, b.item_id AS item2, COUNT(*) AS co
-        FROM {p}_ui a JOIN {p}_ui b ON a.user_id = b.user_id AND a.item_id < b.item_id
-        GROUP BY a.item_id, b.item_id""")
-    spark.sql(f"""CREATE OR REPLACE TEMP VIEW {p}_score AS
-        SELECT co.item1, co.item2, CAST(co.co AS DOUBLE) / (c1.n + c2.n - co.co) AS swing_score
-        FROM {p}_co co JOIN {p}_cnt c1 ON c1.item_id = co.item1 JOIN {p}_cnt c2 ON c2.item_id = co.item2
-        WHERE c1.n + c2.n - co.co > 0""")
     return spark.sql(f"""
+        WITH ui AS (SELECT DISTINCT user_id, item_id FROM {{log}}
+                    WHERE {where} user_id IS NOT NULL AND item_id IS NOT NULL),
+        cnt AS (SELECT item_id, COUNT(*) AS n FROM ui GROUP BY item_id),
+        usr AS (SELECT user_id, CAST(CEIL(COUNT(*) / {int(block_items)}) AS INT) AS blocks FROM ui GROUP BY user_id),
+        side AS (SELECT user_id, item_id, n, blocks, CAST(PMOD(XXHASH64(item_id), blocks) AS INT) AS own
+                 FROM ui JOIN cnt USING (item_id) JOIN usr USING (user_id)),
+        a AS (SELECT user_id, item_id AS x, n AS nx, own AS i, EXPLODE(SEQUENCE(own, blocks - 1)) AS j FROM side),
+        b AS (SELECT user_id, item_id AS y, n AS ny, own AS j, EXPLODE(SEQUENCE(0, own)) AS i FROM side),
+        co AS (SELECT LEAST(x, y) AS item1, GREATEST(x, y) AS item2, nx + ny AS users, COUNT(*) AS co
+               FROM a JOIN b USING (user_id, i, j) WHERE i < j OR x < y GROUP BY 1, 2, 3),
+        score AS (SELECT item1, item2, CAST(co AS DOUBLE) / (users - co) AS swing_score FROM co WHERE users - co > 0)
         SELECT item1, item2, swing_score, rank FROM (
           SELECT item1, item2, swing_score,
                  ROW_NUMBER() OVER (PARTITION BY item1 ORDER BY swing_score DESC, item2) AS rank
-          FROM {p}_score) WHERE rank <= {int(k)}""")
+          FROM score) WHERE rank <= {int(k)}""", log=log)

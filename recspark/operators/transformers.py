@@ -21,7 +21,6 @@ from recspark.fixed import DEFAULT_FILL_VALUE, DEFAULT_HASH_SEED, SUFFIX_BIN, SU
 from recspark.functions import scalars as S
 from recspark.functions.hashing import list_hash, str_hash
 from recspark.operators.base import Estimator, Model, Stateless
-from recspark.operators.joins import bounded_broadcast
 from recspark.operators.quantiles import exact_modes, exact_quantiles
 from recspark.operators.ranking import dense_codes
 from recspark.session import cut_lineage
@@ -102,10 +101,17 @@ class MissingValueFiller(Estimator):
 
 
 class FillModel(Model):
+    """A fractional statistic of a whole-number column widens the column to double."""
+
     def transform(self, df: DataFrame) -> DataFrame:
         vals = {c: v for c, v in self.state["values"].items() if c in df.columns}
-        return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
-                               for c, v in vals.items()}) if vals else df
+
+        def filled(c, v):
+            kind = df.schema[c].dataType
+            if isinstance(kind, T.IntegralType) and isinstance(v, float) and v != int(v):
+                return F.coalesce(F.col(c).cast("double"), F.lit(v))
+            return F.coalesce(F.col(c), F.lit(v).cast(kind))
+        return df.withColumns({c: filled(c, v) for c, v in vals.items()}) if vals else df
 
 
 # --------------------------------------------------------------------------- E2
@@ -251,7 +257,7 @@ class VocabModel(Model):
         for c, o in outs.items():
             default = 0 if self.state["unseen"] == "zero" else int(self.state["sizes"].get(c, 0))
             v = vocab.where(F.col("feature") == c).select(F.col("value").alias("_v"), F.col("code").alias("_code"))
-            out = (out.join(bounded_broadcast(v), F.col(c).cast("string") == F.col("_v"), "left")
+            out = (out.join(v, F.col(c).cast("string") == F.col("_v"), "left")
                    .withColumn(o, F.coalesce(F.col("_code"), F.lit(default)).cast("long"))
                    .drop("_v", "_code"))
         return out
@@ -331,13 +337,14 @@ class MultivaluedProcessor(Stateless):
     @staticmethod
     def expr(s: MultiValueSpec) -> Column:
         v: Column = F.col(s.col_in)
+        hashed = False
         for op in s.ops:
             if op == "split":
                 v = S.str_to_list(v, s.sep)
             elif op == "hash":
-                v = list_hash(v, s.vocabulary_size, s.hash_method)
+                v, hashed = list_hash(v, s.vocabulary_size, s.hash_method), True
             elif op == "pad":
-                v = S.padding(v, s.max_len, s.padding_value)
+                v = S.padding(v, s.max_len, s.padding_value, None if hashed else "string")
             else:
                 raise ValueError(f"unknown multi-value op {op!r}")
         return v

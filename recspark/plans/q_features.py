@@ -342,13 +342,15 @@ WITH pos AS (SELECT DISTINCT o.o_custkey AS user_id, l.l_partkey AS item_id
              FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 cat AS (SELECT p_partkey AS neg, row_number() OVER (ORDER BY p_partkey) - 1 AS slot FROM (SELECT DISTINCT p_partkey FROM part)),
 nc AS (SELECT count(*) AS n FROM cat),
+kn AS (SELECT DISTINCT user_id, item_id FROM pos JOIN cat ON neg = item_id),
+u AS (SELECT user_id, (SELECT n FROM nc) - count(kn.item_id) AS m FROM (SELECT DISTINCT user_id FROM pos) LEFT JOIN kn USING (user_id) GROUP BY 1),
+others AS (SELECT user_id, neg, row_number() OVER (PARTITION BY user_id ORDER BY neg) - 1 AS r
+           FROM u CROSS JOIN cat WHERE NOT EXISTS (SELECT 1 FROM kn WHERE kn.user_id = u.user_id AND kn.item_id = neg)),
 d AS (SELECT user_id, item_id, draw,
-             (('0x' || substr(md5(CAST(user_id AS VARCHAR) || '|' || CAST(item_id AS VARCHAR) || '|' || CAST(draw AS VARCHAR) || '|7'), 1, 15))::BIGINT
-              ) % (SELECT n FROM nc) AS slot
-      FROM pos, range(1, 9) AS r(draw)),
-c AS (SELECT d.user_id, d.item_id, d.draw, cat.neg FROM d JOIN cat USING (slot) WHERE cat.neg <> d.item_id
-      AND NOT EXISTS (SELECT 1 FROM pos p WHERE p.user_id = d.user_id AND p.item_id = cat.neg)),
-k AS (SELECT user_id, neg FROM c QUALIFY row_number() OVER (PARTITION BY user_id, item_id ORDER BY draw) <= 2)
+             ((('0x' || substr(md5(CAST(user_id AS VARCHAR) || '|' || CAST(item_id AS VARCHAR) || '|7'), 1, 15))::BIGINT) % m
+              + draw * (m // least(2, m))) % m AS r
+      FROM pos JOIN u USING (user_id), range(0, 2) AS x(draw) WHERE m > 0 AND draw < least(2, m)),
+k AS (SELECT d.user_id, others.neg FROM d JOIN others ON others.user_id = d.user_id AND others.r = d.r)
 SELECT user_id, item_id, 1 AS label FROM pos
 UNION ALL SELECT user_id, neg, 0 FROM k""")
 def q_neg(spark, sf):

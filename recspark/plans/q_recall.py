@@ -55,11 +55,16 @@ req AS (SELECT a.user_id AS request_id, a.author, t.topic FROM
         (SELECT user_id, author, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, author) AS r FROM fa) a
         JOIN (SELECT user_id, topic, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, topic) AS r FROM ft) t
         ON a.user_id = t.user_id AND a.r = 1 AND t.r = 1),
-ra AS (SELECT item_id, author, row_number() OVER (PARTITION BY author ORDER BY md5(concat_ws('|', CAST(item_id AS VARCHAR), '7')), item_id) - 1 AS pos FROM it),
-rt AS (SELECT item_id, topic, row_number() OVER (PARTITION BY topic ORDER BY md5(concat_ws('|', CAST(item_id AS VARCHAR), '7')), item_id) - 1 AS pos FROM it),
-routes AS (SELECT request_id, item_id, 'author' AS route, CAST(pos AS INTEGER) AS pos, 0 AS prio FROM req JOIN ra USING (author) WHERE pos < 10
+ra AS (SELECT item_id, author, row_number() OVER (PARTITION BY author ORDER BY md5(concat_ws('|', CAST(item_id AS VARCHAR), '7')), item_id) - 1 AS place,
+              count(*) OVER (PARTITION BY author) AS size FROM it),
+rt AS (SELECT item_id, topic, row_number() OVER (PARTITION BY topic ORDER BY md5(concat_ws('|', CAST(item_id AS VARCHAR), '7')), item_id) - 1 AS place,
+              count(*) OVER (PARTITION BY topic) AS size FROM it),
+start AS (SELECT *, ('0x' || substr(md5(concat_ws('|', CAST(request_id AS VARCHAR), '7')), 1, 15))::BIGINT AS h FROM req),
+routes AS (SELECT request_id, item_id, 'author' AS route, CAST((place - h % size + size) % size AS INTEGER) AS pos, 0 AS prio
+           FROM start JOIN ra USING (author) WHERE (place - h % size + size) % size < 10
            UNION ALL
-           SELECT request_id, item_id, 'topic', CAST(pos AS INTEGER), 1 FROM req JOIN rt USING (topic) WHERE pos < 10),
+           SELECT request_id, item_id, 'topic', CAST((place - h % size + size) % size AS INTEGER), 1
+           FROM start JOIN rt USING (topic) WHERE (place - h % size + size) % size < 10),
 rl AS (SELECT *, CAST(count(*) OVER (PARTITION BY request_id, prio) AS INTEGER) AS route_len FROM routes),
 fst AS (SELECT * FROM rl QUALIFY row_number() OVER (PARTITION BY request_id, item_id ORDER BY prio, pos) = 1),
 merged AS (SELECT request_id, item_id, route, pos, route_len, (1.0 - pos / route_len) * 10 AS score,

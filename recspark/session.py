@@ -77,8 +77,9 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when nothing is configured (local
-    tests) is a fresh scratch folder created and registered.
+    The cluster's setting always wins.  Without one, a scratch folder is made
+    only in local mode (tests), where driver and tasks share one machine; on a
+    cluster the missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -86,12 +87,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None)
     if current:
         return current
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return conf_dir
-    local = tempfile.mkdtemp(prefix="recspark-ckpt-")
-    sc.setCheckpointDir(local)
-    return local
+    if not conf_dir and not (sc.master.startswith("local") and "cluster" not in sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    conf_dir = conf_dir or tempfile.mkdtemp(prefix="recspark-ckpt-")
+    sc.setCheckpointDir(conf_dir)
+    return conf_dir
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

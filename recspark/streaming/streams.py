@@ -53,7 +53,13 @@ def stage_event_files(df: DataFrame, ts: str, bounds: list, order: list[int] | N
         if edges[i + 1] is not None:
             cond = cond & (F.col(ts) < F.lit(edges[i + 1]).cast("timestamp"))
         parts.append(df.where(cond))
-    smallest = min(p.count() for p in parts)
+    counts = [p.count() for p in parts]
+    untimed = df.where(F.col(ts).isNull())
+    if n_untimed := untimed.count():  # rows without a time: a range of their own, replayed last
+        parts.append(untimed)
+        counts.append(n_untimed)
+        order = [*order, len(parts) - 1] if order else None
+    smallest = min(counts)
     n = files_per_range or spark.sparkContext.defaultParallelism
     n = max(1, min(n, smallest))
     seq = order or list(range(len(parts)))
@@ -103,8 +109,11 @@ def run_to_table(agg: DataFrame, mode: str, keys: list[str] | None = None) -> Da
     spark = agg.sparkSession
     out, ckpt = _scratch(spark, "sink"), _scratch(spark, "ckpt")
 
+    written = []
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         # idempotent: a retried micro-batch overwrites its own folder (foreachBatch is at-least-once)
+        written.append(batch_id)
         if mode == "complete":
             batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(out)
         else:
@@ -113,10 +122,9 @@ def run_to_table(agg: DataFrame, mode: str, keys: list[str] | None = None) -> Da
     q = (agg.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    try:
-        res = spark.read.parquet(out)
-    except Exception:  # noqa: BLE001 - no batch produced any row
+    if not written:  # the source was empty: no micro-batch ran
         return spark.createDataFrame([], agg.schema)
+    res = spark.read.parquet(out)
     if mode == "update" and keys:
         w = Window.partitionBy(*keys).orderBy(F.col("_batch").cast("long").desc())
         res = res.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")

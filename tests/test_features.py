@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recspark.functions import scalars as S
-from recspark.functions.hashing import str_hash, xxh32_int, xxh32_py
+from recspark.functions.hashing import list_hash, str_hash, xxh32_many
 from recspark.operators import fm as FM
 from recspark.operators import transformers as TR
 from recspark.operators.ranking import dense_codes
@@ -26,8 +26,7 @@ def test_hash_buckets(spark, text, md5, xxh):
     if md5 is not None:
         assert r.m == md5
     assert r.x == xxh
-    assert xxh32_py(text.encode(), 1024) % 1_000_000 == xxh
-    assert xxh32_int(text) % 1_000_000 == xxh
+    assert xxh32_many([text])[0] % 1_000_000 == xxh
 
 
 def test_null_hashes_as_nan(spark):
@@ -66,7 +65,7 @@ def test_dense_codes_large_path_matches_window(spark):
     df = spark.range(0, 3000).select((F.col("id") % 7).cast("string").alias("feature"),
                                      (F.col("id") * 7919 % 1000).cast("string").alias("value")).distinct()
     small = dense_codes(df, ["feature"], [F.col("value")])
-    large = dense_codes(df, ["feature"], [F.col("value")], small_rows=0, partitions=5)
+    large = dense_codes(df, ["feature"], [F.col("value")], partitions=5)
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.select(*small.columns).collect()))
 
 
@@ -142,18 +141,62 @@ def test_exact_quantiles_and_modes_match_numpy(spark):
     assert m["s"] == min(scounts, key=lambda v: (-scounts[v], v))
 
 
-def test_distributed_and_builtin_quantiles_agree(spark):
+def test_quantiles_and_modes_equal_the_builtin_ones(spark):
     import random
 
     from recspark.operators.quantiles import exact_modes, exact_quantiles
     rnd = random.Random(4)
     df = spark.createDataFrame([(rnd.random() * 100, rnd.randint(0, 9)) for _ in range(500)], "x double, k long")
     probs = [0.0, 0.3, 0.5, 0.77, 1.0]
-    small = exact_quantiles(df, ["x", "k"], probs)
-    large = exact_quantiles(df, ["x", "k"], probs, buckets=5, small_distinct=0)
-    for c in ("x", "k"):
-        assert small[c] == pytest.approx(large[c], abs=1e-12)
-    assert exact_modes(df, ["k"]) == exact_modes(df, ["k"], small_distinct=0)
+    row = df.agg(F.percentile("x", F.lit(probs)).alias("x"), F.percentile("k", F.lit(probs)).alias("k"),
+                 F.mode("k", deterministic=True).alias("m")).first()
+    for buckets in (1, 5, 64):
+        got = exact_quantiles(df, ["x", "k"], probs, buckets=buckets)
+        assert got == {"x": list(row["x"]), "k": list(row["k"])}
+    assert exact_modes(df, ["k"]) == {"k": row["m"]}
+
+
+def test_xxh32_equals_the_library(spark):
+    import random
+    xxhash = pytest.importorskip("xxhash")
+    rnd = random.Random(6)
+    texts = ["".join(rnd.choice("abcé😀 01") for _ in range(n)) for n in range(70) for _ in range(4)]
+    for seed in (0, 1024, 2 ** 32 - 1):
+        assert xxh32_many(texts, seed).tolist() == [xxhash.xxh32(t, seed).intdigest() for t in texts]
+    df = spark.createDataFrame([(1, ["a", None, ""]), (2, None), (3, [])], "id long, xs array<string>")
+    got = {r.id: r.h for r in df.select("id", list_hash("xs", 1000).alias("h")).collect()}
+    want = [xxhash.xxh32(t, 1024).intdigest() % 1000 for t in ("a", "nan", "")]
+    assert got == {1: want, 2: None, 3: []}
+    md5 = df.where("id = 1").select(list_hash("xs", 1000, "md5").alias("h"), str_hash(F.lit("nan"), 1000, "md5").alias("n")).first()
+    assert md5.h[1] == md5.n
+
+
+def test_text_lists_take_number_pads(spark):
+    from recspark.functions.registry import apply_ops
+    from recspark.operators import transformers as TR
+    df = spark.createDataFrame([("a-b",), (None,)], "x string")
+    chain = [{"str_to_list": {"sep": "-"}}, {"padding": {"max_len": 3, "padding_value": 0}}]
+    assert [r.p for r in df.select(apply_ops("x", chain).alias("p")).collect()] == [["a", "b", "0"], ["0", "0", "0"]]
+    spec = TR.MultiValueSpec("x", "y", "-", 3, 50, 0, ["split", "pad", "hash"], "md5")
+    assert all(len(r.y) == 3 for r in TR.MultivaluedProcessor([spec]).transform(df).collect())
+
+
+def test_whole_number_division_is_exact(spark):
+    values = [9007199254740993, -9007199254740993, 7, -7, 0, 2 ** 63 - 1, -2 ** 63 + 1, None]
+    df = spark.createDataFrame([(v,) for v in values], "n long")
+    for d in (1, 2, 7, -7, 1000):
+        got = [r.q for r in df.select(S.floor_divide("n", d).alias("q")).collect()]
+        assert got == [None if v is None else v // d for v in values]
+    f = spark.createDataFrame([(7.5,), (-7.5,), (8.0,)], "n double")
+    for d in (2, -2, 2.5):
+        assert [r.q for r in f.select(S.floor_divide("n", d).alias("q")).collect()] == [int(v // d) for v in (7.5, -7.5, 8.0)]
+
+
+def test_integer_mean_is_not_cut(spark):
+    from recspark.operators import transformers as TR
+    df = spark.createDataFrame([(1,), (2,), (2,), (None,)], "n long")
+    got = sorted(r.n for r in TR.MissingValueFiller([TR.FillSpec("n", "mean")]).fit(df).transform(df).collect())
+    assert got == pytest.approx([1, 5 / 3, 2, 2])
 
 
 def test_more_scalar_edges(spark):

@@ -5,7 +5,9 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from recspark.operators import history as H
 from recspark.operators.history import build_history
+from recspark.streaming import streams as ST
 
 SF0001 = "/root/testdata/sf0.001"
 
@@ -51,3 +53,28 @@ def test_range_buckets_match_plain_window_with_a_hot_user(spark):
     want = df.withColumn("history", F.collect_list("item").over(
         Window.partitionBy("u").orderBy("ts", "id").rowsBetween(-5, -1)))
     assert {r.id: r.history for r in got.collect()} == {r.id: r.history for r in want.collect()}
+
+
+def test_history_with_null_items_and_users(spark):
+    import random
+    rnd = random.Random(12)
+    rows = [(rnd.choice([1, 2, None]), rnd.choice([None, None, 10, 11, 12]), f"2024-01-{1 + i // 8:02d} 00:00:{i % 8:02d}", i)
+            for i in range(120)]
+    df = spark.createDataFrame(rows, "u long, i long, ts string, tie long").withColumn("ts", F.to_timestamp("ts"))
+    want = {}
+    for u, _, _, tie in rows:
+        before = [i for v, i, _, t in rows if v == u and t < tie and i is not None]
+        want[tie] = before[-3:]
+    for n in (1, 5, 17):
+        got = H.build_history(df, "u", "i", "ts", ["tie"], 3, partitions=n)
+        assert {r.tie: r.history for r in got.collect()} == want
+    assert {r.tie: r.history for r in H.build_history(df, "u", "i", "ts", ["tie"], 3, bucket="day").collect()} == want
+
+
+def test_rows_without_a_time_are_replayed(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:00", 1), ("2024-01-02 00:00:00", 2), (None, 3)], "ts string, x long")
+    df = df.withColumn("ts", F.to_timestamp("ts"))
+    root, folders, per = ST.stage_event_files(df, "ts", ["2024-01-02 00:00:00"])
+    assert len(folders) == 3
+    out = ST.run_to_table(ST.read_file_stream(spark, root, df.schema, per), "append")
+    assert sorted(r.x for r in out.collect()) == [1, 2, 3]

@@ -86,3 +86,34 @@ def test_residual_quantiser_shapes_and_loss(spark):
     assert loss.recon_mse >= 0 and loss.commit >= 0 and loss.loss == pytest.approx(loss.recon_mse + loss.commit)
     ids = enc.select(SM.semantic_id("codes", 8).alias("sid")).first().sid
     assert len(ids) == 3 and ids[0] < 8 and ids[1] < 64 and ids[2] < 512
+
+
+def test_negatives_are_complete_and_unknown(spark):
+    import random
+    from collections import Counter
+    rnd = random.Random(3)
+    items = list(range(100, 120))
+    pos = sorted({(u, rnd.choice(items)) for u in range(12) for _ in range(rnd.choice([1, 4, 40]))})
+    pos += [(50, i) for i in items[:18]] + [(51, i) for i in items] + [(52, i) for i in items[:19]] + [(53, 999)]
+    df = spark.createDataFrame(pos, "user_id long, item_id long")
+    cat = spark.createDataFrame([(i,) for i in items], "item_id long")
+    from recspark.operators import sampling as SA
+    out = [(r.user_id, r.item_id) for r in SA.negative_samples(df, cat, n=3).where("label = 0").collect()]
+    known = set(pos)
+    assert not known & set(out)
+    free = {u: sum((u, i) not in known for i in items) for u, _ in pos}
+    per_user = Counter(u for u, _ in pos)
+    assert Counter(u for u, _ in out) == Counter({u: per_user[u] * min(3, free[u]) for u in per_user if free[u]})
+
+
+def test_requests_of_one_value_get_different_items(spark):
+    from recspark.operators import recall as RC
+    items = spark.createDataFrame([(i, "a" if i < 50 else "b") for i in range(52)], "item_id long, author string")
+    req = spark.createDataFrame([(r, "a") for r in range(30)] + [(100, "b"), (101, "c"), (102, None)], "request_id long, author string")
+    out = RC.recall_by_field(req, items, "author", 5, seed=1).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.request_id, []).append((r.pos, r.item_id))
+    assert sorted(p for p, _ in by[100]) == [0, 1] and 101 not in by and 102 not in by
+    assert all([p for p, _ in sorted(v)] == list(range(5)) and len({i for _, i in v}) == 5 for k, v in by.items() if k < 100)
+    assert len({frozenset(i for _, i in by[r]) for r in range(30)}) > 10
