@@ -1,16 +1,20 @@
 """Fit / transform contract.
 
 An ``Estimator.fit(df)`` runs Spark aggregates and returns a ``Model`` whose
-state is small and JSON-serialisable (statistics, bin edges), plus optional
-DataFrame state (vocabularies) that is saved as parquet next to the JSON.
-``Model.transform`` is lazy: it only adds column expressions or joins, so the
-same fitted model runs on batch tables and on streaming frames.
+state is small (statistics, bin edges), plus optional DataFrame state
+(vocabularies).  ``Model.transform`` is lazy: it only adds column expressions
+or joins, so the same fitted model runs on batch tables and on streams.
+
+``save`` writes a folder through Spark's own writers, so any file system that
+Spark reaches will do: ``state`` holds one row with the class and its pickled
+state, ``table=<name>`` each table, ``part=<i>`` the models a model is made of.
+``load_model`` gives back an equal model of the class that was saved.
 """
 
 from __future__ import annotations
 
-import json
-import os
+import importlib
+import pickle
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,20 +29,59 @@ class Model:
     def transform(self, df: DataFrame) -> DataFrame:  # pragma: no cover - abstract
         raise NotImplementedError
 
-    def save(self, path: str) -> None:
-        os.makedirs(path, exist_ok=True)
-        with open(os.path.join(path, "state.json"), "w") as fh:
-            json.dump({"class": type(self).__name__, "state": self.state,
-                       "tables": sorted(self.tables)}, fh, indent=1, default=str)
+    def _parts(self) -> list[tuple[str, Model]]:
+        """Models among the attributes, in a fixed order."""
+        found = []
+        for key, value in sorted(vars(self).items()):
+            if isinstance(value, Model):
+                found.append((key, value))
+            elif isinstance(value, list) and value and all(isinstance(v, Model) for v in value):
+                found += [(key, v) for v in value]
+        return found
+
+    def save(self, path: str, spark: SparkSession | None = None) -> None:
+        spark = spark or SparkSession.getActiveSession()
+        parts = self._parts()
+        names = {key for key, _ in parts} | {"tables"}
+        lists = sorted({key for key, _ in parts if isinstance(getattr(self, key), list)})
+        plain = {k: v for k, v in vars(self).items() if k not in names}
+        row = (type(self).__module__, type(self).__qualname__, bytearray(pickle.dumps(plain)), sorted(self.tables),
+               [key for key, _ in parts], lists)
+        kind = "module string, class string, state binary, tables array<string>, parts array<string>, lists array<string>"
+        spark.createDataFrame([row], kind).coalesce(1).write.mode("overwrite").parquet(f"{path}/state")
         for key, t in self.tables.items():
-            t.write.mode("overwrite").parquet(os.path.join(path, key))
+            t.write.mode("overwrite").parquet(f"{path}/table={key}")
+        for i, (_, model) in enumerate(parts):
+            model.save(f"{path}/part={i}", spark)
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> "Model":
-        with open(os.path.join(path, "state.json")) as fh:
-            blob = json.load(fh)
-        tables = {k: spark.read.parquet(os.path.join(path, k)) for k in blob["tables"]}
-        return cls(blob["state"], tables)
+    def load(cls, spark: SparkSession, path: str) -> Model:
+        model = load_model(spark, path)
+        if not isinstance(model, cls):
+            raise TypeError(f"{path} holds a {type(model).__name__}, not a {cls.__name__}")
+        return model
+
+
+def load_model(spark: SparkSession, path: str) -> Model:
+    """The model saved at ``path``; load only what you saved yourself (its state is pickled)."""
+    row = spark.read.parquet(f"{path}/state").first()
+    kind = importlib.import_module(row["module"])
+    for name in row["class"].split("."):
+        kind = getattr(kind, name)
+    if not issubclass(kind, Model):
+        raise TypeError(f"{kind!r} is no model")
+    model = kind.__new__(kind)
+    vars(model).update(pickle.loads(bytes(row["state"])))
+    model.tables = {key: spark.read.parquet(f"{path}/table={key}") for key in row["tables"]}
+    for key in row["lists"]:
+        setattr(model, key, [])
+    for i, key in enumerate(row["parts"]):
+        part = load_model(spark, f"{path}/part={i}")
+        if key in row["lists"]:
+            getattr(model, key).append(part)
+        else:
+            setattr(model, key, part)
+    return model
 
 
 class Estimator:

@@ -76,9 +76,10 @@ def score_batches(df: DataFrame, make_predict, input_cols: list[str], out: str =
     """Apply a user model through Arrow batches (``predict_batch_udf``).
 
     ``make_predict()`` is called once per Python worker and returns a function
-    from numpy input arrays to a numpy array of scores.
+    from a numpy matrix (one column per input) to a numpy array of scores.
     """
     from pyspark.ml.functions import predict_batch_udf
     from pyspark.sql import types as T
-    udf = predict_batch_udf(make_predict, return_type=T.DoubleType(), batch_size=batch_size)
-    return df.withColumn(out, udf(*[F.col(c).cast("double") for c in input_cols]))
+    udf = predict_batch_udf(make_predict, return_type=T.DoubleType(), batch_size=batch_size,
+                            input_tensor_shapes=[[len(input_cols)]])
+    return df.withColumn(out, udf(F.array(*[F.col(c).cast("double") for c in input_cols])))

@@ -107,6 +107,10 @@ def pipeline_from_processor_spec(spec: dict, hash_method: str | None = None,
     if na.get("enabled", True):
         for f in na.get("features", []) or []:
             fills.append(TR.FillSpec(f["feature_name"], f.get("strategy"), f.get("fill_value")))
+        listed = {f.col for f in fills}
+        columns = (spec.get("dataset") or {}).get("column_names") or []
+        # declared columns without an entry get the default of their type (L1)
+        fills += [TR.FillSpec(c, None) for c in columns if c not in listed]
     default_fill = na.get("default_fill_value", DEFAULT_FILL_VALUE)
     time_specs, bools, logs, labels, label_out, multis, hashes = [], [], [], [], {}, [], []
     originals, generated = [], []

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from recspark.functions.scalars import sigmoid
 from recspark.operators import metrics as M
+from recspark.operators.vectors import mean_pool
 from recspark.plans.catalog import register
 from recspark.session import read_table
 
@@ -116,21 +117,29 @@ def q_multitask(spark, sf):
 
 
 @register("N6_matryoshka_ce", """
-WITH e AS (SELECT label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-l AS (SELECT label, d, list_transform(list_slice(v, 1, 10), lambda x: x * d) AS z
-      FROM e, (SELECT unnest([8, 16, 32, 64]) AS d)),
-c AS (SELECT d, avg(-ln(exp(z[label + 1] - list_max(z)) / list_sum(list_transform(z, lambda x: exp(x - list_max(z)))))) AS ce
-      FROM l GROUP BY d)
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+x AS (SELECT vec_id, label, unnest(range(1, 65)) AS i, unnest(v) AS x FROM e),
+m AS (SELECT label AS k, i, avg(x) AS m FROM x GROUP BY label, i),
+z AS (SELECT d, vec_id, label, k, sum(x * m) AS z
+      FROM x JOIN m USING (i) JOIN (SELECT unnest([8, 16, 32, 64]) AS d) ON i <= d GROUP BY ALL),
+c AS (SELECT d, avg(ce) AS ce FROM (
+        SELECT d, vec_id, ln(sum(exp(z))) - max(CASE WHEN k = label THEN z END) AS ce FROM z GROUP BY d, vec_id) GROUP BY d)
 SELECT round(max(CASE WHEN d = 8 THEN ce END), 6) AS ce_8, round(max(CASE WHEN d = 16 THEN ce END), 6) AS ce_16,
        round(max(CASE WHEN d = 32 THEN ce END), 6) AS ce_32, round(max(CASE WHEN d = 64 THEN ce END), 6) AS ce_64,
        round(sum(ce * CASE d WHEN 8 THEN 1.0 WHEN 16 THEN 0.5 WHEN 32 THEN 0.25 ELSE 0.125 END), 6) AS loss
 FROM c""")
 def q_mrl(spark, sf):
+    """Class scores of each prefix: its dot product with the same prefix of every label's mean vector."""
     e = read_table(spark, sf, "embeddings").select("label", F.col("embedding").cast("array<double>").alias("v"))
+    means = mean_pool(e, "label", "v", "m").agg(
+        F.array_sort(F.collect_list(F.struct("label", "m"))).alias("means"))  # one vector for each of ten labels
+    e = e.withColumn("means", means.scalar())
     dims = [8, 16, 32, 64]
-    def scaled(d):
-        return F.transform(F.slice("v", 1, 10), lambda x: x * d)
-    e = e.select("label", *[scaled(d).alias(f"z{d}") for d in dims])
+
+    def scores(d):
+        return F.transform("means", lambda s: F.aggregate(
+            F.zip_with(F.slice("v", 1, d), F.slice(s["m"], 1, d), lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x))
+    e = e.select("label", *[scores(d).alias(f"z{d}") for d in dims])
     out = M.matryoshka_cross_entropy(e, {d: f"z{d}" for d in dims}, "label",
                                      {8: 1.0, 16: 0.5, 32: 0.25, 64: 0.125})
     return out.select(*[F.round(c, 6).alias(c) for c in out.columns])

@@ -132,25 +132,25 @@ def q_rq_loss(spark, sf):
 
 @register("M4_M5_semantic_ids", _RQ_SQL + """,
 ids AS (SELECT vec_id, CAST([codes[1], codes[1] * 10 + codes[2]] AS BIGINT[]) AS sid,
-               CAST([codes[1] % 97, (codes[1] * 10 + codes[2]) % 97] AS BIGINT[]) AS sid_hashed FROM enc),
-t AS (SELECT vec_id AS idx, list_slice(CAST(embedding AS DOUBLE[]), 1, 4) AS v FROM embeddings)
+               CAST([codes[1] % 499, (codes[1] * 10 + codes[2]) % 499] AS BIGINT[]) AS sid_hashed FROM enc),
+t AS (SELECT vec_id AS idx, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
 SELECT ids.vec_id, sid, sid_hashed,
-       list_transform(range(1, 5), lambda d: round(t1.v[d] + t2.v[d], 6)) AS prefix_emb
+       list_transform(range(1, 65), lambda d: round(t1.v[d] + t2.v[d], 6)) AS prefix_emb
 FROM ids JOIN t t1 ON t1.idx = sid_hashed[1] JOIN t t2 ON t2.idx = sid_hashed[2]""")
 def q_sid(spark, sf):
     enc = SM.rq_encode(_emb(spark, sf), "vec", _codebook(spark, sf), LAYERS)
     ids = enc.select("vec_id", SM.semantic_id("codes", K_CODES).alias("sid"),
-                     SM.semantic_id("codes", K_CODES, 97).alias("sid_hashed"))
-    table = _emb(spark, sf).select(F.col("vec_id").alias("idx"), F.slice("vec", 1, 4).alias("vec"))
+                     SM.semantic_id("codes", K_CODES, 499).alias("sid_hashed"))
+    table = _emb(spark, sf).select(F.col("vec_id").alias("idx"), "vec")
     pe = SM.prefix_embedding(ids, "vec_id", "sid_hashed", table)
     return pe.select("vec_id", "sid", "sid_hashed", F.transform("prefix_emb", lambda x: F.round(x, 6)).alias("prefix_emb"))
 
 
 _FM_SQL = """
-WITH s AS (SELECT o_orderkey, [o_custkey % 50, 50 + o_orderkey % 20, 70 + month(o_orderdate) - 1] AS idx FROM orders),
-t AS (SELECT vec_id AS i, CAST(embedding[1] AS DOUBLE) AS w, list_slice(CAST(embedding AS DOUBLE[]), 2, 5) AS v FROM embeddings),
+WITH s AS (SELECT o_orderkey, [o_custkey % 300, 300 + o_orderkey % 150, 450 + month(o_orderdate) - 1] AS idx FROM orders),
+t AS (SELECT vec_id AS i, CAST(embedding[1] AS DOUBLE) AS w, list_slice(CAST(embedding AS DOUBLE[]), 2, 64) AS v FROM embeddings),
 j AS (SELECT s.o_orderkey, a.w + b.w + c.w AS linear,
-             0.5 * list_sum(list_transform(range(1, 5), lambda d:
+             0.5 * list_sum(list_transform(range(1, 64), lambda d:
                (a.v[d] + b.v[d] + c.v[d]) * (a.v[d] + b.v[d] + c.v[d]) - (a.v[d] * a.v[d] + b.v[d] * b.v[d] + c.v[d] * c.v[d]))) AS fm2
       FROM s JOIN t a ON a.i = s.idx[1] JOIN t b ON b.i = s.idx[2] JOIN t c ON c.i = s.idx[3])
 """
@@ -158,11 +158,11 @@ j AS (SELECT s.o_orderkey, a.w + b.w + c.w AS linear,
 
 def _fm_inputs(spark, sf):
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    samples = o.select("o_orderkey", F.array(F.pmod("o_custkey", F.lit(50)), F.pmod("o_orderkey", F.lit(20)),
+    samples = o.select("o_orderkey", F.array(F.pmod("o_custkey", F.lit(300)), F.pmod("o_orderkey", F.lit(150)),
                                              (F.month("o_orderdate") - 1).cast("long")).alias("idx"))
     e = _emb(spark, sf)
     w = e.select(F.col("vec_id").alias("idx"), F.element_at("vec", 1).alias("w"))
-    v = e.select(F.col("vec_id").alias("idx"), F.slice("vec", 2, 4).alias("vec"))
+    v = e.select(F.col("vec_id").alias("idx"), F.slice("vec", 2, 63).alias("vec"))
     return samples, w, v
 
 
@@ -170,7 +170,7 @@ def _fm_inputs(spark, sf):
 SELECT o_orderkey, round(linear, 6) AS linear, round(fm2, 6) AS fm2, round(0.1 + linear + fm2, 6) AS logit FROM j""")
 def q_fm(spark, sf):
     samples, w, v = _fm_inputs(spark, sf)
-    s = FM.fm_score(samples, "o_orderkey", "idx", 0.1, w, v, offsets=FM.field_offsets([50, 20, 12]))
+    s = FM.fm_score(samples, "o_orderkey", "idx", 0.1, w, v, offsets=FM.field_offsets([300, 150, 12]))
     return s.select("o_orderkey", *[F.round(c, 6).alias(c) for c in ("linear", "fm2", "logit")])
 
 
@@ -178,21 +178,21 @@ def q_fm(spark, sf):
 SELECT o_orderkey, round((1 / (1 + exp(-linear))) * (1 / (1 + exp(-fm2))), 6) AS ctcvr FROM j""")
 def q_ctcvr(spark, sf):
     samples, w, v = _fm_inputs(spark, sf)
-    s = FM.fm_score(samples, "o_orderkey", "idx", 0.1, w, v, offsets=FM.field_offsets([50, 20, 12]))
+    s = FM.fm_score(samples, "o_orderkey", "idx", 0.1, w, v, offsets=FM.field_offsets([300, 150, 12]))
     return s.select("o_orderkey", F.round(sigmoid("linear") * sigmoid("fm2"), 6).alias("ctcvr"))
 
 
 def _order_labels(spark, sf):
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"])
     return o.select("o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("y"),
-                    F.pmod("o_custkey", F.lit(50)).cast("string").alias("cust_bucket"), "o_orderpriority",
+                    F.col("o_custkey").cast("string").alias("customer"), "o_orderpriority",
                     F.month("o_orderdate").cast("string").alias("month"))
 
 
 @register("M8_fm_fit")
 def q_fm_fit(spark, sf):
     d = _order_labels(spark, sf)
-    cols = ["cust_bucket", "o_orderpriority", "month"]
+    cols = ["customer", "o_orderpriority", "month"]
     model = FM.fm_fit(d, "y", cols, max_iter=5)
     pred = model.transform(FM.hashed_features(d, cols, 1 << 12))
     return pred.select("o_orderkey", F.col("prediction").cast("int").alias("prediction"))
@@ -201,7 +201,7 @@ def q_fm_fit(spark, sf):
 @register("M9_wide_fit")
 def q_wide(spark, sf):
     d = _order_labels(spark, sf)
-    cols = ["cust_bucket", "o_orderpriority", "month"]
+    cols = ["customer", "o_orderpriority", "month"]
     model = FM.wide_fit(d, "y", cols, [["o_orderpriority", "month"]], max_iter=5)
     names = ["o_orderpriority_month_cross"]
     from recspark.functions.scalars import cross_string
@@ -211,18 +211,19 @@ def q_wide(spark, sf):
 
 
 def _linear_model():
-    weights = np.array([0.3, -0.2, 0.05])
+    weights = np.array([((37 * i) % 11 - 5) / 50 for i in range(64)])
 
-    def predict(a, b, c):
-        return 1.0 / (1.0 + np.exp(-(weights[0] * a + weights[1] * b + weights[2] * c)))
+    def predict(columns):
+        return 1.0 / (1.0 + np.exp(-(columns @ weights)))
     return predict
 
 
 @register("M10_score_batches", """
-SELECT vec_id, round(1 / (1 + exp(-(0.3 * CAST(embedding[1] AS DOUBLE) - 0.2 * CAST(embedding[2] AS DOUBLE) + 0.05 * CAST(embedding[3] AS DOUBLE)))), 6) AS prediction
+SELECT vec_id, round(1 / (1 + exp(-list_sum(list_transform(range(0, 64), lambda i: ((37 * i) % 11 - 5) / 50.0 * CAST(embedding[i + 1] AS DOUBLE))))), 6) AS prediction
 FROM embeddings""")
 def q_score(spark, sf):
+    names = [f"x{i}" for i in range(64)]
     e = read_table(spark, sf, "embeddings").select(
-        "vec_id", *[F.element_at("embedding", i + 1).cast("double").alias(f"x{i}") for i in range(3)])
-    s = FM.score_batches(e, _linear_model, ["x0", "x1", "x2"])
+        "vec_id", *[F.element_at("embedding", i + 1).cast("double").alias(n) for i, n in enumerate(names)])
+    s = FM.score_batches(e, _linear_model, names)
     return s.select("vec_id", F.round("prediction", 6).alias("prediction"))

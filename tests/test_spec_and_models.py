@@ -144,3 +144,39 @@ def test_package_is_shipped_to_workers(spark):
 
     out = spark.range(4).groupBy("id").applyInPandas(probe, "id long, ok int").agg(F.sum("ok")).first()[0]
     assert out == 4
+
+
+def _wide_spec(n=110):
+    """A spec with over a hundred outputs over five input columns."""
+    def step(i):
+        fn, cin, params = [
+            ("HashTransform", "city", {"vocabulary_size": 50 + i, "hash_method": "md5"}),
+            ("LogTransform", "amount", {}),
+            ("LabelEncodeTransform", "kind", {}),
+            ("MultiValueTransform", "tags", {"sep": "|", "max_len": 2 + i % 4, "vocabulary_size": 40 + i, "hash_method": "md5"}),
+        ][i % 4 if i < 4 or i % 4 != 2 else 0]
+        return {"function_name": fn, "col_in": cin, "col_out": f"out{i}", "function_parameters": params}
+    return {"dataset": {"column_names": ["city", "amount", "kind", "tags", "age"]},
+            "NA_Processing": {"enabled": True, "features": [{"feature_name": "age", "strategy": "mean"}]},
+            "feature_processing": [{"feature_name": f"f{i}", "feature_process": [step(i)]} for i in range(n)]}
+
+
+def test_fitted_pipeline_is_stored_and_loaded(spark, tmp_path):
+    from recspark.operators.base import load_model
+    from recspark.plans.pipeline import PipelineModel, pipeline_from_processor_spec
+    df = spark.createDataFrame([("rome", 3.5, "x", "a|b", 1), (None, None, "y", None, 2), ("oslo", 0.0, None, "c", 2), ("rome", 9.0, "x", "", None)],
+                               "city string, amount double, kind string, tags string, age long")
+    fitted = pipeline_from_processor_spec(_wide_spec(), clean=False).fit(df)
+    fitted.save(str(tmp_path / "pipeline"))
+    loaded = PipelineModel.load(spark, str(tmp_path / "pipeline"))
+    want, got = fitted.transform(df), loaded.transform(df)
+    assert got.columns == want.columns and len(got.columns) > 110
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    rows = want.select("city", "amount", "kind", "age").collect()
+    assert {r.city for r in rows} == {"rome", "oslo", "UNKNOWN"} and {r.amount for r in rows} == {3.5, 0.0, 9.0}
+    with pytest.raises(TypeError):
+        TR.BinModel.load(spark, str(tmp_path / "pipeline"))
+    cross = TR.CrossFeatureCreator([["city", "kind"]]).fit(df)
+    cross.save(str(tmp_path / "cross"))
+    assert sorted(map(str, load_model(spark, str(tmp_path / "cross")).transform(df).collect())) == sorted(
+        map(str, cross.transform(df).collect()))
