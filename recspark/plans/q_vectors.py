@@ -8,14 +8,15 @@ label; every embedding is then encoded by nearest code per layer.
 from __future__ import annotations
 
 import numpy as np
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from recspark.functions.scalars import sigmoid
+from recspark.functions.scalars import cross_string, l2_normalize, sigmoid
 from recspark.operators import fm as FM
 from recspark.operators import semantic as SM
 from recspark.operators import vectors as V
 from recspark.plans.catalog import register
-from recspark.session import read_table
+from recspark.session import cut_lineage, read_table
 
 K_CODES, LAYERS = 10, 2
 
@@ -77,6 +78,18 @@ def q_lsh(spark, sf):
     return r.select("qid", "iid", F.round("dist", 6).alias("dist"), F.col("rank").cast("int"))
 
 
+@register("R9_lsh_recall", "SELECT CAST(count(*) * 10 AS BIGINT) AS rows, TRUE AS complete, TRUE AS good_recall FROM embeddings")
+def q_lsh_recall(spark, sf):
+    """Properties of R9 against the exact top-k: every query has ten items, over half of them right."""
+    e = cut_lineage(_emb(spark, sf).select("vec_id", l2_normalize("vec").alias("vec")))
+    q, i = e.withColumnRenamed("vec_id", "qid"), e.withColumnRenamed("vec_id", "iid")
+    got = cut_lineage(V.topk_lsh(q, i, 10).select("qid", "iid"))
+    hits = got.join(V.topk_dot(q, i, 10).select("qid", "iid"), ["qid", "iid"], "left_semi")
+    each = got.groupBy("qid").agg(F.count(F.lit(1)).alias("n"))
+    return each.agg(F.sum("n").alias("rows"), (F.min("n") == 10).alias("complete")).withColumn(
+        "good_recall", hits.agg(F.count(F.lit(1))).scalar() > 0.5 * F.col("rows"))
+
+
 @register("A13_mean_pool_by_label", """
 WITH e AS (SELECT label, unnest(range(1, 65)) AS d, unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings)
 SELECT label, list(round(m, 6) ORDER BY d) AS pooled FROM (SELECT label, d, avg(x) AS m FROM e GROUP BY label, d) GROUP BY label""")
@@ -186,7 +199,7 @@ def _order_labels(spark, sf):
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"])
     return o.select("o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("y"),
                     F.col("o_custkey").cast("string").alias("customer"), "o_orderpriority",
-                    F.month("o_orderdate").cast("string").alias("month"))
+                    F.month("o_orderdate").cast("string").alias("month"), F.year("o_orderdate").cast("string").alias("year"))
 
 
 @register("M8_fm_fit")
@@ -204,12 +217,38 @@ def q_wide(spark, sf):
     cols = ["customer", "o_orderpriority", "month"]
     model = FM.wide_fit(d, "y", cols, [["o_orderpriority", "month"]], max_iter=5)
     names = ["o_orderpriority_month_cross"]
-    from recspark.functions.scalars import cross_string
     dd = d.withColumn(names[0], cross_string(["o_orderpriority", "month"]))
     pred = model.transform(FM.hashed_features(dd, cols + names, 1 << 14))
     return pred.select("o_orderkey", F.col("prediction").cast("int").alias("prediction"))
 
 
+def _better_than_constant(pred):
+    """``rows, better``: whether the log loss of a fitted model is below that of the label's mean."""
+    p = F.least(F.greatest(vector_to_array("probability")[1], F.lit(1e-9)), F.lit(1 - 1e-9))
+    m = F.col("mean")
+    return (pred.agg(F.count(F.lit(1)).alias("rows"), F.avg("y").alias("mean"),
+                     F.avg(-(F.col("y") * F.log(p) + (1 - F.col("y")) * F.log(1 - p))).alias("loss"))
+            .select("rows", (F.col("loss") < -(m * F.log(m) + (1 - m) * F.log(1 - m))).alias("better")))
+
+
+_FIT_SQL = "SELECT count(*) AS rows, TRUE AS better FROM orders"
+
+
+@register("M8_fm_fit_loss", _FIT_SQL)
+def q_fm_loss(spark, sf):
+    d, cols = _order_labels(spark, sf), ["o_orderpriority", "month", "year"]
+    model = FM.fm_fit(d, "y", cols, max_iter=30)
+    return _better_than_constant(model.transform(FM.hashed_features(d, cols, 1 << 12)))
+
+
+@register("M9_wide_fit_loss", _FIT_SQL)
+def q_wide_loss(spark, sf):
+    d, cols = _order_labels(spark, sf), ["o_orderpriority", "month", "year"]
+    model = FM.wide_fit(d, "y", cols, [["o_orderpriority", "month"]], max_iter=20)
+    dd = d.withColumn("o_orderpriority_month_cross", cross_string(["o_orderpriority", "month"]))
+    return _better_than_constant(model.transform(FM.hashed_features(dd, [*cols, "o_orderpriority_month_cross"], 1 << 14)))
+
+
 def _linear_model():
     weights = np.array([((37 * i) % 11 - 5) / 50 for i in range(64)])
 
