@@ -34,7 +34,7 @@ from recspark.llm.shingles import hash_strings, mix
 BANDS = 128
 SHINGLE = 5
 _TOP = np.uint64(2 ** 64 - 1)
-_ODD = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
+_ODD = (mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 #: Notices by which common licenses are applied to a work.
 TEMPLATES = {
@@ -81,6 +81,11 @@ def block_size(count: int) -> int:
     return 1 << max(1, (-(-3 * count // 2) - 1).bit_length())
 
 
+def _upper(shingles: np.ndarray) -> np.ndarray:
+    """The upper halves of shingle hashes, which the bands permute."""
+    return (shingles >> np.uint64(32)).astype(np.uint32)
+
+
 class Templates:
     """Templates by block size: distinct shingles and their minima in every band."""
 
@@ -89,7 +94,7 @@ class Templates:
         for name, text in texts.items():
             own = np.unique(shingles(plain_words(pa.array([text], pa.large_string()))[0]))
             if len(own):
-                minima = np.array([(own * m).min() for m in _ODD])
+                minima = np.array([(_upper(own) * m).min() for m in _ODD])
                 self.by_block[block_size(len(shingles(plain_words(pa.array([text], pa.large_string()))[0])))].append((name, own, minima))
         self.sizes = sorted(self.by_block)
 
@@ -100,16 +105,18 @@ def candidates(padded: np.ndarray, templates: Templates) -> dict[int, set[tuple[
     ``padded`` holds shingles in whole blocks of the largest size; ``_TOP`` fills up.
     """
     found: dict[int, set[tuple[int, int]]] = {b: set() for b in templates.sizes}
-    empty = padded == _TOP
+    upper = _upper(padded)
+    fill = np.where(padded == _TOP, np.uint32(0xFFFFFFFF), np.uint32(0))  # never a minimum beside others
     for band in range(BANDS):
-        h = padded * _ODD[band]  # shingles are mixed hashes already
-        h[empty] = _TOP
+        h = upper * _ODD[band]  # shingles are mixed hashes already
+        h |= fill
         size = 1
         for b in templates.sizes:
-            h = h.reshape(-1, b // size).min(1)
-            size = b
+            while size < b:
+                h = np.minimum(h[0::2], h[1::2])
+                size *= 2
             window = h.copy()
-            window[:-1] = np.minimum(h[:-1], h[1:])
+            np.minimum(h[:-1], h[1:], out=window[:-1])
             for t, (_, _, minima) in enumerate(templates.by_block[b]):
                 found[b].update((int(k), t) for k in np.flatnonzero(window == minima[band]))
     return found
