@@ -179,7 +179,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                        pa.array(data, pa.binary())], ["cluster", "cuts", "part", "class", "copies", "elements"])
                 yield out.filter(pa.compute.equal(own, b["class"]))
 
-    with_sets = (texts.filter("id is not null").join(members.drop("n"), "id")
+    # the same join at every size: texts are shuffled once, by id
+    with_sets = (texts.filter("id is not null").join(members.drop("n").hint("merge"), "id")
                  .select("text", "cluster", "cuts", "part", "class", "copies")
                  .mapInArrow(sets, "cluster long, cuts int, part int, class long, copies long, elements binary"))
     # a pair of blocks is a task; clusters of one block share tasks
