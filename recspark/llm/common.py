@@ -32,6 +32,31 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def join_small(df: DataFrame, small: DataFrame, on: Column | list[str], how: str = "inner",
+               most: int = 200_000, salts: int = 64) -> DataFrame:
+    """Join a large table with one row per host or leaf of it, whatever share of the rows one of them has.
+
+    Up to ``most`` rows (counted) are broadcast; more are joined by a shuffle in
+    which every row of ``small`` stands ``salts`` times, once for each deal of
+    the large side.
+    """
+    if small.count() <= most:
+        return df.join(F.broadcast(small), on, how)
+    salted = df.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+    spread = small.withColumn("__salt_of", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    on = on if isinstance(on, Column) else _all(salted[c] == spread[c] for c in on)
+    names = [c for c in small.columns if c in df.columns]
+    out = salted.join(spread, on & (F.col("__salt") == F.col("__salt_of")), how)
+    for c in names:
+        out = out.drop(spread[c])
+    return out.drop("__salt", "__salt_of")
+
+
+def _all(parts) -> Column:
+    from functools import reduce
+    return reduce(lambda a, b: a & b, parts)
+
+
 def words(text: Column) -> Column:
     """Words of a text as an array; null and blank texts give an empty array."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS + "+"), "")

@@ -20,7 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recspark.llm.common import stored, words
+from recspark.llm.common import join_small, stored, words
 
 LEVELS = ("domain", "lang", "source")
 
@@ -83,7 +83,7 @@ def plan_mixture(docs: DataFrame, levels: Sequence[str] = LEVELS, budget_share:
     plan = stored(plan.withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens")), "mixture-plan")
 
     place = F.struct(_order(seed, F.col("epochs") + 1, "__id").alias("h"), F.col("__id"), F.col("__n"), F.col("__tie"))
-    open_ = keys.join(plan.filter("rest > 0"), list(levels)).select(*levels, "rest", "__n", place.alias("place"))
+    open_ = join_small(keys, plan.filter("rest > 0"), list(levels)).select(*levels, "rest", "__n", place.alias("place"))
     open_ = open_.withColumn("__slice", F.substring("place.h", 1, 3))
     inside = Window.partitionBy(*levels, "__slice").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     slices = open_.groupBy(*levels, "__slice").agg(F.sum("__n").alias("__slice_n"))
@@ -95,7 +95,8 @@ def plan_mixture(docs: DataFrame, levels: Sequence[str] = LEVELS, budget_share:
     numbered = (open_.join(crossing, [*levels, "__slice"]).withColumn("__end", F.col("__before") + F.sum("__n").over(inside))
                 .filter("__end <= rest").groupBy(*levels).agg(F.max("place").alias("last")))
     done = slices.filter("__before + __slice_n <= rest").groupBy(*levels).agg(F.max("__slice").alias("slice"))
-    return (plan.drop("rest").join(numbered, list(levels), "left").join(done, list(levels), "left"))
+    plan = plan.drop("rest").join(numbered, list(levels), "left").join(done, list(levels), "left")
+    return stored(plan, "mixture-plan")
 
 
 def mix(docs: DataFrame, plan: DataFrame, levels: Sequence[str] = LEVELS, seed: int = 7, id_col: str = "doc_id",
@@ -109,7 +110,7 @@ def mix(docs: DataFrame, plan: DataFrame, levels: Sequence[str] = LEVELS, seed:
     leaf = plan.select(*[F.col(x).alias(f"__l_{x}") for x in levels], F.col("epochs").alias("__epochs"),
                        F.col("last").alias("__last"), F.col("slice").alias("__slice"))
     keyed = _keyed(docs.drop("epoch") if "epoch" not in levels else docs, levels, id_col, text_col)
-    df = keyed.join(leaf, [f"__l_{x}" for x in levels])
+    df = join_small(keyed, leaf, [f"__l_{x}" for x in levels])
     h = _order(seed, F.col("__epochs") + 1, "__id")
     place = F.struct(h.alias("h"), F.col("__id"), F.col("__n"), F.col("__tie"))
     part = F.coalesce(F.substring(h, 1, 3) <= F.col("__slice"), F.lit(False)) | F.coalesce(place <= F.col("__last"), F.lit(False))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recspark.llm.common import SPACE_CLASS, stored, words
+from recspark.llm.common import join_small, stored, words
 
 WINDOW = 5
 _POS_BITS = 24
@@ -145,8 +145,8 @@ def quality_rules(docs: DataFrame, text_col: str = "text", host_col: str = "sour
     measured = measure(docs.drop(*[c for c in names if c in docs.columns]), text_col)
     measured = measured.withColumns({f"__rule_{k}": v for k, v in _rules().items()})
     measured = stored(measured.drop(text_col) if drop_text else measured, "quality-rules")
-    hosts = host_verdicts(measured, host_col, host_limit).select("__host", "host_rate", "bad_host")
-    out = measured.join(hosts, measured[host_col].eqNullSafe(hosts["__host"]), "left")
+    hosts = stored(host_verdicts(measured, host_col, host_limit).select("__host", "host_rate", "bad_host"), "quality-hosts")
+    out = join_small(measured, hosts, F.col(host_col).eqNullSafe(F.col("__host")), "left")
     soft = F.expr(" or ".join(f"__rule_{r}" for r in SOFT))
     out = out.withColumn("kept", ~F.col("base_failed") & ~(F.coalesce("bad_host", F.lit(False)) & soft))
     return out.drop(*[c for c in out.columns if c.startswith("__")])

@@ -92,3 +92,14 @@ def test_query_equals_sql(spark):
         f"{sf}/documents.parquet") else f"create view documents as select * from '{sf}/documents.parquet'")
     want = Counter(db.execute(f"select doc_id, domain, lang, source, n_tokens, epoch from ({MIXTURE_SQL})").fetchall())
     assert Counter(tuple(r) for r in op8_mixture(spark, sf).collect()) == want
+
+
+def test_many_leaves_join_by_salts(spark, monkeypatch):
+    from recspark.llm import common
+    df = spark.createDataFrame(rows(), SCHEMA)
+    want = Counter((r["doc_id"], r["epoch"]) for r in M.mix(df, M.plan_mixture(df)).collect())
+    real = common.join_small
+    monkeypatch.setattr(M, "join_small", lambda *a, **k: real(*a, **k, most=0, salts=5))
+    out = M.mix(df, M.plan_mixture(df))
+    assert out.columns == [c for c in df.columns if c != "epoch"] + ["epoch"]
+    assert Counter((r["doc_id"], r["epoch"]) for r in out.collect()) == want

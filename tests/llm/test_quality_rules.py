@@ -58,3 +58,13 @@ def test_host_verdict_is_strict_only_on_bad_hosts(spark):
 
 def test_empty_table(spark):
     assert Q.quality_rules(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_many_hosts_join_by_salts(spark, monkeypatch):
+    from recspark.llm import common
+    rows = [(i, t, f"h{i % 3}" if i % 4 else None, 1, 1) for i, t in enumerate(texts())]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(map(str, Q.quality_rules(df).collect()))
+    real = common.join_small
+    monkeypatch.setattr(Q, "join_small", lambda *a, **k: real(*a, **k, most=0, salts=5))
+    assert sorted(map(str, Q.quality_rules(df).collect())) == want
