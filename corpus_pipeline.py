@@ -45,10 +45,12 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedupe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group, and documents without an id.
 
+    Documents are linked by five-word shingles at a similarity of 0.8.
+
     Where an id repeats, rows of that id with different texts are told apart by
     their text only.
     """
-    first = jaccard_join(docs).filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__times"))
+    first = jaccard_join(docs, width=5, num=4, den=5).filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__times"))
     kept = docs.join(first, "doc_id").select(*docs.columns, "__times")
     once = kept.filter("__times = 1").drop("__times")
     often = kept.filter("__times > 1").drop("__times").dropDuplicates(["doc_id", "text"])
