@@ -33,6 +33,7 @@ from recspark.llm.shingles import hash_strings, mix
 
 BANDS = 128
 SHINGLE = 5
+_MARK = 14
 _TOP = np.uint64(2 ** 64 - 1)
 _ODD = (mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
@@ -54,6 +55,93 @@ TEMPLATES = {
                   "General Public License as published by the Free Software Foundation",
 }
 
+#: Names of licenses, as notices put them after ``_BEFORE``, and passages that stand by themselves.  The wordings are
+#: those of the licenses and of their usual notices; each is found in any text around it.
+_BEFORE = ("licensed under the", "released under the", "distributed under the", "available under the",
+           "provided under the", "published under the", "terms of the")
+_NAMES = {
+    "MIT": ("MIT License", "MIT Licence"),
+    "Apache-2.0": ("Apache License 2.0", "Apache 2.0 License", "Apache-2.0 License"),
+    "BSD": ("BSD License", "BSD 2-Clause License", "BSD 3-Clause License", "3-Clause BSD License", "2-Clause BSD License"),
+    "ISC": ("ISC License",),
+    "GPL": ("GNU GPL", "GPL License"),
+    "GPL-2.0": ("GPL v2", "GPL version 2", "GPLv2 License"),
+    "GPL-3.0": ("GPL v3", "GPL version 3", "GPLv3 License"),
+    "LGPL": ("GNU LGPL", "LGPL License"),
+    "AGPL": ("GNU AGPL", "AGPL License"),
+    "MPL": ("Mozilla Public License", "MPL 2.0"),
+    "Zlib": ("zlib License",),
+    "EPL": ("Eclipse Public License",),
+    "BSL-1.0": ("Boost Software License",),
+    "Artistic": ("Artistic License",),
+    "EUPL": ("European Union Public Licence",),
+}
+_CC = ("CC BY", "CC BY-SA", "CC BY-ND", "CC BY-NC", "CC BY-NC-SA", "CC BY-NC-ND")
+_PASSAGES = {
+    "MIT": ("The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+            "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+            "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT"),
+    "Apache-2.0": ("software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
+                   "each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license"),
+    "BSD": ("Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+            "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+            "in the documentation and/or other materials provided with the distribution",
+            "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES"),
+    "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+            "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted"),
+    "GPL": ("GNU General Public License as published by the Free Software Foundation",
+            "You should have received a copy of the GNU General Public License along with this program",
+            "under the terms of the GNU General Public License", "licensed under the GNU General Public License",
+            "The GNU General Public License is a free, copyleft license for software and other kinds of works"),
+    "GPL-2.0": ("GNU General Public License version 2", "GNU General Public License v2", "GNU General Public License v2.0",
+                "Free Software Foundation; either version 2 of the License, or (at your option) any later version"),
+    "GPL-3.0": ("GNU General Public License version 3", "GNU General Public License v3", "GNU General Public License v3.0",
+                "Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
+    "LGPL": ("GNU Lesser General Public License", "GNU Library General Public License"),
+    "AGPL": ("GNU Affero General Public License",),
+    "MPL-2.0": ("Mozilla Public License, Version 2.0", "Mozilla Public License, v. 2.0",
+                "If a copy of the MPL was not distributed with this file, You can obtain one at"),
+    "EPL-2.0": ("Eclipse Public License, Version 2.0", "Eclipse Public License v. 2.0"),
+    "CDDL": ("Common Development and Distribution License",),
+    "Zlib": ("Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely",),
+    "BSL-1.0": ("Boost Software License, Version 1.0", "Boost Software License - Version 1.0"),
+    "Unlicense": ("This is free and unencumbered software released into the public domain",
+                  "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software"),
+    "WTFPL": ("Do What The Fuck You Want To Public License",),
+    "OFL-1.1": ("SIL Open Font License, Version 1.1",),
+    "GFDL": ("GNU Free Documentation License, Version", "terms of the GNU Free Documentation License"),
+    "ODbL": ("Open Data Commons Open Database License",),
+    "PSF": ("Python Software Foundation License Version 2",),
+    "CC0-1.0": ("CC0 1.0 Universal Public Domain Dedication", "Creative Commons CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal",
+                "has waived all copyright and related or neighboring rights", "dedicated to the public domain under CC0",
+                "released into the public domain under CC0", "licensed under a CC0 1.0 license"),
+    **{f"CC-{short}": (f"Creative Commons {name} International", f"Creative Commons {name} 4.0 International",
+                       f"Creative Commons {name} 3.0 Unported", f"Creative Commons {name} 4.0 License")
+       for short, name in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+                           ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                           ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))},
+    "CC-BY-SA-body": ("If you remix, transform, or build upon the material, you must distribute your contributions under the same license as the original",),
+    "CC-BY-body": ("You must give appropriate credit, provide a link to the license, and indicate if changes were made",),
+}
+
+
+def _wordings() -> dict[str, str]:
+    """All further wordings, named by their license and a number."""
+    have, out = {" ".join(t.lower().rstrip(".").split()) for t in TEMPLATES.values()}, {}
+    texts = [(k, f"{before} {name}") for k, names in _NAMES.items() for name in names for before in _BEFORE]
+    texts += [(f"{c.replace(' ', '-')}-{v}", f"{verb} under {c} {v}") for c in _CC for v in ("4.0", "3.0") for verb in ("licensed", "released", "available")]
+    texts += [(k, t) for k, passages in _PASSAGES.items() for t in passages]
+    number: dict[str, int] = defaultdict(int)
+    for name, text in texts:
+        if " ".join(text.lower().split()) not in have:
+            number[name] += 1
+            out[f"{name}/{number[name]}"] = text
+    return out
+
+
+#: What the query looks for: the notices above and the wordings of the license families.
+LICENSES = {**TEMPLATES, **_wordings()}
+
 
 def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words (lower case, outer punctuation cut off), and each word's text."""
@@ -97,6 +185,15 @@ class Templates:
                 minima = np.array([(_upper(own) * m).min() for m in _ODD])
                 self.by_block[block_size(len(shingles(plain_words(pa.array([text], pa.large_string()))[0])))].append((name, own, minima))
         self.sizes = sorted(self.by_block)
+        # by block size and band: the sorted minima, their templates, and a mark at the upper bits of each
+        self.lookup: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+        for b, own in self.by_block.items():
+            rows = np.array([minima for _, _, minima in own], np.uint32).T
+            which = np.argsort(rows, axis=1, kind="stable")
+            marks = np.zeros((BANDS, 1 << _MARK), bool)
+            for band in range(BANDS):
+                marks[band, rows[band] >> np.uint32(32 - _MARK)] = True
+            self.lookup[b] = [(rows[k][which[k]], which[k], marks[k]) for k in range(BANDS)]
 
 
 def candidates(padded: np.ndarray, templates: Templates) -> dict[int, set[tuple[int, int]]]:
@@ -117,8 +214,11 @@ def candidates(padded: np.ndarray, templates: Templates) -> dict[int, set[tuple[
                 size *= 2
             window = h.copy()
             np.minimum(h[:-1], h[1:], out=window[:-1])
-            for t, (_, _, minima) in enumerate(templates.by_block[b]):
-                found[b].update((int(k), t) for k in np.flatnonzero(window == minima[band]))
+            minima, which, mark = templates.lookup[b][band]
+            near = np.flatnonzero(mark[window >> np.uint32(32 - _MARK)])
+            begin, end = (np.searchsorted(minima, window[near], side) for side in ("left", "right"))
+            for k in np.flatnonzero(end > begin):
+                found[b].update((int(near[k]), int(t)) for t in which[begin[k]:end[k]])
     return found
 
 

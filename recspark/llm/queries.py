@@ -10,7 +10,7 @@ from recspark.llm.ann import nearest
 from recspark.llm.common import crc, table, words
 from recspark.llm.context_mixing import score_documents
 from recspark.llm.jaccard_join import jaccard_join
-from recspark.llm.license_scan import scan
+from recspark.llm.license_scan import LICENSES, scan
 from recspark.llm.mixture import mix, plan_mixture
 from recspark.llm.quality_rules import quality_rules
 from recspark.llm.sharding import shard_documents
@@ -142,7 +142,7 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op5_license_scan")
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return scan(table(spark, sf_dir, "documents", "doc_id", "text"), LICENSES)
 
 
 @_query("op2_context_mixing")

@@ -65,3 +65,24 @@ def test_clean_and_empty(spark):
     df = spark.createDataFrame([(1, "nothing of the kind is said here at all"), (2, None)], "doc_id long, text string")
     assert L.scan(df).collect() == [] and L.scan(df.limit(0)).collect() == []
     assert L.scan(df, {}).collect() == []
+
+
+def test_wordings_that_are_not_in_the_list():
+    said = {
+        "MIT": "This project is licensed under the MIT License, see the file for details.",
+        "GPL-3.0": "This program is licensed under the GNU General Public License, version 3, by its authors.",
+        "GPL-2.0": "You may copy it under the GNU General Public License version 2 or later.",
+        "LGPL": "The library may be linked as the GNU Lesser General Public License allows.",
+        "AGPL": "Our server stands under the GNU Affero General Public License.",
+        "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "ISC": "All of the code here is distributed under the ISC License by its maintainers.",
+        "CC0-1.0": "The tables are given away by the CC0 1.0 Universal Public Domain Dedication.",
+        "CC-BY": "These pictures have a Creative Commons Attribution 4.0 International licence.",
+        "CC-BY-SA": "Text is under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "BSD": "The driver is available under the BSD 3-Clause License since last year.",
+    }
+    known = {" ".join(words(t)) for t in L.LICENSES.values()}
+    assert not known & {" ".join(words(t)) for t in said.values()}
+    for family, text in said.items():
+        found = {m[1].split("/")[0] for m in L.scan_texts(pa.array([text]), L.Templates(L.LICENSES), 0.8)}
+        assert family in found, (family, found)
