@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import bpe, quality_model
+from recspark.llm import bpe, quality_model, toxicity
 from recspark.llm.ann import nearest
 from recspark.llm.common import crc, table, words
 from recspark.llm.context_mixing import score_documents
+from recspark.llm.hard_negatives import mine
 from recspark.llm.jaccard_join import jaccard_join
 from recspark.llm.license_scan import LICENSES, scan
 from recspark.llm.mixture import mix, plan_mixture
+from recspark.llm.periodic_runs import periodic_runs
 from recspark.llm.quality_rules import quality_rules
 from recspark.llm.sharding import shard_documents
 from recspark.llm.url_filter import filter_urls, seed_urls
@@ -148,3 +150,72 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_context_mixing")
 def op2_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+HARD_NEGATIVES_SQL = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT * FROM s WHERE own = label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INT) AS rank,
+       s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.own
+     AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY rank <= 10
+"""
+
+
+@_query("op11_hard_negatives", HARD_NEGATIVES_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.withColumn("label", moved)
+    return mine(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+@_query("op12_toxicity")
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    held_out = F.coalesce(crc(F.col("doc_id")) % 5 == 0, F.lit(False))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """Texts of one id in ten made periodic: from word ``a`` on, the next ``p`` words come again to the text's end.
+
+    With h the crc32 of the id and g = h // 10: h is a multiple of 10, a = g mod n
+    and p = 1 + (n - a) // (3 + g mod 8), for n words.  Other texts stay.
+    """
+    h = crc(F.col("doc_id"))
+    chosen = F.coalesce((h % 10 == 0) & F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    some = (docs.filter(chosen).withColumn("__w", words(F.col("text"))).withColumn("__g", F.floor(h / 10))
+            .withColumn("__n", F.size("__w")))
+    some = some.withColumn("__a", F.pmod("__g", "__n").cast("int"))
+    some = some.withColumn("__p", 1 + F.floor((F.col("__n") - F.col("__a")) / (3 + F.col("__g") % 8)).cast("int"))
+    whole = F.expr("slice(concat(slice(__w, 1, __a), flatten(array_repeat(slice(__w, __a + 1, __p), "
+                   "cast(1 + (__n - __a) div __p as int)))), 1, __n)")
+    return some.withColumn("text", F.concat_ws(" ", whole)).select(docs.columns).unionByName(docs.filter(~chosen))
+
+
+@_query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_repeats(table(spark, sf_dir, "documents", "doc_id", "text")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    all_lines = F.concat(F.concat_ws("\n", lines), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(all_lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
