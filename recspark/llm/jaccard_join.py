@@ -3,26 +3,40 @@
 Documents whose sets of word shingles have a Jaccard similarity of at least
 ``num / den`` are linked.  Sizes are cut into bands.  Two linked sets, the
 smaller in a band with largest size ``r``, differ in at most
-``k = r * (den - num) // num`` elements, so the element domain is hashed into
-``ceil((k + 1) / 2)`` parts of three sub-parts each: some part holds at most
-one of the differences, and both sets agree on two of its three sub-parts.
-Each pair of sub-parts of each part is a signature; a set gives those of its
-own band, and those of the band below when its size is within reach of it.
-
-Sets sharing a signature form candidate clusters (equal sets are one class
-from the start).  Classes of a cluster are compared exactly: clusters are cut
-into blocks, and each pair of blocks is one task that counts the intersections
-and returns one row for each class, with its number of links and at most one
-parent, so that no pair of a large group is ever a row.
+``k = r * (den - num) // num`` elements.  The element domain is hashed into
+``n1`` parts of ``n2`` sub-parts each; at least ``good = n1 - k // (k2 + 1)``
+parts hold no more than ``k2`` differences, and in each of them both sets agree
+on some ``n2 - k2`` sub-parts.  Each choice of sub-parts of each part is a
+signature; a set gives those of its own band, and those of the band below when
+its size is within reach of it.  ``plan`` picks ``n1, n2, k2`` for each band.
+
+Sub-parts without elements agree between any two sets, so a signature of empty
+sub-parts is never given.  The guarantee stays: a set is strong in one hashing of
+the domain when fewer than ``good`` of its parts have an empty choice, and gives
+the signatures of one hashing after the other up to the first in which it is
+strong.  Of two linked sets, the one that is strong first has a part there in
+which both agree and none of its choices is empty.
+
+Equal sets are one class, and a class gives its signatures once.  Classes that
+share ``STRONG`` signatures with the first class of each form clusters; what
+else shares a signature is compared inside that signature's group alone, across
+clusters, so chance collisions never chain clusters together.  Both kinds of
+units are compared exactly: a unit is cut into blocks, and each pair of blocks
+is one task that counts the intersections.  A cluster returns one row for each
+class, with its number of links and at most one parent, so that no pair of a
+large group of copies is ever a row; links across clusters are rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.llm.common import blocks, stored
@@ -30,6 +44,9 @@ from recspark.llm.graph import components
 from recspark.llm.shingles import mix, shingle_sets
 
 BAND = 1.4
+AGREED = 3.0
+HASHINGS = 12
+STRONG = 3
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -41,40 +58,71 @@ def bands(largest: int, num: int, den: int) -> np.ndarray:
     return np.array(out, np.int64)
 
 
+@cache
+def plan(least: int, largest: int, num: int, den: int) -> tuple[int, int, int, int]:
+    """``n1, n2, k2, good`` of a band of sizes: the fewest signatures that agree on enough elements.
+
+    A signature of the band's smallest sets should stand for ``AGREED`` elements
+    (or a bit over half of a tiny set), and few sets should be weak in a hashing.
+    """
+    k = largest * (den - num) // num
+    best = None
+    for k2 in range(1, min(k, 6) + 1):
+        need = k // (k2 + 1)
+        for n2 in range(k2 + 1, k2 + 6):
+            for more in sorted({0, 1, 2, 3, 4, 6, 8, 12, need // 10, need // 8, need // 6, need // 4}):
+                n1 = need + 1 + more
+                agreed = least * (n2 - k2) / (n1 * n2)
+                weak = n1 * min(1.0, math.comb(n2, k2) * math.exp(-agreed))  # expected parts with an empty choice
+                tail = 1.0 if weak > more else 1 - sum(
+                    math.exp(i * math.log(max(weak, 1e-300)) - weak - math.lgamma(i + 1)) for i in range(more + 1))
+                fits = agreed >= min(AGREED, 0.55 * least) and tail < 0.3
+                cost = (not fits, tail if not fits else n1 * math.comb(n2, k2) / (1 - tail))
+                if best is None or cost < best[0]:
+                    best = cost, (n1, n2, k2, 1 + more)
+    return best[1]
+
+
 def signatures(elements: np.ndarray, owner: np.ndarray, n: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """PartEnum signatures of sets given as sorted (owner, element): signatures and their owners."""
     size = np.bincount(owner, minlength=n)
     tops = bands(int(size.max(initial=0)), num, den)
     band = np.searchsorted(tops, size)
-    sigs, owners = [], []
+    ends = np.cumsum(size)
+    sigs, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for below in (0, 1):
         b = band - below
         near = (b >= 1) if below == 0 else (b >= 1) & (size * num <= tops[np.maximum(b, 0)] * den)
-        sets = np.flatnonzero(near)
-        if not len(sets):
-            continue
-        k = tops[b[sets]] * (den - num) // num
-        parts = (k + 2) // 2
-        begin = np.zeros(n, np.int64)
-        begin[sets] = np.cumsum(parts * 3) - parts * 3
-        many = np.zeros(n, np.int64)
-        many[sets] = parts * 3
-        mine = near[owner]
-        e, o = elements[mine], owner[mine]
-        h = mix(e ^ mix(b[o].astype(np.uint64) * _ODD))
-        cell = begin[o] + (h % many[o].astype(np.uint64)).astype(np.int64)
-        total = np.zeros(int((parts * 3).sum()), np.uint64)
-        np.add.at(total, cell, mix(h + _ODD))
-        total = total.reshape(-1, 3)
-        who = np.repeat(sets, parts)
-        part = np.arange(len(who)) - np.repeat(np.cumsum(parts) - parts, parts)
-        place = mix(part.astype(np.uint64) * np.uint64(64) + b[who].astype(np.uint64) * _ODD)
-        for out in range(3):
-            left, right = [c for c in range(3) if c != out]
-            sigs.append(mix(mix(total[:, left] + place) * np.uint64(3 + 2 * out) + total[:, right]))
-            owners.append(who)
-    if not sigs:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for one in np.unique(b[near]):
+            n1, n2, k2, good = plan(int(tops[one - 1]) + 1, int(tops[one]), num, den)
+            sets = np.flatnonzero(near & (b == one))
+            for hashing in range(HASHINGS):
+                if not len(sets):
+                    break
+                place = np.repeat(np.arange(len(sets)), size[sets])
+                mine = np.repeat(ends[sets] - size[sets], size[sets]) + np.arange(len(place)) - np.repeat(
+                    np.cumsum(size[sets]) - size[sets], size[sets])
+                seed = mix(np.full(1, one * HASHINGS + hashing + 1, np.uint64) * _ODD)
+                h = mix(elements[mine] ^ seed)
+                cell = place * (n1 * n2) + (h % np.uint64(n1 * n2)).astype(np.int64)
+                total = np.zeros(len(sets) * n1 * n2, np.uint64)
+                np.add.at(total, cell, mix(h + _ODD))
+                total = total.reshape(-1, n1, n2)
+                full = (np.bincount(cell, minlength=total.size) > 0).reshape(-1, n1, n2)
+                part = mix(np.arange(n1, dtype=np.uint64) * np.uint64(1024) + seed)
+                weak = np.zeros((len(sets), n1), bool)
+                keep_empty = hashing == HASHINGS - 1  # reached by next to no set; then nothing is left out
+                for number, chosen in enumerate(combinations(range(n2), n2 - k2)):
+                    sig = part[None, :] + np.uint64(number)
+                    some = np.zeros((len(sets), n1), bool)
+                    for c in chosen:
+                        sig = mix(sig * np.uint64(3) + total[:, :, c])
+                        some |= full[:, :, c]
+                    weak |= ~some
+                    who, at = np.nonzero(some | keep_empty)
+                    sigs.append(sig[who, at])
+                    owners.append(sets[who])
+                sets = sets[weak.sum(1) >= good]
     return np.concatenate(sigs), np.concatenate(owners)
 
 
@@ -86,8 +134,8 @@ def _classes(elements: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return np.where(size > 0, mix(mix(total[:, 0]) + total[:, 1] * np.uint64(5) + size.astype(np.uint64)), 0).astype(np.int64)
 
 
-def _compare(sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Links among the sets as a boolean matrix; only between sides 0 and 1 when there are two."""
+def _compare(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Links among the sets as a boolean matrix: of different labels, and only between sides 0 and 1 when there are two."""
     n = len(sets)
     size = np.array([len(s) for s in sets], np.int64)
     flat, owner = np.concatenate(sets), np.repeat(np.arange(n), size)
@@ -109,8 +157,7 @@ def _compare(sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> np
     links = inter * den >= num * (size[:, None] + size[None, :] - inter)
     if side.any():
         links &= side[:, None] != side[None, :]
-    links[np.arange(n), np.arange(n)] = False
-    return links
+    return links & (label[:, None] != label[None, :])
 
 
 def _forest(links: np.ndarray) -> np.ndarray:
@@ -130,96 +177,157 @@ def _forest(links: np.ndarray) -> np.ndarray:
     return parent
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, num: int = 9,
-                 den: int = 10, block_rows: int = 256, block_elements: int = 1_000_000) -> DataFrame:
-    """One row per document: id, ``n_shingles``, ``component_id``, ``n_links``.
-
-    Words are lower-cased (A-Z); a text of fewer than ``width`` words is one
-    shingle, a text without words has none and links with nothing.  The
-    component is the smallest id reachable over links, ``n_links`` the number
-    of documents linked directly, copies included.  Rows that repeat an id are
-    documents of their own with that id.  Rows without an id get null as their
-    component and link with nothing.  Other columns are not carried.
+def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int, block_rows: int,
+            block_elements: int) -> tuple[DataFrame, DataFrame]:
+    """Rows ``id, n, class`` of all documents, and of each class with an id and words:
+    ``class, component, n_links, id, code`` (the smallest id, and that row's text as a hash).
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in blocks(batch, "text"):
                 e, o = shingle_sets(b["text"], width)
-                sig, who = signatures(e, o, b.num_rows, num, den)
+                own = _classes(e, o, b.num_rows)
+                # copies within a block give their signatures once, from the row with the smallest id
+                ids = b["id"].fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
+                order = np.lexsort((ids, own))
+                lead = np.zeros(b.num_rows, bool)
+                lead[order[np.append(True, own[order][1:] != own[order][:-1])]] = True
+                sig, who = signatures(e[lead[o]], o[lead[o]], b.num_rows, num, den)
                 order = np.argsort(who, kind="stable")
                 ends = np.concatenate([[0], np.cumsum(np.bincount(who, minlength=b.num_rows))]).astype(np.int32)
                 yield pa.record_batch([
-                    b["id"], pa.array(np.bincount(o, minlength=b.num_rows)), pa.array(_classes(e, o, b.num_rows)),
-                    pa.ListArray.from_arrays(ends, pa.array(sig[order].view(np.int64)))], ["id", "n", "class", "sigs"])
+                    b["id"], b["code"], pa.array(np.bincount(o, minlength=b.num_rows)), pa.array(own),
+                    pa.ListArray.from_arrays(ends, pa.array(sig[order].view(np.int64)))], ["id", "code", "n", "class", "sigs"])
 
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    base = stored(texts.mapInArrow(read, "id long, n long, class long, sigs array<long>"), "jaccard-base")
+    code = F.xxhash64(F.col(text_col))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), code.alias("code"), F.col(text_col).alias("text"))
+    base = stored(texts.mapInArrow(read, "id long, code long, n long, class long, sigs array<long>"), "jaccard-base")
     some = base.filter("id is not null and n > 0")
+    reps = some.groupBy("class").agg(F.min(F.struct("id", "code")).alias("first"), F.max("n").alias("n"),
+                                     F.count(F.lit(1)).alias("copies"))
+    reps = stored(reps.select("class", "first.id", "first.code", "n", "copies"), "jaccard-reps")
+    reps = reps.withColumn("no", F.monotonically_increasing_id())  # small numbers pack well beside the signatures
+    reps = stored(reps, "jaccard-classes")
 
-    rows = some.select("class", F.explode("sigs").alias("sig"))
-    # leaders of signatures: sort each signature's classes once, keep the rows after the first class
-    rows = rows.selectExpr("class", "sig", "first(class) over (partition by sig order by class) as leader")
-    near = components(rows.filter("class <> leader").select(F.col("class").alias("a"), F.col("leader").alias("b")))
-
-    reps = some.groupBy("class").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
-    members = near.select(F.col("id").alias("class"), F.col("component").alias("cluster")).join(reps, "class")
-    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("e"))
+    rows = some.select("id", "code", "class", "sigs").join(reps.select("class", "id", "code", "no"), ["class", "id", "code"])
+    rows = rows.select("no", F.explode("sigs").alias("sig"))
+    # leaders of signatures: sort each signature's classes once
+    shared = rows.selectExpr("sig", "no", "first(no) over (partition by sig order by no) as leader",
+                             "count(1) over (partition by sig) as many").filter("many > 1").drop("many")
+    shared = stored(shared, "jaccard-shared")
+    strong = (shared.filter("no <> leader").groupBy("no", "leader").count().filter(F.col("count") >= STRONG)
+              .select(F.col("no").alias("a"), F.col("leader").alias("b")))
+    near = components(strong).select(F.col("id").alias("no"), F.col("component").alias("cluster"))
+    labelled = shared.select("sig", "no").join(near, "no", "left").select("sig", "no", F.coalesce("cluster", "no").alias("label"))
+    mixed = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig")
+    units = (near.select(F.lit(0).alias("kind"), F.col("cluster").alias("unit"), "no", F.col("no").alias("label"))
+             .unionByName(labelled.join(mixed, "sig").select(F.lit(1).alias("kind"), F.col("sig").alias("unit"), "no", "label")))
+    members = units.join(reps, "no").drop("no")
+    sizes = members.groupBy("kind", "unit").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("e"))
     cut = F.greatest(F.ceil(F.col("m") / block_rows), F.ceil(F.col("e") / block_elements)).cast("int")
-    members = stored(members.join(sizes.select("cluster", cut.alias("cuts")), "cluster")
-                     .withColumn("part", F.pmod(F.xxhash64("class"), F.col("cuts")).cast("int")), "jaccard-members")
+    members = members.join(sizes.select("kind", "unit", cut.alias("cuts")), ["kind", "unit"]).withColumn(
+        "part", F.pmod(F.xxhash64("class"), F.col("cuts")).cast("int"))
+    members = stored(members.groupBy("class", "id", "code", "copies").agg(
+        F.collect_list(F.struct("kind", "unit", "label", "cuts", "part")).alias("units")), "jaccard-members")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["class", "copies", "units"]
         for batch in batches:
             for b in blocks(batch, "text"):
                 e, o = shingle_sets(b["text"], width)
                 own = pa.array(_classes(e, o, b.num_rows))
                 ends = np.searchsorted(o, np.arange(b.num_rows + 1))
                 data = [e[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)]
-                out = pa.record_batch([*[b[c] for c in ("cluster", "cuts", "part", "class", "copies")],
-                                       pa.array(data, pa.binary())], ["cluster", "cuts", "part", "class", "copies", "elements"])
+                out = pa.record_batch([*[b[c] for c in names], pa.array(data, pa.binary())], [*names, "elements"])
                 yield out.filter(pa.compute.equal(own, b["class"]))
 
     # the same join at every size: texts are shuffled once, by id
-    with_sets = (texts.filter("id is not null").join(members.drop("n").hint("merge"), "id")
-                 .select("text", "cluster", "cuts", "part", "class", "copies")
-                 .mapInArrow(sets, "cluster long, cuts int, part int, class long, copies long, elements binary"))
-    # a pair of blocks is a task; clusters of one block share tasks
+    with_sets = texts.filter("id is not null").join(members.hint("merge"), ["id", "code"]).select("text", "class", "copies", "units")
+    unit = "struct<kind: int, unit: bigint, label: bigint, cuts: int, part: int>"
+    with_sets = (with_sets.mapInArrow(sets, f"class long, copies long, units array<{unit}>, elements binary")
+                 .select("class", "copies", "elements", F.explode("units").alias("u")).select("class", "copies", "elements", "u.*"))
+    # a pair of blocks is a task; units of one block share tasks
     other = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))
-    packs = members.count() // 512 + 1
+    packs = members.agg(F.sum(F.size("units"))).first()[0] or 0
+    packs = packs // 512 + 1
     pairs = (with_sets.withColumn("other", other)
              .withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other"),
-                           "pack": F.when(F.col("cuts") == 1, F.pmod(F.xxhash64("cluster"), F.lit(packs))).otherwise(F.col("cluster"))}))
+                           "pack": F.when(F.col("cuts") == 1, F.pmod(F.xxhash64("unit"), F.lit(packs))).otherwise(F.col("unit"))}))
 
     def verify(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        cluster, klass, copies = (np.asarray(group[c]) for c in ("cluster", "class", "copies"))
-        order = np.lexsort((klass, cluster))
-        keep = np.ones(len(order), bool)  # ids that repeat bring a class twice
-        keep[1:] = (cluster[order][1:] != cluster[order][:-1]) | (klass[order][1:] != klass[order][:-1])
-        order = order[keep]
+        kind, unit, label, klass, copies = (np.asarray(group[c]) for c in ("kind", "unit", "label", "class", "copies"))
+        order = np.lexsort((klass, unit, kind))
+        again = np.zeros(len(order), bool)  # ids that repeat bring a class twice
+        again[1:] = (np.diff(kind[order]) == 0) & (np.diff(unit[order]) == 0) & (np.diff(klass[order]) == 0)
+        order = order[~again]
         elements, part = group["elements"], np.asarray(group["part"])
-        out: dict[str, list] = {"a": [], "b": [], "links": []}
-        for rows in np.split(order, np.flatnonzero(np.diff(cluster[order])) + 1):
+        one_block = int(group["i"][0].as_py()) == int(group["j"][0].as_py())
+        out: dict[str, list] = {"kind": [], "a": [], "b": [], "links": []}
+        for rows in np.split(order, np.flatnonzero((np.diff(unit[order]) != 0) | (np.diff(kind[order]) != 0)) + 1):
             two = part[rows] != part[rows].min()
-            if len(rows) < 2 or (int(group["i"][0].as_py()) != int(group["j"][0].as_py()) and not two.any()):
+            if len(rows) < 2 or (not one_block and not two.any()):
                 continue
-            links = _compare([np.frombuffer(elements[int(r)].as_py(), np.uint64) for r in rows], two, num, den)
-            up = _forest(links)
-            out["a"] += klass[rows].tolist()
-            out["b"] += klass[rows][up].tolist()
-            out["links"] += (links @ copies[rows]).tolist()
-        return pa.table({k: pa.array(v, pa.int64()) for k, v in out.items()})
-
-    found = stored(pairs.groupBy("pack", "i", "j").applyInArrow(verify, "a long, b long, links long"), "jaccard-links")
+            links = _compare([np.frombuffer(elements[int(r)].as_py(), np.uint64) for r in rows], label[rows], two, num, den)
+            if kind[rows[0]]:
+                a, b = np.nonzero(links)
+                count = copies[rows][b]
+            else:
+                a, b, count = np.arange(len(rows)), _forest(links), links @ copies[rows]
+            out["kind"] += [int(kind[rows[0]])] * len(a)
+            out["a"] += klass[rows][a].tolist()
+            out["b"] += klass[rows][b].tolist()
+            out["links"] += count.tolist()
+        return pa.table({"kind": pa.array(out["kind"], pa.int32()), **{k: pa.array(out[k], pa.int64()) for k in ("a", "b", "links")}})
+
+    found = stored(pairs.groupBy("pack", "i", "j").applyInArrow(verify, "kind int, a long, b long, links long"), "jaccard-found")
+    across = found.filter("kind = 1").distinct()  # two classes may share several signatures
+    found = found.filter("kind = 0").unionByName(across)
     linked = components(found.select("a", "b")).select(F.col("id").alias("class"), "component")
     degrees = found.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
-    of_class = (reps.select("class", "id", "copies").join(linked, "class", "left").join(degrees, "class", "left")
-                .select("class", F.coalesce("component", "class").alias("component"), "id",
+    of_class = (reps.join(linked, "class", "left").join(degrees, "class", "left")
+                .select("class", F.coalesce("component", "class").alias("component"), "id", "code",
                         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    of_class = stored(of_class, "jaccard-classes")
+    joined = base.select("id", "n", F.when(F.expr("id is not null and n > 0"), F.col("class")).alias("class"))
+    return joined, stored(of_class, "jaccard-linked")
+
+
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, num: int = 9,
+                 den: int = 10, block_rows: int = 256, block_elements: int = 1_000_000) -> DataFrame:
+    """One row per document: id, ``n_shingles``, ``component_id``, ``n_links``.
+
+    Words are lower-cased (A-Z); a text of fewer than ``width`` words is one
+    shingle, a text without words has none and links with nothing.  The
+    component is the smallest id reachable over links, ``n_links`` the number
+    of documents linked directly, copies included.  Rows that repeat an id are
+    documents of their own with that id.  Rows without an id get null as their
+    component and link with nothing.  Other columns are not carried.
+    """
+    rows, of_class = _linked(docs, id_col, text_col, width, num, den, block_rows, block_elements)
     first = of_class.groupBy("component").agg(F.min("id").alias("component_id"))
     answer = of_class.join(first, "component").select("class", "component_id", "n_links")
-    joined = base.select("id", "n", F.when(F.expr("id is not null and n > 0"), F.col("class")).alias("class"))
-    return joined.join(answer, "class", "left").select(
+    return rows.join(answer, "class", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 4,
+                den: int = 5) -> DataFrame:
+    """``docs`` with one row of each group of linked documents: the one with the smallest id.
+
+    Rows without an id and texts without words are linked with nothing and stay,
+    repeated or not.  Where the smallest id of a group repeats, one of its rows
+    that belong to the group stays, the first by text and then by all columns;
+    rows of that id with another text belong to their own group.  All columns
+    are carried.
+    """
+    names = docs.columns
+    _, of_class = _linked(docs, id_col, text_col, width, num, den, 256, 1_000_000)
+    first = of_class.groupBy("component").agg(F.min(F.struct("id", "code")).alias("first"))
+    first = first.select(F.col("first.id").alias("id"), F.col("first.code").alias("code"))
+    bare = F.coalesce(~F.col(text_col).rlike("[^\\x20\\x09-\\x0D]"), F.lit(True)) | F.col(id_col).isNull()
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)])
+    wrapped = docs.filter(~bare).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("code"), row.alias("row"))
+    again = Window.partitionBy("id", "code").orderBy(F.xxhash64("row"), "row.c0")
+    kept = wrapped.join(first, ["id", "code"]).withColumn("at", F.row_number().over(again)).filter("at = 1")
+    return kept.select(*[F.col(f"row.c{k}").alias(c) for k, c in enumerate(names)]).unionByName(docs.filter(bare))

@@ -19,8 +19,8 @@ def brute_set(t, width=3):
     return {tuple(w[i:i + width]) for i in range(len(w) - width + 1)} or ({tuple(w)} if w else set())
 
 
-def brute(rows):
-    sets = [brute_set(t) if i is not None else set() for i, t in rows]
+def brute(rows, width=3, num=9, den=10):
+    sets = [brute_set(t, width) if i is not None else set() for i, t in rows]
     up = list(range(len(rows)))
 
     def root(x):
@@ -31,7 +31,7 @@ def brute(rows):
     degree = [0] * len(rows)
     for a in range(len(rows)):
         for b in range(a):
-            if sets[a] and sets[b] and 10 * len(sets[a] & sets[b]) >= 9 * len(sets[a] | sets[b]):
+            if sets[a] and sets[b] and den * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]):
                 up[root(a)] = root(b)
                 degree[a] += 1
                 degree[b] += 1
@@ -39,7 +39,7 @@ def brute(rows):
     for k, (i, _) in enumerate(rows):
         if i is not None:
             first[root(k)] = min(first.get(root(k), i), i)
-    return sorted((i, len(sets[k]) if i is not None else len(brute_set(t)), first.get(root(k)) if i is not None else None,
+    return sorted((i, len(sets[k]) if i is not None else len(brute_set(t, width)), first.get(root(k)) if i is not None else None,
                    degree[k]) for k, (i, t) in enumerate(rows) if i is not None)
 
 
@@ -66,8 +66,9 @@ def corpus(seed=5):
     return rows
 
 
-@pytest.mark.parametrize("block", [256, 13])
-def test_equals_brute_force(spark, block):
+@pytest.mark.parametrize("block,strong", [(256, 3), (13, 3), (13, 1000)])
+def test_equals_brute_force(spark, block, strong, monkeypatch):
+    monkeypatch.setattr(J, "STRONG", strong)  # 1000: every link goes across clusters
     rows = corpus()
     df = spark.createDataFrame([(i, t, "x") for i, t in [*rows, (None, "one"), (None, None)]], "doc_id long, text string, class string")
     out = J.jaccard_join(df, block_rows=block).collect()
@@ -77,24 +78,61 @@ def test_equals_brute_force(spark, block):
     assert all(r["component_id"] is None and r["n_links"] == 0 for r in out if r["doc_id"] is None)
 
 
+def test_equals_brute_force_at_five_words(spark):
+    rows = corpus(seed=9)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = J.jaccard_join(df, width=5, num=4, den=5, block_rows=40).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in out) == brute(rows, 5, 4, 5)
+
+
+def test_one_of_each_keeps_one_row_of_a_group(spark):
+    text, other = "a b c d e f g h i j", "an other text of its own with words"
+    rows = [(1, text, 5), (2, text, 6), (2, other, 7), (2, other, 8), (2, other, 8), (3, text + " ", 9), (None, text, 1), (None, text, 1),
+            (4, None, 1), (4, " ", 1), (4, " ", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `row` int")
+    got = sorted(J.one_of_each(df).collect(), key=str)
+    assert [r["row"] for r in got if r["doc_id"] == 1] == [5]
+    assert [(r["text"]) for r in got if r["doc_id"] == 2] == [other]
+    assert [r["doc_id"] for r in got if r["doc_id"] in (3, 4, None)].count(3) == 0
+    assert sum(r["doc_id"] is None for r in got) == 2 and sum(r["doc_id"] == 4 for r in got) == 3
+    again = sorted(J.one_of_each(df).collect(), key=str)
+    assert again == got and J.one_of_each(df).columns == df.columns
+    assert J.one_of_each(df.limit(0)).collect() == []
+
+
 def test_empty_table(spark):
     assert J.jaccard_join(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
-def test_linked_sets_always_share_a_signature():
+@pytest.mark.parametrize("num,den", [(9, 10), (4, 5)])
+def test_linked_sets_always_share_a_signature(num, den):
     rng = np.random.default_rng(3)
-    for size in [9, 10, 11, 12, 15, 19, 27, 28, 40, 97, 300]:
-        for _ in range(60):
+    seen = 0
+    for size in [4, 5, 6, 8, 9, 10, 11, 12, 15, 19, 27, 28, 40, 97, 300, 900]:
+        most = max(1, size * (den - num) // (den + num) + 1)
+        for _ in range(120):
             a = rng.integers(0, 2 ** 62, size).astype(np.uint64)
             b = a.copy()
-            changes = rng.integers(0, max(1, size // 19) + 1)
+            changes = rng.integers(0, most + 1)
             b[:changes] = rng.integers(0, 2 ** 62, changes)
-            b = b[:size - rng.integers(0, 2)] if 10 * (size - changes - 1) >= 9 * (size + changes) else b
+            b = b[:size - rng.integers(0, most)]
             inter = len(set(a.tolist()) & set(b.tolist()))
-            if 10 * inter < 9 * (len(a) + len(b) - inter):
+            if den * inter < num * (len(a) + len(b) - inter) or inter == len(a) == len(b):  # equal sets are one class
                 continue
-            sig, who = J.signatures(np.concatenate([np.sort(a), np.sort(b)]), np.repeat([0, 1], [len(a), len(b)]), 2, 9, 10)
+            seen += 1
+            sig, who = J.signatures(np.concatenate([np.sort(a), np.sort(b)]), np.repeat([0, 1], [len(a), len(b)]), 2, num, den)
             assert set(sig[who == 0].tolist()) & set(sig[who == 1].tolist())
+    assert seen > 400
+
+
+def test_no_signature_of_empty_sub_parts():
+    """Sets without a common element share no signature, so chance never makes large groups."""
+    rng = np.random.default_rng(8)
+    sets = [np.sort(rng.integers(0, 2 ** 62, size).astype(np.uint64)) for size in rng.integers(4, 400, 1500)]
+    for num, den in ((4, 5), (9, 10)):
+        sig, who = J.signatures(np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets]), len(sets), num, den)
+        _, many = np.unique(np.unique(np.stack([sig.view(np.int64), who]), axis=1)[0], return_counts=True)
+        assert many.max() == 1
 
 
 def test_shingles_match_brute_force():

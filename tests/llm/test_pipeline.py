@@ -60,12 +60,34 @@ def test_junk_goes_and_clean_stays(stages):
 def test_one_of_each_group(stages):
     out, _ = stages
     before = [(r["doc_id"], r["text"]) for r in out[2].collect()]
-    group = {i: c for i, _, c, _ in brute(before)}
+    group = {i: c for i, _, c, _ in brute(before, 5, 4, 5)}
     after = [r["doc_id"] for r in out[3].collect()]
     assert Counter(group[i] for i in after if i is not None) == Counter({c: 1 for c in group.values()})
     assert after.count(None) == sum(i is None for i, _ in before)
 
 
+def test_empty_documents_through_all_stages(spark, stages, tmp_path):
+    out, sf = stages
+    docs = out[0].limit(0)
+    for _, f in P.STAGES:
+        docs = f(spark, docs, sf)
+        assert docs.collect() == []
+
+
+def test_clashing_columns_and_a_long_text(spark, stages):
+    _, sf = stages
+    names = ["doc_id", "text", "lang", "source", "n_chars", "score", "kept", "epoch", "class", "row", "at"]
+    long = " ".join(f"w{k}" for k in range(60_000))
+    rows = [(k, t, "en", "src0", 1, 0.5, True, 3, "c", k, 9) for k, t in enumerate([long, long + " more", "some words of a short text", None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, kept boolean, "
+                                       "epoch int, class string, row int, at int")
+    for _, f in P.STAGES[:4]:
+        after = f(spark, docs, sf)
+        assert after.columns == names
+        assert {tuple(r) for r in after.collect()} <= set(rows)
+    assert sorted(r["doc_id"] for r in P.STAGES[2][1](spark, docs, sf).collect()) == [0, 2, 3]
+
+
 def test_tokens_of_every_drawn_document(stages):
     from tokenizers import Tokenizer
     out, _ = stages
