@@ -21,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from recspark.llm import bpe, quality_model  # noqa: E402
 from recspark.llm.common import stored, table  # noqa: E402
-from recspark.llm.jaccard_join import jaccard_join  # noqa: E402
+from recspark.llm.jaccard_join import one_of_each  # noqa: E402
 from recspark.llm.mixture import mix, plan_mixture  # noqa: E402
 from recspark.llm.quality_rules import quality_rules  # noqa: E402
 from recspark.llm.queries import domain_of, vocabulary  # noqa: E402
@@ -46,15 +46,8 @@ def dedupe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group, and documents without an id.
 
     Documents are linked by five-word shingles at a similarity of 0.8.
-
-    Where an id repeats, rows of that id with different texts are told apart by
-    their text only.
     """
-    first = jaccard_join(docs, width=5, num=4, den=5).filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__times"))
-    kept = docs.join(first, "doc_id").select(*docs.columns, "__times")
-    once = kept.filter("__times = 1").drop("__times")
-    often = kept.filter("__times > 1").drop("__times").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(often).unionByName(docs.filter("doc_id is null"))
+    return one_of_each(docs, width=5, num=4, den=5)
 
 
 def draw(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
