@@ -115,7 +115,7 @@ _PASSAGES = {
     "CC0-1.0": ("CC0 1.0 Universal Public Domain Dedication", "Creative Commons CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal",
                 "has waived all copyright and related or neighboring rights", "dedicated to the public domain under CC0",
                 "released into the public domain under CC0", "licensed under a CC0 1.0 license"),
-    **{f"CC-{short}": (f"Creative Commons {name} International", f"Creative Commons {name} 4.0 International",
+    **{f"CC-{short}": (f"Creative Commons {name} 4.0 International",
                        f"Creative Commons {name} 3.0 Unported", f"Creative Commons {name} 4.0 License")
        for short, name in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
                            ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),

@@ -116,4 +116,4 @@ def mix(docs: DataFrame, plan: DataFrame, levels: Sequence[str] = LEVELS, seed:
     part = F.coalesce(F.substring(h, 1, 3) <= F.col("__slice"), F.lit(False)) | F.coalesce(place <= F.col("__last"), F.lit(False))
     times = F.col("__epochs") + part.cast("int")
     out = df.withColumn("__times", times).filter("__times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-    return out.drop(*[c for c in out.columns if c.startswith("__")])
+    return out.drop(*[c for c in out.columns if c.startswith("__") and c not in docs.columns])

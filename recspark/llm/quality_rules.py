@@ -149,4 +149,4 @@ def quality_rules(docs: DataFrame, text_col: str = "text", host_col: str = "sour
     out = join_small(measured, hosts, F.col(host_col).eqNullSafe(F.col("__host")), "left")
     soft = F.expr(" or ".join(f"__rule_{r}" for r in SOFT))
     out = out.withColumn("kept", ~F.col("base_failed") & ~(F.coalesce("bad_host", F.lit(False)) & soft))
-    return out.drop(*[c for c in out.columns if c.startswith("__")])
+    return out.drop(*[c for c in out.columns if c.startswith("__") and c not in docs.columns])

@@ -86,3 +86,14 @@ def test_wordings_that_are_not_in_the_list():
     for family, text in said.items():
         found = {m[1].split("/")[0] for m in L.scan_texts(pa.array([text]), L.Templates(L.LICENSES), 0.8)}
         assert family in found, (family, found)
+
+
+def test_every_template_is_found_in_a_longer_text():
+    known = L.Templates(L.LICENSES)
+    names = list(L.LICENSES)
+    texts = [f"some words that stand before it come first here {L.LICENSES[n]} and others follow it to the end of all" for n in names]
+    found: dict[int, set[str]] = {}
+    for text, name, *_ in L.scan_texts(pa.array(texts), known, 0.8):
+        found.setdefault(text, set()).add(name)
+    assert [n for k, n in enumerate(names) if n not in found.get(k, set())] == []
+    assert min(len(words(t)) for t in L.LICENSES.values()) >= L.SHINGLE
