@@ -27,7 +27,13 @@ from recspark.llm.quality_rules import quality_rules  # noqa: E402
 from recspark.llm.queries import domain_of, vocabulary  # noqa: E402
 from recspark.session import ship_package  # noqa: E402
 
-_LEVELS = ("__domain", "lang", "source")
+_LEVELS = ("domain", "lang", "source")
+
+
+def _apart(docs: DataFrame, *used: str):
+    """``docs`` with the columns not in ``used`` renamed, so that no operator's output meets them, and the way back."""
+    names = [c if c in used else f"carried{k}" for k, c in enumerate(docs.columns)]
+    return docs.toDF(*names), lambda df: df.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +45,8 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the host-level rules keep."""
-    return quality_rules(docs).filter("kept").select(docs.columns)
+    apart, back = _apart(docs, "text", "source")
+    return back(quality_rules(apart).filter("kept"))
 
 
 def dedupe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +60,9 @@ def dedupe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def draw(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Draw documents to the mixture's budgets; a document comes once for each of its epochs."""
     ship_package(spark)
-    with_tree = docs.withColumn("__domain", domain_of(F.col("source")))
-    return mix(with_tree, plan_mixture(with_tree, _LEVELS), _LEVELS).select(docs.columns)
+    apart, back = _apart(docs, "doc_id", "text", "lang", "source")
+    with_tree = apart.withColumn("domain", domain_of(F.col("source")))
+    return back(mix(with_tree, plan_mixture(with_tree, _LEVELS), _LEVELS))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
