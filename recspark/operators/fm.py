@@ -2,9 +2,9 @@
 
 ``fm_score`` evaluates ``w0 + sum_f w[i_f] + 0.5 * sum_d ((sum_f v_fd)^2 -
 sum_f v_fd^2)`` from weight tables ``(idx, w)`` and ``(idx, vec)`` in long
-form: one row per (sample, field) joined to the tables (broadcast only behind
-the bounded count), exploded by dimension and aggregated with partial sums -
-no per-sample Python.  Field indexes are shifted by per-field offsets so the
+form: one row per (sample, field) joined to the tables, whole vectors summed by
+a typed aggregate that combines before the shuffle - no row per dimension and no
+per-sample Python.  Field indexes are shifted by per-field offsets so the
 fields share one table (``unify_embedding``).
 """
 
@@ -15,6 +15,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recspark.operators.joins import dealt_join
 
 
 def field_offsets(vocab_sizes: list[int]) -> list[int]:
@@ -22,10 +23,16 @@ def field_offsets(vocab_sizes: list[int]) -> list[int]:
 
 
 def fm_second_order_long(df: DataFrame, key: str, vec: str) -> DataFrame:
-    """M6 (long form): rows ``(key, vec)`` one per field -> ``(key, fm2)``."""
-    long = df.select(key, F.posexplode(vec).alias("_d", "_x")).withColumn("_x", F.col("_x").cast("double"))
-    per_dim = long.groupBy(key, "_d").agg(F.sum("_x").alias("_s"), F.sum(F.col("_x") * F.col("_x")).alias("_q"))
-    return per_dim.groupBy(key).agg((F.lit(0.5) * F.sum(F.col("_s") * F.col("_s") - F.col("_q"))).alias("fm2"))
+    """M6 (long form): rows ``(key, vec)`` one per field -> ``(key, fm2)``.
+
+    Sums and squared norms come from one typed aggregate over whole vectors.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    rows = df.where(F.col(vec).isNotNull()).select(key, array_to_vector(F.col(vec).cast("array<double>")).alias("_v"))
+    both = rows.groupBy(key).agg(Summarizer.metrics("sum", "normL2").summary(F.col("_v")).alias("_m"))
+    terms = F.zip_with(vector_to_array("_m.sum"), vector_to_array("_m.normL2"), lambda s, q: s * s - q * q)
+    return both.select(key, (F.lit(0.5) * F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)).alias("fm2"))
 
 
 def fm_score(samples: DataFrame, key: str, idx_col: str, w0: float, w: DataFrame, v: DataFrame,
@@ -38,7 +45,7 @@ def fm_score(samples: DataFrame, key: str, idx_col: str, w0: float, w: DataFrame
     wt = w.select(F.col("idx").alias("_i"), F.col("w").cast("double").alias("_w"))
     vt = v.select(F.col("idx").alias("_i"), F.col("vec").alias("_vec"))
     linear = ex.join(wt, "_i", "left").groupBy(key).agg(F.sum(F.coalesce("_w", F.lit(0.0))).alias("linear"))
-    fm2 = fm_second_order_long(ex.join(vt, "_i").select(key, F.col("_vec").alias("vec")), key, "vec")
+    fm2 = fm_second_order_long(dealt_join(ex.select(key, "_i"), vt, "_i").select(key, F.col("_vec").alias("vec")), key, "vec")
     return (linear.join(fm2, key, "left").withColumn("fm2", F.coalesce("fm2", F.lit(0.0)))
             .withColumn("logit", F.lit(float(w0)) + F.col("linear") + F.col("fm2")))
 

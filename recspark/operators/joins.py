@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 def join_with_suffixes(left: DataFrame, right: DataFrame, on: list[str] | str, how: str = "inner",
                        suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Pandas-style merge - clashing non-key columns get ``_x`` / ``_y``."""
@@ -46,16 +47,37 @@ def embedding_lookup(df: DataFrame, key: str, ids_col: str, table: DataFrame, ou
                      pool: str = "sum", id_col: str = "idx", vec_col: str = "vec") -> DataFrame:
     """J8 + A13: look up a vector per id of an ``array<long>`` column and pool it.
 
-    ``posexplode`` -> equi-join on the weight table -> element-wise
-    ``sum``/``avg`` per ``(key, dim)`` -> ``array`` in dim order.  Rows whose
-    list is empty or has no match get ``null``.  ``key`` must be unique.
+    ``explode`` -> equi-join on the weight table -> one typed sum of whole
+    vectors per key, combined before the shuffle.  Rows whose list is empty or
+    has no match get ``null``.  ``key`` must be unique.  A hot id's rows are
+    dealt over ``SALTS`` copies of its vector, so no id is one task; ids are hot
+    that hold more than ``1 / SALTS`` of a seeded sample of the lookups.
     """
     if pool not in ("sum", "mean"):
         raise ValueError("pool must be 'sum' or 'mean'")
-    ids = df.select(key, F.posexplode_outer(ids_col).alias("_pos", "_id")).where(F.col("_id").isNotNull())
-    t = table.select(F.col(id_col).alias("_id"), F.posexplode(vec_col).alias("_dim", "_x"))
-    agg = F.sum(F.col("_x").cast("double")) if pool == "sum" else F.avg(F.col("_x").cast("double"))
-    long_form = ids.join(t, "_id").groupBy(key, "_dim").agg(agg.alias("_v"))
-    pooled = long_form.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_dim", "_v"))), lambda s: s["_v"]).alias(out))
+    from recspark.operators.vectors import sum_vectors
+    ids = df.select(key, F.explode(ids_col).alias("_id")).where(F.col("_id").isNotNull())
+    t = table.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_vec"))
+    pooled = sum_vectors(dealt_join(ids, t, "_id"), [key], "_vec", out, pool)
     return df.join(pooled, key, "left")
+
+
+SALTS = 16
+
+
+def dealt_join(df: DataFrame, table: DataFrame, key: str, sample: float = 0.01) -> DataFrame:
+    """Inner join of ``df`` with one row per key, the rows of hot keys dealt over ``SALTS`` copies.
+
+    Hot keys are those above ``1 / SALTS`` of a sample (at most ``2 * SALTS`` of
+    them), so their list is bounded; which keys are hot changes no result.
+    """
+    counts = df.select(F.col(key).alias("_k")).sample(sample, 7).groupBy("_k").count()
+    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"))
+    hot = counts.where(F.col("count") * SALTS > F.greatest(total.scalar(), F.lit(64 * SALTS)))
+    hot = [r["_k"] for r in hot.orderBy(F.desc("count")).limit(2 * SALTS).collect()]
+    if not hot:
+        return df.join(table, key)
+    is_hot = F.col(key).isin(hot)
+    left = df.withColumn("_salt", F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(0).cast("long"))
+    copies = F.when(is_hot, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    return left.join(table.withColumn("_salt", F.explode(copies)), [key, "_salt"]).drop("_salt")
