@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from recspark.fixed import ROUTE_SCORE_SCALE
 from recspark.operators.ranking import dense_codes
+from recspark.operators.sampling import distinct_draws
 
 
 def shuffle_key(item_col: str, seed: int | str) -> F.Column:
@@ -29,21 +30,31 @@ def shuffle_key(item_col: str, seed: int | str) -> F.Column:
 
 def recall_by_field(requests: DataFrame, items: DataFrame, field: str, n: int, seed: int = 0,
                     request_col: str = "request_id", item_col: str = "item_id",
-                    route: str | None = None) -> DataFrame:
+                    route: str | None = None, draws: str = "rotated") -> DataFrame:
     """``(request_id, item_id, route, pos)`` with ``pos`` 0-based.
 
     ``requests`` has ``request_id`` and ``field`` (the wanted value); ``items``
     has ``item_id`` and ``field``.  A value with fewer than ``n`` items gives
-    them all.  Requests without a value get nothing.
+    them all.  Requests without a value get nothing.  With
+    ``draws="independent"`` every request takes its places by a keyed partial
+    shuffle of its own (``sampling.distinct_draws``), so requests of one value
+    share no stretch of its order.
     """
+    if draws not in ("rotated", "independent"):
+        raise ValueError("draws must be 'rotated' or 'independent'")
     known = items.select(item_col, field).where(F.col(field).isNotNull()).distinct()
     places = dense_codes(known.withColumn("_k", shuffle_key(item_col, seed)), [field], [F.col("_k"), F.col(item_col)],
                          out="_place").select(field, item_col, "_place")
     sizes = known.groupBy(field).agg(F.count(F.lit(1)).alias("_size"))
     start = F.conv(F.substring(shuffle_key(request_col, seed), 1, 15), 16, 10).cast("long")
-    wanted = (requests.select(request_col, field).join(sizes, field)
-              .withColumn("pos", F.explode(F.sequence(F.lit(0), F.least(F.lit(n), F.col("_size")).cast("int") - 1)))
-              .withColumn("_place", (F.pmod(start, "_size") + F.col("pos")) % F.col("_size")))
+    sized = requests.select(request_col, field).join(sizes, field)
+    if draws == "independent":
+        key = F.concat_ws("|", F.col(request_col).cast("string"), F.lit(str(seed)))
+        mine = distinct_draws(key, F.col("_size"), F.least(F.lit(n), F.col("_size")))
+        wanted = sized.select("*", F.posexplode(mine).alias("pos", "_place"))
+    else:
+        wanted = (sized.withColumn("pos", F.explode(F.sequence(F.lit(0), F.least(F.lit(n), F.col("_size")).cast("int") - 1)))
+                  .withColumn("_place", (F.pmod(start, "_size") + F.col("pos")) % F.col("_size")))
     out = wanted.join(places, [field, "_place"])
     return out.select(request_col, item_col, F.lit(route or field).alias("route"), "pos")
 

@@ -30,6 +30,23 @@ def fold_rare(df: DataFrame, cols: list[str], min_count: int, token: str = "__ra
     return out
 
 
+def distinct_draws(key: Column, size: Column, n: Column) -> Column:
+    """``n`` distinct numbers of ``[0, size)`` in the random order of ``key`` (``n <= size``): a keyed partial shuffle.
+
+    Draw ``j`` is uniform among the ``size - j + 1`` numbers not yet drawn: a
+    hash of key and ``j``, moved up past every earlier draw at or below it.  All
+    ordered tuples are equally likely, whatever the size; the cost is ``n``
+    squared a key, with no table of ``size`` rows.
+    """
+    def nth(drawn: Column, j: Column) -> Column:
+        h = F.conv(F.substring(F.md5(F.concat(key, F.lit("|"), j.cast("string"))), 1, 15), 16, 10).cast("long")
+        place = F.pmod(h, size - j + 1)
+        return F.aggregate(F.array_sort(drawn), place, lambda x, seen: F.when(x >= seen, x + 1).otherwise(x))
+
+    steps = F.when(n > 0, F.sequence(F.lit(1).cast("long"), n.cast("long"))).otherwise(F.array().cast("array<long>"))
+    return F.aggregate(steps, F.array().cast("array<long>"), lambda drawn, j: F.concat(drawn, F.array(nth(drawn, j))))
+
+
 _SLICES = 256
 
 
@@ -51,13 +68,14 @@ def _before(df: DataFrame, user: str, value: str, count: Column, out: str, ties:
 
 
 def negative_samples(pos: DataFrame, items: DataFrame, n: int = 2, seed: int = 7, user: str = "user_id",
-                     item: str = "item_id") -> DataFrame:
+                     item: str = "item_id", draws: str = "strides") -> DataFrame:
     """Pair every positive ``(user, item)`` with ``n`` distinct items the user has none of.
 
     Items are numbered densely.  A user with ``c`` known items has ``m = N - c``
     others; a positive's start among those is an md5 hash of ``(user, item,
     seed)`` modulo ``m``, and its further draws follow at equal strides, so they
-    differ.  The ``r``-th other item is the item numbered ``r`` plus the known
+    differ.  With ``draws="independent"`` a positive's draws are a keyed partial
+    shuffle of its own (``distinct_draws``) instead: none follows from another.  The ``r``-th other item is the item numbered ``r`` plus the known
     items at or below it, which one merge of draws and known items counts.  Only
     a user who has all but fewer than ``n`` items gets fewer (all there are).
     Output ``(user, item, label)`` with the positives (label 1) included.
@@ -76,12 +94,18 @@ def negative_samples(pos: DataFrame, items: DataFrame, n: int = 2, seed: int = 7
     free = known.groupBy(F.col(user).alias("_u")).agg((n_items - F.count(F.lit(1))).alias("_m"))
     key = F.concat_ws("|", F.col(user).cast("string"), F.col(item).cast("string"), F.lit(str(seed)))
     first60 = F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")  # 15 hex digits: always >= 0
-    draws = (pos.select(user, item).join(free, F.col(user).eqNullSafe(F.col("_u")), "left")
+    if draws not in ("strides", "independent"):
+        raise ValueError("draws must be 'strides' or 'independent'")
+    drawn = (pos.select(user, item).join(free, F.col(user).eqNullSafe(F.col("_u")), "left")
              .withColumn("_m", F.coalesce("_m", n_items)).where(F.col("_m") > 0)
-             .withColumn("_n", F.least(F.lit(n).cast("long"), F.col("_m")))
-             .withColumn("_draw", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
-             .withColumn("_r", (F.pmod(first60, "_m") + (F.col("_draw") - 1) * F.floor(F.col("_m") / F.col("_n"))) % F.col("_m")))
-    both = known.unionByName(draws.select(user, "_r", F.col("_draw").cast("int"), item))
+             .withColumn("_n", F.least(F.lit(n).cast("long"), F.col("_m"))))
+    if draws == "strides":
+        drawn = drawn.withColumn("_draw", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).withColumn(
+            "_r", (F.pmod(first60, "_m") + (F.col("_draw") - 1) * F.floor(F.col("_m") / F.col("_n"))) % F.col("_m"))
+    else:
+        drawn = drawn.select("*", F.posexplode(distinct_draws(key, F.col("_m"), F.col("_n"))).alias("_at", "_r")).withColumn(
+            "_draw", F.col("_at") + 1)
+    both = known.unionByName(drawn.select(user, "_r", F.col("_draw").cast("int"), item))
     both = _before(both.withColumn("_slice", slice_of(F.col("_r"))), user, "_r",
                    (F.col("_draw") == 0).cast("long"), "_known", ["_draw"])
     negs = (both.where(F.col("_draw") > 0).withColumn("_slot", F.col("_r") + F.col("_known"))

@@ -362,6 +362,32 @@ def q_neg(spark, sf):
     return SA.negative_samples(pos, items, n=2)
 
 
+_DRAW = "(('0x' || substr(md5(CAST(user_id AS VARCHAR) || '|' || CAST(item_id AS VARCHAR) || '|7|{j}'), 1, 15))::BIGINT)"
+
+
+@register("E19_independent_draws", f"""
+WITH pos AS (SELECT DISTINCT o.o_custkey AS user_id, l.l_partkey AS item_id
+             FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+cat AS (SELECT p_partkey AS neg FROM (SELECT DISTINCT p_partkey FROM part)),
+kn AS (SELECT DISTINCT user_id, item_id FROM pos JOIN cat ON neg = item_id),
+others AS (SELECT user_id, neg, row_number() OVER (PARTITION BY user_id ORDER BY neg) - 1 AS r, count(*) OVER (PARTITION BY user_id) AS m
+           FROM (SELECT DISTINCT user_id FROM pos) u CROSS JOIN cat
+           WHERE NOT EXISTS (SELECT 1 FROM kn WHERE kn.user_id = u.user_id AND kn.item_id = neg)),
+u AS (SELECT DISTINCT user_id, m FROM others),
+one AS (SELECT user_id, item_id, m, {_DRAW.format(j=1)} % m AS r FROM pos JOIN u USING (user_id)),
+two AS (SELECT user_id, item_id, r, {_DRAW.format(j=2)} % (m - 1) AS x FROM one WHERE m > 1),
+d AS (SELECT user_id, r FROM one UNION ALL SELECT user_id, CASE WHEN x >= r THEN x + 1 ELSE x END FROM two)
+SELECT user_id, item_id, 1 AS label FROM pos
+UNION ALL SELECT d.user_id, others.neg, 0 FROM d JOIN others ON others.user_id = d.user_id AND others.r = d.r""")
+def q_neg_independent(spark, sf):
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey"])
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey"])
+    pos = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id")).distinct()
+    items = read_table(spark, sf, "part", ["p_partkey"]).select(F.col("p_partkey").alias("item_id"))
+    return SA.negative_samples(pos, items, n=2, draws="independent")
+
+
 @register("E20_split", """
 SELECT o_orderkey, CASE WHEN b < 0.7 THEN 'train' WHEN b < 0.9 THEN 'val' WHEN b < 1.0 THEN 'test' ELSE 'test' END AS split
 FROM (SELECT o_orderkey, (('0x' || substr(md5('42|' || CAST(o_orderkey AS VARCHAR)), 1, 15))::BIGINT % 1000000) / 1000000.0 AS b FROM orders)""")

@@ -79,6 +79,21 @@ def q_rule_recall(spark, sf):
     return a.unionByName(t)
 
 
+@register("R5_independent_recall", _SQL_BASE.replace("WITH log", "WITH RECURSIVE log", 1) + """,
+wanted AS (SELECT request_id, author, size FROM req JOIN (SELECT DISTINCT author, size FROM ra) USING (author)),
+drawn AS (SELECT request_id, author, size, 0 AS j, CAST([] AS BIGINT[]) AS places FROM wanted
+          UNION ALL
+          SELECT request_id, author, size, j + 1, list_append(places, list_reduce(
+              list_concat([('0x' || substr(md5(CAST(request_id AS VARCHAR) || '|7|' || CAST(j + 1 AS VARCHAR)), 1, 15))::BIGINT % (size - j)],
+                          list_sort(places)), lambda x, seen: CASE WHEN x >= seen THEN x + 1 ELSE x END))
+          FROM drawn WHERE j < least(10, size)),
+taken AS (SELECT request_id, author, unnest(places) AS place, unnest(range(0, len(places))) AS pos FROM drawn WHERE j = least(10, size))
+SELECT request_id, item_id, 'author' AS route, CAST(pos AS INTEGER) AS pos FROM taken JOIN ra USING (author, place)""")
+def q_independent_recall(spark, sf):
+    """An order of its own for every request of one value."""
+    return RC.recall_by_field(requests(spark, sf), items(spark, sf), "author", 10, seed=7, draws="independent")
+
+
 @register("R6_merge_routes", _SQL_BASE + """
 SELECT request_id, item_id, route, pos, route_len, round(score, 6) AS score, CAST(merged_rank AS INTEGER) AS merged_rank FROM merged""")
 def q_merge(spark, sf):

@@ -113,3 +113,16 @@ def q_n7(spark, sf):
     r = ST.running_metrics(_stream(spark, sf), "y", "p")
     return r.select("batch", "rows", *[F.round(c, 6).alias(c) for c in
                                        ("auc", "accuracy", "logloss", "running_accuracy", "running_logloss")])
+
+
+@register("N7_running_auc", """
+WITH e AS (SELECT CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 0 WHEN ts < TIMESTAMP '2024-01-25' THEN 1 ELSE 2 END AS batch,
+                  CAST(event_type = 'purchase' AS INTEGER) AS y, 1 / (1 + exp(-(value / 10 - 2))) AS p FROM events),
+s AS (SELECT b.batch, e.y, least(floor(e.p * 4096), 4095) AS bin FROM (SELECT DISTINCT batch FROM e) b JOIN e ON e.batch <= b.batch),
+r AS (SELECT batch, y, (2 * rank() OVER (PARTITION BY batch ORDER BY bin) + count(*) OVER (PARTITION BY batch, bin) - 1) / 2.0 AS rk FROM s)
+SELECT CAST(batch AS BIGINT) AS batch, count(*) AS rows,
+       round((sum(CASE WHEN y = 1 THEN rk ELSE 0 END) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))), 6) AS running_auc
+FROM r GROUP BY batch""")
+def q_running_auc(spark, sf):
+    r = ST.running_auc(_stream(spark, sf), "y", "p")
+    return r.select("batch", "rows", F.round("running_auc", 6).alias("running_auc"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recspark.operators import sketches as SK
 from recspark.operators import swing as sw
 from recspark.plans.catalog import register
-from recspark.session import read_table
+from recspark.session import cut_lineage, read_table
 
 
 def purchase_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,3 +109,42 @@ def q_window(spark, sf_dir):
 def q_swing_sql(spark, sf_dir):
     """The SQL form (temp-view chain, ROW_NUMBER) on the same log."""
     return _out(sw.swing_sql(spark, purchase_log(spark, sf_dir), k=5))
+
+
+_BRAND_LOG = """
+WITH log AS (SELECT p.p_brand AS brand, o.o_custkey AS user_id, CAST(o.o_orderdate AS DATE) AS day
+             FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey)
+"""
+
+
+def _brand_log(spark, sf) -> DataFrame:
+    p = read_table(spark, sf, "part", ["p_partkey", "p_brand"])
+    return purchase_log(spark, sf).join(p, F.col("item_id") == F.col("p_partkey")).select(
+        F.col("p_brand").alias("brand"), "user_id", F.to_date("ts").alias("day"))
+
+
+@register("A1_sketch_users", _BRAND_LOG + """
+SELECT brand, count(DISTINCT user_id) AS n_users, TRUE AS close FROM log GROUP BY brand""")
+def q_sketch_users(spark, sf):
+    """Users per brand from stored daily sketches, within 3 % of the exact count."""
+    log = _brand_log(spark, sf)
+    stored = cut_lineage(SK.daily_sketches(log, "brand", "user_id", F.col("day")))
+    exact = log.groupBy("brand").agg(F.count_distinct("user_id").alias("n_users"))
+    both = SK.approx_users(stored, "brand", "about").join(exact, "brand")
+    return both.select("brand", "n_users", (F.abs(F.col("about") - F.col("n_users")) <= 0.03 * F.col("n_users")).alias("close"))
+
+
+@register("P5_rolling_sketch_users", _BRAND_LOG + """,
+days AS (SELECT DISTINCT brand, day FROM log)
+SELECT d.brand, CAST(d.day AS VARCHAR) AS day, count(DISTINCT l.user_id) AS n_users, TRUE AS close
+FROM days d JOIN log l ON l.brand = d.brand AND l.day <= d.day AND l.day > d.day - INTERVAL 30 DAY GROUP BY d.brand, d.day""")
+def q_rolling_sketch_users(spark, sf):
+    """Users per brand of the 30 days up to each day, from stored daily sketches, within 3 % of the exact count."""
+    log = cut_lineage(_brand_log(spark, sf).distinct())
+    stored = cut_lineage(SK.daily_sketches(log, "brand", "user_id", F.col("day")))
+    spread = log.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(29)))).select(
+        "brand", F.date_add("day", F.col("at")).alias("day"), "user_id")
+    exact = spread.groupBy("brand", "day").agg(F.count_distinct("user_id").alias("n_users"))
+    both = SK.rolling_users(stored, "brand", 30, "about").join(exact, ["brand", "day"])
+    return both.select("brand", F.col("day").cast("string").alias("day"), "n_users",
+                       (F.abs(F.col("about") - F.col("n_users")) <= 0.03 * F.col("n_users")).alias("close"))

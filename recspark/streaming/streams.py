@@ -159,6 +159,40 @@ def running_metrics(stream: DataFrame, label: str, pred: str) -> DataFrame:
                       (F.sum("ll_sum").over(run) / F.sum("rows").over(run)).alias("running_logloss"))
 
 
+def running_auc(stream: DataFrame, label: str, score: str, bins: int = 4096, out: str | None = None,
+                checkpoint: str | None = None) -> DataFrame:
+    """``(batch, rows, running_auc)``, the AUC of everything seen up to each micro-batch.
+
+    The state is a histogram of the scores (in [0, 1], cut into ``bins``), with
+    the positives and negatives of each bin: mergeable, of fixed size, and kept
+    by the engine's own state store, so a restart with the same ``checkpoint``
+    and ``out`` goes on where it stopped.  Scores of one bin are ties (their
+    average rank), so the result is the exact AUC of the binned scores, within
+    one bin's width of the unbinned one.  Rows without label or score are left
+    out; one class alone gives 0.
+    """
+    spark = stream.sparkSession
+    out, checkpoint = out or _scratch(spark, "auc"), checkpoint or _scratch(spark, "ckpt")
+    clean = stream.where(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(score))
+    at = F.least(F.floor(F.greatest(F.col(score).cast("double"), F.lit(0.0)) * bins), F.lit(bins - 1)).cast("int")
+    state = clean.groupBy(at.alias("bin")).agg(F.sum((F.col(label) == 1).cast("long")).alias("pos"),
+                                               F.sum((F.col(label) != 1).cast("long")).alias("neg"))
+
+    def sink(histogram: DataFrame, batch_id: int) -> None:
+        below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # at most ``bins`` rows
+        ranked = histogram.withColumn("below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+        total = ranked.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"),
+                           F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2)).alias("won"))
+        area = F.when((F.col("p") > 0) & (F.col("n") > 0), F.col("won") / (F.col("p").cast("double") * F.col("n"))).otherwise(0.0)
+        total.select((F.col("p") + F.col("n")).alias("rows"), area.alias("running_auc")) \
+            .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    query = (state.writeStream.outputMode("complete").foreachBatch(sink).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.parquet(out).select(F.col("batch").cast("long").alias("batch"), "rows", "running_auc")
+
+
 def window_bounds(col: Column | None = None) -> list[Column]:
     col = F.col("window") if col is None else col
     return [F.date_format(col["start"], "yyyy-MM-dd HH:mm:ss").alias("window_start"),
