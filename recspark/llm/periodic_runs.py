@@ -12,7 +12,7 @@ equal grams are never looked at word by word.
 
 Inside a run with period ``q`` two kinds of lags are not followed, which keeps a
 text of one word repeated linear: multiples of ``q`` end where the run ends and
-have its start, so they would only repeat it; other lags of ``q / 2`` or more
+have its start, so they would only repeat it; other lags of ``q / (copies - 1)`` or more
 cannot be a whole run inside it (two periods over so many words would have a
 common divisor as a period), so those alive at its end are opened there.
 """
@@ -109,7 +109,7 @@ def find_runs(codes: list[int], places: dict[int, list[int]], width: int, shorte
         low = bisect_left(own, -((n - copies * place) // (copies - 1)), 0, top)
         if period:
             inside = bisect_left(own, first, low, top)
-            near = bisect_left(own, place - (period - 1) // 2, inside, top)
+            near = bisect_left(own, place - (period - 1) // (copies - 1), inside, top)
             opened = own[low:inside] + own[near:top]
             for q in [q for q in active if q != period and q % period == 0 and place - q >= first]:
                 del active[q]
