@@ -42,7 +42,7 @@ GAINS = 12
 SMOOTH = 8
 ORDINARY_BYTES, TOXIC_BYTES = 65_536, 16_384
 LEVEL = 6
-SAMPLES = 32_768
+SAMPLES = 16_384
 TELLING = 4096
 
 
@@ -119,8 +119,14 @@ def train_dictionary(samples: list[bytes], size: int) -> bytes:
         return whole[-size:]
 
 
-def _samples(texts: DataFrame, only: np.ndarray | None) -> list[bytes]:
-    """At most ``SAMPLES`` windows (by hash order) of the texts, or of those of their words that are in ``only``."""
+def _samples(texts: DataFrame, only: np.ndarray | None, expected: float) -> list[bytes]:
+    """About ``SAMPLES`` windows of the texts, or of those of their words that are in ``only``.
+
+    ``expected`` is how many there will be; each is taken or left by a hash, so
+    that every task sends its share alone.
+    """
+    rate = min(1.0, SAMPLES / max(expected, 1.0))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in blocks(batch, "text"):
@@ -135,7 +141,8 @@ def _samples(texts: DataFrame, only: np.ndarray | None) -> list[bytes]:
                                       ["id", "window"])
 
     rows = texts.select("id", "text").mapInArrow(run, "id string, window binary")
-    return [r["window"] for r in rows.orderBy(F.xxhash64("window", "id")).limit(SAMPLES).select("window").collect()]
+    taken = rows.filter(F.pmod(F.xxhash64("window", "id"), F.lit(1 << 20)) < rate * (1 << 20))
+    return [r["window"] for r in taken.orderBy(F.xxhash64("window", "id"), "window").select("window").collect()]
 
 
 def calibrate(gains: np.ndarray, label: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
@@ -169,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rate = F.when(F.col("y") == 1, min(1.0, max_rows / count[1])).otherwise(min(1.0, max_rows / count[0]))
     y = y.filter(F.pmod(F.xxhash64("id", F.lit("toxicity")), F.lit(1 << 20)) < rate * (1 << 20))
     x = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = stored(x.join(y, "id"), "toxicity-rows")
+    rows = stored(x.join(F.broadcast(y), "id"), "toxicity-rows")  # about 2 * max_rows ids at most, whatever the tables
     train = rows.filter(F.col("fold") < folds - 1)
 
     def distinct_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,11 +195,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
     often = F.col("toxic") * max(1, total.get(0, 0)) >= ratio * (F.col("ordinary") + 0.5) * max(1, total.get(1, 0))
     telling = (found.filter((F.col("toxic") >= min_rows) & often).orderBy(F.desc("toxic"), "code").limit(TELLING)
-               .select("code").collect())
+               .select("code", "toxic").collect())
+    said = sum(r["toxic"] for r in telling)
     telling = np.sort(np.array([r["code"] for r in telling], np.int64).view(np.uint64))
 
-    toxic = train_dictionary(_samples(train.filter("y = 1"), telling), TOXIC_BYTES)
-    ordinary = train_dictionary(_samples(train.filter("y = 0"), None), ORDINARY_BYTES)
+    toxic = train_dictionary(_samples(train.filter("y = 1"), telling, said / WINDOW + total.get(1, 0)), TOXIC_BYTES)
+    clean = train.filter("y = 0")
+    size = clean.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    ordinary = train_dictionary(_samples(clean, None, size / (6 * WINDOW)), ORDINARY_BYTES)  # words of some six bytes
     model = ToxicityModel(ordinary, toxic, 1, np.zeros(1), np.zeros(1))
     last = with_gains(rows.filter(F.col("fold") == folds - 1).select("y", "text"), model, "text", "gains")
     last = last.select("y", "gains").toArrow()  # at most about 2 * max_rows / (folds - 1) short rows
