@@ -17,8 +17,9 @@ the signatures of one hashing after the other up to the first in which it is
 strong.  Of two linked sets, the one that is strong first has a part there in
 which both agree and none of its choices is empty.
 
-Equal sets are one class, and a class gives its signatures once.  Classes that
-share ``STRONG`` signatures with the first class of each form clusters; what
+Equal sets are one class, and a class gives its signatures once a block of texts.
+They travel packed, eight bytes each, to buckets of about ``BUCKET`` shingles, and
+a bucket hands on only those that several classes share.  Classes that share ``STRONG`` signatures with the first class of each form clusters; what
 else shares a signature is compared inside that signature's group alone, across
 clusters, so chance collisions never chain clusters together.  Both kinds of
 units are compared exactly: a unit is cut into blocks, and each pair of blocks
@@ -47,6 +48,7 @@ BAND = 1.4
 AGREED = 3.0
 HASHINGS = 12
 STRONG = 3
+BUCKET = 2_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -126,6 +128,34 @@ def signatures(elements: np.ndarray, owner: np.ndarray, n: int, num: int, den: i
     return np.concatenate(sigs), np.concatenate(owners)
 
 
+def pack(sig: np.ndarray, who: np.ndarray, own: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
+    """Signatures (48 bits of them) by bucket: the classes there, then six bytes a signature and two for its class."""
+    sig = sig >> np.uint64(16)
+    bucket = (sig % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((sig, bucket))
+    sig, who, bucket = sig[order], who[order], bucket[order]
+    out = []
+    for part in np.split(np.arange(len(sig)), np.flatnonzero(np.diff(bucket)) + 1):
+        if len(part):
+            rows, place = np.unique(who[part], return_inverse=True)
+            short = sig[part].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+            out.append((int(bucket[part[0]]), np.array([len(rows)], "<u4").tobytes() + own[rows].astype("<i8").tobytes()
+                        + short.tobytes() + place.astype("<u2").tobytes()))
+    return out
+
+
+def unpack(data) -> tuple[np.ndarray, np.ndarray]:
+    """The signatures and classes of ``pack``."""
+    raw = np.frombuffer(data, np.uint8)
+    n = int(raw[:4].view("<u4")[0])
+    classes, rest = np.frombuffer(data, "<i8", n, 4), raw[4 + 8 * n:]
+    many = len(rest) // 8
+    wide = np.zeros((many, 8), np.uint8)
+    wide[:, :6] = rest[:6 * many].reshape(-1, 6)
+    place = np.frombuffer(rest[6 * many:].tobytes(), "<u2")
+    return wide.reshape(-1).view("<i8"), classes[place]
+
+
 def _classes(elements: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """One hash for each set from its elements and size; 0 for an empty set."""
     total = np.zeros((n, 2), np.uint64)
@@ -186,43 +216,57 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, d
         for batch in batches:
             for b in blocks(batch, "text"):
                 e, o = shingle_sets(b["text"], width)
-                own = _classes(e, o, b.num_rows)
-                # copies within a block give their signatures once, from the row with the smallest id
-                ids = b["id"].fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
-                order = np.lexsort((ids, own))
-                lead = np.zeros(b.num_rows, bool)
-                lead[order[np.append(True, own[order][1:] != own[order][:-1])]] = True
-                sig, who = signatures(e[lead[o]], o[lead[o]], b.num_rows, num, den)
-                order = np.argsort(who, kind="stable")
-                ends = np.concatenate([[0], np.cumsum(np.bincount(who, minlength=b.num_rows))]).astype(np.int32)
-                yield pa.record_batch([
-                    b["id"], b["code"], pa.array(np.bincount(o, minlength=b.num_rows)), pa.array(own),
-                    pa.ListArray.from_arrays(ends, pa.array(sig[order].view(np.int64)))], ["id", "code", "n", "class", "sigs"])
+                yield pa.record_batch([b["id"], b["code"], pa.array(np.bincount(o, minlength=b.num_rows)),
+                                       pa.array(_classes(e, o, b.num_rows))], ["id", "code", "n", "class"])
 
     code = F.xxhash64(F.col(text_col))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), code.alias("code"), F.col(text_col).alias("text"))
-    base = stored(texts.mapInArrow(read, "id long, code long, n long, class long, sigs array<long>"), "jaccard-base")
+    base = stored(texts.mapInArrow(read, "id long, code long, n long, class long"), "jaccard-base")
     some = base.filter("id is not null and n > 0")
     reps = some.groupBy("class").agg(F.min(F.struct("id", "code")).alias("first"), F.max("n").alias("n"),
                                      F.count(F.lit(1)).alias("copies"))
     reps = stored(reps.select("class", "first.id", "first.code", "n", "copies"), "jaccard-reps")
-    reps = reps.withColumn("no", F.monotonically_increasing_id())  # small numbers pack well beside the signatures
-    reps = stored(reps, "jaccard-classes")
-
-    rows = some.select("id", "code", "class", "sigs").join(reps.select("class", "id", "code", "no"), ["class", "id", "code"])
-    rows = rows.select("no", F.explode("sigs").alias("sig"))
-    # leaders of signatures: sort each signature's classes once
-    shared = rows.selectExpr("sig", "no", "first(no) over (partition by sig order by no) as leader",
-                             "count(1) over (partition by sig) as many").filter("many > 1").drop("many")
+    buckets = (reps.agg(F.sum("n")).first()[0] or 0) // BUCKET + 8
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Signatures of the classes of each block of texts, packed by bucket."""
+        for batch in batches:
+            for b in blocks(batch, "text"):
+                for at in range(0, b.num_rows, 1 << 15):
+                    text = b["text"].slice(at, 1 << 15)
+                    e, o = shingle_sets(text, width)
+                    own = _classes(e, o, len(text))
+                    lead = np.zeros(len(text), bool)  # copies within a block give their signatures once
+                    lead[np.unique(own, return_index=True)[1]] = True
+                    packed = pack(*signatures(e[lead[o]], o[lead[o]], len(text), num, den), own, buckets)
+                    yield pa.record_batch([pa.array([k for k, _ in packed], pa.int64()),
+                                           pa.array([d for _, d in packed], pa.binary())], ["bucket", "data"])
+
+    def meet(group: pa.Table) -> pa.Table:
+        """The signatures of a bucket that several classes share, with the smallest of them."""
+        parts = [unpack(d.as_buffer()) for c in group["data"].chunks for d in c]
+        sig, klass = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        order = np.lexsort((klass, sig))
+        sig, klass = sig[order], klass[order]
+        fresh = np.append(True, (np.diff(sig) != 0) | (np.diff(klass) != 0))
+        sig, klass = sig[fresh], klass[fresh]
+        first = np.append(True, np.diff(sig) != 0)
+        group_of = np.cumsum(first) - 1
+        many = np.bincount(group_of)[group_of] > 1
+        return pa.table({"sig": sig[many], "class": klass[many], "leader": klass[first][group_of][many]})
+
+    shared = (texts.filter("id is not null").select("text").mapInArrow(sign, "bucket long, data binary")
+              .groupBy("bucket").applyInArrow(meet, "sig long, class long, leader long"))
     shared = stored(shared, "jaccard-shared")
-    strong = (shared.filter("no <> leader").groupBy("no", "leader").count().filter(F.col("count") >= STRONG)
-              .select(F.col("no").alias("a"), F.col("leader").alias("b")))
-    near = components(strong).select(F.col("id").alias("no"), F.col("component").alias("cluster"))
-    labelled = shared.select("sig", "no").join(near, "no", "left").select("sig", "no", F.coalesce("cluster", "no").alias("label"))
+    strong = (shared.filter("class <> leader").groupBy("class", "leader").count().filter(F.col("count") >= STRONG)
+              .select(F.col("class").alias("a"), F.col("leader").alias("b")))
+    near = components(strong).select(F.col("id").alias("class"), F.col("component").alias("cluster"))
+    labelled = (shared.select("sig", "class").join(near, "class", "left")
+                .select("sig", "class", F.coalesce("cluster", "class").alias("label")))
     mixed = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig")
-    units = (near.select(F.lit(0).alias("kind"), F.col("cluster").alias("unit"), "no", F.col("no").alias("label"))
-             .unionByName(labelled.join(mixed, "sig").select(F.lit(1).alias("kind"), F.col("sig").alias("unit"), "no", "label")))
-    members = units.join(reps, "no").drop("no")
+    units = (near.select(F.lit(0).alias("kind"), F.col("cluster").alias("unit"), "class", F.col("class").alias("label"))
+             .unionByName(labelled.join(mixed, "sig").select(F.lit(1).alias("kind"), F.col("sig").alias("unit"), "class", "label")))
+    members = units.join(reps, "class")
     sizes = members.groupBy("kind", "unit").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("e"))
     cut = F.greatest(F.ceil(F.col("m") / block_rows), F.ceil(F.col("e") / block_elements)).cast("int")
     members = members.join(sizes.select("kind", "unit", cut.alias("cuts")), ["kind", "unit"]).withColumn(
