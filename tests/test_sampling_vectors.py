@@ -1,5 +1,7 @@
 """E19/E20 properties, blocked exact top-k against numpy, LSH recall against exact."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -117,3 +119,36 @@ def test_requests_of_one_value_get_different_items(spark):
     assert sorted(p for p, _ in by[100]) == [0, 1] and 101 not in by and 102 not in by
     assert all([p for p, _ in sorted(v)] == list(range(5)) and len({i for _, i in v}) == 5 for k, v in by.items() if k < 100)
     assert len({frozenset(i for _, i in by[r]) for r in range(30)}) > 10
+
+
+def test_independent_draws_are_uniform_pairs(spark):
+    keys = spark.range(6000).select(F.col("id").cast("string").alias("k"))
+    out = keys.select(SA.distinct_draws(F.col("k"), F.lit(6).cast("long"), F.lit(2)).alias("d")).collect()
+    pairs = Counter(tuple(r.d) for r in out)
+    assert len(pairs) == 30 and all(a != b for a, b in pairs)
+    assert sum((n - 200) ** 2 / 200 for n in pairs.values()) < 58  # chi-square of 29 degrees at 0.1 %
+    whole = keys.limit(20).select(SA.distinct_draws(F.col("k"), F.lit(5).cast("long"), F.lit(5)).alias("d")).collect()
+    assert all(sorted(r.d) == [0, 1, 2, 3, 4] for r in whole)
+
+
+def test_norm_bounds_skip_blocks_and_keep_the_answer(spark):
+    rnd = np.random.default_rng(5)
+    m = rnd.normal(size=(1500, 8)) * rnd.choice([0.01, 1.0, 30.0], (1500, 1), p=[.8, .15, .05])
+    df = spark.createDataFrame([(i, m[i].tolist()) for i in range(1500)], "id long, vec array<double>")
+    got = {}
+    for r in V.topk_dot(df.withColumnRenamed("id", "qid"), df.withColumnRenamed("id", "iid"), 5, block_rows=100).collect():
+        got.setdefault(r.qid, []).append((r["rank"], r.iid))
+    s = m @ m.T
+    assert all([i for _, i in sorted(got[q])] == list(np.lexsort((np.arange(1500), -s[q]))[:5]) for q in range(1500))
+
+
+def test_inverted_file_with_all_cells_is_nearly_exact(spark):
+    from recspark.operators import ivf
+    m, df = _vectors(spark, n=400)
+    q, i = df.withColumnRenamed("id", "qid"), df.withColumnRenamed("id", "iid")
+    index = ivf.build(i)
+    out = ivf.search(index, q, i, 5, probe_share=1.0, block_rows=50, query_rows=90).collect()
+    s = m @ m.T
+    want = {(a, b) for a in range(400) for b in np.argsort(-s[a])[:5]}
+    assert len({(r.qid, r.iid) for r in out} & want) >= 0.95 * len(want)
+    assert all(abs(r.score - s[r.qid, r.iid]) < 1e-9 for r in out)
