@@ -6,18 +6,21 @@ state is small (statistics, bin edges), plus optional DataFrame state
 or joins, so the same fitted model runs on batch tables and on streams.
 
 ``save`` writes a folder through Spark's own writers, so any file system that
-Spark reaches will do: ``state`` holds one row with the class and its pickled
-state, ``table=<name>`` each table, ``part=<i>`` the models a model is made of.
-``load_model`` gives back an equal model of the class that was saved.
+Spark reaches will do: ``state`` holds one line of JSON (see
+``recspark.operators.state``), ``table=<name>`` each table, ``part=<i>`` the
+models a model is made of.  ``load_model`` gives back an equal model of the
+class that was saved.  Loading reads data only: no code stored in the folder
+is run, and a class or version that is not registered is an error.
 """
 
 from __future__ import annotations
 
-import importlib
-import pickle
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recspark.operators.state import VERSION, model_class, read_value, register_model, write_value
+
 
 class Model:
     name = "model"
@@ -26,6 +29,10 @@ class Model:
         self.state = state
         self.tables = tables or {}
 
+    def __init_subclass__(cls, **kwargs):
+        super().__init_subclass__(**kwargs)
+        register_model(cls)
+
     def transform(self, df: DataFrame) -> DataFrame:  # pragma: no cover - abstract
         raise NotImplementedError
 
@@ -43,12 +50,12 @@ class Model:
         spark = spark or SparkSession.getActiveSession()
         parts = self._parts()
         names = {key for key, _ in parts} | {"tables"}
-        lists = sorted({key for key, _ in parts if isinstance(getattr(self, key), list)})
         plain = {k: v for k, v in vars(self).items() if k not in names}
-        row = (type(self).__module__, type(self).__qualname__, bytearray(pickle.dumps(plain)), sorted(self.tables),
-               [key for key, _ in parts], lists)
-        kind = "module string, class string, state binary, tables array<string>, parts array<string>, lists array<string>"
-        spark.createDataFrame([row], kind).coalesce(1).write.mode("overwrite").parquet(f"{path}/state")
+        doc = {"version": VERSION, "class": type(self).__name__, "state": write_value(plain),
+               "tables": sorted(self.tables), "parts": [key for key, _ in parts],
+               "lists": sorted({key for key, _ in parts if isinstance(getattr(self, key), list)})}
+        line = json.dumps(doc, sort_keys=True)
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/state")
         for key, t in self.tables.items():
             t.write.mode("overwrite").parquet(f"{path}/table={key}")
         for i, (_, model) in enumerate(parts):
@@ -63,21 +70,19 @@ class Model:
 
 
 def load_model(spark: SparkSession, path: str) -> Model:
-    """The model saved at ``path``; load only what you saved yourself (its state is pickled)."""
-    row = spark.read.parquet(f"{path}/state").first()
-    kind = importlib.import_module(row["module"])
-    for name in row["class"].split("."):
-        kind = getattr(kind, name)
-    if not issubclass(kind, Model):
-        raise TypeError(f"{kind!r} is no model")
+    """The model saved at ``path``; a version or class unknown here is a ``ValueError``."""
+    doc = json.loads(spark.read.text(f"{path}/state").first()["value"])
+    if doc.get("version") != VERSION:
+        raise ValueError(f"{path} has state version {doc.get('version')!r}; this library reads version {VERSION}")
+    kind = model_class(doc["class"])
     model = kind.__new__(kind)
-    vars(model).update(pickle.loads(bytes(row["state"])))
-    model.tables = {key: spark.read.parquet(f"{path}/table={key}") for key in row["tables"]}
-    for key in row["lists"]:
+    vars(model).update(read_value(doc["state"]))
+    model.tables = {key: spark.read.parquet(f"{path}/table={key}") for key in doc["tables"]}
+    for key in doc["lists"]:
         setattr(model, key, [])
-    for i, key in enumerate(row["parts"]):
+    for i, key in enumerate(doc["parts"]):
         part = load_model(spark, f"{path}/part={i}")
-        if key in row["lists"]:
+        if key in doc["lists"]:
             getattr(model, key).append(part)
         else:
             setattr(model, key, part)

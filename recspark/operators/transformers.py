@@ -23,6 +23,7 @@ from recspark.functions.hashing import list_hash, str_hash
 from recspark.operators.base import Estimator, Model, Stateless
 from recspark.operators.quantiles import exact_modes, exact_quantiles
 from recspark.operators.ranking import dense_codes
+from recspark.operators.state import state_type
 from recspark.session import cut_lineage
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -42,6 +43,7 @@ def _present(df: DataFrame, cols, strict: bool) -> list[str]:
 
 # --------------------------------------------------------------------------- E1
 
+@state_type
 @dataclass
 class FillSpec:
     col: str
@@ -116,6 +118,7 @@ class FillModel(Model):
 
 # --------------------------------------------------------------------------- E2
 
+@state_type
 @dataclass
 class TimeSpec:
     col_in: str
@@ -315,6 +318,7 @@ class _CrossModel(Model):
 
 # --------------------------------------------------------------------------- E6
 
+@state_type
 @dataclass
 class MultiValueSpec:
     col_in: str
