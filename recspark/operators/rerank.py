@@ -1,9 +1,11 @@
 """Per-request diversity rerank.
 
 ``mmr_rerank`` runs the greedy Maximal Marginal Relevance selection per
-request with ``applyInPandas`` over buckets of whole requests; the similarity of the newly
-picked item to all remaining candidates updates a running ``max_sim`` vector,
-so a request costs O(k * n * fields) numpy work.
+request with ``applyInPandas`` over buckets of whole requests.  The requests of
+a bucket take their picks side by side; the similarity of every candidate to
+the pick of its request (for list fields one product with a sparse incidence
+matrix) updates a running ``max_sim`` vector, so a bucket costs ``k`` steps of
+numpy work over its rows and tokens, without a Python loop over candidates.
 
 Before the Python step an exact pool trim is applied.  With similarities in
 ``[0, 1]`` a candidate scoring more than ``margin`` below the ``k``-th best
@@ -71,96 +73,107 @@ def consecutive_duplicates(df: DataFrame, fields: list[str], request_col: str =
     return out.withColumn("has_dup", anyf)
 
 
-# --------------------------------------------------------------------------- greedy step (pandas)
+# --------------------------------------------------------------------------- greedy step (numpy)
 
-def _field_arrays(pdf: pd.DataFrame, fields: list[str], list_fields: set[str]):
-    """Per field: integer codes (-1 = null) for scalars, python sets (None = null) for lists."""
-    out = []
-    for f in fields:
-        col = pdf[f]
-        if f in list_fields:
-            out.append(("set", [None if v is None else set(v) for v in col]))
-        else:
-            codes, _ = pd.factorize(col, use_na_sentinel=True)
-            out.append(("scalar", codes))
-    return out
+class _ScalarField:
+    """Values of one field as codes; -1 stands for null."""
 
+    def __init__(self, col: pd.Series):
+        self.codes, _ = pd.factorize(col, use_na_sentinel=True)
 
-def _sim_to(arrays, j: int, n: int) -> np.ndarray:
-    """K1 similarity of candidate ``j`` to every candidate of the request."""
-    total = np.zeros(n)
-    count = np.zeros(n)
-    for kind, vals in arrays:
-        if kind == "scalar":
-            if vals[j] < 0:
-                continue
-            valid = vals >= 0
-            count += valid
-            total += valid & (vals == vals[j])
-        else:
-            sj = vals[j]
-            if sj is None:
-                continue
-            for i, vi in enumerate(vals):
-                if vi is None:
-                    continue
-                count[i] += 1
-                u = len(sj | vi)
-                total[i] += (len(sj & vi) / u) if u else 0.0
-    return np.where(count > 0, total / np.maximum(count, 1), 0.0)
+    def to_pick(self, pick_of_row: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Similarity of every row to its request's pick, and where both have a value."""
+        theirs = self.codes[pick_of_row]
+        both = (self.codes >= 0) & (theirs >= 0)
+        return (both & (self.codes == theirs)).astype(float), both
 
 
-def _author_topic_sim(arrays, j: int, n: int) -> np.ndarray:
-    """K2 similarity: 0.5 per equal field among the first two (author, topic)."""
-    out = np.zeros(n)
-    for _, codes in arrays[:2]:
-        out += np.where((codes == codes[j]) & (codes >= 0), 0.5, 0.0)
-    return out
+class _ListField:
+    """Lists of one field as a sparse incidence matrix: a column per (request, token) of the bucket.
 
+    A pick marks the columns of its row; one product of the matrix with the
+    marks gives the tokens that every row shares with the pick of its request.
+    """
 
-def _greedy(score: np.ndarray, arrays, k: int, lam: float, mode: str) -> list[int]:
-    """Greedy picks (positions into the request's rows, already in ``pos`` order)."""
-    n = len(score)
-    sim_fn = _sim_to if mode == "relevance" else _author_topic_sim
-    picked: list[int] = []
-    alive = np.ones(n, dtype=bool)
-    max_sim = np.zeros(n)
-    while len(picked) < k and alive.any():
-        if mode == "relevance":
-            mmr = lam * score - (1 - lam) * max_sim if picked else score.copy()
-        else:
-            div = 1.0 - max_sim if picked else np.ones(n)
-            mmr = lam * div + (1 - lam) * score
-        mmr = np.where(alive, mmr, -np.inf)
-        j = int(np.argmax(mmr))  # first maximum = earliest position
-        picked.append(j)
-        alive[j] = False
-        max_sim = np.maximum(max_sim, sim_fn(arrays, j, n))
-    return picked
+    def __init__(self, col: pd.Series, request: np.ndarray):
+        values = col.to_numpy()
+        self.present = np.array([v is not None for v in values], dtype=bool)
+        sizes = np.array([0 if v is None else len(v) for v in values], dtype=np.int64)
+        lists = [v for v in values if v is not None and len(v)]
+        tokens = np.concatenate([np.asarray(v, dtype=object) for v in lists]) if lists else np.array([], dtype=object)
+        codes, names = pd.factorize(tokens, use_na_sentinel=False)  # a null is a token of its own
+        rows = np.repeat(np.arange(len(values)), sizes)
+        width = max(len(names), 1)
+        cells = np.unique(rows * width + codes)  # an item's tokens are a set
+        self.row, code = np.divmod(cells, width)
+        _, self.column = np.unique(request[self.row] * width + code, return_inverse=True)
+        self.columns = int(self.column.max()) + 1 if len(cells) else 0
+        self.size = np.bincount(self.row, minlength=len(values))
+        self.start = np.searchsorted(self.row, np.arange(len(values) + 1))
+
+    def to_pick(self, pick_of_row: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        both = self.present & self.present[pick_of_row]
+        marks = np.zeros(self.columns, dtype=bool)
+        length = self.size[picks]
+        at = np.repeat(self.start[picks] - np.r_[0, np.cumsum(length)[:-1]], length) + np.arange(length.sum())
+        marks[self.column[at]] = True
+        shared = np.bincount(self.row[marks[self.column]], minlength=len(self.size))
+        union = self.size + self.size[pick_of_row] - shared
+        return np.where(both & (union > 0), shared / np.maximum(union, 1), 0.0), both
+
+
+def _similarity(fields: list, pick_of_row: np.ndarray, picks: np.ndarray, mode: str) -> np.ndarray:
+    """K1 (mean over the fields that both rows have) or K2 (0.5 per equal field, author and topic)."""
+    if mode == "diversity":
+        return sum((0.5 * f.to_pick(pick_of_row, picks)[0] for f in fields[:2]), np.zeros(len(pick_of_row)))
+    total, count = np.zeros(len(pick_of_row)), np.zeros(len(pick_of_row))
+    for f in fields:
+        sim, both = f.to_pick(pick_of_row, picks)
+        total += sim
+        count += both
+    return np.where(count > 0, total / np.maximum(count, 1), 0.0)
 
 
 def greedy_mmr(pdf: pd.DataFrame, k: int, lam: float, fields: list[str], mode: str,
                list_fields: set[str], request_col: str = "request_id") -> pd.DataFrame:
     """Greedy selection for every request in ``pdf`` (a bucket of whole requests).
 
-    The bucket is sorted once by ``(request, pos)`` and converted to numpy
-    once; each request is then a slice.
+    All requests of the bucket take their picks side by side: a step is a
+    handful of numpy operations over the rows left, whatever the number of
+    requests or candidates.
     """
     order = np.lexsort((pdf["pos"].to_numpy(), pdf[request_col].to_numpy()))
     pdf = pdf.take(order).reset_index(drop=True)
+    n = len(pdf)
     req = pdf[request_col].to_numpy()
-    starts = np.flatnonzero(np.r_[True, req[1:] != req[:-1]]) if len(req) else np.array([], dtype=int)
-    ends = np.r_[starts[1:], len(req)]
+    first = np.flatnonzero(np.r_[True, req[1:] != req[:-1]]) if n else np.array([], dtype=np.int64)
+    request = np.repeat(np.arange(len(first)), np.diff(np.r_[first, n]))
     score = pdf["score"].fillna(0.0).to_numpy(dtype=float)
-    arrays = _field_arrays(pdf, fields, list_fields if mode == "relevance" else set())
-    take, ranks = [], []
-    for a, b in zip(starts, ends):
-        sub = [(kind, vals[a:b]) for kind, vals in arrays]
-        picks = _greedy(score[a:b], sub, k, lam, mode)
-        take.extend(a + p for p in picks)
-        ranks.extend(range(1, len(picks) + 1))
-    out = pdf.take(take).reset_index(drop=True)
-    out["mmr_rank"] = np.asarray(ranks, dtype=np.int32)
+    cols = [_ListField(pdf[f], request) if mode == "relevance" and f in list_fields else _ScalarField(pdf[f])
+            for f in fields]
+    alive, max_sim = np.ones(n, dtype=bool), np.zeros(n)
+    taken, ranks, row_no = [], [], np.arange(n)
+    for step in range(1, k + 1):
+        if not alive.any():
+            break
+        if mode == "relevance":
+            mmr = lam * score - (1 - lam) * max_sim if step > 1 else score
+        else:
+            mmr = lam * (1.0 - max_sim) + (1 - lam) * score
+        mmr = np.where(alive, mmr, -np.inf)
+        best = np.maximum.reduceat(mmr, first)
+        # the earliest position among a request's largest; a request without rows left picks none
+        pick = np.minimum.reduceat(np.where(alive & (mmr == best[request]), row_no, n), first)
+        picks = pick[pick < n]
+        taken.append(picks)
+        ranks.append(np.full(len(picks), step, dtype=np.int32))
+        alive[picks] = False
+        if step < k:
+            pick_of_row = np.where(pick < n, pick, first)[request]  # finished requests compare with anything
+            max_sim = np.maximum(max_sim, _similarity(cols, pick_of_row, picks, mode))
+    rows = np.concatenate(taken) if taken else np.array([], dtype=np.int64)
+    out = pdf.take(rows).reset_index(drop=True)
+    out["mmr_rank"] = np.concatenate(ranks) if ranks else np.array([], dtype=np.int32)
     return out
 
 

@@ -142,3 +142,36 @@ def test_paths_agree_on_repeated_and_null_items(spark, mode, fields):
         normal = key(RR.mmr_rerank(df, 5, lam, fields, mode=mode))
         assert normal == key(RR.mmr_rerank(df, 5, lam, fields, mode=mode, max_pool=3)) and len(normal) == 20
         assert normal == key(RR.mmr_rerank(df, 5, lam, fields, mode=mode, rows_per_task=7))
+
+
+def test_requests_of_all_sizes_in_one_bucket():
+    """The side-by-side greedy picks what the definition picks, request by request."""
+    import random
+
+    import pandas as pd
+    rnd = random.Random(3)
+    token = ["p", "q", "r", None]
+    rows = [(r, i, round(rnd.random(), 1), rnd.choice(["A", "B", None]),
+             rnd.choice([None, [], [rnd.choice(token) for _ in range(rnd.randrange(1, 5))]]), i)
+            for r in range(25) for i in range(rnd.choice([1, 2, 3, 12]))]
+    rnd.shuffle(rows)
+    pdf = pd.DataFrame(rows, columns=["request_id", "item_id", "score", "author", "tags", "pos"])
+
+    def sim(a, b):
+        parts = [float(a[3] == b[3])] if a[3] is not None and b[3] is not None else []
+        if a[4] is not None and b[4] is not None:
+            x, y = set(a[4]), set(b[4])
+            parts.append(len(x & y) / len(x | y) if x | y else 0.0)
+        return sum(parts) / len(parts) if parts else 0.0
+
+    want = []
+    for r in sorted({row[0] for row in rows}):
+        left, picked = sorted((row for row in rows if row[0] == r), key=lambda x: x[5]), []
+        while left and len(picked) < 4:
+            near = [max((sim(x, p) for p in picked), default=0.0) for x in left]
+            best = max(range(len(left)), key=lambda j: 0.4 * left[j][2] - (1 - 0.4) * near[j] if picked else left[j][2])
+            picked.append(left.pop(best))
+        want += [(r, x[1], n + 1) for n, x in enumerate(picked)]
+    out = RR.greedy_mmr(pdf, 4, 0.4, ["author", "tags"], "relevance", {"tags"})
+    assert sorted(zip(out["request_id"], out["item_id"], out["mmr_rank"])) == sorted(want)
+    assert RR.greedy_mmr(pdf.iloc[:0], 4, 0.4, ["author", "tags"], "relevance", {"tags"}).empty
