@@ -1,47 +1,113 @@
 """Residual-quantised semantic IDs (M1-M5).
 
 A codebook is a small table ``(layer, code, vec)`` of ``layers x K`` rows -
-bounded by its parameters, not by the data.  Each layer's codebook enters the
-row-level plan as a scalar subquery (one array value evaluated once by Spark),
-so encoding a row is pure expression work: distances to the ``K`` codes,
-``array_min`` of ``(distance, code)`` (ties -> smaller code), then the
-residual update.  No join, no shuffle of the encoded table.
+bounded by its parameters, not by the data - and is the only thing that
+reaches the driver.  Rows are encoded batch by batch (Arrow): the distances of
+a batch to all codes are one matrix product, ``|x|^2 - 2 x C + |C|^2``.  Codes
+within the rounding error of the nearest are compared again by the plain sum
+of squared differences, in order, so the answer is that of the definition
+(ties -> smaller code).  No join, no shuffle of the encoded table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recspark.functions.scalars import prefix_ngrams, sq_l2_distance, vec_sub
+from recspark.functions.scalars import prefix_ngrams, sq_l2_distance
+
+CELLS = 1 << 21  # distances held at once by a task
+
+
+def _book(rows: list[tuple[int, list[float]]]) -> tuple[np.ndarray, np.ndarray]:
+    """``(codes, vectors)`` of a layer; of equal vectors the smallest code stays."""
+    rows = sorted((int(c), tuple(map(float, v))) for c, v in rows)
+    first: dict[tuple, int] = {}
+    for code, v in rows:
+        first.setdefault(v, code)
+    order = sorted(first.items(), key=lambda item: item[1])
+    return np.array([c for _, c in order], dtype=np.int32), np.array([v for v, _ in order], dtype=float)
+
+
+def codebook_layers(codebook: DataFrame, layers: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The codebook's layers as arrays (``layers x K`` rows are collected)."""
+    rows = (codebook.where(F.col("vec").isNotNull() & (F.col("layer") < layers))
+            .select(F.col("layer").cast("int"), F.col("code").cast("int"), F.col("vec").cast("array<double>")).collect())
+    return [_book([(c, v) for la, c, v in rows if la == layer]) for layer in range(layers)]
+
+
+def _sum_of_squares(x: np.ndarray) -> np.ndarray:
+    """Row sums in order of the elements, as a fold over the array adds them."""
+    return np.cumsum(x * x, axis=1)[:, -1] if x.shape[1] else np.zeros(len(x))
+
+
+def nearest_rows(x: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Index of the nearest row of ``codes`` for every row of ``x``; ties -> smaller index."""
+    size = (codes * codes).sum(1)
+    out = np.empty(len(x), dtype=np.int64)
+    step = max(1, CELLS // max(len(codes), 1))
+    for a in range(0, len(x), step):
+        part = x[a:a + step]
+        own = (part * part).sum(1)
+        far = own[:, None] - 2.0 * (part @ codes.T) + size
+        slack = 64 * (x.shape[1] + 1) * np.finfo(float).eps * (np.sqrt(own) + np.sqrt(size.max())) ** 2
+        near = far <= far.min(1)[:, None] + slack[:, None]
+        best = near.argmax(1)
+        row, code = np.nonzero(near & (near.sum(1) > 1)[:, None])
+        if len(row):
+            exact = np.concatenate([_sum_of_squares(part[row[b:b + step]] - codes[code[b:b + step]])
+                                    for b in range(0, len(row), step)])
+            order = np.lexsort((code, exact, row))
+            first = np.flatnonzero(np.r_[True, np.diff(row[order]) > 0])
+            best[row[order][first]] = code[order][first]
+        out[a:a + step] = best
+    return out
+
+
+_ENCODED = "codes array<int>, quantized array<double>, residual_norms array<double>, residual array<double>"
+
 
+def _encoded(vec: str | Column, books: list[tuple[np.ndarray, np.ndarray]]) -> Column:
+    """Struct of ``codes``, ``quantized``, ``residual_norms`` and ``residual``; null where there is no code."""
+    dim = next((b.shape[1] for _, b in books if len(b)), None)
+    whole = dim is not None and all(len(b) for _, b in books)
 
-def _codebook_value(codebook: DataFrame, layer: int) -> Column:
-    cb = codebook.where(F.col("layer") == layer).select(
-        F.array_sort(F.collect_list(F.struct(F.col("code").cast("int").alias("code"),
-                                             F.col("vec").cast("array<double>").alias("vec")))).alias("cb"))
-    return cb.scalar()
+    @F.pandas_udf(_ENCODED)
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for vectors in batches:
+            fine = np.array([whole and v is not None and len(v) == dim and bool(np.isfinite(np.asarray(v, dtype=float)).all())
+                             for v in vectors], dtype=bool)
+            cols = {c: np.full(len(vectors), None, dtype=object) for c in ("codes", "quantized", "residual_norms", "residual")}
+            if fine.any():
+                x = np.stack([np.asarray(v, dtype=float) for v in vectors[fine]])
+                left, codes, norms = x, [], []
+                for names, book in books:
+                    at = nearest_rows(left, book)
+                    left = left - book[at]
+                    codes.append(names[at])
+                    norms.append(_sum_of_squares(left))
+                found = (np.stack(codes, axis=1), x - left, np.stack(norms, axis=1), left)
+                for c, values in zip(cols, found):
+                    for i, v in zip(np.flatnonzero(fine), values):
+                        cols[c][i] = v
+            yield pd.DataFrame(cols)
+
+    return encode(F.col(vec).cast("array<double>") if isinstance(vec, str) else vec)
 
 
 def rq_encode(df: DataFrame, vec: str, codebook: DataFrame, layers: int) -> DataFrame:
     """M1 (J10 nearest codebook row per layer): adds ``codes array<int>``, ``quantized array<double>`` and
-    ``residual_norms array<double>`` (squared norm of the residual after each layer)."""
-    out = df.withColumn("_res", F.col(vec).cast("array<double>")) \
-        .withColumn("codes", F.array().cast("array<int>")) \
-        .withColumn("residual_norms", F.array().cast("array<double>"))
-    for layer in range(layers):
-        # the codebook value is projected first: subqueries may not sit inside lambdas
-        out = out.withColumn("_cb", _codebook_value(codebook, layer))
-        best = F.array_min(F.transform("_cb", lambda s: F.struct(sq_l2_distance(F.col("_res"), s["vec"]).alias("d"),
-                                                                 s["code"].alias("code"), s["vec"].alias("vec"))))
-        out = out.withColumn("_best", best).drop("_cb")
-        out = out.withColumn("_res", vec_sub(F.col("_res"), F.col("_best.vec"))) \
-            .withColumn("codes", F.concat("codes", F.array(F.col("_best.code")))) \
-            .withColumn("residual_norms", F.concat("residual_norms", F.array(
-                F.aggregate("_res", F.lit(0.0), lambda a, x: a + x * x)))) \
-            .drop("_best")
-    out = out.withColumn("quantized", vec_sub(F.col(vec).cast("array<double>"), F.col("_res")))
-    return out.drop("_res")
+    ``residual_norms array<double>`` (squared norm of the residual after each layer).
+
+    A vector that is null, of another length than the codes, or holds a null or
+    a non-finite value gets nulls, as does every vector if a layer has no codes.
+    """
+    out = df.withColumn("_enc", _encoded(vec, codebook_layers(codebook, layers)))
+    return out.withColumns({c: F.col("_enc")[c] for c in ("codes", "residual_norms", "quantized")}).drop("_enc")
 
 
 def rq_loss(encoded: DataFrame, vec: str, beta: float = 0.5) -> DataFrame:
@@ -75,22 +141,17 @@ def rq_fit(df: DataFrame, vec: str, layers: int, k: int, seed: int = 1, max_iter
     from pyspark.ml.functions import array_to_vector
 
     spark = df.sparkSession
-    books: list[DataFrame] = []
-    res = df.select(F.col(vec).cast("array<double>").alias("_r"))
+    rows: list[tuple] = []
+    books = []
+    source = df.select(F.col(vec).cast("array<double>").alias("_v"))
     for layer in range(layers):
+        res = source.select(F.col("_v").alias("_r")) if not books else source.select(_encoded("_v", books)["residual"].alias("_r"))
         km = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(
-            res.select(array_to_vector("_r").alias("features")))
-        centers = [(layer, i, [float(x) for x in c]) for i, c in enumerate(km.clusterCenters())]
-        book = spark.createDataFrame(centers, "layer int, code int, vec array<double>")
-        books.append(book)
-        res = res.withColumn("_cb", _codebook_value(book, layer))
-        best = F.array_min(F.transform("_cb", lambda s: F.struct(sq_l2_distance(F.col("_r"), s["vec"]).alias("d"),
-                                                                 s["code"].alias("code"), s["vec"].alias("vec"))))
-        res = res.select(vec_sub(F.col("_r"), best["vec"]).alias("_r"))
-    out = books[0]
-    for b in books[1:]:
-        out = out.unionByName(b)
-    return out
+            res.where(F.col("_r").isNotNull()).select(array_to_vector("_r").alias("features")))
+        centers = [(i, [float(x) for x in c]) for i, c in enumerate(km.clusterCenters())]
+        rows += [(layer, i, c) for i, c in centers]
+        books.append(_book(centers))
+    return spark.createDataFrame(rows, "layer int, code int, vec array<double>")
 
 
 __all__ = ["rq_encode", "rq_loss", "semantic_id", "prefix_embedding", "rq_fit"]
