@@ -90,6 +90,10 @@ def load_model(spark: SparkSession, path: str) -> Model:
 
 
 class Estimator:
+    def inputs(self) -> list[str] | None:
+        """Columns that ``fit`` and ``transform`` read; ``None`` if not known (all of them)."""
+        return None
+
     def fit(self, df: DataFrame) -> Model:  # pragma: no cover - abstract
         raise NotImplementedError
 

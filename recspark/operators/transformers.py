@@ -64,6 +64,9 @@ class MissingValueFiller(Estimator):
         self.specs, self.default = specs, default_fill_value
         self.approx, self.strict = approx_median, strict
 
+    def inputs(self):
+        return [s.col for s in self.specs]
+
     def fit(self, df: DataFrame) -> "FillModel":
         aggs, values, medians, modes = [], {}, [], []
         for s in self.specs:
@@ -135,6 +138,9 @@ class TimeFeatureExtractor(Stateless):
         super().__init__()
         self.specs = specs
 
+    def inputs(self):
+        return [s.col_in for s in self.specs]
+
     @staticmethod
     def expr(s: TimeSpec) -> Column:
         c = F.col(s.col_in)
@@ -182,6 +188,9 @@ class BooleanConverter(Stateless):
         super().__init__()
         self.cols = cols
 
+    def inputs(self):
+        return list(self.cols)
+
     def transform(self, df):
         cols = [c for c in self.cols if c in df.columns]
         return df.withColumns({c: S.bool_to_int(c) for c in cols}) if cols else df
@@ -194,6 +203,9 @@ class LogTransformer(Stateless):
         super().__init__()
         self.pairs = pairs
 
+    def inputs(self):
+        return [c for c, _ in self.pairs]
+
     def transform(self, df):
         pairs = [(i, o) for i, o in self.pairs if i in df.columns]
         return df.withColumns({o: S.safe_log_feature(i) for i, o in pairs}) if pairs else df
@@ -206,6 +218,9 @@ class HashTransformer(Stateless):
         super().__init__()
         self.specs, self.method, self.seed = specs, method, seed
 
+    def inputs(self):
+        return [s[0] for s in self.specs]
+
     def transform(self, df):
         specs = [s for s in self.specs if s[0] in df.columns]
         return df.withColumns({o: str_hash(i, n, self.method, self.seed) for i, o, n in specs}) if specs else df
@@ -235,6 +250,9 @@ class CategoricalEncoder(Estimator):
         self.cols, self.suffix, self.unseen, self.numeric = cols, suffix, unseen, numeric
         self.outputs, self.strict = outputs or {}, strict
 
+    def inputs(self):
+        return list(self.cols)
+
     def fit(self, df: DataFrame) -> "VocabModel":
         cols = _present(df, self.cols, self.strict)
         if self.numeric == "pass":
@@ -275,6 +293,9 @@ class FrequencyLookup(Estimator):
                  max_tokens: int | None = None):
         self.cols, self.suffix, self.min_count, self.max_tokens = cols, suffix, min_count, max_tokens
 
+    def inputs(self):
+        return list(self.cols)
+
     def fit(self, df: DataFrame) -> VocabModel:
         cols = [c for c in self.cols if c in df.columns]
         counts = (_stack_values(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
@@ -294,6 +315,9 @@ class CrossFeatureCreator(Estimator):
     def __init__(self, crosses: list[list[str]], unseen: str = "zero", keep_string: bool = False):
         self.crosses, self.unseen, self.keep_string = crosses, unseen, keep_string
 
+    def inputs(self):
+        return [c for cross in self.crosses for c in cross]
+
     def _with_strings(self, df):
         return df.withColumns({"_".join(c) + SUFFIX_CROSS + "_str": S.cross_string(c) for c in self.crosses})
 
@@ -338,6 +362,9 @@ class MultivaluedProcessor(Stateless):
         super().__init__()
         self.specs = specs
 
+    def inputs(self):
+        return [s.col_in for s in self.specs]
+
     @staticmethod
     def expr(s: MultiValueSpec) -> Column:
         v: Column = F.col(s.col_in)
@@ -403,6 +430,9 @@ class NumericalBinner(Estimator):
         self.cols, self.n, self.strategy, self.approx, self.suffix = cols, num_bins, strategy, approx, suffix
         self.strict = strict
 
+    def inputs(self):
+        return list(self.cols)
+
     def fit(self, df):
         cols = _present(df, self.cols, self.strict)
         probs = [i / self.n for i in range(self.n + 1)]
@@ -464,6 +494,9 @@ class MinMaxNormalizer(Estimator):
     def __init__(self, cols: list[str], suffix: str = "", approx: bool = False):
         self.cols, self.suffix, self.approx = cols, suffix, approx
 
+    def inputs(self):
+        return list(self.cols)
+
     def fit(self, df):
         cols = [c for c in self.cols if c in df.columns]
         aggs = []
@@ -497,6 +530,9 @@ class ZScoreNormalizer(Estimator):
     def __init__(self, cols: list[str], suffix: str = ""):
         self.cols, self.suffix = cols, suffix
 
+    def inputs(self):
+        return list(self.cols)
+
     def fit(self, df):
         cols = [c for c in self.cols if c in df.columns]
         aggs = []

@@ -8,6 +8,8 @@ vocabulary joins) that runs unchanged on a batch table or a stream.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,7 @@ from recspark.fixed import (CLEANER_EXTRA_COLUMNS, DEFAULT_FILL_VALUE, FN_BOOL,
 from recspark.functions.registry import apply_ops
 from recspark.operators import transformers as TR
 from recspark.operators.base import Estimator, Model, Stateless
+from recspark.session import ensure_checkpoint_dir
 
 
 class PipelineModel(Model):
@@ -33,31 +36,39 @@ class PipelineModel(Model):
 class FeaturePipeline(Estimator):
     """Ordered stages; ``fit`` runs one aggregate job per stateful stage.
 
-    ``persist_input=True`` persists the input (memory and disk) for the
-    duration of the fit, so an expensive upstream plan is not recomputed once
-    per statistics job; a lost executor only drops cached blocks, which Spark
-    recomputes from lineage.  Off by default: measured slower when the input
-    is a cheap scan.
+    ``store_input=True`` evaluates the input once: the columns that the stages
+    up to the last stateful one read are written as Parquet into the shared
+    checkpoint folder, and every statistic reads its own columns from there.
+    Meant for inputs that are joins or unions; over a plain scan the statistics
+    read their columns from the source as cheaply.  A lost executor costs its
+    running tasks only, since the copy lies outside the executors.
     """
 
-    def __init__(self, stages: list[Estimator], persist_input: bool = False):
-        self.stages, self.persist_input = stages, persist_input
+    def __init__(self, stages: list[Estimator], store_input: bool = False):
+        self.stages, self.store_input = stages, store_input
+
+    def inputs(self):
+        each = [st.inputs() for st in self.stages]
+        return None if None in each else [c for cols in each for c in cols]
+
+    def _stored(self, df: DataFrame, stages: list[Estimator]) -> DataFrame:
+        """The columns of ``df`` that ``stages`` read, written once and read back."""
+        read = FeaturePipeline(stages).inputs()
+        part = df if read is None else df.select(*[c for c in df.columns if c in set(read)])
+        path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/recspark-fit-{uuid.uuid4().hex[:10]}"
+        part.write.parquet(path)
+        return df.sparkSession.read.schema(part.schema).parquet(path)
 
     def fit(self, df: DataFrame) -> PipelineModel:
-        from pyspark import StorageLevel
-        stateful = sum(1 for st in self.stages if not isinstance(st, Stateless))
-        cached = self.persist_input and stateful >= 2
-        src = df.persist(StorageLevel.MEMORY_AND_DISK) if cached else df
-        try:
-            models, cur = [], src
-            for st in self.stages:  # L4: every stage sees the output of the previous ones
-                m = st.fit(cur)
-                cur = m.transform(cur)
-                models.append(m)
-        finally:
-            if cached:
-                src.unpersist()
-        return PipelineModel(models)
+        stateful = [i for i, st in enumerate(self.stages) if not isinstance(st, Stateless)]
+        last = stateful[-1] + 1 if stateful else 0
+        cur = self._stored(df, self.stages[:last]) if self.store_input and last else df
+        models: list[Model] = []
+        for st in self.stages[:last]:  # L4: every stage sees the output of the previous ones
+            m = st.fit(cur)
+            cur = m.transform(cur)
+            models.append(m)
+        return PipelineModel(models + list(self.stages[last:]))  # the rest has nothing to fit
 
 
 class ColumnCleaner(Stateless):
@@ -69,6 +80,9 @@ class ColumnCleaner(Stateless):
         self.original, self.generated, self.extra = original, set(generated), extra
         self.keep = set(keep or [])
 
+    def inputs(self):
+        return []
+
     def transform(self, df):
         drop = [c for c in self.original if c not in self.generated and c not in self.keep] + list(self.extra)
         return df.drop(*[c for c in drop if c in df.columns])
@@ -81,6 +95,9 @@ class Select(Stateless):
         super().__init__()
         self.cols = cols
 
+    def inputs(self):
+        return [name for c in self.cols for name in (c if isinstance(c, dict) else [c])]
+
     def transform(self, df):
         out = []
         for c in self.cols:
@@ -94,8 +111,8 @@ class Select(Stateless):
 
 # --------------------------------------------------------------------------- processor dialect
 
-def pipeline_from_processor_spec(spec: dict, hash_method: str | None = None,
-                                 clean: bool = True) -> FeaturePipeline:
+def pipeline_from_processor_spec(spec: dict, hash_method: str | None = None, clean: bool = True,
+                                 store_input: bool = False) -> FeaturePipeline:
     """``fill -> time -> bool -> log -> label -> multi -> hash -> clean``.
 
     Every declared parameter is honoured (L2) and every transform writes its
@@ -152,7 +169,7 @@ def pipeline_from_processor_spec(spec: dict, hash_method: str | None = None,
     stages += [TR.HashTransformer(v, method=m) for m, v in by_method.items()]
     if clean:
         stages.append(ColumnCleaner(originals, generated))
-    return FeaturePipeline(stages)
+    return FeaturePipeline(stages, store_input)
 
 
 # --------------------------------------------------------------------------- pipeline dialect
@@ -167,6 +184,9 @@ class OpsPipeline(Stateless):
         super().__init__()
         self.pipelines, self.keep_inputs = pipelines, keep_inputs
 
+    def inputs(self):
+        return [p["col_in"] for p in self.pipelines]
+
     def expr(self, p: dict, df: DataFrame):
         c = F.col(p["col_in"])
         if p.get("fillna") is not None:

@@ -14,7 +14,7 @@ from recspark.operators import sampling as SA
 from recspark.operators import transformers as TR
 from recspark.operators.joins import combo_merge, join_with_suffixes
 from recspark.plans.catalog import REGISTRY, register
-from recspark.plans.pipeline import OpsPipeline, pipeline_from_processor_spec
+from recspark.plans.pipeline import FeaturePipeline, OpsPipeline, pipeline_from_processor_spec
 from recspark.session import read_table
 from recspark.sources import io as IO
 from recspark.sources.spec import load_spec
@@ -247,7 +247,7 @@ FROM f""")
 def q_pipeline(spark, sf):
     w = wide_log(spark, sf)
     spec = load_spec(WIDE_SPEC)
-    model = pipeline_from_processor_spec(spec).fit(w)
+    model = pipeline_from_processor_spec(spec, store_input=True).fit(w)
     out = model.transform(w)
     return out.select("l_orderkey", "l_linenumber", "user_id", "item_id", "dayofweek", "month",
                       "is_return", _r("l_extendedprice_log").alias("l_extendedprice_log"),
@@ -268,7 +268,7 @@ def q_pipeline_stream(spark, sf):
     """ST1 at full size: the E14 model fitted on the batch log, applied to lineitem
     replayed as a file stream (three ship-date ranges) - the result equals E14."""
     from recspark.streaming import streams as ST
-    model = pipeline_from_processor_spec(load_spec(WIDE_SPEC)).fit(wide_log(spark, sf))
+    model = pipeline_from_processor_spec(load_spec(WIDE_SPEC), store_input=True).fit(wide_log(spark, sf))
     li = read_table(spark, sf, "lineitem", LINEITEM_COLS + ["l_shipdate"])
     root, _, per_batch = ST.stage_event_files(li, "l_shipdate", ["1995-01-01 00:00:00", "1998-01-01 00:00:00"])
     stream = ST.read_file_stream(spark, root, li.schema, files_per_trigger=per_batch)
@@ -284,12 +284,11 @@ SELECT l_orderkey, l_linenumber, isodow(o_orderdate) - 1 AS weekday0,
   round((p_retailprice - mn) / (mx - mn), 6) AS p_retailprice_mm, cnt_x, cnt_y
 FROM w, pe, mm""")
 def q_wide_samples(spark, sf):
-    w = wide_log(spark, sf)
-    w = w.withColumn("weekday0", F.weekday("o_orderdate").cast("long"))
-    w = TR.CategoricalEncoder(["c_mktsegment"]).fit(w).transform(w)
-    w = TR.NumericalBinner(["l_extendedprice"], 4).fit(w).transform(w)
-    w = w.withColumn("p_retailprice_mm", F.col("p_retailprice"))
-    w = TR.MinMaxNormalizer(["p_retailprice_mm"]).fit(w).transform(w)
+    w = wide_log(spark, sf).withColumns({"weekday0": F.weekday("o_orderdate").cast("long"),
+                                         "p_retailprice_mm": F.col("p_retailprice")})
+    stages = [TR.CategoricalEncoder(["c_mktsegment"]), TR.NumericalBinner(["l_extendedprice"], 4),
+              TR.MinMaxNormalizer(["p_retailprice_mm"])]
+    w = FeaturePipeline(stages, store_input=True).fit(w).transform(w)
     return w.select("l_orderkey", "l_linenumber", "weekday0", "c_mktsegment_encoded", "l_extendedprice_bin",
                     _r("p_retailprice_mm").alias("p_retailprice_mm"), "cnt_x", "cnt_y")
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from recspark.operators import transformers as TR
-from recspark.operators.base import Model, load_model
+from recspark.operators.base import Model, Stateless, load_model
 from recspark.operators.state import read_value, write_value
 from recspark.plans import pipeline as PL
 
@@ -93,3 +93,47 @@ def test_own_models_register_themselves(spark, tmp_path):
 
     Doubler({"by": 2}).save(str(tmp_path), spark)
     assert load_model(spark, str(tmp_path)).transform(spark.createDataFrame([(4,)], "x int")).first().x == 8
+
+
+# --------------------------------------------------------------------------- one evaluation of the input per fit
+
+def _counted(spark, df):
+    """``df`` and an accumulator of the rows it has produced, over all jobs."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+    return df.mapInPandas(count, df.schema), made
+
+
+def _all_stages():
+    return [STAGES[n] for n in ("fill", "time", "log", "hash", "frequency", "cross", "multi", "bins", "quantiles")] + [
+        TR.MinMaxNormalizer(["amount"], suffix="_mm"), STAGES["label"], PL.ColumnCleaner(["tags"], [])]
+
+
+def test_stored_input_is_evaluated_once(spark):
+    df = spark.createDataFrame(ROWS * 5, COLUMNS)
+    source, made = _counted(spark, df)
+    fitted = PL.FeaturePipeline(_all_stages(), store_input=True).fit(source)
+    assert made.value == 20
+    again, more = _counted(spark, df)
+    plain = PL.FeaturePipeline(_all_stages()).fit(again)
+    assert more.value > 20
+    want, got = plain.transform(df), fitted.transform(df)
+    assert want.schema == got.schema
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_only_columns_that_stages_read_are_stored(spark):
+    df = spark.createDataFrame(ROWS, COLUMNS)
+    p = PL.FeaturePipeline([TR.CategoricalEncoder(["city"]), TR.ZScoreNormalizer(["amount"])], store_input=True)
+    assert p._stored(df, p.stages).columns == ["city", "amount"]
+    assert PL.FeaturePipeline([STAGES["log"], _Unknown()]).inputs() is None
+    assert p._stored(df, [_Unknown()]).columns == df.columns
+
+
+class _Unknown(Stateless):
+    def inputs(self):
+        return None
