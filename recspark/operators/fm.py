@@ -25,13 +25,17 @@ def field_offsets(vocab_sizes: list[int]) -> list[int]:
 def fm_second_order_long(df: DataFrame, key: str, vec: str) -> DataFrame:
     """M6 (long form): rows ``(key, vec)`` one per field -> ``(key, fm2)``.
 
-    Sums and squared norms come from one typed aggregate over whole vectors.
+    Sums and sums of squares come from one typed aggregate over whole vectors,
+    each followed by its squares.
     """
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
-    rows = df.where(F.col(vec).isNotNull()).select(key, array_to_vector(F.col(vec).cast("array<double>")).alias("_v"))
-    both = rows.groupBy(key).agg(Summarizer.metrics("sum", "normL2").summary(F.col("_v")).alias("_m"))
-    terms = F.zip_with(vector_to_array("_m.sum"), vector_to_array("_m.normL2"), lambda s, q: s * s - q * q)
+    x = F.col(vec).cast("array<double>")
+    rows = df.where(F.col(vec).isNotNull()).select(
+        key, array_to_vector(F.concat(x, F.transform(x, lambda v: v * v))).alias("_v"))
+    both = rows.groupBy(key).agg(vector_to_array(Summarizer.sum(F.col("_v"))).alias("_m"))
+    dim = (F.size("_m") / 2).cast("int")
+    terms = F.zip_with(F.slice("_m", 1, dim), F.slice("_m", dim + 1, dim), lambda s, q: s * s - q)
     return both.select(key, (F.lit(0.5) * F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)).alias("fm2"))
 
 
