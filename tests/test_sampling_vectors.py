@@ -152,3 +152,26 @@ def test_inverted_file_with_all_cells_is_nearly_exact(spark):
     want = {(a, b) for a in range(400) for b in np.argsort(-s[a])[:5]}
     assert len({(r.qid, r.iid) for r in out} & want) >= 0.95 * len(want)
     assert all(abs(r.score - s[r.qid, r.iid]) < 1e-9 for r in out)
+
+
+def test_blocks_of_a_side_stay_few(spark):
+    _, df = _vectors(spark, n=900, d=4)
+    _, most = V.norm_blocks(df.withColumnRenamed("id", "iid"), 4)
+    assert len(most) <= V.BLOCKS
+    assert V.rows_of_block(10 ** 9, 256) == V.MOST_ROWS and V.rows_of_block(900, 256) == 256
+
+
+def test_topk_of_copies_goes_to_the_smaller_id(spark):
+    rnd = np.random.default_rng(8)
+    m = np.concatenate([np.tile(rnd.normal(size=(3, 16)), (200, 1)), rnd.normal(size=(900, 16)) / 4])
+    df = spark.createDataFrame([(i, m[i].tolist()) for i in range(1500)], "id long, vec array<double>")
+    got = {}
+    for r in V.topk_dot(df.withColumnRenamed("id", "qid"), df.withColumnRenamed("id", "iid"), 5, block_rows=64, exclude_self=True).collect():
+        got.setdefault(r.qid, []).append((r["rank"], r.iid))
+    s = np.einsum("ij,kj->ik", m, m)
+    np.fill_diagonal(s, -np.inf)
+    for q in (0, 1, 5, 599, 600, 1499):
+        first = m[np.arange(1500)] @ m[q]
+        first[q] = -np.inf
+        want = list(np.lexsort((np.arange(1500), -first.round(9)))[:5])
+        assert [i for _, i in sorted(got[q])] == want
