@@ -175,3 +175,26 @@ def test_topk_of_copies_goes_to_the_smaller_id(spark):
         first[q] = -np.inf
         want = list(np.lexsort((np.arange(1500), -first.round(9)))[:5])
         assert [i for _, i in sorted(got[q])] == want
+
+
+def test_lsh_finds_the_pairs_of_its_buckets_without_a_pair_table(spark, monkeypatch):
+    from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
+    from pyspark.ml.functions import array_to_vector
+
+    def no_pairs(*args, **kwargs):
+        raise AssertionError("every pair of a bucket in one table")
+    monkeypatch.setattr(BucketedRandomProjectionLSHModel, "approxSimilarityJoin", no_pairs)
+    m, df = _vectors(spark, n=200, d=8, seed=4)
+    mn = m / np.linalg.norm(m, axis=1, keepdims=True)
+    got = {}
+    for r in V.topk_lsh(df.withColumnRenamed("id", "qid"), df.withColumnRenamed("id", "iid"), 4, bucket_length=0.3, num_tables=2).collect():
+        got.setdefault(r.qid, []).append((r["rank"], r.iid))
+    unit = spark.createDataFrame([(i, mn[i].tolist()) for i in range(200)], "id long, vec array<double>")
+    unit = unit.select("id", array_to_vector("vec").alias("f"))
+    model = BucketedRandomProjectionLSH(inputCol="f", outputCol="h", bucketLength=0.3, numHashTables=2, seed=7).fit(unit)
+    h = np.array([[v[0] for v in r.h] for r in model.transform(unit).orderBy("id").collect()])
+    s = mn @ mn.T
+    s[~(h[:, None, :] == h[None, :, :]).any(2)] = -np.inf
+    assert np.isneginf(s).any()
+    for q in np.flatnonzero(np.isfinite(s).sum(1) >= 4):
+        assert [i for _, i in sorted(got[q])] == list(np.lexsort((np.arange(200), -s[q]))[:4])
