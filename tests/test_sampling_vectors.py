@@ -198,3 +198,23 @@ def test_lsh_finds_the_pairs_of_its_buckets_without_a_pair_table(spark, monkeypa
     assert np.isneginf(s).any()
     for q in np.flatnonzero(np.isfinite(s).sum(1) >= 4):
         assert [i for _, i in sorted(got[q])] == list(np.lexsort((np.arange(200), -s[q]))[:4])
+
+
+def test_inverted_file_multiplies_and_keeps_its_parts_few(spark):
+    from recspark.operators import ivf
+    m, df = _vectors(spark, n=400)
+    q, i = df.withColumnRenamed("id", "qid"), df.withColumnRenamed("id", "iid")
+    assert not hasattr(ivf, "_tables")
+    index = ivf.build(i, cells=4)
+    out = ivf.search(index, q, i, 5, probe_share=0.25, rerank=400, block_rows=50, query_rows=1, exclude_self=True)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.qid, []).append((r["rank"], r.iid))
+    cell = {r.iid: r.cell for r in index.postings.collect()}
+    s = m @ m.T
+    np.fill_diagonal(s, -np.inf)
+    mine = np.argmax(m @ index.centres.T, axis=1)
+    s[np.array([[cell[c] != mine[r] for c in range(400)] for r in range(400)])] = -np.inf
+    for r in range(400):
+        want = [c for c in np.lexsort((np.arange(400), -s[r]))[:5] if np.isfinite(s[r, c])]
+        assert [c for _, c in sorted(got.get(r, []))] == want
