@@ -8,7 +8,7 @@ stored sketches and never reads the log again; an exact count would have to.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: 2**14 registers: a standard error of about 0.8 %.
@@ -37,3 +37,18 @@ def rolling_users(sketches: DataFrame, key: str, days: int, out: str = "n_users"
     spread = spread.select(key, F.date_add("day", F.col("at")).alias("day"), "users")
     rolled = spread.groupBy(key, "day").agg(F.hll_sketch_estimate(F.hll_union_agg("users")).alias(out))
     return rolled.join(sketches.select(key, "day"), [key, "day"], "left_semi")
+
+
+def exact_rolling_users(seen: DataFrame, key: str, user: str, days: int, out: str = "n_users") -> DataFrame:
+    """``(key, day, out)``: distinct users of the ``days`` days that end with each day, from distinct ``(key, user, day)``.
+
+    A user counts from a day seen until ``days`` later, or until the next day seen:
+    one step up and one down a row, added up along the days of a key.  Nothing is
+    sent to the days between; a key's sums are one row a day.
+    """
+    known = seen.where(F.col(user).isNotNull() & F.col("day").isNotNull())
+    after = F.lead("day").over(Window.partitionBy(key, user).orderBy("day"))
+    spans = known.select(key, "day", F.least(F.date_add("day", days), after).alias("_end"))
+    steps = F.array(F.struct(F.col("day"), F.lit(1).alias("_step")), F.struct(F.col("_end").alias("day"), F.lit(-1).alias("_step")))
+    daily = spans.select(key, F.explode(steps).alias("_s")).select(key, "_s.*").groupBy(key, "day").agg(F.sum("_step").alias("_step"))
+    return daily.select(key, "day", F.sum("_step").over(Window.partitionBy(key).orderBy("day")).alias(out))

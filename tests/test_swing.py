@@ -84,3 +84,19 @@ def test_null_keys_dropped(spark):
 def test_sql_form_matches_goldens(spark):
     assert _rows(sw.swing_sql(spark, _log(spark), k=2)) == _rows(sw.swing(_log(spark), k=2, ties="row_number"))
     assert _rows(sw.swing_sql(spark, _log(spark), k=2, days=3)) == [(11, 15, 0.5, 1)]
+
+
+def test_exact_rolling_users_sends_no_row_to_every_day(spark):
+    import datetime
+    import random
+
+    from recspark.operators import sketches as SK
+    rnd = random.Random(2)
+    first = datetime.date(2024, 1, 1)
+    rows = {(rnd.choice("ab"), rnd.randrange(25), first + datetime.timedelta(rnd.randrange(120))) for _ in range(400)}
+    seen = spark.createDataFrame([*rows, ("a", None, first), ("b", 3, None)], "brand string, user_id long, day date")
+    out = SK.exact_rolling_users(seen, "brand", "user_id", 30)
+    assert "sequence(" not in out._jdf.queryExecution().toString()
+    got = {(r.brand, r.day): r.n_users for r in out.collect()}
+    for brand, day in {(b, d) for b, _, d in rows}:
+        assert got[brand, day] == len({u for b, u, d in rows if b == brand and day - datetime.timedelta(30) < d <= day})
