@@ -100,3 +100,51 @@ def test_exact_rolling_users_sends_no_row_to_every_day(spark):
     got = {(r.brand, r.day): r.n_users for r in out.collect()}
     for brand, day in {(b, d) for b, _, d in rows}:
         assert got[brand, day] == len({u for b, u, d in rows if b == brand and day - datetime.timedelta(30) < d <= day})
+
+
+def _random_log(spark, seed=6):
+    import random
+    rnd = random.Random(seed)
+    rows = [(u, rnd.randint(0, 40) + 2**33 * (seed % 2)) for u in range(30) for _ in range(rnd.randint(0, 30))]
+    return spark.createDataFrame([*rows, (None, 3), (4, None)], "user_id long, item_id long"), set(rows)
+
+
+def _swing_by_hand(rows, symmetric):
+    users = {}
+    for u, i in rows:
+        users.setdefault(i, set()).add(u)
+    return {(a, b): (len(users[a] & users[b]), len(users[a]), len(users[b])) for a in users for b in users
+            if (a != b if symmetric else a < b) and users[a] & users[b]}
+
+
+def test_lists_blocks_and_slices_count_the_same_pairs(spark):
+    for seed in (6, 7):  # items that fit an int, and items that don't
+        log, rows = _random_log(spark, seed)
+        for symmetric in (False, True):
+            want = _swing_by_hand(rows, symmetric)
+            for block, hot in ((2000, 50_000), (7, 50_000), (2000, 3), (5, 2)):
+                got = sw.swing_cooccurrence(log, block, symmetric, hot)
+                assert dict(got.dtypes) == {"item1": "bigint", "item2": "bigint", "item1_user_count": "bigint",
+                                            "item2_user_count": "bigint", "co_occurrence_count": "bigint"}
+                found = got.collect()
+                assert len(found) == len(want)
+                assert {(r.item1, r.item2): (r.co_occurrence_count, r.item1_user_count, r.item2_user_count)
+                        for r in found} == want
+    key = lambda d: sorted(map(tuple, d.collect()))
+    assert key(sw.swing_sql(spark, log, k=3, block_items=5, hot_users=2)) == key(sw.swing(log, k=3, ties="row_number"))
+
+
+def _behind_the_last_shuffle(df):
+    """Operators from the top of the plan down to its first exchange."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    lines = [line.lstrip(" :+-*(0123456789)") for line in plan.splitlines()]
+    return lines[:next(i for i, line in enumerate(lines) if line.startswith("Exchange"))]
+
+
+def test_pairs_are_made_behind_the_last_shuffle(spark):
+    log, _ = _random_log(spark)
+    for df in (sw.swing(log, k=3), sw.swing(log, k=3, symmetric=True), sw.swing_cooccurrence(log),
+               sw.swing_sql(spark, log, k=3)):
+        top = _behind_the_last_shuffle(df)
+        assert any(line.startswith("Generate posexplode(ys") for line in top)
+        assert any("count(1)" in line for line in top)
