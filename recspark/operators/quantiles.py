@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recspark.session import cut_lineage
+
 
 def _stack(df: DataFrame, cols: list[str]) -> DataFrame:
     kv = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
@@ -33,8 +35,9 @@ def value_counts_with_rank(df: DataFrame, cols: list[str], buckets: int = 64) ->
     """``(feature, value, c, below, n, _b)``: ``below`` = rows with a smaller value."""
     g = _stack(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
     probs = [i / buckets for i in range(1, buckets)] or [0.5]
-    edges = g.groupBy("feature").agg(F.percentile_approx("value", probs, 10000).alias("_e"),
-                                     F.sum("c").alias("n"))
+    # cut off: approximate edges worked out twice may differ with the order of arrival, and the ranges read them twice
+    edges = cut_lineage(g.groupBy("feature").agg(F.percentile_approx("value", probs, 10000).alias("_e"),
+                                                 F.sum("c").alias("n")))
     gb = (g.join(F.broadcast(edges), "feature")  # one row per feature: bounded
           .withColumn("_b", F.size(F.filter("_e", lambda e: e < F.col("value")))).drop("_e"))
     bt = gb.groupBy("feature", "_b").agg(F.sum("c").alias("_bc"))
@@ -51,7 +54,6 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
     """``{column: [quantile for each p]}`` (``None`` for an all-null column)."""
     if not cols:
         return {}
-    from recspark.session import cut_lineage
     ranked = cut_lineage(value_counts_with_rank(df, cols, buckets))  # read three times below
     spark = df.sparkSession
     ns = {r["feature"]: r["n"] for r in ranked.select("feature", "n").distinct().collect()}

@@ -214,3 +214,12 @@ def test_more_scalar_edges(spark):
     v = spark.createDataFrame([("x", 5)], "value string, code long")
     got = vocab_lookup(spark.createDataFrame([("x",), ("y",)], "k string"), "k", v, "c", default=None)
     assert sorted((row.k, row.c) for row in got.collect()) == [("x", 5), ("y", None)]
+
+
+def test_range_edges_are_worked_out_once(spark):
+    from recspark.operators.quantiles import exact_quantiles, value_counts_with_rank
+    df = spark.range(200).selectExpr("CAST((id * 37) % 91 AS DOUBLE) AS v")
+    ranked = value_counts_with_rank(df, ["v"], buckets=8)
+    assert "percentile_approx" not in ranked._jdf.queryExecution().toString()
+    values = sorted((i * 37) % 91 for i in range(200))
+    assert exact_quantiles(df, ["v"], [0.0, 0.5, 1.0], buckets=8)["v"] == [values[0], (values[99] + values[100]) / 2, values[-1]]
