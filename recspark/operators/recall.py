@@ -10,7 +10,8 @@ most ``n`` rows per request and a popular value spreads over its places.
 Route merge (``merge_routes``): routes are concatenated in priority order; an
 item seen in an earlier route is dropped from later ones; the kept copy is
 scored ``(1 - pos / route_len) * 10`` and the merged list is sorted by score,
-ties by route priority then position (the reference's stable sort).
+ties by route priority then position (the reference's stable sort).  The parts it
+works in hold about ``ROWS_PER_TASK`` rows, however many there are.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from pyspark.sql import functions as F
 from recspark.fixed import ROUTE_SCORE_SCALE
 from recspark.operators.ranking import dense_codes
 from recspark.operators.sampling import distinct_draws
+from recspark.session import store_rows
+
+ROWS_PER_TASK = 100_000
 
 
 def shuffle_key(item_col: str, seed: int | str) -> F.Column:
@@ -66,9 +70,14 @@ def route_positions(df: DataFrame, request_col: str = "request_id", order: str =
             .withColumn("route_len", F.count(F.lit(1)).over(w).cast("int")))
 
 
-def merge_routes(routes: list[DataFrame], request_col: str = "request_id", item_col: str = "item_id") -> DataFrame:
+def merge_routes(routes: list[DataFrame], request_col: str = "request_id", item_col: str = "item_id",
+                 rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """R6 (+U2, W4, T1): dedupe across prioritised routes, rescore and rank.
 
+    The routes are stored once and parted by request, about ``rows_per_task``
+    rows a part: the three windows run in these parts, whose size does not grow
+    with the input, and a reader of several rankings recalls nothing twice.
+
     Each route frame has ``request_id, item_id, route, pos``.  Output adds
     ``route_len``, ``score`` and the 1-based ``merged_rank``.
     """
@@ -77,6 +86,8 @@ def merge_routes(routes: list[DataFrame], request_col: str = "request_id", item_
     allr = parts[0]
     for p in parts[1:]:
         allr = allr.unionByName(p)
+    allr = store_rows(allr)
+    allr = allr.repartition(max(1, -(-allr.count() // rows_per_task)), request_col)
     allr = allr.withColumn("route_len", F.count(F.lit(1)).over(
         Window.partitionBy(request_col, "_prio")).cast("int"))
     first = allr.withColumn("_first", F.row_number().over(

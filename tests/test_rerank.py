@@ -175,3 +175,15 @@ def test_requests_of_all_sizes_in_one_bucket():
     out = RR.greedy_mmr(pdf, 4, 0.4, ["author", "tags"], "relevance", {"tags"})
     assert sorted(zip(out["request_id"], out["item_id"], out["mmr_rank"])) == sorted(want)
     assert RR.greedy_mmr(pdf.iloc[:0], 4, 0.4, ["author", "tags"], "relevance", {"tags"}).empty
+
+
+def test_merge_parts_grow_with_the_rows(spark):
+    from recspark.operators import recall as RC
+    rows = [(r, r * 3 + i, name, i) for r in range(40) for i in range(5) for name in ("a", "b") if (r + i) % 3 or name == "a"]
+    one, two = (spark.createDataFrame([x for x in rows if x[2] == name], "request_id long, item_id long, route string, pos int")
+                for name in ("a", "b"))
+    few, many = RC.merge_routes([one, two]), RC.merge_routes([one, two], rows_per_task=50)
+    parts = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(request_id" in parts(many) and f", {-(-len(rows) // 50)}), REPARTITION_BY_NUM" in parts(many)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+    assert many.where("route = 'b'").count() == 0  # all in route a already
