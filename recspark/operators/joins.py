@@ -9,9 +9,13 @@ join into a broadcast join at run time only when the measured bytes are under
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recspark.session import store_rows
+
 
 def join_with_suffixes(left: DataFrame, right: DataFrame, on: list[str] | str, how: str = "inner",
                        suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
@@ -47,21 +51,99 @@ def embedding_lookup(df: DataFrame, key: str, ids_col: str, table: DataFrame, ou
                      pool: str = "sum", id_col: str = "idx", vec_col: str = "vec") -> DataFrame:
     """J8 + A13: look up a vector per id of an ``array<long>`` column and pool it.
 
-    ``explode`` -> equi-join on the weight table -> one typed sum of whole
-    vectors per key, combined before the shuffle.  Rows whose list is empty or
-    has no match get ``null``.  ``key`` must be unique.  A hot id's rows are
-    dealt over ``SALTS`` copies of its vector, so no id is one task; ids are hot
-    that hold more than ``1 / SALTS`` of a seeded sample of the lookups.
+    Rows whose list is empty or has no match get ``null``.  ``key`` must be
+    unique.  ``df`` is stored once (Parquet), as its lists are read three times.
+
+    The rows of the table that any list names are looked at first.  Up to
+    ``HELD_ROWS`` rows and ``HELD_CELLS`` elements go to every task: the ids
+    alone are shuffled, gathered by key, and each list is pooled where it lies,
+    so no vector of a lookup is shuffled.  More are joined to the exploded ids,
+    and whole vectors summed per key, combined before the shuffle; a hot id's
+    rows are dealt over ``SALTS`` copies of its vector, so no id is one task;
+    ids are hot that hold more than ``1 / SALTS`` of a seeded sample of the
+    lookups.
     """
     if pool not in ("sum", "mean"):
         raise ValueError("pool must be 'sum' or 'mean'")
     from recspark.operators.vectors import sum_vectors
+    df = store_rows(df)
     ids = df.select(key, F.explode(ids_col).alias("_id")).where(F.col("_id").isNotNull())
     t = table.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_vec"))
-    pooled = sum_vectors(dealt_join(ids, t, "_id"), [key], "_vec", out, pool)
+    held = held_rows(ids.select("_id"), t)
+    if held is None:
+        pooled = sum_vectors(dealt_join(ids, t, "_id"), [key], "_vec", out, pool)
+    else:
+        lists = ids.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_list(F.col("_id").cast("long")).alias("_ids"))
+        pooled = lists.select(key, _pooled(df.sparkSession, held, pool)("_ids").alias(out)).where(F.col(out).isNotNull())
     return df.join(pooled, key, "left")
 
 
+HELD_ROWS = 20_000
+HELD_CELLS = 2_000_000
+_STEP = 1 << 15
+
+
+def held_rows(ids: DataFrame, table: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """The rows ``(id, vector)`` of ``table`` that ``ids`` names, sorted by id, if there are few enough for every task.
+
+    ``None`` if there are more than ``HELD_ROWS`` or ``HELD_CELLS`` elements,
+    if the ids aren't whole numbers, or if the vectors differ in length.
+    """
+    name, vec = table.columns
+    kinds = {ids.schema[0].dataType.typeName(), table.schema[0].dataType.typeName()}
+    if not kinds <= {"byte", "short", "integer", "long"}:
+        return None
+    wanted = store_rows(ids.distinct())
+    rows = table.where(F.col(vec).isNotNull()).join(wanted.toDF(name), name, "left_semi")
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.min(F.size(vec)).alias("least"), F.max(F.size(vec)).alias("most")).first()
+    if size["n"] > HELD_ROWS or size["least"] != size["most"] or size["n"] * size["most"] > HELD_CELLS:
+        return (np.zeros(0, np.int64), np.zeros((0, 0))) if not size["n"] else None
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    plain = vector_to_array(array_to_vector(F.col(vec).cast("array<double>")))
+    found = rows.select(F.col(name).cast("long"), plain.alias(vec)).toArrow()
+    at = found[name].to_numpy()
+    matrix = found[vec].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(at), size["most"])
+    order = np.argsort(at, kind="stable")
+    return at[order], np.ascontiguousarray(matrix[order])
+
+
+def list_sums(lists, ids: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each list of ids: the sum of the rows that it names, their number, and the sum of their squared norms."""
+    size = lists.value_lengths().to_numpy(zero_copy_only=False)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    owner = np.repeat(np.arange(len(lists)), size)
+    sums, many, squares = np.zeros((len(lists), matrix.shape[1])), np.zeros(len(lists), np.int64), np.zeros(len(lists))
+    norms = (matrix * matrix).sum(1)
+    for at in range(0, len(flat), _STEP):  # a long list is taken in steps
+        part, mine = flat[at:at + _STEP], owner[at:at + _STEP]
+        lo, hi = np.searchsorted(ids, part), np.searchsorted(ids, part, side="right")
+        n = hi - lo  # an id may have no row or several
+        rows = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        mine = np.repeat(mine, n)
+        for b in range(0, len(rows), _STEP):
+            r, o = rows[b:b + _STEP], mine[b:b + _STEP]
+            first = np.flatnonzero(np.diff(o, prepend=-1))
+            sums[o[first]] += np.add.reduceat(matrix[r], first)
+        many += np.bincount(mine, minlength=len(lists))
+        squares += np.bincount(mine, norms[rows], len(lists))
+    return sums, many, squares
+
+
+def _pooled(spark: SparkSession, held: tuple[np.ndarray, np.ndarray], pool: str):
+    """UDF of a list of ids: sum or mean of the held rows; null if it names none."""
+    shared = spark.sparkContext.broadcast(held)  # bounded by HELD_ROWS and HELD_CELLS
+
+    @F.arrow_udf("array<double>")
+    def run(lists: pa.Array) -> pa.Array:
+        sums, many, _ = list_sums(lists, *shared.value)
+        some = many > 0
+        found = sums[some] / (many[some][:, None] if pool == "mean" else 1)
+        ends = np.concatenate([[0], np.cumsum(some * sums.shape[1])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(found.ravel(), pa.float64()), mask=pa.array(~some))
+
+    return run
+
+
 SALTS = 16
 
 
