@@ -2,9 +2,10 @@
 
 ``fm_score`` evaluates ``w0 + sum_f w[i_f] + 0.5 * sum_d ((sum_f v_fd)^2 -
 sum_f v_fd^2)`` from weight tables ``(idx, w)`` and ``(idx, vec)`` in long
-form: one row per (sample, field) joined to the tables, whole vectors summed by
-a typed aggregate that combines before the shuffle - no row per dimension and no
-per-sample Python.  Field indexes are shifted by per-field offsets so the
+form.  The table rows that the samples name go to every task while they are few,
+and Arrow batches of index lists are summed there; else one row per (sample,
+field) is joined to the tables, whole vectors summed by a typed aggregate that
+combines before the shuffle - no row per dimension.  Field indexes are shifted by per-field offsets so the
 fields share one table (``unify_embedding``).
 """
 
@@ -12,10 +13,13 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.operators.joins import dealt_join
+from recspark.llm.common import join_small
+from recspark.operators.joins import dealt_join, held_rows, list_sums
 
 
 def field_offsets(vocab_sizes: list[int]) -> list[int]:
@@ -41,19 +45,48 @@ def fm_second_order_long(df: DataFrame, key: str, vec: str) -> DataFrame:
 
 def fm_score(samples: DataFrame, key: str, idx_col: str, w0: float, w: DataFrame, v: DataFrame,
              offsets: list[int] | None = None) -> DataFrame:
-    """M7: ``(key, linear, fm2, logit)`` for samples with ``idx_col array<long>``."""
-    ex = samples.select(key, F.posexplode(idx_col).alias("_f", "_i"))
+    """M7: ``(key, linear, fm2, logit)`` for samples with ``idx_col array<long>``.
+
+    If the table rows that any sample names are few (``held_rows``), they go to
+    every task and only the indexes are shuffled, gathered by key; else the
+    exploded indexes are joined to the tables and whole vectors summed by key.
+    """
+    idx = F.col(idx_col)
     if offsets is not None:
         off = F.array(*[F.lit(o).cast("long") for o in offsets])
-        ex = ex.withColumn("_i", F.col("_i") + F.element_at(off, F.col("_f") + 1))
+        idx = F.transform(idx, lambda i, f: i + F.element_at(off, f + 1))
+    moved = samples.select(key, idx.alias("_is"))
+    ex = moved.select(key, F.explode("_is").alias("_i"))
     wt = w.select(F.col("idx").alias("_i"), F.col("w").cast("double").alias("_w"))
     vt = v.select(F.col("idx").alias("_i"), F.col("vec").alias("_vec"))
-    linear = ex.join(wt, "_i", "left").groupBy(key).agg(F.sum(F.coalesce("_w", F.lit(0.0))).alias("linear"))
-    fm2 = fm_second_order_long(dealt_join(ex.select(key, "_i"), vt, "_i").select(key, F.col("_vec").alias("vec")), key, "vec")
+    held_v = held_rows(ex.select("_i").where(F.col("_i").isNotNull()), vt)
+    if held_v is None:
+        linear = ex.join(wt, "_i", "left").groupBy(key).agg(F.sum(F.coalesce("_w", F.lit(0.0))).alias("linear"))
+        fm2 = fm_second_order_long(dealt_join(ex.select(key, "_i"), vt, "_i").select(key, F.col("_vec").alias("vec")), key, "vec")
+    else:
+        wanted = ex.select("_i").distinct()
+        named = wt.join(wanted, "_i", "left_semi")
+        linear = (join_small(ex, named, ["_i"], "left").groupBy(key)
+                  .agg(F.sum(F.coalesce("_w", F.lit(0.0))).alias("linear")))
+        lists = moved.where(F.col(key).isNotNull()).groupBy(key).agg(F.flatten(F.collect_list("_is")).alias("_is"))
+        lists = lists.select(key, F.filter("_is", lambda i: i.isNotNull()).cast("array<long>").alias("_is"))
+        fm2 = lists.select(key, _second_order(samples.sparkSession, held_v)("_is").alias("fm2"))
     return (linear.join(fm2, key, "left").withColumn("fm2", F.coalesce("fm2", F.lit(0.0)))
             .withColumn("logit", F.lit(float(w0)) + F.col("linear") + F.col("fm2")))
 
 
+def _second_order(spark: SparkSession, held: tuple[np.ndarray, np.ndarray]):
+    """UDF of a list of indexes: the second-order term over the held rows."""
+    shared = spark.sparkContext.broadcast(held)
+
+    @F.arrow_udf("double")
+    def run(lists: pa.Array) -> pa.Array:
+        sums, _, squares = list_sums(lists, *shared.value)
+        return pa.array(0.5 * ((sums * sums).sum(1) - squares))
+
+    return run
+
+
 def hashed_features(df: DataFrame, cols: list[str], num_features: int, out: str = "features") -> DataFrame:
     """Sparse one-hot features of ``col=value`` tokens (MLlib ``FeatureHasher``)."""
     from pyspark.ml.feature import FeatureHasher

@@ -223,3 +223,25 @@ def test_range_edges_are_worked_out_once(spark):
     assert "percentile_approx" not in ranked._jdf.queryExecution().toString()
     values = sorted((i * 37) % 91 for i in range(200))
     assert exact_quantiles(df, ["v"], [0.0, 0.5, 1.0], buckets=8)["v"] == [values[0], (values[99] + values[100]) / 2, values[-1]]
+
+
+def test_lookups_shuffle_ids_not_vectors(spark, monkeypatch):
+    from recspark.operators import joins as J
+    table = spark.createDataFrame([(i, [float(i), i * 0.5]) for i in range(6)] + [(3, [9.0, 9.0]), (5, None)],
+                                  "idx long, vec array<double>")
+    df = spark.createDataFrame([(1, [0, 1]), (2, []), (3, [3, 3, 77]), (4, None), (5, [None, 5]), (None, [1])],
+                               "k long, ids array<long>")
+    w = spark.createDataFrame([(i, i * 0.25) for i in range(5)], "idx long, w double")
+
+    def run():
+        return [J.embedding_lookup(df, "k", "ids", table, "o", "sum"), J.embedding_lookup(df, "k", "ids", table, "o", "mean"),
+                FM.fm_score(df, "k", "ids", 0.1, w, table, [0, 1, 0])]
+
+    few = run()
+    assert all("_vec" not in d._jdf.queryExecution().toString() for d in few)
+    got = [sorted(map(str, d.collect())) for d in few]
+    assert {r.k: r.o for r in few[0].collect()} == {1: [1.0, 0.5], 2: None, 3: [24.0, 21.0], 4: None, 5: [5.0, 2.5], None: None}
+    monkeypatch.setattr(J, "HELD_ROWS", 0)  # more rows than that: the tables are joined
+    many = run()
+    assert all("_vec" in d._jdf.queryExecution().toString() for d in many)
+    assert [sorted(map(str, d.collect())) for d in many] == got
