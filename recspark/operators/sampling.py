@@ -9,8 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recspark.functions.hashing import hex_prefix_bucket
+from recspark.llm.common import join_small
+from recspark.session import store_rows
 
 
 def fold_rare(df: DataFrame, cols: list[str], min_count: int, token: str = "__rare__") -> DataFrame:
@@ -48,23 +51,40 @@ def distinct_draws(key: Column, size: Column, n: Column) -> Column:
 
 
 _SLICES = 256
+HEAVY_ROWS = 1_000_000
 
 
-def _before(df: DataFrame, user: str, value: str, count: Column, out: str, ties: list[str]) -> DataFrame:
+def _user_keys(df: DataFrame, user: str) -> DataFrame:
+    """Add the columns ``_key`` and ``_none``: the user without null, and whether it is null.
+
+    Windows, sums and joins on these two are dealt alike, so one shuffle serves them.
+    """
+    kind = df.schema[user].dataType
+    if isinstance(kind, T.NumericType):
+        return df.withColumns({"_key": F.coalesce(user, F.lit(0).cast(kind)), "_none": F.col(user).isNull()})
+    return df.withColumns({"_key": F.coalesce(F.col(user).cast("string"), F.lit("")), "_none": F.col(user).isNull()})
+
+
+_USER = ["_key", "_none"]
+
+
+def _before(df: DataFrame, value: str, count: Column, out: str, ties: list[str], heavy: bool) -> DataFrame:
     """Add the sum of ``count`` over the user's rows before each row in the order of ``value`` and ``ties``.
 
-    The order is cut into slices (``_slice``): a window never holds more than
-    one user's slice, and the sums of earlier slices come from a table of at
-    most ``_SLICES`` rows a user.
+    The order of a user with very many rows is cut into slices (``_slice``, -1
+    for all others), so a window never holds more than one slice; with ``heavy``
+    the sums of their earlier slices come from a table of at most ``_SLICES``
+    rows for each such user.
     """
-    sums = df.groupBy(user, "_slice").agg(F.sum(count).alias("_sum"))
-    earlier = Window.partitionBy(user).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(F.col(user).alias("_u"), F.col("_slice").alias("_s"),
-                       F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(user, "_slice").orderBy(value, *ties).rowsBetween(Window.unboundedPreceding, -1)
-    return (df.withColumn("_in", F.coalesce(F.sum(count).over(inside), F.lit(0)))
-            .join(sums, F.col(user).eqNullSafe(F.col("_u")) & (F.col("_slice") == F.col("_s")))
-            .withColumn(out, F.col("_off") + F.col("_in")).drop("_u", "_s", "_off", "_in"))
+    inside = Window.partitionBy(*_USER, "_slice").orderBy(value, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    got = df.withColumn(out, F.coalesce(F.sum(count).over(inside), F.lit(0)))
+    if not heavy:
+        return got
+    sums = df.where(F.col("_slice") >= 0).groupBy(*_USER, "_slice").agg(F.sum(count).alias("_sum"))
+    earlier = Window.partitionBy(*_USER).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*_USER, "_slice", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_off"))
+    return (join_small(got, sums, [*_USER, "_slice"], "left")
+            .withColumn(out, F.col(out) + F.coalesce("_off", F.lit(0))).drop("_off"))
 
 
 def negative_samples(pos: DataFrame, items: DataFrame, n: int = 2, seed: int = 7, user: str = "user_id",
@@ -78,25 +98,36 @@ def negative_samples(pos: DataFrame, items: DataFrame, n: int = 2, seed: int = 7
     shuffle of its own (``distinct_draws``) instead: none follows from another.  The ``r``-th other item is the item numbered ``r`` plus the known
     items at or below it, which one merge of draws and known items counts.  Only
     a user who has all but fewer than ``n`` items gets fewer (all there are).
+    Positives and known items are each stored once (Parquet), as they are read several times, and the merge
+    too if a user has more than ``HEAVY_ROWS`` positives.
     Output ``(user, item, label)`` with the positives (label 1) included.
     """
     from recspark.operators.ranking import dense_codes
     catalogue = items.select(F.col(item).alias("_neg")).where(F.col("_neg").isNotNull()).distinct()
     cat = dense_codes(catalogue, [], [F.col("_neg")], out="_slot")
     n_items = cat.agg(F.count(F.lit(1))).scalar()
-    slice_of = lambda c: F.floor(c * _SLICES / n_items)
-
-    known = (pos.select(user, F.col(item).alias("_neg")).distinct().join(cat, "_neg")
-             .select(user, "_slot").withColumn("_slice", slice_of(F.col("_slot"))))
-    known = _before(known, user, "_slot", F.lit(1), "_i", [])
-    known = known.select(user, (F.col("_slot") - F.col("_i")).alias("_r"), F.lit(0).alias("_draw"),
-                         F.lit(None).cast(pos.schema[item].dataType).alias(item))
-    free = known.groupBy(F.col(user).alias("_u")).agg((n_items - F.count(F.lit(1))).alias("_m"))
+
+    pos = store_rows(pos.select(user, item))
+    many = _user_keys(pos, user).groupBy(*_USER).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > HEAVY_ROWS)
+    many = store_rows(many.select(*_USER, F.lit(True).alias("_heavy")))
+    heavy = not many.isEmpty()
+
+    def sliced(df: DataFrame, at: str) -> DataFrame:
+        if not heavy:
+            return df.withColumn("_slice", F.lit(-1))
+        own = F.when(F.col("_heavy"), F.floor(F.col(at) * _SLICES / n_items)).otherwise(-1).cast("int")
+        return join_small(df, many, _USER, "left").withColumn("_slice", own).drop("_heavy")
+
+    base = store_rows(_user_keys(pos.select(user, F.col(item).alias("_neg")).distinct().join(cat, "_neg").select(
+        user, "_slot"), user))
+    known = _before(sliced(base, "_slot"), "_slot", F.lit(1), "_i", [], heavy)
+    known = known.select(user, *_USER, (F.col("_slot") - F.col("_i")).alias("_r"), F.lit(0).alias("_draw"))
+    free = base.groupBy(*_USER).agg((n_items - F.count(F.lit(1))).alias("_m"))
     key = F.concat_ws("|", F.col(user).cast("string"), F.col(item).cast("string"), F.lit(str(seed)))
     first60 = F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")  # 15 hex digits: always >= 0
     if draws not in ("strides", "independent"):
         raise ValueError("draws must be 'strides' or 'independent'")
-    drawn = (pos.select(user, item).join(free, F.col(user).eqNullSafe(F.col("_u")), "left")
+    drawn = (_user_keys(pos, user).join(free, _USER, "left")
              .withColumn("_m", F.coalesce("_m", n_items)).where(F.col("_m") > 0)
              .withColumn("_n", F.least(F.lit(n).cast("long"), F.col("_m"))))
     if draws == "strides":
@@ -105,9 +136,8 @@ def negative_samples(pos: DataFrame, items: DataFrame, n: int = 2, seed: int = 7
     else:
         drawn = drawn.select("*", F.posexplode(distinct_draws(key, F.col("_m"), F.col("_n"))).alias("_at", "_r")).withColumn(
             "_draw", F.col("_at") + 1)
-    both = known.unionByName(drawn.select(user, "_r", F.col("_draw").cast("int"), item))
-    both = _before(both.withColumn("_slice", slice_of(F.col("_r"))), user, "_r",
-                   (F.col("_draw") == 0).cast("long"), "_known", ["_draw"])
+    both = sliced(known.unionByName(drawn.select(user, *_USER, "_r", F.col("_draw").cast("int"))), "_r")
+    both = _before(store_rows(both) if heavy else both, "_r", (F.col("_draw") == 0).cast("long"), "_known", ["_draw"], heavy)
     negs = (both.where(F.col("_draw") > 0).withColumn("_slot", F.col("_r") + F.col("_known"))
             .join(cat, "_slot").select(user, F.col("_neg").alias(item), F.lit(0).alias("label")))
     return pos.select(user, item, F.lit(1).alias("label")).unionByName(negs)

@@ -218,3 +218,24 @@ def test_inverted_file_multiplies_and_keeps_its_parts_few(spark):
     for r in range(400):
         want = [c for c in np.lexsort((np.arange(400), -s[r]))[:5] if np.isfinite(s[r, c])]
         assert [c for _, c in sorted(got.get(r, []))] == want
+
+
+@pytest.mark.parametrize("draws", ["strides", "independent"])
+def test_positives_are_worked_out_once(spark, monkeypatch, draws):
+    from recspark.operators import sampling as SA
+    worked = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(x):
+        worked.add(1)
+        return x
+
+    rows = sorted({(None if u == 7 else u, (u * 31 + k * k) % 60 + 100) for u in range(12) for k in range(3 * u + 1)}, key=str)
+    pos = spark.createDataFrame(rows, "user_id long, item_id long")
+    cat = spark.createDataFrame([(i,) for i in range(100, 150)], "item_id long")
+    got = sorted(map(str, SA.negative_samples(pos.select(seen("user_id").alias("user_id"), "item_id"), cat, n=3, draws=draws).collect()))
+    assert worked.value == len(rows)
+    monkeypatch.setattr(SA, "HEAVY_ROWS", 4)  # users above are cut into slices
+    assert sorted(map(str, SA.negative_samples(pos, cat, n=3, draws=draws).collect())) == got
+    monkeypatch.setattr(SA, "HEAVY_ROWS", 0)
+    assert sorted(map(str, SA.negative_samples(pos, cat, n=3, draws=draws).collect())) == got
