@@ -78,3 +78,15 @@ def test_rows_without_a_time_are_replayed(spark):
     assert len(folders) == 3
     out = ST.run_to_table(ST.read_file_stream(spark, root, df.schema, per), "append")
     assert sorted(r.x for r in out.collect()) == [1, 2, 3]
+
+
+def test_a_small_range_does_not_funnel_the_others(spark):
+    df = spark.range(400).select(F.when(F.col("id") == 0, "2024-01-01").otherwise("2024-01-02").cast("timestamp").alias("ts"), "id")
+    root, folders, per = ST.stage_event_files(df, "ts", ["2024-01-02 00:00:00", "2024-01-03 00:00:00"], files_per_range=4)
+    assert per == 4 and len(folders) == 3
+    held = spark.read.parquet(folders[1]).groupBy(F.input_file_name()).count().collect()
+    assert len(held) == 4 and max(r["count"] for r in held) <= 110
+    batches = []
+    (ST.read_file_stream(spark, root, df.schema, per).writeStream.foreachBatch(lambda b, i: batches.append(b.count()))
+     .trigger(availableNow=True).start().awaitTermination())
+    assert batches == [1, 399, 0]
