@@ -11,10 +11,9 @@ of squared differences, in order, so the answer is that of the definition
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,26 +75,34 @@ def _encoded(vec: str | Column, books: list[tuple[np.ndarray, np.ndarray]]) -> C
     dim = next((b.shape[1] for _, b in books if len(b)), None)
     whole = dim is not None and all(len(b) for _, b in books)
 
-    @F.pandas_udf(_ENCODED)
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for vectors in batches:
-            fine = np.array([whole and v is not None and len(v) == dim and bool(np.isfinite(np.asarray(v, dtype=float)).all())
-                             for v in vectors], dtype=bool)
-            cols = {c: np.full(len(vectors), None, dtype=object) for c in ("codes", "quantized", "residual_norms", "residual")}
-            if fine.any():
-                x = np.stack([np.asarray(v, dtype=float) for v in vectors[fine]])
-                left, codes, norms = x, [], []
-                for names, book in books:
-                    at = nearest_rows(left, book)
-                    left = left - book[at]
-                    codes.append(names[at])
-                    norms.append(_sum_of_squares(left))
-                found = (np.stack(codes, axis=1), x - left, np.stack(norms, axis=1), left)
-                for c, values in zip(cols, found):
-                    for i, v in zip(np.flatnonzero(fine), values):
-                        cols[c][i] = v
-            yield pd.DataFrame(cols)
-
+    def encode(vectors: pa.Array) -> pa.Array:
+        size = pc.fill_null(vectors.value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        values = vectors.flatten().to_numpy(zero_copy_only=False).astype(float)  # null elements are NaN
+        start = np.cumsum(size) - size
+        fine = (size == dim) & whole & vectors.is_valid().to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(fine)
+        x = values[start[at][:, None] + np.arange(dim or 0)]
+        finite = np.isfinite(x).all(1)
+        fine[at] = finite
+        x = x[finite]
+        left, codes, norms = x, [], []
+        for names, book in books if len(x) else []:
+            near = nearest_rows(left, book)
+            left = left - book[near]
+            codes.append(names[near])
+            norms.append(_sum_of_squares(left))
+        none = np.zeros((0, 0))
+        found = (np.stack(codes, axis=1) if codes else none.astype(np.int32), x - left,
+                 np.stack(norms, axis=1) if norms else none, left)
+
+        def lists(rows: np.ndarray) -> pa.Array:
+            ends = np.concatenate([[0], np.cumsum(fine * rows.shape[1])]).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel()), mask=pa.array(~fine))
+
+        return pa.StructArray.from_arrays([lists(rows) for rows in found], ["codes", "quantized", "residual_norms", "residual"])
+
+    # not to be worked out again for a filter or for each field: every place is a Python worker of its own in each task
+    encode = F.arrow_udf(encode, _ENCODED).asNondeterministic()
     return encode(F.col(vec).cast("array<double>") if isinstance(vec, str) else vec)
 
 

@@ -62,3 +62,14 @@ def test_nearest_of_a_large_codebook():
     x, codes = rng.normal(size=(3000, 16)), rng.normal(size=(2048, 16))
     want = np.concatenate([((x[a:a + 100, None, :] - codes) ** 2).sum(2).argmin(1) for a in range(0, 3000, 100)])
     assert (SM.nearest_rows(x, codes) == want).all()
+
+
+def test_vectors_are_encoded_in_one_place(spark):
+    df = spark.createDataFrame([(i, [float(i % 5), float(i % 3)]) for i in range(40)] + [(40, None), (41, [1.0]), (42, [float("nan"), 1.0])],
+                               "id long, vec array<double>")
+    books = spark.createDataFrame([(0, c, [float(c), 1.0]) for c in range(4)] + [(1, c, [0.0, c - 1.0]) for c in range(3)],
+                                  "layer int, code int, vec array<double>")
+    from recspark.operators import semantic as SM
+    out = SM.rq_encode(df, "vec", books, 2).where("codes is not null").select("id", "codes", "residual_norms")
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert out.count() == 40 and {r.codes[0] for r in out.collect()} == {0, 1, 2, 3}
