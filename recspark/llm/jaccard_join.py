@@ -19,9 +19,14 @@ which both agree and none of its choices is empty.
 
 Equal sets are one class, and a class gives its signatures once a block of texts.
 They travel packed, eight bytes each, to buckets of about ``BUCKET`` shingles, and
-a bucket hands on only those that several classes share.  Classes that share ``STRONG`` signatures with the first class of each form clusters; what
-else shares a signature is compared inside that signature's group alone, across
-clusters, so chance collisions never chain clusters together.  Both kinds of
+a bucket hands on only those that several classes share.  Classes that share
+``STRONG`` signatures with the first class of each form clusters.  A class that
+shares ``STRONG`` signatures with members of a cluster, each of them held by one
+in ``COMMON`` members at least, brings its own cluster into that one.  What else
+shares a signature is compared across clusters: inside that signature's group
+alone while it has at most ``GROUP`` classes, so chance collisions never chain
+clusters together; of a larger group, those outside its main cluster are guests
+of that cluster, once however many signatures bring them there.  All kinds of
 units are compared exactly: a unit is cut into blocks, and each pair of blocks
 is one task that counts the intersections.  A cluster returns one row for each
 class, with its number of links and at most one parent, so that no pair of a
@@ -48,6 +53,8 @@ BAND = 1.4
 AGREED = 3.0
 HASHINGS = 12
 STRONG = 3
+COMMON = 64
+GROUP = 32
 BUCKET = 2_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -207,6 +214,46 @@ def _forest(links: np.ndarray) -> np.ndarray:
     return parent
 
 
+def _labelled(shared: DataFrame, near: DataFrame) -> DataFrame:
+    """``shared`` with each class's label: its cluster, itself without one."""
+    return (shared.select("sig", "class").join(near, "class", "left")
+            .select("sig", "class", F.coalesce("cluster", "class").alias("label")))
+
+
+def _mixed(labelled: DataFrame) -> DataFrame:
+    """Signatures of several labels: ``main``, the label with most classes there, ``held`` such classes, ``m`` classes in all."""
+    own = labelled.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("c"))
+    each = own.groupBy("sig").agg(F.min(F.struct((-F.col("c")).alias("less"), "label")).alias("main"), F.sum("c").alias("m"))
+    return each.select("sig", F.col("main.label").alias("main"), (-F.col("main.less")).alias("held"), "m").filter("held < m")
+
+
+def _units(shared: DataFrame) -> DataFrame:
+    """Rows ``kind, unit, class, label``: the classes to compare with each other, those of one label only in kind 0."""
+    strong = (shared.filter("class <> leader").groupBy("class", "leader").count().filter(F.col("count") >= STRONG)
+              .select(F.col("class").alias("a"), F.col("leader").alias("b")))
+    near = components(strong).select(F.col("id").alias("class"), F.col("component").alias("cluster"))
+    # near copies whose signatures have many leaders: what shares as many signatures with a cluster as with a leader joins it
+    labelled = stored(_labelled(shared, near), "jaccard-labelled")
+    size = near.groupBy(F.col("cluster").alias("main")).agg(F.count(F.lit(1)).alias("size"))
+    common = _mixed(labelled).join(size, "main", "left").filter(F.col("held") * COMMON >= F.coalesce("size", F.lit(1)))
+    again = (labelled.join(common.select("sig", "main"), "sig").filter("label <> main").groupBy("class", "label", "main").count()
+             .filter(F.col("count") >= STRONG).select(F.col("label").alias("a"), F.col("main").alias("b")))
+    near = components(near.select(F.col("class").alias("a"), F.col("cluster").alias("b")).unionByName(again))
+    near = near.select(F.col("id").alias("class"), F.col("component").alias("cluster"))
+    labelled = stored(_labelled(shared, near), "jaccard-labelled")
+    # of a large group, only those outside its main label are rows, once for each main label
+    met = (labelled.join(_mixed(labelled), "sig").filter((F.col("m") <= GROUP) | (F.col("label") != F.col("main")))
+           .select(F.when(F.col("m") <= GROUP, 1).otherwise(2).alias("kind"),
+                   F.when(F.col("m") <= GROUP, F.col("sig")).otherwise(F.col("main")).alias("unit"), "class", "label").distinct())
+    met = stored(met, "jaccard-met")
+    hosts = met.filter("kind = 2").select("kind", "unit").distinct()
+    whole = (hosts.join(near, hosts["unit"] == near["cluster"]).select("kind", "unit", "class")
+             .union(hosts.select("kind", "unit", F.col("unit").alias("class"))).distinct()  # a label is its smallest class
+             .withColumn("label", F.col("unit")))
+    return (near.select(F.lit(0).alias("kind"), F.col("cluster").alias("unit"), "class", F.col("class").alias("label"))
+            .unionByName(met).unionByName(whole))
+
+
 def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int, block_rows: int,
             block_elements: int) -> tuple[DataFrame, DataFrame]:
     """Rows ``id, n, class`` of all documents, and of each class with an id and words:
@@ -258,14 +305,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, d
     shared = (texts.filter("id is not null").select("text").mapInArrow(sign, "bucket long, data binary")
               .groupBy("bucket").applyInArrow(meet, "sig long, class long, leader long"))
     shared = stored(shared, "jaccard-shared")
-    strong = (shared.filter("class <> leader").groupBy("class", "leader").count().filter(F.col("count") >= STRONG)
-              .select(F.col("class").alias("a"), F.col("leader").alias("b")))
-    near = components(strong).select(F.col("id").alias("class"), F.col("component").alias("cluster"))
-    labelled = (shared.select("sig", "class").join(near, "class", "left")
-                .select("sig", "class", F.coalesce("cluster", "class").alias("label")))
-    mixed = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig")
-    units = (near.select(F.lit(0).alias("kind"), F.col("cluster").alias("unit"), "class", F.col("class").alias("label"))
-             .unionByName(labelled.join(mixed, "sig").select(F.lit(1).alias("kind"), F.col("sig").alias("unit"), "class", "label")))
+    units = _units(shared)
     members = units.join(reps, "class")
     sizes = members.groupBy("kind", "unit").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("e"))
     cut = F.greatest(F.ceil(F.col("m") / block_rows), F.ceil(F.col("e") / block_elements)).cast("int")
@@ -296,7 +336,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, d
     packs = packs // 512 + 1
     pairs = (with_sets.withColumn("other", other)
              .withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other"),
-                           "pack": F.when(F.col("cuts") == 1, F.pmod(F.xxhash64("unit"), F.lit(packs))).otherwise(F.col("unit"))}))
+                           "pack": F.when(F.col("cuts") == 1, F.pmod(F.xxhash64("unit"), F.lit(packs))).otherwise(F.xxhash64("kind", "unit"))}))
 
     def verify(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -325,8 +365,8 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, d
         return pa.table({"kind": pa.array(out["kind"], pa.int32()), **{k: pa.array(out[k], pa.int64()) for k in ("a", "b", "links")}})
 
     found = stored(pairs.groupBy("pack", "i", "j").applyInArrow(verify, "kind int, a long, b long, links long"), "jaccard-found")
-    across = found.filter("kind = 1").distinct()  # two classes may share several signatures
-    found = found.filter("kind = 0").unionByName(across)
+    across = found.filter("kind > 0").select("a", "b", "links").distinct()  # two classes may meet in several units
+    found = found.filter("kind = 0").select("a", "b", "links").unionByName(across)
     linked = components(found.select("a", "b")).select(F.col("id").alias("class"), "component")
     degrees = found.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
     of_class = (reps.join(linked, "class", "left").join(degrees, "class", "left")
