@@ -56,6 +56,8 @@ STRONG = 3
 COMMON = 64
 GROUP = 32
 BUCKET = 2_000_000
+SLICES = 16
+BATCH = 4 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -261,11 +263,13 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, d
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in blocks(batch, "text"):
+            for b in blocks(batch, "text", 1 << 20):
                 e, o = shingle_sets(b["text"], width)
                 yield pa.record_batch([b["id"], b["code"], pa.array(np.bincount(o, minlength=b.num_rows)),
                                        pa.array(_classes(e, o, b.num_rows))], ["id", "code", "n", "class"])
 
+    # long texts would travel to Python ten thousand at a time
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
     code = F.xxhash64(F.col(text_col))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), code.alias("code"), F.col(text_col).alias("text"))
     base = stored(texts.mapInArrow(read, "id long, code long, n long, class long"), "jaccard-base")
@@ -288,19 +292,28 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, d
                     packed = pack(*signatures(e[lead[o]], o[lead[o]], len(text), num, den), own, buckets)
                     yield pa.record_batch([pa.array([k for k, _ in packed], pa.int64()),
                                            pa.array([d for _, d in packed], pa.binary())], ["bucket", "data"])
+                    del e, o, packed
+        pa.default_memory_pool().release_unused()
 
     def meet(group: pa.Table) -> pa.Table:
         """The signatures of a bucket that several classes share, with the smallest of them."""
-        parts = [unpack(d.as_buffer()) for c in group["data"].chunks for d in c]
-        sig, klass = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        order = np.lexsort((klass, sig))
-        sig, klass = sig[order], klass[order]
-        fresh = np.append(True, (np.diff(sig) != 0) | (np.diff(klass) != 0))
-        sig, klass = sig[fresh], klass[fresh]
-        first = np.append(True, np.diff(sig) != 0)
-        group_of = np.cumsum(first) - 1
-        many = np.bincount(group_of)[group_of] > 1
-        return pa.table({"sig": sig[many], "class": klass[many], "leader": klass[first][group_of][many]})
+        parts, out = [unpack(d.as_buffer()) for c in group["data"].chunks for d in c], []
+        for k in range(SLICES):  # the parts are sorted; only what is shared outlives its slice
+            cuts = [np.searchsorted(s, [k * (1 << 48) // SLICES, (k + 1) * (1 << 48) // SLICES]) for s, _ in parts]
+            sig, klass = (np.concatenate([p[n][x:y] for p, (x, y) in zip(parts, cuts, strict=True)]) for n in (0, 1))
+            order = np.lexsort((klass, sig))
+            sig, klass = sig[order], klass[order]
+            fresh = np.ones(len(sig), bool)
+            fresh[1:] = (np.diff(sig) != 0) | (np.diff(klass) != 0)
+            sig, klass = sig[fresh], klass[fresh]
+            first = np.ones(len(sig), bool)
+            first[1:] = np.diff(sig) != 0
+            group_of = np.cumsum(first) - 1
+            many = np.bincount(group_of)[group_of] > 1
+            out.append(pa.table({"sig": sig[many], "class": klass[many], "leader": klass[first][group_of][many]}))
+        del parts
+        pa.default_memory_pool().release_unused()
+        return pa.concat_tables(out)
 
     shared = (texts.filter("id is not null").select("text").mapInArrow(sign, "bucket long, data binary")
               .groupBy("bucket").applyInArrow(meet, "sig long, class long, leader long"))
@@ -317,7 +330,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, d
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["class", "copies", "units"]
         for batch in batches:
-            for b in blocks(batch, "text"):
+            for b in blocks(batch, "text", 1 << 20):
                 e, o = shingle_sets(b["text"], width)
                 own = pa.array(_classes(e, o, b.num_rows))
                 ends = np.searchsorted(o, np.arange(b.num_rows + 1))
