@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,12 +57,16 @@ def embedding_lookup(df: DataFrame, key: str, ids_col: str, table: DataFrame, ou
 
     The rows of the table that any list names are looked at first.  Up to
     ``HELD_ROWS`` rows and ``HELD_CELLS`` elements go to every task: the ids
-    alone are shuffled, gathered by key, and each list is pooled where it lies,
-    so no vector of a lookup is shuffled.  More are joined to the exploded ids,
-    and whole vectors summed per key, combined before the shuffle; a hot id's
-    rows are dealt over ``SALTS`` copies of its vector, so no id is one task;
-    ids are hot that hold more than ``1 / SALTS`` of a seeded sample of the
-    lookups.
+    alone are shuffled, gathered by key and joined to ``df``, and each list is
+    pooled behind that join, so no vector of a lookup is shuffled.  More are
+    joined to the exploded ids, and whole vectors summed per key, combined
+    before the shuffle; a hot id's rows are dealt over ``SALTS`` copies of its
+    vector, so no id is one task; ids are hot that hold more than ``1 / SALTS``
+    of a seeded sample of the lookups.
+
+    The join with ``df`` is never a broadcast: its size is guessed from packed
+    files and grows with ``df``, and AQE keeps a broadcast that was guessed too
+    small, as any other join has more shuffles.
     """
     if pool not in ("sum", "mean"):
         raise ValueError("pool must be 'sum' or 'mean'")
@@ -72,10 +77,10 @@ def embedding_lookup(df: DataFrame, key: str, ids_col: str, table: DataFrame, ou
     held = held_rows(ids.select("_id"), t)
     if held is None:
         pooled = sum_vectors(dealt_join(ids, t, "_id"), [key], "_vec", out, pool)
-    else:
-        lists = ids.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_list(F.col("_id").cast("long")).alias("_ids"))
-        pooled = lists.select(key, _pooled(df.sparkSession, held, pool)("_ids").alias(out)).where(F.col(out).isNotNull())
-    return df.join(pooled, key, "left")
+        return df.join(pooled.hint("merge"), key, "left")
+    lists = ids.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_list(F.col("_id").cast("long")).alias("_ids"))
+    both = df.join(lists.hint("merge"), key, "left")
+    return both.select(*[both[c] for c in df.columns], _pooled(df.sparkSession, held, pool)("_ids").alias(out))
 
 
 HELD_ROWS = 20_000
@@ -108,8 +113,11 @@ def held_rows(ids: DataFrame, table: DataFrame) -> tuple[np.ndarray, np.ndarray]
 
 
 def list_sums(lists, ids: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each list of ids: the sum of the rows that it names, their number, and the sum of their squared norms."""
-    size = lists.value_lengths().to_numpy(zero_copy_only=False)
+    """For each list of ids: the sum of the rows that it names, their number, and the sum of their squared norms.
+
+    A null list is as an empty one.
+    """
+    size = pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False)
     flat = lists.flatten().to_numpy(zero_copy_only=False)
     owner = np.repeat(np.arange(len(lists)), size)
     sums, many, squares = np.zeros((len(lists), matrix.shape[1])), np.zeros(len(lists), np.int64), np.zeros(len(lists))
@@ -133,7 +141,6 @@ def _pooled(spark: SparkSession, held: tuple[np.ndarray, np.ndarray], pool: str)
     """UDF of a list of ids: sum or mean of the held rows; null if it names none."""
     shared = spark.sparkContext.broadcast(held)  # bounded by HELD_ROWS and HELD_CELLS
 
-    @F.arrow_udf("array<double>")
     def run(lists: pa.Array) -> pa.Array:
         sums, many, _ = list_sums(lists, *shared.value)
         some = many > 0
@@ -141,7 +148,7 @@ def _pooled(spark: SparkSession, held: tuple[np.ndarray, np.ndarray], pool: str)
         ends = np.concatenate([[0], np.cumsum(some * sums.shape[1])]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(found.ravel(), pa.float64()), mask=pa.array(~some))
 
-    return run
+    return F.arrow_udf(run, "array<double>").asNondeterministic()  # not to be worked out again for a filter
 
 
 SALTS = 16

@@ -245,3 +245,17 @@ def test_lookups_shuffle_ids_not_vectors(spark, monkeypatch):
     many = run()
     assert all("_vec" in d._jdf.queryExecution().toString() for d in many)
     assert [sorted(map(str, d.collect())) for d in many] == got
+
+
+def test_looked_up_vectors_are_not_broadcast(spark, monkeypatch):
+    from recspark.operators import joins as J
+    table = spark.createDataFrame([(i, [float(i), i * 0.5]) for i in range(4)], "idx long, vec array<double>")
+    df = spark.createDataFrame([(1, [0, 1]), (1, [2]), (2, [None]), (3, None)], "k long, ids array<long>")
+    for held in (J.HELD_ROWS, 0):
+        monkeypatch.setattr(J, "HELD_ROWS", held)
+        out = J.embedding_lookup(df, "k", "ids", table, "o")
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan[:plan.index("Join")].endswith("SortMerge"), plan  # the last join, which brings the vectors to the rows
+        assert out.columns == ["k", "ids", "o"]
+        assert sorted((r.k, r.o) for r in out.collect() if r.o) == [(1, [3.0, 1.5])] * 2
