@@ -148,3 +148,25 @@ def test_pairs_are_made_behind_the_last_shuffle(spark):
         top = _behind_the_last_shuffle(df)
         assert any(line.startswith("Generate posexplode(ys") for line in top)
         assert any("count(1)" in line for line in top)
+
+
+def test_lists_travel_in_as_few_bytes_as_items_and_counts_need(spark):
+    import random
+    rnd = random.Random(3)
+    for kind, items in (("long", [-3, 5, 65_000, 65_540, 1 << 20]), ("long", [-(2**62), 0, 2**40, 2**61]),
+                        ("long", [-(2**63), 7, 2**63 - 1]), ("int", [-(2**31), -1, 2**31 - 1]), ("short", [-300, 2, 299]),
+                        ("string", ["a", "b", "c"])):
+        rows = sorted({(u, rnd.choice(items)) for u in range(300) for _ in range(3)})
+        log = spark.createDataFrame(rows, f"user_id long, item_id {kind}").repartition(3)
+        for symmetric in (False, True):
+            for block, hot in ((2000, 50_000), (1, 3)):
+                got = sw.swing_cooccurrence(log, block, symmetric, hot)
+                top = "\n".join(_behind_the_last_shuffle(got))
+                whole = kind != "string" and items[-1] - items[0] < 2**62
+                assert ("_bytes" in top) == whole and ("nys" in top) != whole  # no list of user counts
+                assert {(r.item1, r.item2): (r.co_occurrence_count, r.item1_user_count, r.item2_user_count)
+                        for r in got.collect()} == _swing_by_hand(set(rows), symmetric)
+    sizes = sw.pair_sizes(log.select("user_id", F.lit(5).alias("item_id")), spark.createDataFrame([(5, 255), (65_540, 3)], "item_id int, n long"))
+    assert (sizes.item_bytes, sizes.count_bytes) == (0, 1)
+    sizes = sw.pair_sizes(log.select("user_id", F.lit(5).alias("item_id")), spark.createDataFrame([(5, 256), (65_541, 3)], "item_id int, n long"))
+    assert (sizes.item_bytes, sizes.count_bytes) == (1, 2)
