@@ -94,6 +94,10 @@ class Estimator:
         """Columns that ``fit`` and ``transform`` read; ``None`` if not known (all of them)."""
         return None
 
+    def writes(self) -> list[str] | None:
+        """Columns that ``transform`` writes; ``None`` if not known."""
+        return None
+
     def fit(self, df: DataFrame) -> Model:  # pragma: no cover - abstract
         raise NotImplementedError
 

@@ -141,6 +141,9 @@ class TimeFeatureExtractor(Stateless):
     def inputs(self):
         return [s.col_in for s in self.specs]
 
+    def writes(self):
+        return [s.col_out for s in self.specs]
+
     @staticmethod
     def expr(s: TimeSpec) -> Column:
         c = F.col(s.col_in)
@@ -191,6 +194,9 @@ class BooleanConverter(Stateless):
     def inputs(self):
         return list(self.cols)
 
+    def writes(self):
+        return list(self.cols)
+
     def transform(self, df):
         cols = [c for c in self.cols if c in df.columns]
         return df.withColumns({c: S.bool_to_int(c) for c in cols}) if cols else df
@@ -206,6 +212,9 @@ class LogTransformer(Stateless):
     def inputs(self):
         return [c for c, _ in self.pairs]
 
+    def writes(self):
+        return [c for _, c in self.pairs]
+
     def transform(self, df):
         pairs = [(i, o) for i, o in self.pairs if i in df.columns]
         return df.withColumns({o: S.safe_log_feature(i) for i, o in pairs}) if pairs else df

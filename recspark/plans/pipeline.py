@@ -36,9 +36,9 @@ class PipelineModel(Model):
 class FeaturePipeline(Estimator):
     """Ordered stages; ``fit`` runs one aggregate job per stateful stage.
 
-    ``store_input=True`` evaluates the input once: the columns that the stages
-    up to the last stateful one read are written as Parquet into the shared
-    checkpoint folder, and every statistic reads its own columns from there.
+    ``store_input=True`` evaluates the input once: the columns that the
+    statistics hang on are written as Parquet into the shared checkpoint folder,
+    and every statistic reads its own columns from there.
     Meant for inputs that are joins or unions; over a plain scan the statistics
     read their columns from the source as cheaply.  A lost executor costs its
     running tasks only, since the copy lies outside the executors.
@@ -52,9 +52,17 @@ class FeaturePipeline(Estimator):
         return None if None in each else [c for cols in each for c in cols]
 
     def _stored(self, df: DataFrame, stages: list[Estimator]) -> DataFrame:
-        """The columns of ``df`` that ``stages`` read, written once and read back."""
-        read = FeaturePipeline(stages).inputs()
-        part = df if read is None else df.select(*[c for c in df.columns if c in set(read)])
+        """The columns of ``df`` that the statistics of ``stages`` hang on, written once and read back."""
+        read: set[str] | None = set()
+        for st in reversed(stages):
+            out, own = st.writes(), st.inputs()
+            if isinstance(st, Stateless) and out is not None and not read & set(out):
+                continue  # no statistic reads what it writes
+            if own is None:
+                read = None
+                break
+            read |= set(own)
+        part = df if read is None else df.select(*[c for c in df.columns if c in read])
         path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/recspark-fit-{uuid.uuid4().hex[:10]}"
         part.write.parquet(path)
         return df.sparkSession.read.schema(part.schema).parquet(path)

@@ -137,3 +137,38 @@ def test_only_columns_that_stages_read_are_stored(spark):
 class _Unknown(Stateless):
     def inputs(self):
         return None
+
+
+def test_columns_that_no_statistic_hangs_on_are_not_stored(spark):
+    df = spark.createDataFrame([("a", True, 1.0, 5, "q"), ("b", False, None, 7, "r")], "city string, flag boolean, x double, ms long, other string")
+    stages = [TR.MissingValueFiller([TR.FillSpec("x", "mean")]), TR.TimeFeatureExtractor([TR.TimeSpec("ms", "hour", "ms", "hour")]),
+              TR.BooleanConverter(["flag"]), TR.LogTransformer([("x", "x_log")]), TR.CategoricalEncoder(["city"])]
+    p = PL.FeaturePipeline(stages, store_input=True)
+    assert p._stored(df, stages).columns == ["city", "x"]
+    assert p._stored(df, [*stages[:4], TR.ZScoreNormalizer(["x_log"])]).columns == ["x"]
+    assert p._stored(df, [*stages[:4], TR.CategoricalEncoder(["flag", "hour"])]).columns == ["flag", "x", "ms"]
+    plain = PL.FeaturePipeline(stages).fit(df).transform(df)
+    assert sorted(map(str, p.fit(df).transform(df).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_sides_of_the_streamed_log_are_worked_out_once(spark, tmp_path, monkeypatch):
+    from recspark.plans import q_features as Q
+    tables = {"lineitem": [(k, 1, k % 3, 2.0, 1.0 * k, 0.1, "R" if k % 2 else "N") for k in range(8)],
+              "orders": [(k, k % 4 if k else None, None, "1-URGENT") for k in range(7)] + [(6, 1, None, "5-LOW")],
+              "customer": [(k, 1.0, "BUILDING", 3) for k in (0, 1, 1, 2)], "part": [(k, "b", "t", "n m", 1.0) for k in range(2)]}
+    kinds = {"lineitem": "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_extendedprice double, "
+                         "l_discount double, l_returnflag string",
+             "orders": "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderpriority string",
+             "customer": "c_custkey long, c_acctbal double, c_mktsegment string, c_nationkey int",
+             "part": "p_partkey long, p_brand string, p_type string, p_name string, p_retailprice double"}
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, kinds[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    want = Q.wide_log(spark, str(tmp_path))
+    for most in (Q.SIDE_ROWS, 0):
+        monkeypatch.setattr(Q, "SIDE_ROWS", most)
+        got = Q.wide_log(spark, str(tmp_path), sides=Q.stored_sides(spark, str(tmp_path)))
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("Scan parquet") == 3 and "Aggregate" not in plan  # the log and two stored sides
+        assert ("SortMergeJoin" in plan) == (most == 0)
